@@ -97,3 +97,95 @@ def rule_field_presence(spark: SparkSession, sf: str) -> DataFrame:
     return factmod.validate_rules(tables).withColumn(
         "collection", F.create_map(*[x for k, v in COLLECTIONS.items() for x in (F.lit(k), F.lit(v))])
         [F.col("source")])
+
+
+# ------------------------------------------------------------------ findings family
+
+def _findings(spark: SparkSession, sf: str) -> DataFrame:
+    return feeds.feed_findings(spark, sf)
+
+
+@query("finding_cves_normalized")
+def finding_cves_normalized(spark: SparkSession, sf: str) -> DataFrame:
+    """S1 normaliser and S3 finding id."""
+    from threatspark.functions.strings import finding_id, normalize_cves
+    f = _findings(spark, sf)
+    cves = normalize_cves(F.col("CVE"))
+    return f.select("row_id", finding_id(F.col("Host"), F.col("`Plugin ID`")).alias("HostFindingsID"),
+                    F.array_join(cves, "|").alias("cves"), F.size(cves).alias("n_cves"))
+
+
+@query("enriched_findings")
+def enriched_findings(spark: SparkSession, sf: str) -> DataFrame:
+    """The report's risk columns."""
+    from threatspark.plans.findings import enrich_findings
+    r = enrich_findings(_findings(spark, sf), factmod.fact_from_feeds(spark, sf))
+    return r.select("row_id", "HostFindingsID", "vrr_score",
+                    F.array_join("vulnerabilities", "|").alias("vulnerabilities"),
+                    "IPAddress", "ScannerPluginID", "ScannerReportedSeverity", "ScannerName", "Status")
+
+
+@query("finding_weaknesses")
+def finding_weaknesses(spark: SparkSession, sf: str) -> DataFrame:
+    """Every threat value holding 'CWE-', distinct and sorted, per finding."""
+    from threatspark.plans.findings import enrich_findings
+    r = enrich_findings(_findings(spark, sf), factmod.fact_from_feeds(spark, sf))
+    return r.select("row_id", F.array_join("weaknesses", "|").alias("weaknesses"),
+                    F.size("weaknesses").alias("n_weaknesses"))
+
+
+@query("finding_threats_long")
+def finding_threats_long(spark: SparkSession, sf: str) -> DataFrame:
+    """Threats merged by set union per key, one row per finding and key."""
+    from threatspark.plans.findings import enrich_findings
+    r = enrich_findings(_findings(spark, sf), factmod.fact_from_feeds(spark, sf))
+    return r.select("row_id", F.explode("threats").alias("threat_key", "vals")).select(
+        "row_id", "threat_key", F.array_join("vals", "|").alias("vals"), F.size("vals").alias("n_vals"))
+
+
+@query("enrich_simple")
+def enrich_simple_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact-match enrichment with a 'cve_id' column."""
+    from threatspark.functions.strings import cve_of
+    from threatspark.plans.findings import enrich_simple
+    from threatspark.sources.tables import read_driver_table
+    ev = read_driver_table(spark, sf, "events").select(
+        F.col("event_id").alias("row_id"), cve_of(F.col("event_id") % 2500).alias("cve_id"))
+    return enrich_simple(ev, factmod.fact_from_feeds(spark, sf), cve_column="Vulnerability")
+
+
+@query("intel_coverage")
+def intel_coverage_q(spark: SparkSession, sf: str) -> DataFrame:
+    """G11, X2, G13."""
+    from threatspark.plans.findings import intel_coverage
+    return intel_coverage(_findings(spark, sf), factmod.fact_from_feeds(spark, sf))
+
+
+@query("top_risks")
+def top_risks_q(spark: SparkSession, sf: str) -> DataFrame:
+    """T4 (T1): the 20 riskiest findings."""
+    from threatspark.plans.findings import enrich_findings, top_risks
+    r = enrich_findings(_findings(spark, sf), factmod.fact_from_feeds(spark, sf))
+    return top_risks(r, 20).select("row_id", "HostFindingsID", "vrr_score",
+                                   F.array_join("vulnerabilities", "|").alias("vulnerabilities"))
+
+
+@query("report_preview")
+def report_preview_q(spark: SparkSession, sf: str) -> DataFrame:
+    """First ten rows of four columns and the count of the rest."""
+    from threatspark.plans.findings import enrich_findings, report_preview
+    r = enrich_findings(_findings(spark, sf), factmod.fact_from_feeds(spark, sf))
+    p = report_preview(r, 10)
+    return p.withColumn("vulnerabilities", F.array_join("vulnerabilities", "|"))
+
+
+@query("finding_report_text")
+def finding_report_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Description text, optional columns with defaults."""
+    from threatspark.plans.findings import join_text, optional_col
+    f = _findings(spark, sf)
+    return f.select("row_id",
+                    join_text(F.col("Description"), F.col("Synopsis")).alias("Description"),
+                    optional_col(f, "Plugin Output").alias("PluginOutput"),
+                    optional_col(f, "See Also").alias("PossiblePatches"),
+                    optional_col(f, "Solution").alias("PossibleSolutions"))

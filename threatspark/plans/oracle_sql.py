@@ -243,3 +243,112 @@ pres(source, field, n_rows, collection) AS (
   UNION ALL SELECT 'Metasploit', 'references', count(c.n), 'gold_metasploit'
     FROM modules m LEFT JOIN mref_counts c USING (fullname))
 SELECT source, field, cast(n_rows AS BIGINT) AS n_rows, collection FROM pres""")
+
+
+FINDINGS = f"""
+, fnd AS (
+  SELECT event_id AS row_id, cast(event_id % 37 AS VARCHAR) AS plugin,
+    '10.0.0.' || cast(user_id AS VARCHAR) AS host, event_type AS risk,
+    ' cve-2024-' || lpad(cast(event_id % 2000 AS VARCHAR), 6, '0') || ',CVE-2024-'
+      || lpad(cast(event_id * 7 % 2000 AS VARCHAR), 6, '0') || ',n/a' AS cve_text,
+    props AS description,
+    CASE WHEN event_type = 'view' THEN NULL ELSE 'Seen ' || event_type END AS synopsis
+  FROM events),
+norm AS (
+  SELECT row_id, md5(host || '-' || plugin) AS fid, host, plugin, risk,
+    list_sort(list_distinct(list_filter(list_transform(string_split(cve_text, ','), lambda x: upper(trim(x))),
+                                        lambda x: starts_with(x, 'CVE-')))) AS cves
+  FROM fnd),
+pairs AS (SELECT row_id, unnest(cves) AS cve FROM norm),
+hits AS (SELECT p.row_id, p.cve, t.* EXCLUDE (cve_id) FROM pairs p JOIN threats t ON t.cve_id = p.cve),
+tlong AS (
+  SELECT row_id, 'CISA_required_action' AS key, CISA_required_action AS v FROM hits WHERE CISA_required_action IS NOT NULL
+  UNION ALL SELECT row_id, 'CISA_known_ransomware_campaign_use', CISA_known_ransomware_campaign_use FROM hits WHERE CISA_known_ransomware_campaign_use IS NOT NULL
+  UNION ALL SELECT row_id, 'CISA_product', CISA_product FROM hits WHERE CISA_product IS NOT NULL
+  UNION ALL SELECT row_id, 'CISA_vendor_project', CISA_vendor_project FROM hits WHERE CISA_vendor_project IS NOT NULL
+  UNION ALL SELECT row_id, 'CISA_cwe', unnest(CISA_cwe) FROM hits WHERE CISA_cwe IS NOT NULL
+  UNION ALL SELECT row_id, 'EPSS_epss_value', {dtext('EPSS_epss_value')} FROM hits WHERE EPSS_epss_value IS NOT NULL
+  UNION ALL SELECT row_id, 'EPSS_percentile', {dtext('EPSS_percentile')} FROM hits WHERE EPSS_percentile IS NOT NULL
+  UNION ALL SELECT row_id, 'ExploitDB_exploit_id', ExploitDB_exploit_id FROM hits WHERE ExploitDB_exploit_id IS NOT NULL
+  UNION ALL SELECT row_id, 'ExploitDB_type', ExploitDB_type FROM hits WHERE ExploitDB_type IS NOT NULL
+  UNION ALL SELECT row_id, 'ExploitDB_platform', ExploitDB_platform FROM hits WHERE ExploitDB_platform IS NOT NULL
+  UNION ALL SELECT row_id, 'NVD_weaknesses', unnest(NVD_weaknesses) FROM hits WHERE NVD_weaknesses IS NOT NULL
+  UNION ALL SELECT row_id, 'NVD_references', unnest(NVD_references) FROM hits WHERE NVD_references IS NOT NULL
+  UNION ALL SELECT row_id, 'Metasploit_module_name', Metasploit_module_name FROM hits WHERE Metasploit_module_name IS NOT NULL
+  UNION ALL SELECT row_id, 'Metasploit_type', Metasploit_type FROM hits WHERE Metasploit_type IS NOT NULL
+  UNION ALL SELECT row_id, 'Metasploit_platform', Metasploit_platform FROM hits WHERE Metasploit_platform IS NOT NULL),
+per_row AS (
+  SELECT row_id, max(vrr_score) AS vrr_score, list_sort(list(DISTINCT cve)) AS vulns FROM hits GROUP BY row_id),
+weak AS (
+  SELECT row_id, list_sort(list(DISTINCT v)) AS w FROM tlong WHERE contains(v, 'CWE-') GROUP BY row_id),
+report AS (
+  SELECT n.row_id, n.fid AS HostFindingsID, coalesce(p.vrr_score, 0.0) AS vrr_score,
+    coalesce(array_to_string(p.vulns, '|'), '') AS vulnerabilities,
+    n.host AS IPAddress, n.plugin AS ScannerPluginID, n.risk AS ScannerReportedSeverity,
+    'Nessus' AS ScannerName, 'Open' AS Status, coalesce(w.w, []::VARCHAR[]) AS weak_list
+  FROM norm n LEFT JOIN per_row p USING (row_id) LEFT JOIN weak w USING (row_id))
+"""
+
+
+def with_findings(body: str) -> str:
+    return with_feeds(FINDINGS.strip() + "\n" + body)
+
+
+ORACLE_SQL["finding_cves_normalized"] = with_findings("""
+SELECT row_id, fid AS HostFindingsID, array_to_string(cves, '|') AS cves, cast(len(cves) AS INTEGER) AS n_cves
+FROM norm""")
+
+ORACLE_SQL["enriched_findings"] = with_findings("""
+SELECT row_id, HostFindingsID, vrr_score, vulnerabilities, IPAddress, ScannerPluginID,
+  ScannerReportedSeverity, ScannerName, Status FROM report""")
+
+ORACLE_SQL["finding_weaknesses"] = with_findings("""
+SELECT row_id, array_to_string(weak_list, '|') AS weaknesses, cast(len(weak_list) AS INTEGER) AS n_weaknesses
+FROM report""")
+
+ORACLE_SQL["finding_threats_long"] = with_findings("""
+SELECT row_id, key AS threat_key, array_to_string(list_sort(list(DISTINCT v)), '|') AS vals,
+  cast(count(DISTINCT v) AS INTEGER) AS n_vals
+FROM tlong GROUP BY row_id, key""")
+
+ORACLE_SQL["enrich_simple"] = with_feeds(f"""
+, ev AS (SELECT event_id AS row_id, {cve('event_id % 2500')} AS cve_id FROM events),
+txt AS (
+  SELECT cve_id, vrr_score, concat_ws('; ',
+    'CISA_required_action: ' || CISA_required_action,
+    'CISA_known_ransomware_campaign_use: ' || CISA_known_ransomware_campaign_use,
+    'CISA_product: ' || CISA_product,
+    'CISA_vendor_project: ' || CISA_vendor_project,
+    'CISA_cwe: [''' || array_to_string(CISA_cwe, ''', ''') || ''']',
+    'EPSS_epss_value: ' || {dtext('EPSS_epss_value')},
+    'EPSS_percentile: ' || {dtext('EPSS_percentile')},
+    'ExploitDB_exploit_id: ' || ExploitDB_exploit_id,
+    'ExploitDB_type: ' || ExploitDB_type,
+    'ExploitDB_platform: ' || ExploitDB_platform,
+    'NVD_weaknesses: [''' || array_to_string(NVD_weaknesses, ''', ''') || ''']',
+    'NVD_references: [''' || array_to_string(NVD_references, ''', ''') || ''']',
+    'Metasploit_module_name: ' || Metasploit_module_name,
+    'Metasploit_type: ' || Metasploit_type,
+    'Metasploit_platform: ' || Metasploit_platform) AS threat_intel
+  FROM threats)
+SELECT e.row_id, e.cve_id, coalesce(t.vrr_score, 0.0) AS vrr_score, coalesce(t.threat_intel, '') AS threat_intel
+FROM ev e LEFT JOIN txt t USING (cve_id)""")
+
+ORACLE_SQL["intel_coverage"] = with_findings("""
+, rc AS (SELECT DISTINCT cve FROM pairs)
+SELECT count(*) AS n_report_cves, count(f.cve_id) AS n_matched_cves
+FROM rc LEFT JOIN fact f ON f.cve_id = rc.cve""")
+
+ORACLE_SQL["top_risks"] = with_findings("""
+SELECT row_id, HostFindingsID, vrr_score, vulnerabilities FROM report
+ORDER BY vrr_score DESC, row_id ASC LIMIT 20""")
+
+ORACLE_SQL["report_preview"] = with_findings("""
+SELECT row_id, ScannerPluginID, vrr_score, vulnerabilities, IPAddress,
+  greatest((SELECT count(*) FROM report) - 10, 0) AS more_rows
+FROM report ORDER BY row_id LIMIT 10""")
+
+ORACLE_SQL["finding_report_text"] = with_findings("""
+SELECT row_id, trim(coalesce(description, '') || ' ' || coalesce(synopsis, '')) AS Description,
+  '' AS PluginOutput, CAST(NULL AS VARCHAR) AS PossiblePatches, 'Upgrade.' AS PossibleSolutions
+FROM fnd""")
