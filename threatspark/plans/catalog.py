@@ -189,3 +189,276 @@ def finding_report_text(spark: SparkSession, sf: str) -> DataFrame:
                     optional_col(f, "Plugin Output").alias("PluginOutput"),
                     optional_col(f, "See Also").alias("PossiblePatches"),
                     optional_col(f, "Solution").alias("PossibleSolutions"))
+
+
+# ------------------------------------------------------------------ merge family
+
+MERGE_RUN_TS = "2024-06-01 00:00:00"
+
+
+def _orders_target(spark: SparkSession, sf: str) -> DataFrame:
+    from threatspark.sources.tables import read_driver_table
+    o = read_driver_table(spark, sf, "orders").filter(F.col("o_orderdate") < "1998-01-01")
+    ts = F.col("o_orderdate").cast("timestamp")
+    return o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
+                    (F.col("o_totalprice") / 1000).alias("VRRScore"),
+                    ts.alias("created_at"), ts.alias("updated_at"))
+
+
+def _orders_incoming(spark: SparkSession, sf: str) -> DataFrame:
+    from threatspark.sources.tables import read_driver_table
+    o = read_driver_table(spark, sf, "orders").filter(F.col("o_orderdate") >= "1997-01-01")
+    k = F.col("o_orderkey")
+    return o.select(
+        "o_orderkey",
+        F.when(k % 5 == 0, F.lit(None)).when(k % 3 == 0, F.col("o_orderstatus"))
+         .otherwise(F.lit("U")).alias("o_orderstatus"),
+        (F.col("o_totalprice") + F.when(k % 2 == 0, F.lit(1.0)).otherwise(F.lit(0.0))).alias("o_totalprice"),
+        "o_orderpriority", F.lit("delta").alias("feed"))
+
+
+def _run_ts():
+    import datetime as dt
+    return dt.datetime.fromisoformat(MERGE_RUN_TS)
+
+
+@query("upsert_result")
+def upsert_result(spark: SparkSession, sf: str) -> DataFrame:
+    """Incoming columns overwrite (nulls too); absent columns keep old values."""
+    from threatspark.operators.merge import upsert
+    t = _orders_target(spark, sf).drop("created_at", "updated_at", "VRRScore")
+    out = upsert(t, _orders_incoming(spark, sf), "o_orderkey")
+    return out.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "feed")
+
+
+@query("upsert_audit")
+def upsert_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Created kept (run time for new keys), updated = run time when touched."""
+    from threatspark.operators.merge import upsert
+    t = _orders_target(spark, sf).drop("VRRScore")
+    out = upsert(t, _orders_incoming(spark, sf), "o_orderkey", audit=("created_at", "updated_at"),
+                 run_ts=_run_ts())
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    return out.select("o_orderkey", F.date_format("created_at", fmt).alias("created_at"),
+                      F.date_format("updated_at", fmt).alias("updated_at"))
+
+
+@query("upsert_keep_nulls")
+def upsert_keep_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """C6 + B20: null inputs keep old values; legacy column unset on touched rows."""
+    from threatspark.operators.merge import upsert
+    t = _orders_target(spark, sf).drop("created_at", "updated_at")
+    out = upsert(t, _orders_incoming(spark, sf), "o_orderkey", nulls="keep", drop_columns=["VRRScore"])
+    return out.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "feed", "VRRScore")
+
+
+@query("insert_if_absent")
+def insert_if_absent_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Only new keys are added."""
+    from threatspark.operators.merge import insert_if_absent
+    t = _orders_target(spark, sf).select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return insert_if_absent(t, _orders_incoming(spark, sf).select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", "feed"), "o_orderkey")
+
+
+@query("merge_stats")
+def merge_stats_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Processed / inserted / matched / modified."""
+    from threatspark.operators.merge import merge_stats
+    return merge_stats(_orders_target(spark, sf), _orders_incoming(spark, sf), "o_orderkey")
+
+
+# ------------------------------------------------------------------ incremental family
+
+@query("kev_since")
+def kev_since(spark: SparkSession, sf: str) -> DataFrame:
+    """strict '>' on dateAdded, rows without a date dropped."""
+    from threatspark.operators.incremental import since_filter
+    k = feeds.feed_kev(spark, sf)
+    return since_filter(k, "date_added", "2022-06-01", keep_null=False).select("cve_id", "date_added")
+
+
+@query("exploit_since")
+def exploit_since(spark: SparkSession, sf: str) -> DataFrame:
+    """updated-else-published date, strict '>', rows without a date kept."""
+    from threatspark.operators.incremental import exploit_change_date, since_filter
+    x = feeds.feed_exploit(spark, sf).withColumn("change_date", exploit_change_date())
+    return since_filter(x, "change_date", "1998-06-01", keep_null=True).select("id", "change_date")
+
+
+@query("module_since")
+def module_since(spark: SparkSession, sf: str) -> DataFrame:
+    """text compare on mod_time, strict '>', rows without a time kept."""
+    from threatspark.operators.incremental import since_filter
+    m = feeds.feed_modules(spark, sf)
+    return since_filter(m, "mod_time", "2000-06-01 00:00:00 +0000", keep_null=True) \
+        .select("fullname", "mod_time")
+
+
+@query("watermark_per_source")
+def watermark_per_source(spark: SparkSession, sf: str) -> DataFrame:
+    """G1 + F7 + F8: the resume point of every source."""
+    from threatspark.operators.incremental import (NVD_DEFAULT_START, OTHER_DEFAULT_START,
+                                                   sane_watermark)
+    from threatspark.sources.tables import read_driver_table
+    parts = [
+        ("nvd", feeds.feed_nvd(spark, sf).agg(F.max(F.date_format(
+            "last_modified", "yyyy-MM-dd'T'HH:mm:ss.SSS")).alias("w")), NVD_DEFAULT_START),
+        ("cisa", feeds.feed_kev(spark, sf).agg(F.max("date_added").alias("w")), OTHER_DEFAULT_START),
+        ("epss", feeds.feed_epss(spark, sf).agg(F.max("date").alias("w")), OTHER_DEFAULT_START),
+        ("exploit", feeds.feed_exploit(spark, sf).agg(F.max("date_published").alias("w")),
+         OTHER_DEFAULT_START),
+        ("metasploit", feeds.feed_modules(spark, sf).agg(F.max("mod_time").alias("w")),
+         OTHER_DEFAULT_START),
+        # a snapshot-metadata text stored as a watermark: corrupt -> full refresh
+        ("epss_meta", read_driver_table(spark, sf, "events").agg(F.max(F.concat(
+            F.lit("model_version:v2023.03.01,score_date:"), F.date_format("ts", "yyyy-MM-dd"))).alias("w")),
+         OTHER_DEFAULT_START),
+    ]
+    out = None
+    for name, df, default in parts:
+        row = df.select(F.lit(name).alias("source"), F.col("w").alias("raw_max"),
+                        sane_watermark(F.col("w"), default).alias("watermark"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("snapshot_gate_newest")
+def snapshot_gate_newest(spark: SparkSession, sf: str) -> DataFrame:
+    """Each day of events is a snapshot whose '#' metadata line
+    carries score_date; snapshots dated on or before 'since' are skipped,
+    admitted rows are stamped with their snapshot's date."""
+    from threatspark.operators.incremental import snapshot_gate
+    from threatspark.sources.epss import score_date_of
+    from threatspark.sources.tables import read_driver_table
+    ev = read_driver_table(spark, sf, "events").select(
+        F.date_format("ts", "yyyyMMdd").alias("snapshot"), "event_id")
+    meta = ev.select("snapshot").distinct().select(
+        "snapshot", F.concat(F.lit("#model_version:v2023.03.01,score_date:"),
+                             F.substring("snapshot", 1, 4), F.lit("-"), F.substring("snapshot", 5, 2),
+                             F.lit("-"), F.substring("snapshot", 7, 2), F.lit("T00:00:00+0000"))
+        .alias("line"))
+    meta = snapshot_gate(meta.select("snapshot", score_date_of(F.col("line")).alias("score_date")),
+                         "2024-01-20")
+    rows = ev.join(meta, "snapshot")
+    return rows.groupBy("score_date").agg(F.count("*").alias("n_rows"))
+
+
+@query("rows_per_time_slice")
+def rows_per_time_slice(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders per 119-day closed slice of the order-date range."""
+    from threatspark.operators.incremental import rows_per_slice
+    from threatspark.sources.tables import read_driver_table
+    o = read_driver_table(spark, sf, "orders").select("o_orderdate")
+    r = rows_per_slice(o, "o_orderdate")
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    return r.select("slice_no", F.date_format("lo", fmt).alias("lo"), F.date_format("hi", fmt).alias("hi"),
+                    F.col("n_rows").cast("long").alias("n_rows"))
+
+
+# ------------------------------------------------------------------ quality family
+
+@query("missing_in_target")
+def missing_in_target(spark: SparkSession, sf: str) -> DataFrame:
+    """Order keys present in lineitem (bronze) but not in the
+    non-pending orders (silver)."""
+    from threatspark.operators.incremental import repair
+    from threatspark.sources.tables import read_driver_table
+    bronze = read_driver_table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    silver = read_driver_table(spark, sf, "orders").filter(F.col("o_orderstatus") != "P")
+    return repair(bronze, silver, "o_orderkey")
+
+
+@query("late_rows_repaired")
+def late_rows_repaired(spark: SparkSession, sf: str) -> DataFrame:
+    """Finished orders load first; the strict '>' watermark run then
+    misses back-dated open/pending orders, which the key-difference repair
+    finds."""
+    from threatspark.operators.incremental import repair
+    from threatspark.sources.tables import read_driver_table
+    o = read_driver_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    first = o.filter(F.col("o_orderstatus") == "F")
+    wm = first.agg(F.max("o_orderdate").alias("_wm"))
+    second = o.crossJoin(wm).filter(F.col("o_orderdate") > F.col("_wm")).drop("_wm")  # one-row side
+    silver = first.unionByName(second)
+    fixed = repair(o, silver, "o_orderkey")
+    return (first.withColumn("found_by", F.lit("initial"))
+            .unionByName(second.withColumn("found_by", F.lit("incremental")))
+            .unionByName(fixed.withColumn("found_by", F.lit("repair")))
+            .select("o_orderkey", "o_orderstatus", "found_by"))
+
+
+@query("cutoff_counts")
+def cutoff_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows before / from a cutoff date, bronze vs silver."""
+    from threatspark.sources.tables import read_driver_table
+    o = read_driver_table(spark, sf, "orders")
+    layers = {"bronze": o, "silver": o.filter(F.col("o_orderstatus") == "F")}
+    out = None
+    for name, df in layers.items():
+        r = df.agg(F.count_if(F.col("o_orderdate") < "1998-01-01").alias("n_before"),
+                   F.count_if(F.col("o_orderdate") >= "1998-01-01").alias("n_after")) \
+            .select(F.lit(name).alias("layer"), "n_before", "n_after")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("duplicate_keys")
+def duplicate_keys_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Finding ids held by more than one row (Q11)."""
+    from threatspark.functions.strings import finding_id
+    from threatspark.operators.merge import duplicate_keys
+    f = _findings(spark, sf).select(finding_id(F.col("Host"), F.col("`Plugin ID`")).alias("HostFindingsID"))
+    return duplicate_keys(f, "HostFindingsID")
+
+
+@query("table_counts")
+def table_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per driver table."""
+    from threatspark.sources.tables import read_driver_table
+    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+             "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+    out = None
+    for n in names:
+        r = read_driver_table(spark, sf, n).agg(F.count("*").alias("n_rows")) \
+            .select(F.lit(n).alias("table_name"), "n_rows")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+# ------------------------------------------------------------------ gold family
+
+@query("mirror_include")
+def mirror_include(spark: SparkSession, sf: str) -> DataFrame:
+    """Include list (missing names ignored) plus the key."""
+    from threatspark.plans.gold import mirror
+    from threatspark.sources.tables import read_driver_table
+    c = read_driver_table(spark, sf, "customer").withColumnRenamed("c_custkey", "id")
+    return mirror(c, include=["c_name", "c_acctbal", "c_phone"])
+
+
+@query("mirror_exclude_manual")
+def mirror_exclude_manual(spark: SparkSession, sf: str) -> DataFrame:
+    """B12 + B13: exclude list, constant columns override same-named ones."""
+    from threatspark.plans.gold import mirror
+    from threatspark.sources.tables import read_driver_table
+    c = read_driver_table(spark, sf, "customer").withColumnRenamed("c_custkey", "id")
+    return mirror(c, exclude=["c_mktsegment"], manual={"tier": "gold", "c_nationkey": 0})
+
+
+@query("factor_table_long")
+def factor_table_long(spark: SparkSession, sf: str) -> DataFrame:
+    """Configured paths unpivoted to long rows, nulls skipped."""
+    from threatspark.plans.gold import Factor, factor_table
+    kev = feeds.feed_kev(spark, sf)
+    nvd = feeds.feed_nvd(spark, sf)
+    sources = {
+        "cisa": (kev, [Factor("vendor", "vendor_project", "CISA", "Static"),
+                       Factor("ransomware", "known_ransomware_campaign_use", "CISA"),
+                       Factor("first_cwe", "cwes.0", "CISA")]),
+        "nvd": (nvd, [Factor("cvss", "metrics_cvssMetricV31.0.cvssData.baseScore", "NVD", "Static"),
+                      Factor("in_nvd", "TRUE"),
+                      Factor("first_weakness", "weaknesses.0", "NVD"),
+                      Factor("missing", "no.such.path")]),
+    }
+    return factor_table(sources, "dim_factors")

@@ -352,3 +352,160 @@ ORACLE_SQL["finding_report_text"] = with_findings("""
 SELECT row_id, trim(coalesce(description, '') || ' ' || coalesce(synopsis, '')) AS Description,
   '' AS PluginOutput, CAST(NULL AS VARCHAR) AS PossiblePatches, 'Upgrade.' AS PossibleSolutions
 FROM fnd""")
+
+
+MERGE_SRC = """
+WITH t AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, o_orderdate,
+    o_totalprice / 1000 AS VRRScore
+  FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+i AS (
+  SELECT o_orderkey,
+    CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN o_orderstatus ELSE 'U' END AS o_orderstatus,
+    o_totalprice + CASE WHEN o_orderkey % 2 = 0 THEN 1.0 ELSE 0.0 END AS o_totalprice,
+    o_orderpriority, 'delta' AS feed
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'),
+j AS (
+  SELECT coalesce(i.o_orderkey, t.o_orderkey) AS k, i.o_orderkey IS NOT NULL AS in_new,
+    t.o_orderkey IS NOT NULL AS in_old,
+    t.o_custkey, t.o_orderstatus AS s_old, i.o_orderstatus AS s_new, t.o_totalprice AS p_old,
+    i.o_totalprice AS p_new, t.o_orderpriority AS pr_old, i.o_orderpriority AS pr_new, i.feed,
+    t.o_orderdate, t.VRRScore
+  FROM t FULL OUTER JOIN i ON t.o_orderkey = i.o_orderkey)
+"""
+
+ORACLE_SQL["upsert_result"] = MERGE_SRC + """
+SELECT k AS o_orderkey, o_custkey,
+  CASE WHEN in_new THEN s_new ELSE s_old END AS o_orderstatus,
+  CASE WHEN in_new THEN p_new ELSE p_old END AS o_totalprice,
+  CASE WHEN in_new THEN pr_new ELSE pr_old END AS o_orderpriority, feed
+FROM j"""
+
+ORACLE_SQL["upsert_audit"] = MERGE_SRC + """
+SELECT k AS o_orderkey,
+  CASE WHEN in_old THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') ELSE '2024-06-01 00:00:00' END AS created_at,
+  CASE WHEN in_new THEN '2024-06-01 00:00:00' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS updated_at
+FROM j"""
+
+ORACLE_SQL["upsert_keep_nulls"] = MERGE_SRC + """
+SELECT k AS o_orderkey, o_custkey,
+  CASE WHEN in_new THEN coalesce(s_new, s_old) ELSE s_old END AS o_orderstatus,
+  CASE WHEN in_new THEN coalesce(p_new, p_old) ELSE p_old END AS o_totalprice,
+  feed, CASE WHEN in_new THEN NULL ELSE VRRScore END AS VRRScore
+FROM j"""
+
+ORACLE_SQL["insert_if_absent"] = MERGE_SRC + """
+SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(NULL AS VARCHAR) AS feed FROM t
+UNION ALL
+SELECT o_orderkey, o_orderstatus, o_totalprice, feed FROM i
+WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_orderkey = i.o_orderkey)"""
+
+ORACLE_SQL["merge_stats"] = MERGE_SRC + """
+, s AS (
+  SELECT count(*) FILTER (WHERE in_new) AS processed,
+    count(*) FILTER (WHERE in_new AND NOT in_old) AS inserted,
+    count(*) FILTER (WHERE in_new AND in_old) AS matched,
+    count(*) FILTER (WHERE in_new AND in_old AND (s_new IS DISTINCT FROM s_old OR p_new IS DISTINCT FROM p_old
+                                                OR pr_new IS DISTINCT FROM pr_old)) AS modified
+  FROM j)
+SELECT 'processed' AS status, processed AS n FROM s
+UNION ALL SELECT 'inserted', inserted FROM s
+UNION ALL SELECT 'matched', matched FROM s
+UNION ALL SELECT 'modified', modified FROM s"""
+
+ORACLE_SQL["kev_since"] = with_feeds("""
+SELECT cve_id, date_added FROM kev WHERE date_added > '2022-06-01'""")
+
+ORACLE_SQL["exploit_since"] = with_feeds("""
+, c AS (SELECT id, coalesce(nullif(date_updated, ''), nullif(date_published, '')) AS change_date FROM exploit)
+SELECT id, change_date FROM c WHERE change_date IS NULL OR change_date > '1998-06-01'""")
+
+ORACLE_SQL["module_since"] = with_feeds("""
+SELECT fullname, mod_time FROM modules WHERE mod_time IS NULL OR mod_time > '2000-06-01 00:00:00 +0000'""")
+
+
+def _sane(w: str, default: str) -> str:
+    return (f"CASE WHEN {w} IS NULL OR contains({w}, ',') OR contains({w}, 'score_date') "
+            f"THEN '{default}' ELSE {w} END")
+
+
+ORACLE_SQL["watermark_per_source"] = with_feeds(f"""
+, w(source, raw_max, dflt) AS (
+  SELECT 'nvd', max(strftime(last_modified, '%Y-%m-%dT%H:%M:%S.%g')), '1999-01-01T00:00:00.000' FROM nvd
+  UNION ALL SELECT 'cisa', max(date_added), '1970-01-01' FROM kev
+  UNION ALL SELECT 'epss', max(date), '1970-01-01' FROM epss
+  UNION ALL SELECT 'exploit', max(date_published), '1970-01-01' FROM exploit
+  UNION ALL SELECT 'metasploit', max(mod_time), '1970-01-01' FROM modules
+  UNION ALL SELECT 'epss_meta', max('model_version:v2023.03.01,score_date:' || strftime(ts, '%Y-%m-%d')),
+    '1970-01-01' FROM events)
+SELECT source, raw_max,
+  CASE WHEN raw_max IS NULL OR contains(raw_max, ',') OR contains(raw_max, 'score_date')
+       THEN dflt ELSE raw_max END AS watermark
+FROM w""")
+
+ORACLE_SQL["snapshot_gate_newest"] = """
+SELECT strftime(ts, '%Y-%m-%d') AS score_date, count(*) AS n_rows
+FROM events WHERE strftime(ts, '%Y-%m-%d') > '2024-01-20' GROUP BY 1"""
+
+ORACLE_SQL["rows_per_time_slice"] = """
+WITH b AS (SELECT min(o_orderdate) AS s, max(o_orderdate) AS e FROM orders),
+lows AS (
+  SELECT unnest(CASE WHEN floor(date_diff('second', s, e) / 86400) > 120
+                     THEN generate_series(s, e - INTERVAL 1 SECOND, INTERVAL 119 DAY)
+                     ELSE [s] END) AS lo, s, e FROM b),
+sl AS (
+  SELECT row_number() OVER (ORDER BY lo) - 1 AS slice_no, lo,
+    CASE WHEN floor(date_diff('second', s, e) / 86400) > 120 THEN least(lo + INTERVAL 119 DAY, e) ELSE e END AS hi
+  FROM lows)
+SELECT cast(slice_no AS INTEGER) AS slice_no, strftime(lo, '%Y-%m-%d %H:%M:%S') AS lo,
+  strftime(hi, '%Y-%m-%d %H:%M:%S') AS hi, count(o.o_orderdate) AS n_rows
+FROM sl LEFT JOIN orders o ON o.o_orderdate >= sl.lo AND o.o_orderdate <= sl.hi
+GROUP BY slice_no, lo, hi"""
+
+ORACLE_SQL["missing_in_target"] = """
+SELECT DISTINCT l_orderkey AS o_orderkey FROM lineitem l
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus <> 'P')"""
+
+ORACLE_SQL["late_rows_repaired"] = """
+WITH f AS (SELECT o_orderkey, o_orderstatus, o_orderdate FROM orders WHERE o_orderstatus = 'F'),
+s AS (SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderdate > (SELECT max(o_orderdate) FROM f)),
+loaded AS (SELECT o_orderkey FROM f UNION ALL SELECT o_orderkey FROM s)
+SELECT o_orderkey, o_orderstatus, 'initial' AS found_by FROM f
+UNION ALL SELECT o_orderkey, o_orderstatus, 'incremental' FROM s
+UNION ALL SELECT o_orderkey, o_orderstatus, 'repair' FROM orders o
+  WHERE NOT EXISTS (SELECT 1 FROM loaded x WHERE x.o_orderkey = o.o_orderkey)"""
+
+ORACLE_SQL["cutoff_counts"] = """
+SELECT 'bronze' AS layer, count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1998-01-01') AS n_before,
+  count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01') AS n_after FROM orders
+UNION ALL
+SELECT 'silver', count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+  count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01') FROM orders WHERE o_orderstatus = 'F'"""
+
+ORACLE_SQL["duplicate_keys"] = """
+SELECT md5('10.0.0.' || cast(user_id AS VARCHAR) || '-' || cast(event_id % 37 AS VARCHAR)) AS HostFindingsID,
+  count(*) AS n
+FROM events GROUP BY 1 HAVING count(*) > 1"""
+
+ORACLE_SQL["table_counts"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in
+    ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+     "documents", "embeddings", "pages", "benchmark", "labels", "conversations"])
+
+ORACLE_SQL["mirror_include"] = "SELECT c_name, c_acctbal, c_custkey AS id FROM customer"
+
+ORACLE_SQL["mirror_exclude_manual"] = """
+SELECT c_custkey AS id, c_name, 0 AS c_nationkey, c_acctbal, 'gold' AS tier FROM customer"""
+
+ORACLE_SQL["factor_table_long"] = with_feeds("""
+, f AS (
+  SELECT cve_id, 'vendor' AS factor_name, vendor_project AS value, 'CISA' AS category,
+    'Static' AS static_or_dynamic, 'cisa' AS source FROM kev
+  UNION ALL SELECT cve_id, 'ransomware', known_ransomware_campaign_use, 'CISA', 'Dynamic', 'cisa' FROM kev
+  UNION ALL SELECT cve_id, 'first_cwe', cwes[1], 'CISA', 'Dynamic', 'cisa' FROM kev
+  UNION ALL SELECT cve_id, 'cvss', cast(cast(base_score AS DOUBLE) AS VARCHAR), 'NVD', 'Static', 'nvd' FROM nvd
+  UNION ALL SELECT cve_id, 'in_nvd', 'true', 'General', 'Dynamic', 'nvd' FROM nvd
+  UNION ALL SELECT cve_id, 'first_weakness', weaknesses[1], 'NVD', 'Dynamic', 'nvd' FROM nvd)
+SELECT md5(cve_id || '_' || factor_name || '_dim_factors') AS s_no, cve_id, factor_name, value, category,
+  static_or_dynamic, source
+FROM f WHERE value IS NOT NULL""")
