@@ -79,15 +79,15 @@ def feed_kev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feed_epss(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest EPSS row per part from lineitem (N1 on ship date, order, line)."""
-    li = read_driver_table(spark, sf_dir, "lineitem").filter(F.col("l_partkey") % 13 != 0)
-    rows = li.select(
+    li = read_driver_table(spark, sf_dir, "lineitem").filter(F.col("l_partkey") % 13 != 0) \
+        .select("l_partkey", "l_discount", "l_tax", "l_shipdate", "l_orderkey", "l_linenumber")
+    # group on the numeric key with numeric payload; text is derived after
+    latest = latest_by_key(li, ["l_partkey"], ["l_shipdate", "l_orderkey", "l_linenumber"])
+    return latest.select(
         cve_of(F.col("l_partkey")).alias("cve"),
         (F.col("l_discount") * 9.87).cast(EPSS_DECIMAL).alias("epss"),
         (F.col("l_tax") * 12.3).cast(EPSS_DECIMAL).alias("percentile"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
-        "l_shipdate", "l_orderkey", "l_linenumber")
-    latest = latest_by_key(rows, ["cve"], ["l_shipdate", "l_orderkey", "l_linenumber"])
-    return latest.select("cve", "epss", "percentile", "date")
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"))
 
 
 def feed_exploit(spark: SparkSession, sf_dir: str) -> DataFrame:
