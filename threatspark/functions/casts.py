@@ -22,7 +22,7 @@ def parse_iso(c) -> Column:
 
 def parse_day(c) -> Column:
     """%Y-%m-%d (unpadded month/day accepted); junk -> null."""
-    return F.try_to_date(_c(c), F.lit("yyyy-M-d"))
+    return F.try_to_date(_c(c), "yyyy-M-d")
 
 
 def tolerant_int(c) -> Column:
