@@ -462,3 +462,120 @@ def factor_table_long(spark: SparkSession, sf: str) -> DataFrame:
                       Factor("missing", "no.such.path")]),
     }
     return factor_table(sources, "dim_factors")
+
+
+# ------------------------------------------------------------------ readers / silver family
+
+@query("page_metadata")
+def page_metadata_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Page HTML -> metadata columns, as native regex columns."""
+    from threatspark.sources.pages import all_hrefs, page_metadata
+    from threatspark.sources.tables import read_driver_table
+    p = read_driver_table(spark, sf, "pages")
+    meta = page_metadata(p.select("page_id", "url", "html",
+                                  F.regexp_extract("html", r"<title>([^<]*)</title>", 1).alias("title"),
+                                  F.regexp_extract("html", r"<html[^>]*lang=\"([^\"]*)\"", 1).alias("lang"),
+                                  F.size(all_hrefs(F.col("html"))).alias("n_links"),
+                                  F.get(all_hrefs(F.col("html")), 0).alias("first_href")))
+    return meta.select("page_id", "title", "lang", "n_links", "first_href", "screenshot_url", "verified",
+                       "application_url", F.size("codes").alias("n_codes"), F.size("tags").alias("n_tags"))
+
+
+@query("tolerant_casts")
+def tolerant_casts(spark: SparkSession, sf: str) -> DataFrame:
+    """S7, S8, S11, S12, F12 on text built from events."""
+    from threatspark.functions.casts import (EPSS_DECIMAL, decimal_or_zero, parse_day, parse_iso,
+                                             tolerant_int)
+    from threatspark.sources.tables import read_driver_table
+    e = read_driver_table(spark, sf, "events")
+    eid = F.col("event_id")
+    base = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    iso = (F.when(eid % 4 == 0, base).when(eid % 4 == 1, F.concat(base, F.lit("Z")))
+           .when(eid % 4 == 2, F.concat(base, F.lit("+02:00")))
+           .otherwise(F.concat(F.lit("junk-"), eid.cast("string"))))
+    day = (F.when(eid % 3 == 0, F.date_format("ts", "yyyy-MM-dd"))
+           .when(eid % 3 == 1, F.concat_ws("-", F.year("ts").cast("string"), F.month("ts").cast("string"),
+                                            F.dayofmonth("ts").cast("string")))
+           .otherwise(F.lit("not-a-date")))
+    port = (F.when(eid % 5 == 0, F.col("user_id").cast("string"))
+            .when(eid % 5 == 1, F.concat(F.lit(" "), F.col("user_id").cast("string"), F.lit(" ")))
+            .when(eid % 5 == 2, F.col("value").cast("string")).when(eid % 5 == 3, F.lit("")))
+    epss = (F.when(eid % 4 == 0, (F.col("value") / 100).cast(EPSS_DECIMAL).cast("string"))
+            .when(eid % 4 == 1, F.lit("")).when(eid % 4 == 3, F.lit("n/a")))
+    t = e.select("event_id", iso.alias("iso_text"), day.alias("day_text"), port.alias("port_text"),
+                 epss.alias("epss_text"))
+    parsed_e = decimal_or_zero(F.col("epss_text"), EPSS_DECIMAL)
+    return t.select(
+        "event_id", "iso_text", F.date_format(parse_iso(F.col("iso_text")), "yyyy-MM-dd HH:mm:ss").alias("parsed_ts"),
+        "day_text", F.date_format(parse_day(F.col("day_text")), "yyyy-MM-dd").alias("parsed_day"),
+        "port_text", tolerant_int(F.col("port_text")).alias("port"),
+        "epss_text", parsed_e.cast("double").alias("epss"), parsed_e.isNull().alias("quarantined"))
+
+
+def _metrics_json(score) -> F.Column:
+    s = F.concat(F.lit('{"cvssData":{"baseScore":'), score, F.lit("}}"))
+    k = F.col("p_partkey") % 4
+    return (F.when(k == 0, F.concat(F.lit('{"cvssMetricV31":['), s, F.lit("]}")))
+            .when(k == 1, F.concat(F.lit('{"cvssMetricV31":[],"cvssMetricV2":['), s, F.lit("]}")))
+            .when(k == 2, F.concat(F.lit('{"cvssMetricV2":['), s, F.lit('],"cvssMetricV30":['), s, F.lit("]}")))
+            .otherwise(F.lit("{}")))
+
+
+@query("cvss_from_nested")
+def cvss_from_nested(spark: SparkSession, sf: str) -> DataFrame:
+    """H4 (flatten non-empty metric lists), H7 (v3.1 score with nested
+    fallback), H6 (dotted path) over metric JSON text built from part."""
+    from threatspark.functions.casts import CVSS_DECIMAL
+    from threatspark.functions.nested import cvss_base, metric_columns, non_empty_metrics, path_col
+    from threatspark.functions.strings import cve_of
+    from threatspark.sources.feeds import METRIC
+    from threatspark.sources.tables import read_driver_table
+    p = read_driver_table(spark, sf, "part")
+    score = ((F.col("p_retailprice") - 900) / 10).cast(CVSS_DECIMAL).cast("string")
+    raw = p.select(cve_of(F.col("p_partkey")).alias("cve_id"), "p_partkey",
+                   F.from_json(_metrics_json(score), f"map<string,{METRIC}>").alias("metrics"))
+    flat = raw.select("cve_id", "p_partkey", "metrics", *metric_columns(F.col("metrics")))
+    # documents whose flat v3.1 column was never written use the nested fallback
+    flat = flat.withColumn("metrics_cvssMetricV31", F.when(F.col("p_partkey") % 8 != 4,
+                                                           F.col("metrics_cvssMetricV31")))
+    return flat.select(
+        "cve_id",
+        F.array_join(F.array_sort(F.map_keys(non_empty_metrics(F.col("metrics")))), "|").alias("metric_types"),
+        cvss_base(flat.schema).cast("double").alias("cvss_base"),
+        path_col(flat, "metrics_cvssMetricV2.0.cvssData.baseScore").alias("v2_score"))
+
+
+@query("english_descriptions")
+def english_descriptions(spark: SparkSession, sf: str) -> DataFrame:
+    """H1 (English values of a description list) over whole document texts."""
+    from threatspark.functions.nested import english_values
+    from threatspark.functions.strings import cve_of
+    from threatspark.sources.tables import read_driver_table
+    d = read_driver_table(spark, sf, "documents")
+    descs = F.array(F.struct(F.col("lang").alias("lang"), F.col("text").alias("value")),
+                    F.struct(F.concat(F.col("lang"), F.lit("-x")).alias("lang"), F.col("source").alias("value")))
+    en = english_values(descs)
+    return d.select(cve_of(F.col("doc_id")).alias("cve_id"), F.size(en).alias("n_en"),
+                    F.md5(F.array_join(en, "\n")).alias("en_md5"))
+
+
+@query("first_weakness")
+def first_weakness(spark: SparkSession, sf: str) -> DataFrame:
+    """H3 (first description per weakness, any language), H9 (English CWE
+    values), H2 (pluck) over conversation turns shaped as weakness lists."""
+    from threatspark.functions.nested import cwe_list, first_descriptions, pluck
+    from threatspark.sources.tables import read_driver_table
+    c = read_driver_table(spark, sf, "conversations")
+    lang = F.when(F.col("role") == "user", F.lit("en")).otherwise(F.lit("es"))
+    w = F.array(
+        F.struct(F.col("role").alias("source"),
+                 F.array(F.struct(lang.alias("lang"), F.col("text").alias("value")),
+                         F.struct(F.lit("en").alias("lang"), F.col("role").alias("value"))).alias("description")),
+        F.struct(F.lit("none").alias("source"),
+                 F.array().cast("array<struct<lang:string,value:string>>").alias("description")))
+    rec = c.select("conv_id", "turn", w.alias("weaknesses"))
+    first = first_descriptions(F.col("weaknesses"))
+    cwe = cwe_list(rec.schema, "weaknesses")
+    return rec.select("conv_id", "turn", F.md5(F.array_join(first, "|")).alias("first_md5"),
+                      F.size(cwe).alias("n_en"), F.array_join(pluck(F.col("weaknesses"), "source"), "|")
+                      .alias("sources"))

@@ -509,3 +509,80 @@ ORACLE_SQL["factor_table_long"] = with_feeds("""
 SELECT md5(cve_id || '_' || factor_name || '_dim_factors') AS s_no, cve_id, factor_name, value, category,
   static_or_dynamic, source
 FROM f WHERE value IS NOT NULL""")
+
+
+ORACLE_SQL["page_metadata"] = r"""
+WITH p AS (
+  SELECT page_id, html,
+    regexp_extract_all(html, '<a\s[^>]*href\s*=\s*["'']([^"'']*)["'']', 1) AS hrefs FROM pages)
+SELECT page_id,
+  regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
+  regexp_extract(html, '<html[^>]*lang="([^"]*)"', 1) AS lang,
+  cast(len(hrefs) AS INTEGER) AS n_links,
+  hrefs[1] AS first_href,
+  nullif(regexp_extract(regexp_extract(html, '(<a\s[^>]*class\s*=\s*["''][^"'']*\bscreenshot-url\b[^"'']*["''][^>]*>)', 1),
+                        'href\s*=\s*["'']([^"'']*)["'']', 1), '') AS screenshot_url,
+  regexp_matches(html, '<i\s[^>]*class\s*=\s*["''][^"'']*\b(mdi-check|fa-check)\b') AS verified,
+  coalesce(nullif(regexp_extract(html, '<a\s[^>]*href\s*=\s*["'']([^"'']*)["''][^>]*>[^<]*Vulnerable App', 1), ''),
+           list_filter(hrefs, lambda h: regexp_matches(h, 'software|download') AND NOT contains(h, 'exploit-db.com'))[1])
+    AS application_url,
+  cast(len(list_filter(kw, lambda k: regexp_matches(k, '(?i)^(CVE-\d{4}-\d+|OSVDB-\d+)'))) AS INTEGER) AS n_codes,
+  cast(len(list_filter(kw, lambda k: NOT regexp_matches(k, '(?i)^(CVE-\d{4}-\d+|OSVDB-\d+)')
+                                     AND length(k) > 0 AND length(k) < 50)) AS INTEGER) AS n_tags
+FROM (SELECT *, CASE WHEN kwt <> '' THEN list_transform(string_split(kwt, ','), lambda k: trim(k))
+                     ELSE []::VARCHAR[] END AS kw
+      FROM (SELECT *, regexp_extract(html, '<meta\s[^>]*name\s*=\s*["'']keywords["''][^>]*content\s*=\s*["'']([^"'']*)["'']', 1) AS kwt
+            FROM p))"""
+
+ORACLE_SQL["tolerant_casts"] = r"""
+WITH t AS (
+  SELECT event_id,
+    CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+                      WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z'
+                      WHEN 2 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+02:00'
+                      ELSE 'junk-' || cast(event_id AS VARCHAR) END AS iso_text,
+    CASE event_id % 3 WHEN 0 THEN strftime(ts, '%Y-%m-%d')
+                      WHEN 1 THEN cast(year(ts) AS VARCHAR) || '-' || cast(month(ts) AS VARCHAR) || '-' || cast(day(ts) AS VARCHAR)
+                      ELSE 'not-a-date' END AS day_text,
+    CASE event_id % 5 WHEN 0 THEN cast(user_id AS VARCHAR) WHEN 1 THEN ' ' || cast(user_id AS VARCHAR) || ' '
+                      WHEN 2 THEN cast(value AS VARCHAR) WHEN 3 THEN '' END AS port_text,
+    CASE event_id % 4 WHEN 0 THEN cast(cast(value / 100 AS DECIMAL(7,5)) AS VARCHAR) WHEN 1 THEN ''
+                      WHEN 3 THEN 'n/a' END AS epss_text
+  FROM events),
+p AS (
+  SELECT *,
+    try_strptime(substr(iso_text, 1, 19), '%Y-%m-%dT%H:%M:%S')
+      - CASE WHEN iso_text LIKE '%+02:00' THEN INTERVAL 2 HOUR ELSE INTERVAL 0 HOUR END AS ts_utc,
+    CASE WHEN regexp_full_match(day_text, '\d{4}-\d{1,2}-\d{1,2}')
+         THEN make_date(cast(split_part(day_text, '-', 1) AS INTEGER), cast(split_part(day_text, '-', 2) AS INTEGER),
+                        cast(split_part(day_text, '-', 3) AS INTEGER)) END AS d,
+    CASE WHEN regexp_full_match(trim(port_text), '[+-]?[0-9]+') THEN cast(trim(port_text) AS INTEGER) END AS port,
+    CASE WHEN epss_text IS NULL OR trim(epss_text) = '' THEN 0::DECIMAL(7,5)
+         ELSE try_cast(trim(epss_text) AS DECIMAL(7,5)) END AS e
+  FROM t)
+SELECT event_id, iso_text, strftime(ts_utc, '%Y-%m-%d %H:%M:%S') AS parsed_ts, day_text,
+  strftime(d, '%Y-%m-%d') AS parsed_day, port_text, port, epss_text, cast(e AS DOUBLE) AS epss,
+  e IS NULL AS quarantined
+FROM p"""
+
+ORACLE_SQL["cvss_from_nested"] = f"""
+WITH m AS (
+  SELECT {cve('p_partkey')} AS cve_id, p_partkey,
+    cast(cast((p_retailprice - 900) / 10 AS DECIMAL(4,1)) AS DOUBLE) AS s
+  FROM part)
+SELECT cve_id,
+  CASE p_partkey % 4 WHEN 0 THEN 'cvssMetricV31' WHEN 1 THEN 'cvssMetricV2'
+                     WHEN 2 THEN 'cvssMetricV2|cvssMetricV30' ELSE '' END AS metric_types,
+  CASE WHEN p_partkey % 4 = 0 THEN s ELSE 0.0 END AS cvss_base,
+  CASE WHEN p_partkey % 4 IN (1, 2) THEN s END AS v2_score
+FROM m"""
+
+ORACLE_SQL["english_descriptions"] = f"""
+SELECT {cve('doc_id')} AS cve_id, cast(CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS INTEGER) AS n_en,
+  md5(CASE WHEN lang = 'en' THEN text ELSE '' END) AS en_md5
+FROM documents"""
+
+ORACLE_SQL["first_weakness"] = """
+SELECT conv_id, turn, md5(text) AS first_md5,
+  cast(CASE WHEN role = 'user' THEN 2 ELSE 1 END AS INTEGER) AS n_en, role || '|none' AS sources
+FROM conversations"""
