@@ -31,7 +31,7 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 
 def upsert(target: DataFrame | None, incoming: DataFrame, key: str | Sequence[str], *,
            order: Sequence[str | Column] | None = None, nulls: str = "overwrite",
-           audit: tuple[str, str] | None = None, run_ts: _dt.datetime | None = None,
+           audit: tuple[str, str] | None = None, run_ts: _dt.datetime | Column | None = None,
            drop_columns: Sequence[str] = ()) -> DataFrame:
     """Merge ``incoming`` into ``target`` on ``key``.
 
@@ -47,7 +47,10 @@ def upsert(target: DataFrame | None, incoming: DataFrame, key: str | Sequence[st
     keys = _keys(key)
     if order is not None:
         incoming = latest_by_key(incoming, keys, order)
-    ts = F.lit(run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
+    if isinstance(run_ts, Column):
+        ts = run_ts.cast("timestamp")
+    else:
+        ts = F.lit(run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
     if audit:
         incoming = incoming.drop(*[c for c in audit if c in incoming.columns])
     if target is None:

@@ -17,8 +17,15 @@ QUERIES: dict = {}
 
 
 def query(name: str):
+    """Register a query. Every query runs with the session clock in UTC (the
+    library's convention, Q20), whoever built the session."""
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf)
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         return fn
     return deco
 
@@ -218,8 +225,7 @@ def _orders_incoming(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _run_ts():
-    import datetime as dt
-    return dt.datetime.fromisoformat(MERGE_RUN_TS)
+    return F.to_timestamp(F.lit(MERGE_RUN_TS))
 
 
 @query("upsert_result")
@@ -579,3 +585,76 @@ def first_weakness(spark: SparkSession, sf: str) -> DataFrame:
     return rec.select("conv_id", "turn", F.md5(F.array_join(first, "|")).alias("first_md5"),
                       F.size(cwe).alias("n_en"), F.array_join(pluck(F.col("weaknesses"), "source"), "|")
                       .alias("sources"))
+
+
+# ------------------------------------------------------------------ file round trips / streaming
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    import uuid
+    from threatspark.session import work_dir
+    return work_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@query("stream_upsert_equals_batch")
+def stream_upsert_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """Events landed as one folder per day, drained by Structured
+    Streaming (availableNow, several micro-batches) into a keyed table with
+    last-record-wins upserts; equals the batch answer."""
+    from threatspark.sources.tables import read_driver_table
+    from threatspark.streaming.stream import stream_layer
+    base = _scratch(spark, "stream")
+    e = read_driver_table(spark, sf, "events").select(
+        "user_id", "event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"),
+        F.date_format("ts", "yyyyMMdd").alias("day"))
+    e.write.mode("overwrite").partitionBy("day").parquet(base + "/landing")
+    out = stream_layer(spark, base + "/landing", "user_id long, event_id long, event_type string, ts timestamp",
+                       base + "/table", "user_id", base + "/checkpoint", order=["ts", "event_id"],
+                       max_files_per_trigger=8)
+    return out.select("user_id", "event_id", "event_type",
+                      F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+
+
+@query("nvd_pages_roundtrip")
+def nvd_pages_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A3, B1, B10, H1-H4, S7 end to end: NVD-format response pages of 2,000
+    items are written from part, read back with the page reader and run
+    through the bronze and silver transforms."""
+    from threatspark.plans.silver import silver_nvd
+    from threatspark.functions.casts import CVSS_DECIMAL
+    from threatspark.functions.nested import cvss_base
+    from threatspark.functions.strings import cve_of
+    from threatspark.sources.feeds import bronze_nvd, read_nvd_pages
+    from threatspark.sources.tables import read_driver_table
+    base = _scratch(spark, "nvd")
+    p = read_driver_table(spark, sf, "part")
+    k = F.col("p_partkey")
+    score = ((F.col("p_retailprice") - 900) / 10).cast(CVSS_DECIMAL).cast("double")
+    cve = F.struct(
+        cve_of(k).alias("id"), F.lit("nvd@nist.gov").alias("sourceIdentifier"),
+        F.when(k % 6 == 0, F.lit("junk")).when(k % 6 == 1, F.concat(F.date_format(
+            F.date_add(F.to_date(F.lit("2024-01-01")), (k % 300).cast("int")), "yyyy-MM-dd"),
+            F.lit("T10:00:00.000Z"))).otherwise(F.concat(F.date_format(
+                F.date_add(F.to_date(F.lit("2024-01-01")), (k % 300).cast("int")), "yyyy-MM-dd"),
+                F.lit("T10:00:00.000"))).alias("lastModified"),
+        F.array(F.struct(F.lit("es").alias("lang"), F.col("p_type").alias("value")),
+                F.struct(F.lit("en").alias("lang"), F.col("p_name").alias("value"))).alias("descriptions"),
+        F.create_map(F.lit("cvssMetricV31"),
+                     F.when(k % 5 == 0, F.array().cast("array<struct<cvssData:struct<baseScore:double>>>"))
+                     .otherwise(F.array(F.struct(F.struct(score.alias("baseScore")).alias("cvssData"))))
+                     ).alias("metrics"),
+        F.array(F.struct(F.array(F.struct(F.lit("en").alias("lang"),
+                                          F.concat(F.lit("CWE-"), F.col("p_size").cast("string")).alias("value")))
+                         .alias("description"))).alias("weaknesses"),
+        F.array(F.struct(F.concat(F.lit("https://nvd.example/"), k.cast("string")).alias("url"))).alias("references"))
+    pages = p.select((k / 2000).cast("long").alias("page"), F.struct(cve.alias("cve")).alias("item")) \
+        .groupBy("page").agg(F.count("*").alias("n"), F.collect_list("item").alias("items"))  # <= 2000 per page
+    pages.select("page", F.to_json(F.struct(F.col("n").alias("totalResults"),
+                                            F.col("items").alias("vulnerabilities"))).alias("value")) \
+        .write.mode("overwrite").partitionBy("page").text(base + "/pages")
+    good, _ = silver_nvd(bronze_nvd(read_nvd_pages(spark, base + "/pages")))
+    return good.select(
+        "cve_id", F.date_format("last_modified", "yyyy-MM-dd HH:mm:ss").alias("last_modified"),
+        F.array_join("descriptions", "|").alias("descriptions"),
+        F.array_join("weaknesses", "|").alias("weaknesses"),
+        F.array_join("references", "|").alias("refs"),
+        cvss_base(good.schema).cast("double").alias("cvss_v31"))

@@ -586,3 +586,20 @@ ORACLE_SQL["first_weakness"] = """
 SELECT conv_id, turn, md5(text) AS first_md5,
   cast(CASE WHEN role = 'user' THEN 2 ELSE 1 END AS INTEGER) AS n_en, role || '|none' AS sources
 FROM conversations"""
+
+
+ORACLE_SQL["stream_upsert_equals_batch"] = """
+SELECT user_id, event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1"""
+
+ORACLE_SQL["nvd_pages_roundtrip"] = f"""
+SELECT {cve('p_partkey')} AS cve_id,
+  CASE WHEN p_partkey % 6 = 0 THEN NULL
+       ELSE strftime(DATE '2024-01-01' + cast(p_partkey % 300 AS INTEGER), '%Y-%m-%d') || ' 10:00:00' END
+    AS last_modified,
+  p_name AS descriptions, 'CWE-' || cast(p_size AS VARCHAR) AS weaknesses,
+  'https://nvd.example/' || cast(p_partkey AS VARCHAR) AS refs,
+  CASE WHEN p_partkey % 5 = 0 THEN 0.0
+       ELSE cast(cast((p_retailprice - 900) / 10 AS DECIMAL(4,1)) AS DOUBLE) END AS cvss_v31
+FROM part"""
