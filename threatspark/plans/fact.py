@@ -100,6 +100,7 @@ def build_fact(nvd: DataFrame, kev: DataFrame, epss: DataFrame, exploits_by_code
                     F.lit(run_ts).cast("timestamp").alias("date_added"))
 
 
+@feeds.memo_plan
 def fact_from_feeds(spark: SparkSession, sf_dir: str,
                     run_ts: _dt.datetime = DEFAULT_RUN_TS) -> DataFrame:
     return build_fact(
@@ -109,6 +110,7 @@ def fact_from_feeds(spark: SparkSession, sf_dir: str,
         run_ts)
 
 
+@feeds.memo_plan
 def addends_from_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """cve_id plus one decimal addend column per score rule (G3 input)."""
     j, shape = joined_sources(

@@ -19,11 +19,30 @@ from threatspark.sources.tables import read_driver_table
 
 BASE_TS = "2024-01-01 00:00:00"
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def memo_plan(fn):
+    """Feeds are pure functions of the read-only driver tables, so the built
+    DataFrame (a plan, not data) is reused per session and scale: building a
+    plan costs thousands of driver-JVM round trips, running it none more."""
+    def wrapper(spark: SparkSession, sf_dir: str, *args) -> DataFrame:
+        key = (spark.sparkContext.applicationId, fn.__name__, sf_dir, args)
+        df = _PLANS.get(key)
+        if df is None:
+            df = fn(spark, sf_dir, *args)
+            _PLANS[key] = df
+        return df
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
 
 def _cwe(n) -> F.Column:
     return F.concat(F.lit("CWE-"), (F.lit(100) + n).cast("string"))
 
 
+@memo_plan
 def feed_nvd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver-shaped NVD rows, one per part."""
     p = read_driver_table(spark, sf_dir, "part").select(
@@ -55,6 +74,7 @@ def feed_nvd(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
+@memo_plan
 def feed_kev(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver-shaped KEV rows: parts whose size is a multiple of 7."""
     p = read_driver_table(spark, sf_dir, "part").filter(F.col("p_size") % 7 == 0)
@@ -77,6 +97,7 @@ def feed_kev(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@memo_plan
 def feed_epss(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest EPSS row per part from lineitem (N1 on ship date, order, line)."""
     li = read_driver_table(spark, sf_dir, "lineitem").filter(F.col("l_partkey") % 13 != 0) \
@@ -90,6 +111,7 @@ def feed_epss(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"))
 
 
+@memo_plan
 def feed_exploit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ExploitDB rows: urgent, partially shipped orders with their first line."""
     o = read_driver_table(spark, sf_dir, "orders").filter(
@@ -122,6 +144,7 @@ def _module_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_suppkey") % 20 == 0) & (F.col("l_returnflag") == "R") & (F.col("l_quantity") > 45))
 
 
+@memo_plan
 def feed_modules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metasploit module rows, one per qualifying supplier (scalar fields)."""
     sk = F.col("l_suppkey")
@@ -136,6 +159,7 @@ def feed_modules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@memo_plan
 def feed_module_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Module references in long form (fullname, ref): distinct CVEs of the
     supplier's lines plus one URL and one lower-case cve reference each.
@@ -150,6 +174,7 @@ def feed_module_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cves.unionByName(extra).distinct()
 
 
+@memo_plan
 def feed_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scanner findings from events, in the scanner's own column names."""
     e = read_driver_table(spark, sf_dir, "events")

@@ -32,6 +32,7 @@ def get_session(master: str | None = None, app: str = "threatspark",
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    conf.setdefault("spark.driver.memory", "8g")  # local mode: the driver is the executor
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
