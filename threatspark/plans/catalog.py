@@ -143,11 +143,17 @@ def finding_weaknesses(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("finding_threats_long")
 def finding_threats_long(spark: SparkSession, sf: str) -> DataFrame:
-    """Threats merged by set union per key, one row per finding and key."""
-    from threatspark.plans.findings import enrich_findings
-    r = enrich_findings(_findings(spark, sf), factmod.fact_from_feeds(spark, sf))
-    return r.select("row_id", F.explode("threats").alias("threat_key", "vals")).select(
-        "row_id", "threat_key", F.array_join("vals", "|").alias("vals"), F.size("vals").alias("n_vals"))
+    """Threats merged by set union per key, one row per finding and
+    key. The merge runs once per distinct CVE set; each finding then picks up
+    its set's rows by an equi-join on the set key."""
+    from threatspark.functions.strings import normalize_cves
+    from threatspark.plans.findings import finding_intel
+    f = _findings(spark, sf)
+    intel = finding_intel(f, factmod.fact_from_feeds(spark, sf))
+    per_set = intel.select("_set", F.explode("threats").alias("threat_key", "vals")).select(
+        "_set", "threat_key", F.array_join("vals", "|").alias("vals"), F.size("vals").alias("n_vals"))
+    keys = f.select("row_id", F.array_join(normalize_cves(F.col("CVE")), ",").alias("_set"))
+    return keys.join(per_set, "_set").drop("_set")
 
 
 @query("enrich_simple")
