@@ -403,16 +403,11 @@ def late_rows_repaired(spark: SparkSession, sf: str) -> DataFrame:
 @query("cutoff_counts")
 def cutoff_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Rows before / from a cutoff date, bronze vs silver."""
+    from threatspark.operators.quality import cutoff_counts as counts
     from threatspark.sources.tables import read_driver_table
     o = read_driver_table(spark, sf, "orders")
-    layers = {"bronze": o, "silver": o.filter(F.col("o_orderstatus") == "F")}
-    out = None
-    for name, df in layers.items():
-        r = df.agg(F.count_if(F.col("o_orderdate") < "1998-01-01").alias("n_before"),
-                   F.count_if(F.col("o_orderdate") >= "1998-01-01").alias("n_after")) \
-            .select(F.lit(name).alias("layer"), "n_before", "n_after")
-        out = r if out is None else out.unionByName(r)
-    return out
+    return counts({"bronze": o, "silver": o.filter(F.col("o_orderstatus") == "F")},
+                  "o_orderdate", "1998-01-01")
 
 
 @query("duplicate_keys")
@@ -427,15 +422,11 @@ def duplicate_keys_q(spark: SparkSession, sf: str) -> DataFrame:
 @query("table_counts")
 def table_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per driver table."""
+    from threatspark.operators.quality import table_counts as counts
     from threatspark.sources.tables import read_driver_table
     names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
              "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-    out = None
-    for n in names:
-        r = read_driver_table(spark, sf, n).agg(F.count("*").alias("n_rows")) \
-            .select(F.lit(n).alias("table_name"), "n_rows")
-        out = r if out is None else out.unionByName(r)
-    return out
+    return counts({n: read_driver_table(spark, sf, n) for n in names})
 
 
 # ------------------------------------------------------------------ gold family
