@@ -100,3 +100,25 @@ def test_latest_by_key_nulls_and_maps(spark):
     df2 = df.drop("m")
     got2 = {r["k"]: r["t"] for r in latest_by_key(df2, ["k"], ["v", "t"]).collect()}
     assert got2 == {"a": 2, "b": 3}
+
+
+def test_upsert_bucketed_rewrites_only_touched(spark, tmp_path):
+    import os
+    p = str(tmp_path / "bt")
+    base = spark.range(0, 200).selectExpr("cast(id as int) k", "'v0' s")
+    merge.upsert_bucketed(spark, p, base, "k", buckets=8)
+    parts = sorted(d for d in os.listdir(p) if d.startswith("_bucket="))
+    assert len(parts) == 8
+    before = {d: sorted(os.listdir(os.path.join(p, d))) for d in parts}
+    inc = spark.createDataFrame([(3, "v1"), (500, "new")], "k int, s string")
+    n = merge.upsert_bucketed(spark, p, inc, "k", buckets=8)
+    assert n <= 2
+    after = {d: sorted(os.listdir(os.path.join(p, d))) for d in parts}
+    assert sum(before[d] != after[d] for d in parts) == n          # untouched buckets kept as they were
+    got = {r["k"]: r["s"] for r in merge.read_bucketed(spark, p).collect()}
+    assert len(got) == 201 and got[3] == "v1" and got[500] == "new" and got[4] == "v0"
+    # a batch adding a column rewrites its buckets only; the others keep the old schema
+    merge.upsert_bucketed(spark, p, spark.createDataFrame([(7, "x", "e")], "k int, s string, extra string"),
+                          "k", buckets=8)
+    t = merge.read_bucketed(spark, p)
+    assert "extra" in t.columns and t.filter("extra = 'e'").count() == 1 and t.count() == 201

@@ -19,3 +19,16 @@ def test_stream_equals_batch(spark, tmp_path):
     again = stream_layer(spark, str(src), "k int, seq int, v string", str(tmp_path / "tbl"), "k",
                          str(tmp_path / "ckpt"), order=["seq"])                   # R1: resume, nothing new
     assert again.count() == 5
+
+
+def test_stream_bucketed_equals_batch(spark, tmp_path):
+    src = tmp_path / "landing"
+    df = spark.createDataFrame([(i % 7, i, f"v{i}") for i in range(40)], "k int, seq int, v string")
+    for part in range(4):
+        df.filter((F.col("seq") >= part * 10) & (F.col("seq") < part * 10 + 10)).coalesce(1) \
+            .write.mode("overwrite").parquet(str(src / f"batch={part}"))
+    out = stream_layer(spark, str(src), "k int, seq int, v string", str(tmp_path / "tbl"), "k",
+                       str(tmp_path / "ckpt"), order=["seq"], max_files_per_trigger=1, buckets=4)
+    batch = latest_by_key(df, ["k"], ["seq"])
+    assert sorted(map(tuple, out.select("k", "seq", "v").collect())) == \
+        sorted(map(tuple, batch.select("k", "seq", "v").collect()))

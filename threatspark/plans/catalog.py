@@ -655,3 +655,17 @@ def nvd_pages_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         F.array_join("weaknesses", "|").alias("weaknesses"),
         F.array_join("references", "|").alias("refs"),
         cvss_base(good.schema).cast("double").alias("cvss_v31"))
+
+
+@query("upsert_bucketed_result")
+def upsert_bucketed_result(spark: SparkSession, sf: str) -> DataFrame:
+    """C1 on a hash-bucketed table: the target is written in 16 key buckets,
+    the incoming batch rewrites only the buckets it touches; same answer as
+    the in-memory upsert."""
+    from threatspark.operators.merge import read_bucketed, upsert_bucketed
+    path = _scratch(spark, "bucketed") + "/orders"
+    t = _orders_target(spark, sf).drop("created_at", "updated_at", "VRRScore")
+    upsert_bucketed(spark, path, t, "o_orderkey", buckets=16)
+    upsert_bucketed(spark, path, _orders_incoming(spark, sf), "o_orderkey", buckets=16)
+    out = read_bucketed(spark, path)
+    return out.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "feed")

@@ -603,3 +603,5 @@ SELECT {cve('p_partkey')} AS cve_id,
   CASE WHEN p_partkey % 5 = 0 THEN 0.0
        ELSE cast(cast((p_retailprice - 900) / 10 AS DECIMAL(4,1)) AS DOUBLE) END AS cvss_v31
 FROM part"""
+
+ORACLE_SQL["upsert_bucketed_result"] = ORACLE_SQL["upsert_result"]

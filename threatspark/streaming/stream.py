@@ -13,13 +13,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from threatspark.operators.merge import commit_table, read_current, upsert
+from threatspark.operators.merge import commit_table, read_bucketed, read_current, upsert, upsert_bucketed
 
 
 def stream_layer(spark: SparkSession, source_dir: str, schema: str, target: str, key: str | Sequence[str],
                  checkpoint: str, order: Sequence[str | Column] | None = None, fmt: str = "parquet",
-                 max_files_per_trigger: int | None = None, transform=None, timeout_s: int = 600) -> DataFrame:
-    """Drain ``source_dir`` into the table at ``target``; returns the table."""
+                 max_files_per_trigger: int | None = None, transform=None, timeout_s: int = 600,
+                 buckets: int | None = None) -> DataFrame:
+    """Drain ``source_dir`` into the table at ``target``; returns the table.
+
+    With ``buckets`` the target is hash-bucketed by key and each micro-batch
+    rewrites only the buckets it touches (``upsert_bucketed``); without, each
+    micro-batch commits a new full version (atomic for readers)."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -28,6 +33,9 @@ def stream_layer(spark: SparkSession, source_dir: str, schema: str, target: str,
         stream = transform(stream)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        if buckets:
+            upsert_bucketed(batch.sparkSession, target, batch, key, buckets=buckets, order=order)
+            return
         cur = read_current(batch.sparkSession, target)
         merged = upsert(cur, batch, key, order=order)
         commit_table(batch.sparkSession, merged, target)
@@ -41,4 +49,6 @@ def stream_layer(spark: SparkSession, source_dir: str, schema: str, target: str,
         raise TimeoutError(f"stream into {target} did not drain in {timeout_s}s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    if buckets:
+        return read_bucketed(spark, target).drop("_bucket")
     return read_current(spark, target)
