@@ -74,6 +74,11 @@ def test_scanner_report_and_merge(spark, tmp_path):
     assert rows[0]["Description"] == "Long text\nsecond line for 95631 Short." and rows[0]["PluginOutput"] == ""
     merged = read_current(spark, root + "/gold/vrr_risk_report")
     assert merged.count() == 15                                                  # Q11
+    root_b = str(tmp_path / "lake_b")
+    layers.process_scanner_csv(spark, str(p), f, root_b, run_ts=dt.datetime(2024, 6, 1), buckets=4)
+    from threatspark.operators.merge import read_bucketed
+    mb = read_bucketed(spark, root_b + "/gold/vrr_risk_report")
+    assert mb.count() == 15 and mb.select("HostFindingsID").distinct().count() == 15
     from threatspark.sources.feeds import read_scanner_csv
     cov = findings.intel_coverage(read_scanner_csv(spark, str(p)), f).first()
     assert (cov["n_report_cves"], cov["n_matched_cves"]) == (12, 11)

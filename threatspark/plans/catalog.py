@@ -391,7 +391,8 @@ def late_rows_repaired(spark: SparkSession, sf: str) -> DataFrame:
     o = read_driver_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
     first = o.filter(F.col("o_orderstatus") == "F")
     wm = first.agg(F.max("o_orderdate").alias("_wm"))
-    second = o.crossJoin(wm).filter(F.col("o_orderdate") > F.col("_wm")).drop("_wm")  # one-row side
+    # ``wm`` is a global aggregate (exactly one row): a bounded broadcast
+    second = o.crossJoin(F.broadcast(wm)).filter(F.col("o_orderdate") > F.col("_wm")).drop("_wm")
     silver = first.unionByName(second)
     fixed = repair(o, silver, "o_orderkey")
     return (first.withColumn("found_by", F.lit("initial"))
