@@ -84,3 +84,17 @@ def test_split_quarantine(spark):
     assert [r["k"] for r in good.collect()] == ["a"]
     reasons = sorted(r["reason"] for r in bad.collect())
     assert reasons == ["missing_key", "missing_key,no_value"]
+
+
+def test_threats_json_unwraps_single_values(spark):
+    import json
+    m = spark.createDataFrame([({"a": ["x"], "b": ["1", "2"], "c": ['q"t']},)], "m map<string,array<string>>")
+    got = json.loads(m.select(strings.threats_json("m")).first()[0])
+    assert got == {"a": "x", "b": ["1", "2"], "c": 'q"t'}
+
+
+def test_finding_id_compat(spark):
+    import hashlib
+    df = spark.createDataFrame([(None, "1")], "h string, p string")
+    r = df.select(strings.finding_id("h", "p", "nan")).first()[0]
+    assert r == hashlib.md5(b"nan-1").hexdigest()

@@ -31,10 +31,11 @@ def join_text(a, b) -> Column:
                            F.coalesce(_c(b), F.lit(""))))
 
 
-def finding_id(host, plugin) -> Column:
-    """S3: md5 of '{host}-{plugin}'; a missing part is empty text."""
-    return F.md5(F.concat(F.coalesce(_c(host).cast("string"), F.lit("")), F.lit("-"),
-                          F.coalesce(_c(plugin).cast("string"), F.lit(""))))
+def finding_id(host, plugin, null_text: str = "") -> Column:
+    """S3: md5 of '{host}-{plugin}'. A missing part is ``null_text``: '' by
+    default, 'nan' reproduces the text a missing pandas cell gives (Q11)."""
+    return F.md5(F.concat(F.coalesce(_c(host).cast("string"), F.lit(null_text)), F.lit("-"),
+                          F.coalesce(_c(plugin).cast("string"), F.lit(null_text))))
 
 
 def factor_id(cve, factor: str, table: str) -> Column:
@@ -72,3 +73,15 @@ def decimal_text(c) -> Column:
     t = F.regexp_replace(_c(c).cast("string"), r"0+$", "")
     t = F.when(_c(c).cast("string").contains("."), t).otherwise(_c(c).cast("string"))
     return F.when(t.endswith("."), F.concat(t, F.lit("0"))).otherwise(t)
+
+
+def threats_json(m) -> Column:
+    """G7 export form: map<string,array<string>> as a JSON object whose
+    single-value lists are unwrapped to the value ({"k": "v", "k2": ["a", "b"]})."""
+    def one(x):  # JSON text of one string, escaped by to_json
+        j = F.to_json(F.array(x))
+        return F.substring(j, 2, F.length(j) - 2)
+    parts = F.transform(F.map_entries(_c(m)), lambda e: F.concat(
+        one(e["key"]), F.lit(":"),
+        F.when(F.size(e["value"]) == 1, one(e["value"][0])).otherwise(F.to_json(e["value"]))))
+    return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
