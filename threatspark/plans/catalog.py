@@ -596,8 +596,9 @@ def _scratch(spark: SparkSession, name: str) -> str:
 @query("stream_upsert_equals_batch")
 def stream_upsert_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Events landed as one folder per day, drained by Structured
-    Streaming (availableNow, several micro-batches) into a keyed table with
-    last-record-wins upserts; equals the batch answer."""
+    Streaming (availableNow, several micro-batches) into a hash-bucketed keyed
+    table; each micro-batch rewrites only the buckets it touches with a
+    last-record-wins upsert. Equals the batch answer."""
     from threatspark.sources.tables import read_driver_table
     from threatspark.streaming.stream import stream_layer
     base = _scratch(spark, "stream")
@@ -607,7 +608,7 @@ def stream_upsert_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
     e.write.mode("overwrite").partitionBy("day").parquet(base + "/landing")
     out = stream_layer(spark, base + "/landing", "user_id long, event_id long, event_type string, ts timestamp",
                        base + "/table", "user_id", base + "/checkpoint", order=["ts", "event_id"],
-                       max_files_per_trigger=8)
+                       max_files_per_trigger=8, buckets=16)
     return out.select("user_id", "event_id", "event_type",
                       F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
 

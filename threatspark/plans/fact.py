@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threatspark.functions.nested import cvss_base
 from threatspark.functions.strings import decimal_text
 from threatspark.functions.casts import tolerant_int
 from threatspark.operators.dedup import latest_by_key

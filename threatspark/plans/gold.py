@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threatspark.functions.nested import first_truthy, path_col
-from threatspark.functions.strings import factor_id
 
 
 def mirror(df: DataFrame, include: Sequence[str] | None = None, exclude: Sequence[str] = (),
@@ -60,4 +59,4 @@ def factor_table(sources: dict[str, tuple[DataFrame, Sequence[Factor]]], target:
                       "cve_id", "factor_name", "value", "category", "static_or_dynamic", "source")
 
 
-__all__ = ["Factor", "factor_table", "mirror", "factor_id"]
+__all__ = ["Factor", "factor_table", "mirror"]
