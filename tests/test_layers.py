@@ -59,5 +59,8 @@ def test_run_layers_incremental_and_isolation(spark, tmp_path):
     assert nvd["CVE-2"]["silver_updated_at"] == dt.datetime(2024, 2, 3)
     kev = [r["cve_id"] for r in read_current(spark, root + "/gold/cisa").collect()]
     assert sorted(kev) == ["CVE-1", "CVE-9"]
+    q = {(r["source"], r["layer"]): r for r in layers.layer_report(spark, root).collect()}
+    assert q[("nvd", "gold")]["rows"] == 3 and q[("nvd", "gold")]["dup_keys"] == 0
+    assert q[("exploit", "bronze")]["status"] == "ok"
     rep = layers.replicate(spark, root, str(tmp_path / "copy"), scope="gold")
     assert {r["table_name"]: r["status"] for r in rep.collect()}["nvd"] == "ok"

@@ -32,3 +32,16 @@ def test_stream_bucketed_equals_batch(spark, tmp_path):
     batch = latest_by_key(df, ["k"], ["seq"])
     assert sorted(map(tuple, out.select("k", "seq", "v").collect())) == \
         sorted(map(tuple, batch.select("k", "seq", "v").collect()))
+
+
+def test_stream_dedupe_within_watermark(spark, tmp_path):
+    import datetime as dt
+    src = tmp_path / "landing"
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i % 3, i, base + dt.timedelta(minutes=i)) for i in range(9)]
+    df = spark.createDataFrame(rows, "k int, seq int, ts timestamp")
+    df.coalesce(1).write.parquet(str(src / "batch=a"))
+    df.filter("seq >= 6").coalesce(1).write.parquet(str(src / "batch=b"))  # re-delivered copies
+    out = stream_layer(spark, str(src), "k int, seq int, ts timestamp", str(tmp_path / "t"), "k",
+                       str(tmp_path / "c"), order=["seq"], dedupe=("ts", "1 hour", ["k", "seq"]))
+    assert sorted(tuple(r) for r in out.select("k", "seq").collect()) == [(0, 6), (1, 7), (2, 8)]

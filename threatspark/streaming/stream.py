@@ -19,18 +19,25 @@ from threatspark.operators.merge import commit_table, read_bucketed, read_curren
 def stream_layer(spark: SparkSession, source_dir: str, schema: str, target: str, key: str | Sequence[str],
                  checkpoint: str, order: Sequence[str | Column] | None = None, fmt: str = "parquet",
                  max_files_per_trigger: int | None = None, transform=None, timeout_s: int = 600,
-                 buckets: int | None = None) -> DataFrame:
+                 buckets: int | None = None,
+                 dedupe: tuple[str, str, Sequence[str]] | None = None) -> DataFrame:
     """Drain ``source_dir`` into the table at ``target``; returns the table.
 
     With ``buckets`` the target is hash-bucketed by key and each micro-batch
     rewrites only the buckets it touches (``upsert_bucketed``); without, each
-    micro-batch commits a new full version (atomic for readers)."""
+    micro-batch commits a new full version (atomic for readers).
+
+    ``dedupe`` = (event-time column, delay, columns): re-delivered copies are
+    dropped in the stream itself, within the watermark (R2), before the merge."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(source_dir)
     if transform is not None:
         stream = transform(stream)
+    if dedupe is not None:
+        ts_col, delay, cols = dedupe
+        stream = stream.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(list(cols))
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         if buckets:
