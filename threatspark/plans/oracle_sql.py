@@ -568,24 +568,53 @@ FROM p"""
 ORACLE_SQL["cvss_from_nested"] = f"""
 WITH m AS (
   SELECT {cve('p_partkey')} AS cve_id, p_partkey,
-    cast(cast((p_retailprice - 900) / 10 AS DECIMAL(4,1)) AS DOUBLE) AS s
-  FROM part)
+    '{{"cvssData":{{"baseScore":' || cast(cast((p_retailprice - 900) / 10 AS DECIMAL(4,1)) AS VARCHAR) || '}}}}' AS s
+  FROM part),
+j AS (
+  SELECT cve_id, p_partkey,
+    CASE p_partkey % 4 WHEN 0 THEN '{{"cvssMetricV31":[' || s || ']}}'
+                       WHEN 1 THEN '{{"cvssMetricV31":[],"cvssMetricV2":[' || s || ']}}'
+                       WHEN 2 THEN '{{"cvssMetricV2":[' || s || '],"cvssMetricV30":[' || s || ']}}'
+                       ELSE '{{}}' END AS txt
+  FROM m),
+k AS (
+  SELECT *, json_array_length(json_extract(txt, '$.cvssMetricV31')) AS n31 FROM j)
 SELECT cve_id,
-  CASE p_partkey % 4 WHEN 0 THEN 'cvssMetricV31' WHEN 1 THEN 'cvssMetricV2'
-                     WHEN 2 THEN 'cvssMetricV2|cvssMetricV30' ELSE '' END AS metric_types,
-  CASE WHEN p_partkey % 4 = 0 THEN s ELSE 0.0 END AS cvss_base,
-  CASE WHEN p_partkey % 4 IN (1, 2) THEN s END AS v2_score
-FROM m"""
+  array_to_string(list_sort(list_filter(json_keys(txt),
+                                        lambda x: json_array_length(json_extract(txt, '$.' || x)) > 0)), '|')
+    AS metric_types,
+  coalesce(CASE WHEN p_partkey % 8 <> 4 AND n31 > 0
+                THEN cast(json_extract(txt, '$.cvssMetricV31[0].cvssData.baseScore') AS DOUBLE)
+                WHEN n31 > 0
+                THEN cast(json_extract(txt, '$.cvssMetricV31[0].cvssData.baseScore') AS DOUBLE) END, 0.0)
+    AS cvss_base,
+  cast(json_extract(txt, '$.cvssMetricV2[0].cvssData.baseScore') AS DOUBLE) AS v2_score
+FROM k"""
 
 ORACLE_SQL["english_descriptions"] = f"""
-SELECT {cve('doc_id')} AS cve_id, cast(CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS INTEGER) AS n_en,
-  md5(CASE WHEN lang = 'en' THEN text ELSE '' END) AS en_md5
-FROM documents"""
+WITH d AS (
+  SELECT doc_id, [{{'lang': lang, 'value': text}}, {{'lang': lang || '-x', 'value': source}}] AS descs
+  FROM documents),
+e AS (
+  SELECT doc_id, list_transform(list_filter(descs, lambda x: x.lang = 'en'), lambda x: x.value) AS en FROM d)
+SELECT {cve('doc_id')} AS cve_id, cast(len(en) AS INTEGER) AS n_en,
+  md5(coalesce(array_to_string(en, chr(10)), '')) AS en_md5
+FROM e"""
 
 ORACLE_SQL["first_weakness"] = """
-SELECT conv_id, turn, md5(text) AS first_md5,
-  cast(CASE WHEN role = 'user' THEN 2 ELSE 1 END AS INTEGER) AS n_en, role || '|none' AS sources
-FROM conversations"""
+WITH w AS (
+  SELECT conv_id, turn,
+    [{'source': role, 'description': [{'lang': CASE WHEN role = 'user' THEN 'en' ELSE 'es' END, 'value': text},
+                                      {'lang': 'en', 'value': role}]},
+     {'source': 'none', 'description': []::STRUCT(lang VARCHAR, value VARCHAR)[]}] AS weaknesses
+  FROM conversations)
+SELECT conv_id, turn,
+  md5(array_to_string(list_transform(list_filter(weaknesses, lambda x: len(x.description) > 0),
+                                     lambda x: x.description[1].value), '|')) AS first_md5,
+  cast(len(flatten(list_transform(weaknesses, lambda x: list_filter(x.description, lambda y: y.lang = 'en'))))
+       AS INTEGER) AS n_en,
+  array_to_string(list_transform(weaknesses, lambda x: x.source), '|') AS sources
+FROM w"""
 
 
 ORACLE_SQL["stream_upsert_equals_batch"] = """
