@@ -33,13 +33,15 @@ def test_run_layers_incremental_and_isolation(spark, tmp_path):
     root = str(tmp_path / "lake")
     nvd1 = [{"id": "CVE-1", "lastModified": "2024-01-01T00:00:00.000",
              "descriptions": [{"lang": "en", "value": "one"}]},
-            {"id": "CVE-2", "lastModified": "2024-01-02T00:00:00.000Z"}]
+            {"id": "CVE-2", "lastModified": "2024-01-01T12:00:00.000", "vulnStatus": "Old"},
+            {"id": "CVE-2", "lastModified": "2024-01-02T00:00:00.000Z", "vulnStatus": "Analyzed"}]
     l1 = land(tmp_path, "2024-01-02", [{"cveID": "CVE-1", "dateAdded": "2024-01-01"}], nvd1,
               ["CVE-1,0.5,0.9", "CVE-2,oops,0.1"])
     st = layers.run_layers(spark, root, l1, run_ts=dt.datetime(2024, 1, 3))
     res = {(r["source"], r["layer"]): r for r in st.collect()}
     assert all(r["status"] == "ok" for r in res.values()), res
-    assert read_current(spark, root + "/gold/nvd").count() == 2
+    assert read_current(spark, root + "/gold/nvd").count() == 2        # duplicate delivery absorbed
+    assert read_current(spark, root + "/silver/nvd").filter("cve_id = 'CVE-2'").first()["vuln_status"] == "Analyzed"
     assert read_current(spark, root + "/quarantine/epss") is None  # bronze quarantined the bad row already
     g = read_current(spark, root + "/gold/cisa").first()
     assert g["gold_created_at"] == dt.datetime(2024, 1, 3) and g["silver_updated_at"] == dt.datetime(2024, 1, 3)
