@@ -27,14 +27,14 @@ def read_epss(spark: SparkSession, path: str, since: str | None = None,
     Metadata: one pass over the '#' lines, reduced to one row per file.
     Rows: the CSV reader with '#' as comment char. Both are keyed by file
     name and joined (J11); the metadata side has one row per file."""
-    text = spark.read.text(path).withColumn("_file", F.input_file_name())
+    text = spark.read.text(path).withColumn("_file", F.col("_metadata.file_path"))
     meta = text.filter(F.col("value").startswith("#")) \
         .groupBy("_file").agg(F.max(score_date_of(F.col("value"))).alias("score_date"))
     files = text.select("_file").distinct().join(meta, "_file", "left")
     files = snapshot_gate(files, since)
     rows = spark.read.option("header", True).option("comment", "#").option("ignoreLeadingWhiteSpace", True) \
         .schema("cve string, epss string, percentile string").csv(path) \
-        .withColumn("_file", F.input_file_name())
+        .withColumn("_file", F.col("_metadata.file_path"))
     today = F.lit(run_date) if run_date else F.date_format(F.current_date(), "yyyy-MM-dd")
     out = rows.join(files, "_file").withColumn("date", F.coalesce("score_date", today))
     return out.drop("_file", "score_date").filter(F.col("cve").isNotNull() & (F.col("cve") != "cve"))
