@@ -671,3 +671,41 @@ def upsert_bucketed_result(spark: SparkSession, sf: str) -> DataFrame:
     upsert_bucketed(spark, path, _orders_incoming(spark, sf), "o_orderkey", buckets=16)
     out = read_bucketed(spark, path)
     return out.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "feed")
+
+
+@query("epss_snapshots_roundtrip")
+def epss_snapshots_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A2, F4, B3, F12 end to end: one gzip CSV snapshot per ship year is
+    written from lineitem ('#' metadata line with score_date, header, rows;
+    line 6 has an empty epss, line 7 a word). The reader gates snapshots dated
+    on or before 1997-06-01, stamps rows with their file's date, and the
+    bronze step turns '' into 0 and quarantines the words."""
+    from threatspark.functions.casts import EPSS_DECIMAL
+    from threatspark.functions.strings import cve_of
+    from threatspark.sources.epss import bronze_epss, read_epss
+    from threatspark.sources.tables import read_driver_table
+    base = _scratch(spark, "epss")
+    li = read_driver_table(spark, sf, "lineitem").select(
+        F.year("l_shipdate").alias("year"), "l_partkey", "l_discount", "l_tax", "l_linenumber")
+    epss = (F.when(F.col("l_linenumber") == 6, F.lit(""))
+            .when(F.col("l_linenumber") == 7, F.lit("n/a"))
+            .otherwise((F.col("l_discount") * 9.87).cast(EPSS_DECIMAL).cast("string")))
+    rows = li.select("year", F.lit(2).alias("o"), F.concat_ws(",", cve_of(F.col("l_partkey")), epss,
+                                                            (F.col("l_tax") * 12.3).cast(EPSS_DECIMAL)
+                                                            .cast("string")).alias("value"))
+    heads = li.select("year").distinct()
+    meta = heads.select("year", F.lit(0).alias("o"), F.concat(
+        F.lit("#model_version:v2023.03.01,score_date:"), F.col("year").cast("string"),
+        F.lit("-12-31T00:00:00+0000")).alias("value"))
+    header = heads.select("year", F.lit(1).alias("o"), F.lit("cve,epss,percentile").alias("value"))
+    # one gzip file per snapshot: a snapshot file is the unit of the format
+    (meta.unionByName(header).unionByName(rows).repartition("year").sortWithinPartitions("year", "o")
+     .drop("o").write.mode("overwrite").partitionBy("year").option("compression", "gzip").text(base))
+    raw = read_epss(spark, base, since="1997-06-01")
+    good, bad = bronze_epss(raw)
+    g = good.groupBy("date").agg(F.count(F.lit(1)).alias("n_good"),
+                                 F.sum("epss").cast("double").alias("epss_sum"))
+    b = bad.groupBy("date").agg(F.count(F.lit(1)).alias("n_quarantined"))
+    return g.join(b, "date", "full").select(
+        "date", F.coalesce("n_good", F.lit(0)).alias("n_good"),
+        F.coalesce("n_quarantined", F.lit(0)).alias("n_quarantined"), "epss_sum")

@@ -634,3 +634,15 @@ SELECT {cve('p_partkey')} AS cve_id,
 FROM part"""
 
 ORACLE_SQL["upsert_bucketed_result"] = ORACLE_SQL["upsert_result"]
+
+ORACLE_SQL["epss_snapshots_roundtrip"] = """
+WITH r AS (
+  SELECT cast(year(l_shipdate) AS VARCHAR) || '-12-31' AS date, l_linenumber,
+    CASE WHEN l_linenumber = 6 THEN cast(0 AS DECIMAL(7,5))
+         WHEN l_linenumber = 7 THEN NULL
+         ELSE cast(l_discount * 9.87 AS DECIMAL(7,5)) END AS e
+  FROM lineitem)
+SELECT date, count(*) FILTER (WHERE l_linenumber <> 7) AS n_good,
+  count(*) FILTER (WHERE l_linenumber = 7) AS n_quarantined,
+  cast(sum(e) AS DOUBLE) AS epss_sum
+FROM r WHERE date > '1997-06-01' GROUP BY date"""
