@@ -709,3 +709,64 @@ def epss_snapshots_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return g.join(b, "date", "full").select(
         "date", F.coalesce("n_good", F.lit(0)).alias("n_good"),
         F.coalesce("n_quarantined", F.lit(0)).alias("n_quarantined"), "epss_sum")
+
+
+@query("kev_catalog_roundtrip")
+def kev_catalog_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A1, F1, B6 end to end: catalogue JSON documents (1,000 entries each,
+    catalogue fields on top) written from part, read back with the KEV
+    reader, filtered since 2022-06-01 (strict, null dates dropped) and
+    transformed to silver."""
+    from threatspark.functions.strings import cve_of
+    from threatspark.plans.silver import silver_kev
+    from threatspark.sources.feeds import read_kev
+    from threatspark.sources.tables import read_driver_table
+    base = _scratch(spark, "kev")
+    p = read_driver_table(spark, sf, "part").filter(F.col("p_size") % 7 == 0)
+    k = F.col("p_partkey")
+    added = F.when(k % 17 == 0, F.lit(None)).otherwise(F.concat_ws(
+        "-", F.lit("2021"), (k % 12 + 1).cast("string"), (k % 28 + 1).cast("string")))  # unpadded dates
+    entry = F.struct(cve_of(k).alias("cveID"), F.col("p_brand").alias("vendorProject"),
+                     F.col("p_name").alias("product"), added.alias("dateAdded"),
+                     F.when(k % 4 == 0, F.lit(None)).otherwise(
+                         F.array(F.concat(F.lit("CWE-"), F.col("p_size").cast("string")))).alias("cwes"))
+    docs = p.select((k / 1000).cast("long").alias("doc"), entry.alias("e")).groupBy("doc").agg(
+        F.collect_list("e").alias("vulnerabilities"), F.count(F.lit(1)).alias("count"))  # <= 1000 per doc
+    docs.select("doc", F.to_json(F.struct(F.lit("2024.12.01").alias("catalogVersion"),
+                                          F.lit("2024-12-01T10:00:00.000Z").alias("dateReleased"),
+                                          "count", "vulnerabilities")).alias("value")) \
+        .write.mode("overwrite").partitionBy("doc").text(base)
+    good, _ = silver_kev(read_kev(spark, base, since="2021-6-15"))
+    return good.select("cve_id", F.date_format("date_added", "yyyy-MM-dd").alias("date_added"),
+                       "vendor_project", F.array_join("cwes", "|").alias("cwes"), "title",
+                       F.date_format("date_released", "yyyy-MM-dd HH:mm:ss").alias("date_released"))
+
+
+@query("modules_map_roundtrip")
+def modules_map_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A8, F3, B5, B9 end to end: module-map JSON documents (fullname ->
+    record, 50 suppliers per file) written from supplier and lineitem, read
+    with the map reader, filtered on mod_time (text, strict, null kept) and
+    transformed to silver (aliases dropped, list defaults)."""
+    from threatspark.functions.strings import cve_of
+    from threatspark.plans.silver import silver_modules
+    from threatspark.sources.feeds import bronze_modules, read_modules
+    from threatspark.sources.tables import read_driver_table
+    base = _scratch(spark, "modules")
+    li = read_driver_table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.max("l_shipdate").alias("mt"))
+    s = read_driver_table(spark, sf, "supplier").join(li, F.col("s_suppkey") == F.col("l_suppkey"), "left")
+    k = F.col("s_suppkey")
+    rec = F.struct(
+        F.col("s_name").alias("name"), F.lit("exploit").alias("type"),
+        F.when(k % 5 == 0, F.lit(None)).otherwise(
+            F.concat(F.date_format("mt", "yyyy-MM-dd HH:mm:ss"), F.lit(" +0000"))).alias("mod_time"),
+        F.when(k % 3 == 0, F.lit(None)).otherwise(
+            F.array(cve_of(k), F.concat(F.lit("URL-https://ref.example/"), k.cast("string")))).alias("references"),
+        F.array(F.lit("alias")).alias("aliases"), (k % 7).cast("int").alias("rank"))
+    docs = s.select((k / 50).cast("long").alias("doc"),
+                    F.concat(F.lit("exploit/s"), k.cast("string")).alias("fullname"), rec.alias("r")) \
+        .groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("fullname", "r"))).alias("m"))  # <= 50
+    docs.select("doc", F.to_json("m").alias("value")).write.mode("overwrite").partitionBy("doc").text(base)
+    good, _ = silver_modules(bronze_modules(read_modules(spark, base, since="1998-01-01 00:00:00 +0000")))
+    return good.select("fullname", "name", "mod_time", "rank", F.array_join("references", "|").alias("refs"),
+                       F.size("author").alias("n_authors"))

@@ -646,3 +646,30 @@ SELECT date, count(*) FILTER (WHERE l_linenumber <> 7) AS n_good,
   count(*) FILTER (WHERE l_linenumber = 7) AS n_quarantined,
   cast(sum(e) AS DOUBLE) AS epss_sum
 FROM r WHERE date > '1997-06-01' GROUP BY date"""
+
+ORACLE_SQL["kev_catalog_roundtrip"] = f"""
+WITH k AS (
+  SELECT {cve('p_partkey')} AS cve_id, p_brand AS vendor_project, p_partkey, p_size,
+    CASE WHEN p_partkey % 17 = 0 THEN NULL
+         ELSE '2021-' || cast(p_partkey % 12 + 1 AS VARCHAR) || '-' || cast(p_partkey % 28 + 1 AS VARCHAR) END AS added
+  FROM part WHERE p_size % 7 = 0)
+SELECT cve_id,
+  strftime(make_date(2021, cast(p_partkey % 12 + 1 AS INTEGER), cast(p_partkey % 28 + 1 AS INTEGER)), '%Y-%m-%d')
+    AS date_added,
+  vendor_project,
+  CASE WHEN p_partkey % 4 = 0 THEN '' ELSE 'CWE-' || cast(p_size AS VARCHAR) END AS cwes,
+  'CISA Catalog of Known Exploited Vulnerabilities' AS title,
+  '2024-12-01 10:00:00' AS date_released
+FROM k WHERE added IS NOT NULL AND added > '2021-6-15'"""
+
+ORACLE_SQL["modules_map_roundtrip"] = f"""
+WITH li AS (SELECT l_suppkey, max(l_shipdate) AS mt FROM lineitem GROUP BY l_suppkey),
+m AS (
+  SELECT 'exploit/s' || cast(s_suppkey AS VARCHAR) AS fullname, s_name AS name,
+    CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE strftime(mt, '%Y-%m-%d %H:%M:%S') || ' +0000' END AS mod_time,
+    cast(s_suppkey % 7 AS INTEGER) AS rank,
+    CASE WHEN s_suppkey % 3 = 0 THEN ''
+         ELSE {cve('s_suppkey')} || '|URL-https://ref.example/' || cast(s_suppkey AS VARCHAR) END AS refs
+  FROM supplier LEFT JOIN li ON l_suppkey = s_suppkey)
+SELECT fullname, name, mod_time, rank, refs, 0 AS n_authors FROM m
+WHERE mod_time IS NULL OR mod_time > '1998-01-01 00:00:00 +0000'"""
