@@ -770,3 +770,52 @@ def modules_map_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     good, _ = silver_modules(bronze_modules(read_modules(spark, base, since="1998-01-01 00:00:00 +0000")))
     return good.select("fullname", "name", "mod_time", "rank", F.array_join("references", "|").alias("refs"),
                        F.size("author").alias("n_authors"))
+
+
+@query("exploit_index_roundtrip")
+def exploit_index_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A5, A6, A7, F2, B4, B8 end to end: the exploit index CSV (quoted
+    multi-line descriptions, codes as 'CVE-..;OSVDB-..' text) and a page per
+    even-numbered exploit (keywords meta tag, verified icon) are written from
+    orders and lineitem; the index is read with the F2 incremental filter,
+    joined to the page metadata (rows without a page keep their own text
+    fields, Q25) and run through the bronze and silver projections."""
+    from threatspark.functions.strings import cve_of
+    from threatspark.plans.silver import silver_exploit
+    from threatspark.sources.feeds import EXPLOIT_INDEX_COLUMNS, bronze_exploit, read_exploit_index
+    from threatspark.sources.pages import enrich_exploits, page_metadata
+    from threatspark.sources.tables import read_driver_table
+    base = _scratch(spark, "exploitdb")
+    o = read_driver_table(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    li = read_driver_table(spark, sf, "lineitem").filter(F.col("l_linenumber") == 1) \
+        .select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
+    # one index row per order (codes bounded by the order's lines)
+    j = o.join(li, "o_orderkey").groupBy("o_orderkey", "o_orderdate").agg(
+        F.array_sort(F.collect_set(cve_of(F.col("l_partkey")))).alias("cves"))
+    k = F.col("o_orderkey")
+    pub = F.date_format("o_orderdate", "yyyy-MM-dd")
+    idx = j.select(
+        k.cast("string").alias("id"), F.concat(F.lit("exploits/"), k.cast("string")).alias("file"),
+        F.concat(F.lit("line one\nline two of "), k.cast("string")).alias("description"),
+        pub.alias("date_published"), F.lit("author").alias("author"), F.lit("remote").alias("type"),
+        F.lit("linux").alias("platform"),
+        F.when(k % 3 == 0, F.lit("80")).when(k % 3 == 1, F.lit("")).otherwise(F.lit("80.5")).alias("port"),
+        pub.alias("date_added"),
+        F.when(k % 5 == 0, F.date_format(F.date_add(F.to_date("o_orderdate"), 400), "yyyy-MM-dd")).alias("date_updated"),
+        F.lit("0").alias("verified"),
+        F.concat(F.array_join(F.transform("cves", lambda c: F.lower(c)), ";"), F.lit(";OSVDB-"),
+                 k.cast("string")).alias("codes"),
+        F.lit(None).cast("string").alias("tags"), F.lit(None).cast("string").alias("aliases"),
+        F.lit(None).cast("string").alias("screenshot_url"), F.lit(None).cast("string").alias("application_url"),
+        F.concat(F.lit("https://www.exploit-db.com/exploits/"), k.cast("string")).alias("source_url"))
+    idx.select(*EXPLOIT_INDEX_COLUMNS).write.mode("overwrite").option("header", True) \
+        .option("escape", '"').csv(base + "/index")
+    html = F.concat(F.lit('<html><head><meta name="keywords" content="Linux, remote ,'),
+                    F.array_join("cves", ","), F.lit('"></head><body><i class="mdi mdi-check"></i></body></html>'))
+    pages = j.filter(k % 2 == 0).select(k.cast("string").alias("id"),
+                                        F.concat(F.lit("https://www.exploit-db.com/exploits/"), k.cast("string"))
+                                        .alias("url"), html.alias("html"))
+    index = read_exploit_index(spark, base + "/index", since="1996-01-01")
+    good, _ = silver_exploit(bronze_exploit(enrich_exploits(index, page_metadata(pages))))
+    return good.select("id", "date_published", "port", "verified", F.array_join("codes", "|").alias("codes"),
+                       F.array_join("tags", "|").alias("tags"))

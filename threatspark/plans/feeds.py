@@ -102,8 +102,10 @@ def feed_epss(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest EPSS row per part from lineitem (N1 on ship date, order, line)."""
     li = read_driver_table(spark, sf_dir, "lineitem").filter(F.col("l_partkey") % 13 != 0) \
         .select("l_partkey", "l_discount", "l_tax", "l_shipdate", "l_orderkey", "l_linenumber")
-    # group on the numeric key with numeric payload; text is derived after
-    latest = latest_by_key(li, ["l_partkey"], ["l_shipdate", "l_orderkey", "l_linenumber"])
+    # group on the numeric key with numeric payload; text is derived after.
+    # (order, line) repeats in these tables, so equal ship/order/line rows are
+    # further ordered by discount, then tax: a total order.
+    latest = latest_by_key(li, ["l_partkey"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_discount", "l_tax"])
     return latest.select(
         cve_of(F.col("l_partkey")).alias("cve"),
         (F.col("l_discount") * 9.87).cast(EPSS_DECIMAL).alias("epss"),
@@ -118,7 +120,10 @@ def feed_exploit(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P"))
     li = read_driver_table(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") == 1) \
         .select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
-    j = o.join(li, "o_orderkey")
+    # one exploit per order; its codes are the sorted distinct CVEs of the
+    # order's first lines (a group bounded by the lines of one order)
+    j = o.join(li, "o_orderkey").groupBy("o_orderkey", "o_custkey", "o_orderdate").agg(
+        F.array_sort(F.collect_set(cve_of(F.col("l_partkey")))).alias("codes"))
     pub = F.date_format("o_orderdate", "yyyy-MM-dd")
     ck = F.col("o_custkey")
     return j.select(
@@ -133,7 +138,7 @@ def feed_exploit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ck % 5 == 0, F.lit("80")).when(ck % 5 == 1, F.lit("")).when(ck % 5 == 2, F.lit("8080.5"))
          .alias("port"),
         (ck % 2 == 0).alias("verified"),
-        F.array(cve_of(F.col("l_partkey"))).alias("codes"),
+        "codes",
         F.concat(F.lit("https://exploits.example/exploits/"), F.col("o_orderkey").cast("string"))
          .alias("source_url"),
     )

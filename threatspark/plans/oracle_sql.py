@@ -56,7 +56,8 @@ epss AS (
       cast(l_tax * 12.3 AS DECIMAL(7,5)) AS percentile,
       strftime(l_shipdate, '%Y-%m-%d') AS date,
       row_number() OVER (PARTITION BY l_partkey
-                         ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) AS rn
+                         ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC,
+                                  l_discount DESC, l_tax DESC) AS rn
     FROM lineitem WHERE l_partkey % 13 <> 0) WHERE rn = 1),
 exploit AS (
   SELECT cast(o_orderkey AS VARCHAR) AS id, o_orderkey, o_custkey,
@@ -67,14 +68,16 @@ exploit AS (
     CASE WHEN o_custkey % 5 = 0 THEN '80' WHEN o_custkey % 5 = 1 THEN ''
          WHEN o_custkey % 5 = 2 THEN '8080.5' END AS port,
     'https://exploits.example/exploits/' || cast(o_orderkey AS VARCHAR) AS source_url,
-    {cve('l_partkey')} AS code
+    list_sort(list(DISTINCT {cve('l_partkey')})) AS codes
   FROM orders JOIN lineitem ON l_orderkey = o_orderkey AND l_linenumber = 1
-  WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'),
+  WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'
+  GROUP BY o_orderkey, o_custkey, o_orderdate),
+exploit_codes AS (SELECT * EXCLUDE (codes), unnest(codes) AS code FROM exploit),
 xdb AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY code ORDER BY date_published DESC NULLS LAST,
                                  cast(id AS BIGINT) DESC NULLS LAST, id DESC) AS rn
-    FROM exploit) WHERE rn = 1),
+    FROM exploit_codes) WHERE rn = 1),
 mrows AS (
   SELECT * FROM lineitem WHERE l_suppkey % 20 = 0 AND l_returnflag = 'R' AND l_quantity > 45),
 modules AS (
@@ -673,3 +676,19 @@ m AS (
   FROM supplier LEFT JOIN li ON l_suppkey = s_suppkey)
 SELECT fullname, name, mod_time, rank, refs, 0 AS n_authors FROM m
 WHERE mod_time IS NULL OR mod_time > '1998-01-01 00:00:00 +0000'"""
+
+ORACLE_SQL["exploit_index_roundtrip"] = f"""
+WITH j AS (
+  SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS pub,
+    CASE WHEN o_orderkey % 5 = 0 THEN strftime(cast(o_orderdate AS DATE) + 400, '%Y-%m-%d') END AS upd,
+    list_sort(list(DISTINCT {cve('l_partkey')})) AS cves
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey AND l_linenumber = 1
+  WHERE o_orderpriority = '1-URGENT'
+  GROUP BY o_orderkey, o_orderdate)
+SELECT cast(o_orderkey AS VARCHAR) AS id, pub AS date_published,
+  CASE WHEN o_orderkey % 3 = 0 THEN 80 END AS port,
+  o_orderkey % 2 = 0 AS verified,
+  CASE WHEN o_orderkey % 2 = 0 THEN array_to_string(cves, '|')
+       ELSE array_to_string(cves, '|') || '|OSVDB-' || cast(o_orderkey AS VARCHAR) END AS codes,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'Linux|remote' END AS tags
+FROM j WHERE coalesce(upd, pub) > '1996-01-01'"""
