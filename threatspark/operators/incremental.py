@@ -98,21 +98,28 @@ def rows_per_slice(df: DataFrame, ts_col: str, start: Column | None = None,
     and the counts are a partial-aggregated group-by on the slice number.
 
     ``start``/``end`` default to the data's own min/max (one global aggregate,
-    a one-row frame joined to every row)."""
+    used as a scalar subquery)."""
     ts = F.col(ts_col).cast("timestamp")
     bounds = df.agg(F.min(ts).alias("_s"), F.max(ts).alias("_e")) if start is None else \
         df.sparkSession.range(1).select(start.alias("_s"), end.alias("_e"))
     slices = bounds.select(F.explode(slice_bounds(F.col("_s"), F.col("_e"))).alias("x"), "_s", "_e") \
         .select("x.*", "_s", "_e")
-    n = slices.agg(F.count("*").alias("_n"), F.first("_s").alias("_s"), F.first("_e").alias("_e"))
+    # one scalar subquery (start, end, number of slices), evaluated once and
+    # inlined into the row scan: no join at all
+    b = slices.agg(F.struct(F.first("_s").alias("s"), F.first("_e").alias("e"),
+                            F.count(F.lit(1)).alias("n")).alias("b")).scalar()
     step = SLICE_DAYS * 86400
-    rows = df.select(ts.alias("_ts")).crossJoin(F.broadcast(n))  # one row: bounded
-    off = F.unix_seconds("_ts") - F.unix_seconds("_s")
-    k = F.when(F.col("_n") == 1, F.lit(0)).otherwise(F.floor(off / step)).cast("int")
-    on_edge = (F.col("_n") > 1) & (off % step == 0) & (k > 0)
-    cand = F.array(F.when(k < F.col("_n"), k), F.when(on_edge, k - 1))
-    inside = (F.col("_ts") >= F.col("_s")) & (F.col("_ts") <= F.col("_e"))
-    hits = rows.filter(inside).select(F.explode(F.filter(cand, lambda x: x.isNotNull())).alias("slice_no"))
+    rows = df.select(ts.alias("_ts"))
+    off = F.unix_seconds("_ts") - F.unix_seconds(b["s"])
+    k = F.when(b["n"] == 1, F.lit(0)).otherwise(F.floor(off / step)).cast("int")
+    on_edge = (b["n"] > 1) & (off % step == 0) & (k > 0)
+    inside = (F.col("_ts") >= b["s"]) & (F.col("_ts") <= b["e"])
+    # the two candidates are plain columns first: a subquery may not sit
+    # inside a higher-order function or a generator
+    cand = rows.filter(inside).select(F.when(k < b["n"], k).alias("_c0"),
+                                      F.when(on_edge, k - 1).alias("_c1"))
+    hits = cand.select(F.explode(F.array("_c0", "_c1")).alias("slice_no")) \
+        .filter(F.col("slice_no").isNotNull())
     counts = hits.groupBy("slice_no").agg(F.count("*").alias("n_rows"))
     return slices.select("slice_no", "lo", "hi").join(counts, "slice_no", "left") \
         .withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))

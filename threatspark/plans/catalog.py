@@ -390,9 +390,8 @@ def late_rows_repaired(spark: SparkSession, sf: str) -> DataFrame:
     from threatspark.sources.tables import read_driver_table
     o = read_driver_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
     first = o.filter(F.col("o_orderstatus") == "F")
-    wm = first.agg(F.max("o_orderdate").alias("_wm"))
-    # ``wm`` is a global aggregate (exactly one row): a bounded broadcast
-    second = o.crossJoin(F.broadcast(wm)).filter(F.col("o_orderdate") > F.col("_wm")).drop("_wm")
+    wm = first.agg(F.max("o_orderdate")).scalar()  # scalar subquery: evaluated once, no join
+    second = o.filter(F.col("o_orderdate") > wm)
     silver = first.unionByName(second)
     fixed = repair(o, silver, "o_orderkey")
     return (first.withColumn("found_by", F.lit("initial"))
