@@ -59,3 +59,15 @@ def test_rows_per_slice_matches_brute_force(spark):
     df2 = spark.createDataFrame([(t,) for t in short], "t timestamp")
     got2 = [(r["slice_no"], r["lo"], r["hi"], r["n_rows"]) for r in inc.rows_per_slice(df2, "t").collect()]
     assert got2 == _brute(short, min(short), max(short))
+
+
+def test_rows_per_slice_explicit_bounds(spark):
+    # rows before the start and after the end belong to no slice; a row on a
+    # shared closed edge is counted in both slices
+    base = dt.datetime(2020, 1, 1)
+    ts = [base + dt.timedelta(days=d) for d in (-5, 0, 10, 129, 200, 248, 249, 260, 500)]
+    start, end = base + dt.timedelta(days=10), base + dt.timedelta(days=249)
+    df = spark.createDataFrame([(t,) for t in ts], "t timestamp")
+    got = [(r["slice_no"], r["lo"], r["hi"], r["n_rows"]) for r in
+           inc.rows_per_slice(df, "t", F.lit(start), F.lit(end)).orderBy("slice_no").collect()]
+    assert got == _brute(ts, start, end)
