@@ -87,3 +87,24 @@ def test_exploit_index_and_modules(spark, tmp_path):
     m = src.bronze_modules(src.read_modules(spark, str(mp)))
     assert m.count() == 2 and len(m.columns) == 27
     assert src.read_modules(spark, str(mp), since="2021-01-01").count() == 1   # F3: null kept
+
+
+def test_scanner_csv_row_order_across_files(spark, tmp_path):
+    # the largest file sorts last by name, so Spark's size-ordered split packing
+    # reads it first; row ids must still follow (file name, line)
+    d = tmp_path / "upload"
+    d.mkdir()
+    rows = {"a.csv": 2, "b.csv": 3, "c.csv": 40}
+    for name, n in rows.items():
+        lines = ["Plugin ID,Host,Description"]
+        for i in range(n):
+            lines.append(f'{i},h-{name}-{i},"line one\nline two {i}"')
+        (d / name).write_text("\n".join(lines) + "\n")
+    df = src.read_scanner_csv(spark, str(d))
+    got = [r["Host"] for r in df.orderBy("row_id").collect()]
+    want = [f"h-{name}-{i}" for name, n in rows.items() for i in range(n)]
+    assert got == want
+    assert df.select("row_id").distinct().count() == sum(rows.values())
+    assert df.columns == ["Plugin ID", "Host", "Description", "row_id"]
+    one = src.read_scanner_csv(spark, str(d / "c.csv"))
+    assert [r["Host"] for r in one.orderBy("row_id").collect()] == [f"h-c.csv-{i}" for i in range(40)]

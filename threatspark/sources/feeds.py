@@ -8,6 +8,8 @@ one task; pass ``partitions`` to spread the exploded rows before heavy work.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,12 +129,34 @@ def bronze_modules(rows: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ A9
 
+_LOCAL_SCHEME = "^file:/+"
+_FILE_LOOKUP_MAX = 1000  # above this many files the rank comes from a join
+
+
 def read_scanner_csv(spark: SparkSession, path: str) -> DataFrame:
     """Scanner export with quoted multi-line cells; NA words read as
-    null (Q14). A stable ``row_id`` follows input order: a file scan without
-    a shuffle gives the same ids on recomputation."""
+    null (Q14). A stable ``row_id`` follows input order, file by file in name
+    order: a multi-line CSV file is never split, so all its rows are read in
+    order by one task, and the id is (file rank << 33) + the row's index in
+    its partition. A file scan without a shuffle gives the same ids on
+    recomputation."""
     df = spark.read.option("header", True).option("multiLine", True).option("quote", '"') \
         .option("escape", '"').option("inferSchema", False).csv(path)
+    cols = df.columns
     df = df.select(*[F.when(F.col(f"`{c}`").isin(NA_WORDS), F.lit(None)).otherwise(F.col(f"`{c}`")).alias(c)
-                     for c in df.columns])
-    return df.withColumn("row_id", F.monotonically_increasing_id())
+                     for c in cols],
+                   F.regexp_replace(F.col("_metadata.file_path"), _LOCAL_SCHEME, "/").alias("_src"),
+                   F.monotonically_increasing_id().alias("_mono"))
+    # the file listing is metadata (one name per file), not data
+    files = sorted({re.sub(_LOCAL_SCHEME, "/", f) for f in df.inputFiles()})
+    pos = F.col("_mono").bitwiseAND(F.lit((1 << 33) - 1))
+    if len(files) <= 1:
+        return df.withColumn("row_id", F.col("_mono")).drop("_src", "_mono")
+    if len(files) <= _FILE_LOOKUP_MAX:
+        rank = F.array_position(F.array(*[F.lit(f) for f in files]), F.col("_src")) - 1
+    else:
+        ranks = spark.createDataFrame(list(enumerate(files)), "_rank long, _src string")
+        df = df.join(ranks, "_src")
+        rank = F.col("_rank")
+    return df.withColumn("row_id", rank.cast("long") * (1 << 33) + pos) \
+        .select(*[F.col(f"`{c}`") for c in cols], "row_id")
