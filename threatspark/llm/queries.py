@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threatspark.llm import line_dedup, quality_rules
+from threatspark.llm import line_dedup, quality_rules, url_filter
 from threatspark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,24 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition coverage of all documents and its verdict."""
     judged = quality_rules.judge(quality_rules.repetition(table(spark, sf_dir, "documents")))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _op10_sql() -> str:
+    rules = ", ".join(f"('{r}', '{v}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in url_filter.RULES)
+    names = ", ".join(f"('{x}')" for x in url_filter.BLOCKED_HOSTS)
+    return rf"""WITH b(name) AS (VALUES {names}), r(rule, verdict, rh, rp) AS (VALUES {rules}),
+u AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+f AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM p, r
+  WHERE (host = rh OR host LIKE '%.' || rh) AND path LIKE rp || '%' GROUP BY page_id)
+SELECT page_id, host, path, rule, coalesce(verdict,
+  CASE WHEN EXISTS (SELECT 1 FROM b WHERE p.host = name OR p.host LIKE '%.' || name) THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN f USING (page_id)"""
+
+
+@query("op10_url_filter", _op10_sql())
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules, then the block list by cascade, over all pages."""
+    listed = spark.sql("SELECT explode(array(" + ", ".join(f"'{x}'" for x in url_filter.BLOCKED_HOSTS) + ")) AS key")
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), listed)
