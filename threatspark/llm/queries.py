@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from threatspark.llm import line_dedup, quality_rules, url_filter
+from threatspark.llm import line_dedup, quality_classifier, quality_rules, toxicity, url_filter
 from threatspark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +99,17 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules, then the block list by cascade, over all pages."""
     listed = spark.sql("SELECT explode(array(" + ", ".join(f"'{x}'" for x in url_filter.BLOCKED_HOSTS) + ")) AS key")
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), listed)
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document, and whether it is rejected."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, toxicity.graded(table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model).select("doc_id", "severity", "p_toxic", "grade", (F.col("p_toxic") >= toxicity.REJECT_AT).alias("toxic"))
+
+
+@query("op7_quality_classifier")
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight of every document and the Gumbel top-k draw."""
+    return quality_classifier.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -18,8 +18,10 @@ SLICE_BYTES = 2 << 20  # text handled at once, unless one document is longer
 _CHUNK = 1 << 16
 _BASE = 0x9E3779B97F4A7C15 | 1  # odd, so it has an inverse modulo 2**64
 _MASK = (1 << 64) - 1
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Every ASCII byte that is no letter or digit: for features made of bare words.
+MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -104,11 +106,11 @@ def pieces(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int
         yield i, j, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and document number of every word."""
+def spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and document number of every word; ``between``: the bytes that separate words."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    inside = ~_SPACE[data]
+    inside = ~between[data]
     first, last = offsets[:-1], offsets[1:]
     full = last > first
     before = np.empty_like(inside)

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from threatspark.llm import arrays
 from threatspark.llm.shared import new_folder, stored
@@ -202,7 +203,7 @@ def block_listed(pages: DataFrame, cascade: Cascade, names: str, flag: str = "li
 
     hashed = pages.withColumn("__h1", F.transform(names, lambda x: F.xxhash64(x))).withColumn(
         "__h2", F.transform(names, lambda x: F.xxhash64(F.lit(1), x)))
-    return hashed.mapInArrow(run, pages.schema.add(flag, "boolean"))
+    return hashed.mapInArrow(run, StructType(list(pages.schema.fields)).add(flag, "boolean"))
 
 
 def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str]] = RULES) -> DataFrame:
