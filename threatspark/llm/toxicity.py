@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 
 from threatspark.llm import text as T
 
-MAX_LABELLED = 8000   # labelled rows used for fitting, the first by a hash of doc_id
+MAX_LABELLED = 20000  # labelled rows used for fitting, the first by a hash of doc_id
 MAX_FEATURES = 4096
 GRADES = 3
 PIECES = (4, 5, 6)
@@ -93,7 +93,7 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def fit_ordinal(rows: np.ndarray, cols: np.ndarray, grade: np.ndarray, n_features: int,
-                grades: int = GRADES, l2: float = 0.02, steps: int = 600) -> tuple[np.ndarray, np.ndarray]:
+                grades: int = GRADES, l2: float = 1e-4, steps: int = 2500) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds by full-batch Adam on the mean log-likelihood."""
     n = max(len(grade), 1)
     above = np.array([(np.sum(grade > k) + 0.5) / (n + 1) for k in range(grades - 1)])
@@ -125,18 +125,20 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, grade: np.ndarray, n_feature
         np.add.at(g_theta, grade[low] - 1, -(b * (1 - b) / p)[low])
         back = g_theta[::-1].cumsum()[::-1]  # a threshold moves all above it
         g = np.concatenate([
-            np.bincount(cols, weights=g_eta[rows], minlength=n_features) / n - l2 * w / 100,
+            np.bincount(cols, weights=g_eta[rows], minlength=n_features) / n - l2 * w,
             back[:1] / n, back[1:] * logistic(x[n_features + 1:]) / n])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        x = x + 0.05 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-9)
+        x = x + 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-9)
     return x[:n_features], thresholds(x)
 
 
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, min_z: float = 4.0) -> OrdinalModel:
     """``labels``: doc_id and an integer grade from 0. Rows with a null id or
     grade are left out; of several grades of one id the highest counts. Fits
-    on at most ``max_labelled`` labelled documents. Without labels, or without
-    a grade above 0, no text is rejected."""
+    on at most ``max_labelled`` labelled documents. Where the labels only tell
+    0 from 1, the graded rows with more of the chosen features than their
+    median are grade 2. Without labels, or without a grade above 0, no text is
+    rejected."""
     known = (labels.select("doc_id", "grade").dropna().groupBy("doc_id").agg(F.max("grade").alias("grade"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("grade", "text")
@@ -146,7 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
         F.sum("docs").alias("docs"), F.sum("bad").alias("bad"))
     expected = F.col("docs") * F.lit(share)
     z = (F.col("bad") - expected) / F.sqrt(expected * F.lit(1 - share))
-    best = (counted.filter((F.col("bad") >= 3) & (z >= min_z)).orderBy(z.desc(), "f").limit(MAX_FEATURES)
+    best = (counted.filter((F.col("bad") >= 3) & (2 * F.col("bad") >= F.col("docs")) & (z >= min_z)).orderBy(z.desc(), "f").limit(MAX_FEATURES)
             .select("f").toArrow().column("f").to_numpy() if 0 < share < 1 else np.zeros(0, np.int64))
     features = np.sort(best.view(np.uint64))
 
@@ -164,6 +166,8 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     cols = data.column("cols").combine_chunks()
     size = cols.value_lengths().to_numpy() if len(cols) else np.zeros(0, np.int64)
     grade = np.minimum(data.column("grade").to_numpy(), GRADES - 1).astype(np.int64)
+    if len(grade) and grade.max() == 1:  # severity by how many marked words and pieces a text holds
+        grade[(grade == 1) & (size > np.median(size[grade == 1]))] = 2
     weights, thresholds = fit_ordinal(np.repeat(np.arange(len(size)), size), cols.flatten().to_numpy().astype(np.int64), grade, len(features))
     return OrdinalModel(features, weights, thresholds)
 
@@ -191,8 +195,8 @@ def score(docs: DataFrame, model: OrdinalModel, prefix: str = "") -> DataFrame:
 
 
 def graded(labels: DataFrame) -> DataFrame:
-    """The tables label toxic and quality: grade 1 is toxic, 2 toxic and of low quality."""
-    return labels.select("doc_id", (F.col("toxic") + F.when((F.col("toxic") == 1) & (F.col("quality") == 0), 1).otherwise(0)).alias("grade"))
+    """The table's label toxic (0 or 1) as grades; train() splits grade 1 by severity."""
+    return labels.select("doc_id", F.col("toxic").alias("grade"))
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, reject_at: float = REJECT_AT) -> DataFrame:
