@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatspark.llm import line_dedup, quality_classifier, quality_rules, toxicity, url_filter
+from threatspark.llm import line_dedup, mixing, quality_classifier, quality_rules, toxicity, url_filter
 from threatspark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,34 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance weight of every document and the Gumbel top-k draw."""
     return quality_classifier.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _op1_sql() -> str:
+    """Plays the schedule slot by slot; `had` counts the blocks of the current phase."""
+    share = "".join(f" WHEN '{k}' THEN {v}" for k, v in mixing.SHARES.items())
+    return f"""WITH RECURSIVE k AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source
+    ORDER BY ('0x' || substr(md5('{mixing.SEED}' || doc_id), 1, 15))::BIGINT, doc_id) - 1 AS n FROM documents),
+s AS (SELECT source, CASE source{share} ELSE {mixing.DEFAULT_SHARE} END AS share, (max(n) // {mixing.BLOCK_DOCS}) + 1 AS blocks FROM k GROUP BY source),
+a AS (SELECT list(source ORDER BY source) AS names, list(share ORDER BY source) AS shares, list(blocks ORDER BY source) AS blocks FROM s),
+t(slot, rest, had, turn, phase, pick) AS (
+  SELECT -1::BIGINT, blocks, [0::BIGINT for x in blocks], 0::BIGINT, 0, 0 FROM a
+  UNION ALL
+  SELECT slot + 1, rest2, CASE WHEN done THEN [0::BIGINT for x in rest2] ELSE had2 END, CASE WHEN done THEN 0 ELSE turn + 1 END,
+    CASE WHEN done THEN phase + 1 ELSE phase END, p FROM (
+    SELECT *, rest2[p] = 0 AS done FROM (
+      SELECT slot, turn, phase, p, [rest[i] - (i = p)::BIGINT for i in range(1, len(rest) + 1)] AS rest2,
+        [had[i] + (i = p)::BIGINT for i in range(1, len(rest) + 1)] AS had2 FROM (
+        SELECT *, (list_min([CASE WHEN rest[i] > 0 AND (had[i] * q) // shares[i] <= turn
+          THEN (((had[i] + 1) * q + shares[i] - 1) // shares[i]) * 100000 + i END for i in range(1, len(rest) + 1)]) % 100000)::BIGINT AS p FROM (
+          SELECT t.*, shares, list_sum([CASE WHEN rest[i] > 0 THEN shares[i] ELSE 0 END for i in range(1, len(rest) + 1)])::BIGINT AS q
+          FROM t, a WHERE list_max(rest) > 0))))),
+v AS (SELECT names[pick] AS source, slot, lag(phase, 1, 0) OVER (ORDER BY slot) AS phase,
+    row_number() OVER (PARTITION BY pick ORDER BY slot) - 1 AS block FROM t, a WHERE pick > 0)
+SELECT doc_id, k.source, v.block, v.phase, v.slot, (n % {mixing.BLOCK_DOCS})::INT AS seat
+FROM k JOIN v ON v.source = k.source AND v.block = n // {mixing.BLOCK_DOCS}"""
+
+
+@query("op1_source_mix", _op1_sql())
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the mix."""
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
