@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatspark.llm import line_dedup, mixing, quality_classifier, quality_rules, toxicity, url_filter
+from threatspark.llm import language_model, line_dedup, mixing, quality_classifier, quality_rules, toxicity, url_filter
 from threatspark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,10 @@ FROM k JOIN v ON v.source = k.source AND v.block = n // {mixing.BLOCK_DOCS}"""
 def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the mix."""
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+@query("op3_language_model")
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kneser-Ney scores of all documents, learnt from those not held out."""
+    return language_model.score_held_out(table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
