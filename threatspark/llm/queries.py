@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatspark.llm import language_model, line_dedup, mixing, quality_classifier, quality_rules, toxicity, url_filter
+from threatspark.llm import decontamination, language_model, line_dedup, mixing, quality_classifier, quality_rules, toxicity, url_filter
 from threatspark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,9 @@ def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kneser-Ney scores of all documents, learnt from those not held out."""
     return language_model.score_held_out(table(spark, sf_dir, "documents")).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
+@query("op4_decontamination")
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) with a passage of the item in the document."""
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
