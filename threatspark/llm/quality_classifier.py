@@ -21,6 +21,7 @@ from threatspark.llm import text as T
 from threatspark.llm.shared import stored
 
 BUCKETS = 1 << 16
+MAX_TARGET = 50_000  # labelled rows the target model is fitted on, the first by a hash of doc_id
 SEED = 17
 
 
@@ -43,11 +44,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(target[used])], ["b", "raw", "target"])
 
 
-def log_ratios(docs: DataFrame, good_ids: DataFrame) -> np.ndarray:
-    """log(p_target / p_raw) by bucket. Counts run over all documents; what
-    reaches the driver is one row per bucket."""
-    good = good_ids.select("doc_id").dropna().distinct().withColumn("good", F.lit(True))
-    marked = docs.select("doc_id", "text").join(good, "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
+def log_ratios(docs: DataFrame, good_ids: DataFrame, max_target: int = MAX_TARGET) -> np.ndarray:
+    """log(p_target / p_raw) by bucket. The raw counts run over all documents,
+    the target counts over at most ``max_target`` of the good ones, so their
+    ids can be broadcast; what reaches the driver is one row per bucket."""
+    good = (good_ids.select("doc_id").dropna().distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_target)
+            .withColumn("good", F.lit(True)))
+    marked = docs.select("doc_id", "text").join(F.broadcast(good), "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
     t = (marked.mapInArrow(_count, "b long, raw long, target long").groupBy("b")
          .agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow())
     raw, target = np.ones(BUCKETS), np.ones(BUCKETS)
