@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatspark.llm import decontamination, language_model, line_dedup, mixing, quality_classifier, quality_rules, toxicity, url_filter
+from threatspark.llm import decontamination, language_model, line_dedup, mixing, near_dedup, quality_classifier, quality_rules, toxicity, url_filter
 from threatspark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,9 @@ def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) with a passage of the item in the document."""
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_near_dedup")
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: three-word shingles, similarity 0.85 or more."""
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), words=3, percent=85)
