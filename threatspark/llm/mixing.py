@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_DOCS = 16
-BUCKET_DOCS = 20_000   # documents that one window sorts, on average
+BUCKET_DOCS = 5_000    # documents that one window sorts, on average
 SEED = "mix-1"
 
 # Target shares of the query's mix; a source not named gets 1.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatspark.llm import decontamination, language_model, line_dedup, mixing, near_dedup, quality_classifier, quality_rules, toxicity, url_filter
+from threatspark.llm import decontamination, language_model, line_dedup, mixing, near_dedup, quality_classifier, quality_rules, substring_dedup, toxicity, url_filter
 from threatspark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +163,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: three-word shingles, similarity 0.85 or more."""
     return near_dedup.near_groups(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+@query("op8_substring_dedup")
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts and the hash of what repeated 35-word windows leave of every document."""
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
