@@ -1,11 +1,11 @@
 """Operator 2: MinHash near-dedup by a multi-index Hamming join.
 
-A text's signature is 65 MinHash values of 16 bits, in 13 chunks of 5. If two
-signatures differ in at most 25 values, then by pigeonhole some chunk differs
-in at most one; so for every chunk the five keys that each leave one value out
-are written down, and the two signatures share a key. (A pair at similarity
-0.85 differs in more than 25 of 65 values with a chance of about 3 in a
-million.)
+A text's signature is c chunks of 5 MinHash values of 16 bits. If two
+signatures differ in at most 2c - 1 values, then by pigeonhole some chunk
+differs in at most one; so for every chunk the five keys that each leave one
+value out are written down, and the two signatures share a key. c is the least
+number for which a pair at the similarity asked for differs in more values
+with a chance of at most MISS (c = 13 at 0.85, 23 at 0.8).
 
 Pairs of a key are never written out. Equal shingle sets are one node. First
 every node is compared with one node that shares a key with it; keys whose
@@ -17,6 +17,7 @@ full shingle sets, so what is returned are exact components.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,14 +31,25 @@ from threatspark.llm.shared import stored
 
 WORDS = 5            # words of a shingle
 PERCENT = 80         # least similarity, in percent
-CHUNKS, VALUES = 13, 5
+VALUES = 5           # values of a chunk
+MISS = 1e-6          # chance that a pair at the least similarity shares no key
 BLOCK = 512          # nodes of one side of a comparison
 
 _rng = np.random.default_rng(2)
-_XOR, _TIMES = (_rng.integers(1 << 63, size=CHUNKS * VALUES, dtype=np.uint64) for _ in range(2))
+_XOR, _TIMES = (_rng.integers(1 << 63, size=1000 * VALUES, dtype=np.uint64) for _ in range(2))
 _TIMES = _TIMES * np.uint64(2) + np.uint64(1)
 
 
+def chunks_for(percent: int, miss: float = MISS) -> int:
+    """Chunks of a signature, by the chance that more than 2c - 1 of 5c values differ."""
+    differ = 1 - percent / 100
+    for c in range(1, 1000):
+        m = VALUES * c
+        if sum(math.comb(m, k) * differ ** k * (1 - differ) ** (m - k) for k in range(2 * c, m + 1)) <= miss:
+            return c
+    raise ValueError(f"{percent} percent is too little for signatures of {VALUES}-value chunks with one error each")
+
+
 def _sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of every document in order, and where each document's end."""
     docs = len(offsets) - 1
@@ -62,8 +74,10 @@ def _sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray
     return g, np.searchsorted(own, np.arange(docs), "right")
 
 
-def _profiles(docs: DataFrame, words: int) -> DataFrame:
+def _profiles(docs: DataFrame, words: int, chunks: int) -> DataFrame:
     """Per row: d, row, n (set size), f1 and f2 (the set's fingerprint), sig."""
+    values = chunks * VALUES
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offsets in T.pieces(batch.column("text")):
@@ -71,14 +85,14 @@ def _profiles(docs: DataFrame, words: int) -> DataFrame:
                 n = np.diff(ends, prepend=0)
                 full = np.flatnonzero(n)
                 begin = (ends - n)[full]
-                prints, sig = np.zeros((2, j - i), np.uint64), np.zeros((j - i, CHUNKS * VALUES), "<u2")
+                prints, sig = np.zeros((2, j - i), np.uint64), np.zeros((j - i, values), "<u2")
                 if len(full):
                     prints[0, full], prints[1, full] = np.add.reduceat(g, begin), np.add.reduceat(T.mix(g + np.uint64(7)), begin)
-                    for k in range(CHUNKS * VALUES):
+                    for k in range(values):
                         least = np.minimum.reduceat((g ^ _XOR[k]) * _TIMES[k], begin)
                         sig[full, k] = T.mix(least) & np.uint64(0xFFFF)
                 raw = sig.tobytes()
-                width = 2 * CHUNKS * VALUES
+                width = 2 * values
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("d").slice(i, j - i), batch.column("row").slice(i, j - i), pa.array(n),
                      *[pa.array(p.view(np.int64)) for p in prints], pa.array([raw[k * width:(k + 1) * width] for k in range(j - i)], pa.binary())],
@@ -87,21 +101,23 @@ def _profiles(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "d long, row long, n long, f1 long, f2 long, sig binary")
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 4096):
-            part = batch.slice(at, 4096)
-            node = part.column("node").to_numpy(zero_copy_only=False)
-            sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), "<u2").reshape(len(node), CHUNKS, VALUES).astype(np.uint64)
-            out = []
-            for c in range(CHUNKS):
-                for left_out in range(VALUES):
-                    key = np.full(len(node), c * VALUES + left_out, np.uint64)
-                    for v in range(VALUES):
-                        if v != left_out:
-                            key = T.mix(key) + sig[:, c, v]
-                    out.append(T.mix(key).view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array(np.tile(node, len(out)))], ["key", "node"])
+def _keys(chunks: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                node = part.column("node").to_numpy(zero_copy_only=False)
+                sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), "<u2").reshape(len(node), chunks, VALUES).astype(np.uint64)
+                out = []
+                for c in range(chunks):
+                    for left_out in range(VALUES):
+                        key = np.full(len(node), c * VALUES + left_out, np.uint64)
+                        for v in range(VALUES):
+                            if v != left_out:
+                                key = T.mix(key) + sig[:, c, v]
+                        out.append(T.mix(key).view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array(np.tile(node, len(out)))], ["key", "node"])
+    return run
 
 
 def _set_table(words: int):
@@ -200,11 +216,12 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     nothing: component_id null, kept. Only doc_id and text are read.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("d"), F.xxhash64("text").alias("row"), "text")
-    profiles = stored(_profiles(d, words), "near-profiles")
+    chunks = chunks_for(percent)
+    profiles = stored(_profiles(d, words, chunks), "near-profiles")
     classes = stored(profiles.filter("n > 0 AND d IS NOT NULL").groupBy("n", "f1", "f2")
                      .agg(F.min(F.struct("d", "row", "sig")).alias("m"))
                      .select("n", "f1", "f2", F.col("m.d").alias("node"), F.col("m.row").alias("row"), F.col("m.sig").alias("sig")), "near-classes")
-    keys = classes.select("node", "sig").mapInArrow(_keys, "key long, node long")
+    keys = classes.select("node", "sig").mapInArrow(_keys(chunks), "key long, node long")
     hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("__top")).filter("hub < __top").select("key", "hub")
     members = stored(keys.join(hubs, "key"), "near-members")
     wanted = members.select("node").distinct().join(classes.select("node", "row"), "node")
