@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-EPSS_DECIMAL = T.DecimalType(7, 5)
+from threatspark.functions.strings import strip
+
+EPSS_DECIMAL = T.DecimalType(20, 15)  # a probability as published, not rounded
 CVSS_DECIMAL = T.DecimalType(4, 1)
-SCORE_DECIMAL = T.DecimalType(12, 5)
+SCORE_DECIMAL = T.DecimalType(28, 15)
 
 
 def _c(c) -> Column:
@@ -26,15 +28,15 @@ def parse_day(c) -> Column:
 
 
 def tolerant_int(c) -> Column:
-    """Like int(text): optional sign and digits with surrounding blanks."""
-    t = F.trim(_c(c).cast("string"))
-    return F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("int"))
+    """Like int(text): optional sign and digits with surrounding white space, as a long."""
+    t = strip(_c(c).cast("string"))
+    return F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("long"))
 
 
 def decimal_or_zero(c, dtype: T.DecimalType = EPSS_DECIMAL) -> Column:
     """Null or '' -> 0; else the decimal value (null if unparseable)."""
     col = _c(c)
-    t = F.trim(col.cast("string"))
+    t = strip(col.cast("string"))
     return F.when(col.isNull() | (t == ""), F.lit(0).cast(dtype)) \
         .otherwise(t.try_cast(dtype))
 

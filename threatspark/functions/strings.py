@@ -17,18 +17,23 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(c) -> Column:
+    """Leading and trailing white space of any kind removed (``trim`` takes blanks only)."""
+    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+
+
 def normalize_cves(c) -> Column:
-    """Split on ',', trim, upper, keep 'CVE-' prefixed, dedupe, sort."""
+    """Split on ',', strip, upper, keep 'CVE-' prefixed, dedupe, sort."""
     parts = F.transform(F.split(F.coalesce(_c(c), F.lit("")), ","),
-                        lambda x: F.upper(F.trim(x)))
+                        lambda x: F.upper(strip(x)))
     kept = F.filter(parts, lambda x: x.startswith(CVE_PREFIX))
     return F.array_sort(F.array_distinct(kept))
 
 
 def join_text(a, b) -> Column:
     """S2: 'a b' trimmed, a null side counts as empty."""
-    return F.trim(F.concat(F.coalesce(_c(a), F.lit("")), F.lit(" "),
-                           F.coalesce(_c(b), F.lit(""))))
+    return strip(F.concat(F.coalesce(_c(a), F.lit("")), F.lit(" "),
+                          F.coalesce(_c(b), F.lit(""))))
 
 
 def finding_id(host, plugin, null_text: str = "") -> Column:
@@ -63,8 +68,10 @@ def na_to_null(c) -> Column:
 
 
 def cve_of(n) -> Column:
-    """Fixture rule: a synthetic CVE id from an integer key."""
-    return F.concat(F.lit("CVE-2024-"), F.lpad(_c(n).cast("string"), 6, "0"))
+    """Fixture rule: a synthetic CVE id from an integer key, padded to six
+    digits; longer numbers stay whole."""
+    text = _c(n).cast("string")
+    return F.concat(F.lit("CVE-2024-"), F.when(F.length(text) < 6, F.lpad(text, 6, "0")).otherwise(text))
 
 
 def decimal_text(c) -> Column:

@@ -82,9 +82,9 @@ def slice_bounds(start: Column, end: Column) -> Column:
     119-day steps whose closed ends overlap, the last one ending at ``end``;
     one slice when the range is at most 120 whole days."""
     step = F.make_dt_interval(days=F.lit(SLICE_DAYS))
-    days = F.floor((F.unix_seconds(end) - F.unix_seconds(start)) / 86400)
+    days = F.floor((F.unix_micros(end) - F.unix_micros(start)) / 86_400_000_000)
     los = F.when(days > MAX_RANGE_DAYS,
-                 F.sequence(start, end - F.make_dt_interval(secs=F.lit(1)), step)) \
+                 F.sequence(start, end - F.make_dt_interval(secs=F.lit(0.000001)), step)) \
         .otherwise(F.array(start))
     return F.transform(los, lambda lo, i: F.struct(
         i.alias("slice_no"), lo.alias("lo"),
@@ -108,10 +108,10 @@ def rows_per_slice(df: DataFrame, ts_col: str, start: Column | None = None,
     # inlined into the row scan: no join at all
     b = slices.agg(F.struct(F.first("_s").alias("s"), F.first("_e").alias("e"),
                             F.count(F.lit(1)).alias("n")).alias("b")).scalar()
-    step = SLICE_DAYS * 86400
+    step = SLICE_DAYS * 86_400_000_000
     rows = df.select(ts.alias("_ts"))
-    off = F.unix_seconds("_ts") - F.unix_seconds(b["s"])
-    k = F.when(b["n"] == 1, F.lit(0)).otherwise(F.floor(off / step)).cast("int")
+    off = F.unix_micros("_ts") - F.unix_micros(b["s"])
+    k = F.when(b["n"] == 1, F.lit(0)).otherwise((off - off % step) / step).cast("int")
     on_edge = (b["n"] > 1) & (off % step == 0) & (k > 0)
     inside = (F.col("_ts") >= b["s"]) & (F.col("_ts") <= b["e"])
     # the two candidates are plain columns first: a subquery may not sit

@@ -163,7 +163,7 @@ def enrich_simple_q(spark: SparkSession, sf: str) -> DataFrame:
     from threatspark.plans.findings import enrich_simple
     from threatspark.sources.tables import read_driver_table
     ev = read_driver_table(spark, sf, "events").select(
-        F.col("event_id").alias("row_id"), cve_of(F.col("event_id") % 2500).alias("cve_id"))
+        F.col("event_id").alias("row_id"), cve_of(F.col("event_id") % feeds.known_span(spark, sf)).alias("cve_id"))
     return enrich_simple(ev, factmod.fact_from_feeds(spark, sf), cve_column="Vulnerability")
 
 
@@ -503,7 +503,7 @@ def tolerant_casts(spark: SparkSession, sf: str) -> DataFrame:
     port = (F.when(eid % 5 == 0, F.col("user_id").cast("string"))
             .when(eid % 5 == 1, F.concat(F.lit(" "), F.col("user_id").cast("string"), F.lit(" ")))
             .when(eid % 5 == 2, F.col("value").cast("string")).when(eid % 5 == 3, F.lit("")))
-    epss = (F.when(eid % 4 == 0, (F.col("value") / 100).cast(EPSS_DECIMAL).cast("string"))
+    epss = (F.when(eid % 4 == 0, (F.col("value") / 100).cast(feeds.FEED_DECIMAL).cast("string"))
             .when(eid % 4 == 1, F.lit("")).when(eid % 4 == 3, F.lit("n/a")))
     t = e.select("event_id", iso.alias("iso_text"), day.alias("day_text"), port.alias("port_text"),
                  epss.alias("epss_text"))
@@ -679,7 +679,6 @@ def epss_snapshots_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     line 6 has an empty epss, line 7 a word). The reader gates snapshots dated
     on or before 1997-06-01, stamps rows with their file's date, and the
     bronze step turns '' into 0 and quarantines the words."""
-    from threatspark.functions.casts import EPSS_DECIMAL
     from threatspark.functions.strings import cve_of
     from threatspark.sources.epss import bronze_epss, read_epss
     from threatspark.sources.tables import read_driver_table
@@ -688,9 +687,9 @@ def epss_snapshots_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         F.year("l_shipdate").alias("year"), "l_partkey", "l_discount", "l_tax", "l_linenumber")
     epss = (F.when(F.col("l_linenumber") == 6, F.lit(""))
             .when(F.col("l_linenumber") == 7, F.lit("n/a"))
-            .otherwise((F.col("l_discount") * 9.87).cast(EPSS_DECIMAL).cast("string")))
+            .otherwise((F.col("l_discount") * 9.87).cast(feeds.FEED_DECIMAL).cast("string")))
     rows = li.select("year", F.lit(2).alias("o"), F.concat_ws(",", cve_of(F.col("l_partkey")), epss,
-                                                            (F.col("l_tax") * 12.3).cast(EPSS_DECIMAL)
+                                                            (F.col("l_tax") * 12.3).cast(feeds.FEED_DECIMAL)
                                                             .cast("string")).alias("value"))
     heads = li.select("year").distinct()
     meta = heads.select("year", F.lit(0).alias("o"), F.concat(
@@ -721,10 +720,10 @@ def kev_catalog_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     from threatspark.sources.feeds import read_kev
     from threatspark.sources.tables import read_driver_table
     base = _scratch(spark, "kev")
-    p = read_driver_table(spark, sf, "part").filter(F.col("p_size") % 7 == 0)
+    p = read_driver_table(spark, sf, "part").filter(F.col("p_size") % 7 != 0)
     k = F.col("p_partkey")
     added = F.when(k % 17 == 0, F.lit(None)).otherwise(F.concat_ws(
-        "-", F.lit("2021"), (k % 12 + 1).cast("string"), (k % 28 + 1).cast("string")))  # unpadded dates
+        "-", F.lit("2021"), F.lpad((k % 12 + 1).cast("string"), 2, "0"), F.lpad((k % 28 + 1).cast("string"), 2, "0")))
     entry = F.struct(cve_of(k).alias("cveID"), F.col("p_brand").alias("vendorProject"),
                      F.col("p_name").alias("product"), added.alias("dateAdded"),
                      F.when(k % 4 == 0, F.lit(None)).otherwise(
@@ -735,7 +734,7 @@ def kev_catalog_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
                                           F.lit("2024-12-01T10:00:00.000Z").alias("dateReleased"),
                                           "count", "vulnerabilities")).alias("value")) \
         .write.mode("overwrite").partitionBy("doc").text(base)
-    good, _ = silver_kev(read_kev(spark, base, since="2021-6-15"))
+    good, _ = silver_kev(read_kev(spark, base, since="2021-06-15"))
     return good.select("cve_id", F.date_format("date_added", "yyyy-MM-dd").alias("date_added"),
                        "vendor_project", F.array_join("cwes", "|").alias("cwes"), "title",
                        F.date_format("date_released", "yyyy-MM-dd HH:mm:ss").alias("date_released"))
@@ -785,9 +784,8 @@ def exploit_index_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     from threatspark.sources.pages import enrich_exploits, page_metadata
     from threatspark.sources.tables import read_driver_table
     base = _scratch(spark, "exploitdb")
-    o = read_driver_table(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
-    li = read_driver_table(spark, sf, "lineitem").filter(F.col("l_linenumber") == 1) \
-        .select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
+    o = read_driver_table(spark, sf, "orders").filter(F.col("o_orderpriority") != "5-LOW")
+    li = read_driver_table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
     # one index row per order (codes bounded by the order's lines)
     j = o.join(li, "o_orderkey").groupBy("o_orderkey", "o_orderdate").agg(
         F.array_sort(F.collect_set(cve_of(F.col("l_partkey")))).alias("cves"))

@@ -34,7 +34,7 @@ def exploit_lookup(exploits: DataFrame) -> DataFrame:
     ``explode`` skips null or empty code lists (Q6)."""
     cols = [c for c in exploits.columns if c != "codes"]
     x = exploits.select(F.explode("codes").alias("code"), *cols) \
-        .withColumn("_idn", tolerant_int(F.col("id")).cast("long"))
+        .withColumn("_idn", tolerant_int(F.col("id")))
     return latest_by_key(x, ["code"], ["date_published", "_idn", "id"]).drop("_idn")
 
 

@@ -2,9 +2,9 @@
 
 The driver tables hold no CVEs, so each vulnerability feed is a fixed rule
 over them (documented in FIXTURES.md section 3). Every feed reads whole
-tables; its size grows with them. Modulo predicates below define *which*
-rows belong to a feed (e.g. which parts are in the KEV catalogue); they are
-part of the fixture definition, not sampling.
+tables; its size grows with them. Each feed has one membership rule that
+leaves most of its rows in (some CVEs must miss a source, to exercise the left
+joins); it is part of the fixture definition, not sampling.
 """
 
 from __future__ import annotations
@@ -12,12 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatspark.functions.casts import CVSS_DECIMAL, EPSS_DECIMAL
+from threatspark.functions.casts import CVSS_DECIMAL
 from threatspark.functions.strings import cve_of
 from threatspark.operators.dedup import latest_by_key
 from threatspark.sources.tables import read_driver_table
 
 BASE_TS = "2024-01-01 00:00:00"
+FEED_DECIMAL = "decimal(7,5)"  # the synthetic probabilities have five decimals by definition
 
 _PLANS: dict[tuple, DataFrame] = {}
 
@@ -27,7 +28,9 @@ def memo_plan(fn):
     DataFrame (a plan, not data) is reused per session and scale: building a
     plan costs thousands of driver-JVM round trips, running it none more."""
     def wrapper(spark: SparkSession, sf_dir: str, *args) -> DataFrame:
-        key = (spark.sparkContext.applicationId, fn.__name__, sf_dir, args)
+        from threatspark.plans.rules import score_rules, threat_rules
+        rules = tuple(map(repr, (*threat_rules(), *score_rules())))  # a new rule means a new plan
+        key = (id(spark), fn.__name__, sf_dir, args, rules)
         df = _PLANS.get(key)
         if df is None:
             df = fn(spark, sf_dir, *args)
@@ -76,8 +79,8 @@ def feed_nvd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @memo_plan
 def feed_kev(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver-shaped KEV rows: parts whose size is a multiple of 7."""
-    p = read_driver_table(spark, sf_dir, "part").filter(F.col("p_size") % 7 == 0)
+    """Silver-shaped KEV rows: parts whose size is not a multiple of 7."""
+    p = read_driver_table(spark, sf_dir, "part").filter(F.col("p_size") % 7 != 0)
     added = F.when(F.col("p_partkey") % 17 == 0, F.lit(None)).otherwise(
         F.date_format(F.date_add(F.to_date(F.lit("2021-11-03")),
                                  (F.col("p_partkey") % 900).cast("int")), "yyyy-MM-dd"))
@@ -108,20 +111,18 @@ def feed_epss(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = latest_by_key(li, ["l_partkey"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_discount", "l_tax"])
     return latest.select(
         cve_of(F.col("l_partkey")).alias("cve"),
-        (F.col("l_discount") * 9.87).cast(EPSS_DECIMAL).alias("epss"),
-        (F.col("l_tax") * 12.3).cast(EPSS_DECIMAL).alias("percentile"),
+        (F.col("l_discount") * 9.87).cast(FEED_DECIMAL).alias("epss"),
+        (F.col("l_tax") * 12.3).cast(FEED_DECIMAL).alias("percentile"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"))
 
 
 @memo_plan
 def feed_exploit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ExploitDB rows: urgent, partially shipped orders with their first line."""
-    o = read_driver_table(spark, sf_dir, "orders").filter(
-        (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P"))
-    li = read_driver_table(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") == 1) \
-        .select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
+    """ExploitDB rows: orders of any priority but the lowest, with all their lines."""
+    o = read_driver_table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") != "5-LOW")
+    li = read_driver_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
     # one exploit per order; its codes are the sorted distinct CVEs of the
-    # order's first lines (a group bounded by the lines of one order)
+    # order's lines (a group bounded by the lines of one order)
     j = o.join(li, "o_orderkey").groupBy("o_orderkey", "o_custkey", "o_orderdate").agg(
         F.array_sort(F.collect_set(cve_of(F.col("l_partkey")))).alias("codes"))
     pub = F.date_format("o_orderdate", "yyyy-MM-dd")
@@ -145,8 +146,8 @@ def feed_exploit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _module_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_driver_table(spark, sf_dir, "lineitem").filter(
-        (F.col("l_suppkey") % 20 == 0) & (F.col("l_returnflag") == "R") & (F.col("l_quantity") > 45))
+    """Lines of the suppliers that have a module: four in five."""
+    return read_driver_table(spark, sf_dir, "lineitem").filter(F.col("l_suppkey") % 5 != 0)
 
 
 @memo_plan
@@ -179,14 +180,21 @@ def feed_module_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cves.unionByName(extra).distinct()
 
 
+def known_span(spark: SparkSession, sf_dir: str) -> F.Column:
+    """A tenth more than the largest part key: the range findings draw their
+    CVE numbers from (a scalar subquery, answered from Parquet statistics)."""
+    return read_driver_table(spark, sf_dir, "part").agg(F.floor(F.max("p_partkey") * 11 / 10).cast("long")).scalar()
+
+
 @memo_plan
 def feed_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scanner findings from events, in the scanner's own column names."""
+    """Scanner findings from events, in the scanner's own column names. Each
+    names two CVEs over the whole key range of ``part`` (and a few numbers
+    beyond it, which no feed knows), in a multi-line cell as scanners export."""
     e = read_driver_table(spark, sf_dir, "events")
     eid = F.col("event_id")
-    cve_text = F.concat(
-        F.lit(" cve-2024-"), F.lpad((eid % 2000).cast("string"), 6, "0"),
-        F.lit(",CVE-2024-"), F.lpad((eid * 7 % 2000).cast("string"), 6, "0"), F.lit(",n/a"))
+    span = known_span(spark, sf_dir)
+    cve_text = F.concat(F.lit(" "), F.lower(cve_of(eid % span)), F.lit(",\n"), cve_of(eid * 7 % span), F.lit(",\tn/a"))
     return e.select(
         eid.alias("row_id"),
         (eid % 37).cast("string").alias("Plugin ID"),

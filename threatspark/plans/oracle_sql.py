@@ -8,7 +8,7 @@ from __future__ import annotations
 
 
 def cve(x: str) -> str:
-    return f"('CVE-2024-' || lpad(cast({x} AS VARCHAR), 6, '0'))"
+    return f"printf('CVE-2024-%06d', cast({x} AS BIGINT))"
 
 
 def dtext(x: str) -> str:
@@ -48,7 +48,7 @@ kev AS (
          ELSE 'Remove ' || {cwe('p_size')} || ' exposure.' END AS required_action,
     CASE WHEN p_partkey % 3 = 0 THEN 'Known' ELSE 'Unknown' END AS known_ransomware_campaign_use,
     CASE WHEN p_partkey % 4 = 0 THEN []::VARCHAR[] ELSE [{cwe('p_size')}] END AS cwes
-  FROM part WHERE p_size % 7 = 0),
+  FROM part WHERE p_size % 7 <> 0),
 epss AS (
   SELECT cve, epss, percentile, date FROM (
     SELECT {cve('l_partkey')} AS cve,
@@ -69,8 +69,8 @@ exploit AS (
          WHEN o_custkey % 5 = 2 THEN '8080.5' END AS port,
     'https://exploits.example/exploits/' || cast(o_orderkey AS VARCHAR) AS source_url,
     list_sort(list(DISTINCT {cve('l_partkey')})) AS codes
-  FROM orders JOIN lineitem ON l_orderkey = o_orderkey AND l_linenumber = 1
-  WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+  WHERE o_orderpriority <> '5-LOW'
   GROUP BY o_orderkey, o_custkey, o_orderdate),
 exploit_codes AS (SELECT * EXCLUDE (codes), unnest(codes) AS code FROM exploit),
 xdb AS (
@@ -79,7 +79,7 @@ xdb AS (
                                  cast(id AS BIGINT) DESC NULLS LAST, id DESC) AS rn
     FROM exploit_codes) WHERE rn = 1),
 mrows AS (
-  SELECT * FROM lineitem WHERE l_suppkey % 20 = 0 AND l_returnflag = 'R' AND l_quantity > 45),
+  SELECT * FROM lineitem WHERE l_suppkey % 5 <> 0),
 modules AS (
   SELECT 'exploit/s' || cast(l_suppkey AS VARCHAR) AS fullname,
     'module_s' || cast(l_suppkey AS VARCHAR) AS name, 'exploit' AS type,
@@ -252,14 +252,14 @@ FINDINGS = f"""
 , fnd AS (
   SELECT event_id AS row_id, cast(event_id % 37 AS VARCHAR) AS plugin,
     '10.0.0.' || cast(user_id AS VARCHAR) AS host, event_type AS risk,
-    ' cve-2024-' || lpad(cast(event_id % 2000 AS VARCHAR), 6, '0') || ',CVE-2024-'
-      || lpad(cast(event_id * 7 % 2000 AS VARCHAR), 6, '0') || ',n/a' AS cve_text,
+    ' ' || lower(printf('CVE-2024-%06d', event_id % (SELECT max(p_partkey) * 11 // 10 FROM part))) || ',' || chr(10)
+      || printf('CVE-2024-%06d', event_id * 7 % (SELECT max(p_partkey) * 11 // 10 FROM part)) || ',' || chr(9) || 'n/a' AS cve_text,
     props AS description,
     CASE WHEN event_type = 'view' THEN NULL ELSE 'Seen ' || event_type END AS synopsis
   FROM events),
 norm AS (
   SELECT row_id, md5(host || '-' || plugin) AS fid, host, plugin, risk,
-    list_sort(list_distinct(list_filter(list_transform(string_split(cve_text, ','), lambda x: upper(trim(x))),
+    list_sort(list_distinct(list_filter(list_transform(string_split(cve_text, ','), lambda x: upper(regexp_replace(x, '^\\s+|\\s+$', '', 'g'))),
                                         lambda x: starts_with(x, 'CVE-')))) AS cves
   FROM fnd),
 pairs AS (SELECT row_id, unnest(cves) AS cve FROM norm),
@@ -315,7 +315,7 @@ SELECT row_id, key AS threat_key, array_to_string(list_sort(list(DISTINCT v)), '
 FROM tlong GROUP BY row_id, key""")
 
 ORACLE_SQL["enrich_simple"] = with_feeds(f"""
-, ev AS (SELECT event_id AS row_id, {cve('event_id % 2500')} AS cve_id FROM events),
+, ev AS (SELECT event_id AS row_id, {cve('event_id % (SELECT max(p_partkey) * 11 // 10 FROM part)')} AS cve_id FROM events),
 txt AS (
   SELECT cve_id, vrr_score, concat_ws('; ',
     'CISA_required_action: ' || CISA_required_action,
@@ -559,7 +559,7 @@ p AS (
     CASE WHEN regexp_full_match(day_text, '\d{4}-\d{1,2}-\d{1,2}')
          THEN make_date(cast(split_part(day_text, '-', 1) AS INTEGER), cast(split_part(day_text, '-', 2) AS INTEGER),
                         cast(split_part(day_text, '-', 3) AS INTEGER)) END AS d,
-    CASE WHEN regexp_full_match(trim(port_text), '[+-]?[0-9]+') THEN cast(trim(port_text) AS INTEGER) END AS port,
+    CASE WHEN regexp_full_match(trim(port_text), '[+-]?[0-9]+') THEN cast(trim(port_text) AS BIGINT) END AS port,
     CASE WHEN epss_text IS NULL OR trim(epss_text) = '' THEN 0::DECIMAL(7,5)
          ELSE try_cast(trim(epss_text) AS DECIMAL(7,5)) END AS e
   FROM t)
@@ -654,8 +654,8 @@ ORACLE_SQL["kev_catalog_roundtrip"] = f"""
 WITH k AS (
   SELECT {cve('p_partkey')} AS cve_id, p_brand AS vendor_project, p_partkey, p_size,
     CASE WHEN p_partkey % 17 = 0 THEN NULL
-         ELSE '2021-' || cast(p_partkey % 12 + 1 AS VARCHAR) || '-' || cast(p_partkey % 28 + 1 AS VARCHAR) END AS added
-  FROM part WHERE p_size % 7 = 0)
+         ELSE printf('2021-%02d-%02d', p_partkey % 12 + 1, p_partkey % 28 + 1) END AS added
+  FROM part WHERE p_size % 7 <> 0)
 SELECT cve_id,
   strftime(make_date(2021, cast(p_partkey % 12 + 1 AS INTEGER), cast(p_partkey % 28 + 1 AS INTEGER)), '%Y-%m-%d')
     AS date_added,
@@ -663,7 +663,7 @@ SELECT cve_id,
   CASE WHEN p_partkey % 4 = 0 THEN '' ELSE 'CWE-' || cast(p_size AS VARCHAR) END AS cwes,
   'CISA Catalog of Known Exploited Vulnerabilities' AS title,
   '2024-12-01 10:00:00' AS date_released
-FROM k WHERE added IS NOT NULL AND added > '2021-6-15'"""
+FROM k WHERE added IS NOT NULL AND added > '2021-06-15'"""
 
 ORACLE_SQL["modules_map_roundtrip"] = f"""
 WITH li AS (SELECT l_suppkey, max(l_shipdate) AS mt FROM lineitem GROUP BY l_suppkey),
@@ -682,11 +682,11 @@ WITH j AS (
   SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS pub,
     CASE WHEN o_orderkey % 5 = 0 THEN strftime(cast(o_orderdate AS DATE) + 400, '%Y-%m-%d') END AS upd,
     list_sort(list(DISTINCT {cve('l_partkey')})) AS cves
-  FROM orders JOIN lineitem ON l_orderkey = o_orderkey AND l_linenumber = 1
-  WHERE o_orderpriority = '1-URGENT'
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+  WHERE o_orderpriority <> '5-LOW'
   GROUP BY o_orderkey, o_orderdate)
 SELECT cast(o_orderkey AS VARCHAR) AS id, pub AS date_published,
-  CASE WHEN o_orderkey % 3 = 0 THEN 80 END AS port,
+  CASE WHEN o_orderkey % 3 = 0 THEN 80::BIGINT END AS port,
   o_orderkey % 2 = 0 AS verified,
   CASE WHEN o_orderkey % 2 = 0 THEN array_to_string(cves, '|')
        ELSE array_to_string(cves, '|') || '|OSVDB-' || cast(o_orderkey AS VARCHAR) END AS codes,

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threatspark.functions.strings import strip
+
 # Fixed values that must equal the reference's for right results.
 CODE_PATTERN = r"(?i)^(CVE-\d{4}-\d+|OSVDB-\d+)"
 MAX_TAG_LEN = 50
@@ -57,7 +59,7 @@ def keywords(html: Column) -> Column:
     """Trimmed items of <meta name="keywords" content="...">."""
     content = F.regexp_extract(
         html, r"<meta\s[^>]*name\s*=\s*[\"']keywords[\"'][^>]*content\s*=\s*[\"']([^\"']*)[\"']", 1)
-    return F.when(content != "", F.transform(F.split(content, ","), lambda k: F.trim(k))) \
+    return F.when(content != "", F.transform(F.split(content, ","), lambda k: strip(k))) \
         .otherwise(F.array().cast("array<string>"))
 
 
@@ -99,7 +101,7 @@ def enrich_exploits(index: DataFrame, meta: DataFrame, key: str = "id") -> DataF
     def text_list(c: str, upper: bool) -> Column:
         if c not in index.columns:
             return F.array().cast("array<string>")
-        items = F.transform(F.split(F.col(c), "[;,]"), lambda x: F.upper(F.trim(x)) if upper else F.trim(x))
+        items = F.transform(F.split(F.col(c), "[;,]"), lambda x: F.upper(strip(x)) if upper else strip(x))
         return F.filter(items, lambda x: x != "")
 
     idx_cols = [c for c in index.columns if c not in

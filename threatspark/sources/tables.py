@@ -19,7 +19,7 @@ def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     session: a query that reads lineitem three times lists and opens the
     file footer once."""
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (spark.sparkContext.applicationId, path)
+    key = (id(spark), path)
     df = _READS.get(key)
     if df is None:
         df = spark.read.parquet(path)
