@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -103,18 +104,17 @@ def test_latest_by_key_nulls_and_maps(spark):
 
 
 def test_upsert_bucketed_rewrites_only_touched(spark, tmp_path):
-    import os
+    import glob
     p = str(tmp_path / "bt")
     base = spark.range(0, 200).selectExpr("cast(id as int) k", "'v0' s")
     merge.upsert_bucketed(spark, p, base, "k", buckets=8)
-    parts = sorted(d for d in os.listdir(p) if d.startswith("_bucket="))
-    assert len(parts) == 8
-    before = {d: sorted(os.listdir(os.path.join(p, d))) for d in parts}
+    before = merge.current_commit(spark, p).parts
+    assert len(before) == 8 and len(glob.glob(p + "/data/*/*/*.parquet")) == 8     # one file per bucket
     inc = spark.createDataFrame([(3, "v1"), (500, "new")], "k int, s string")
     n = merge.upsert_bucketed(spark, p, inc, "k", buckets=8)
     assert n <= 2
-    after = {d: sorted(os.listdir(os.path.join(p, d))) for d in parts}
-    assert sum(before[d] != after[d] for d in parts) == n          # untouched buckets kept as they were
+    after = merge.current_commit(spark, p).parts
+    assert sum(before[b] != after[b] for b in before) == n          # untouched buckets kept as they were
     got = {r["k"]: r["s"] for r in merge.read_bucketed(spark, p).collect()}
     assert len(got) == 201 and got[3] == "v1" and got[500] == "new" and got[4] == "v0"
     # a batch adding a column rewrites its buckets only; the others keep the old schema
@@ -122,3 +122,54 @@ def test_upsert_bucketed_rewrites_only_touched(spark, tmp_path):
                           "k", buckets=8)
     t = merge.read_bucketed(spark, p)
     assert "extra" in t.columns and t.filter("extra = 'e'").count() == 1 and t.count() == 201
+    merge.upsert_bucketed(spark, p, inc, "k")                       # the column stays when a batch lacks it
+    t = merge.read_bucketed(spark, p)
+    assert "extra" in t.columns and t.filter("extra = 'e'").count() == 1 and t.count() == 201
+
+
+def test_bucketed_table_refuses_another_bucket_count(spark, tmp_path):
+    p = str(tmp_path / "bt")
+    merge.upsert_bucketed(spark, p, spark.range(100).withColumnRenamed("id", "k"), "k", buckets=4)
+    with pytest.raises(ValueError):
+        merge.upsert_bucketed(spark, p, spark.range(9).withColumnRenamed("id", "k"), "k", buckets=6)
+    assert merge.read_current(spark, p).count() == 100
+
+
+def test_damaged_tables_raise_and_lose_nothing(spark, tmp_path):
+    import glob
+    p = str(tmp_path / "bt")
+    t = spark.range(100).selectExpr("id k", "'old' s")
+    merge.upsert_bucketed(spark, p, t, "k", buckets=1)
+    file = glob.glob(p + "/data/*/*/*.parquet")[0]
+    whole = open(file, "rb").read()
+    open(file, "wb").write(b"damaged")
+    with pytest.raises(Exception):
+        merge.upsert_bucketed(spark, p, t.limit(10), "k")
+    open(file, "wb").write(whole)
+    spark.catalog.clearCache()
+    assert merge.current_version(spark, p) == 1 and merge.read_current(spark, p).count() == 100
+    commit = glob.glob(p + "/_commits/*.json")[0]
+    open(commit, "w").write("")
+    for f in glob.glob(p + "/_commits/.*.crc"):
+        open(f, "wb").truncate(0)
+    with pytest.raises(Exception):                                  # an empty commit is not "no table yet"
+        merge.commit_table(spark, t, p)
+    assert open(file, "rb").read() == whole
+
+
+def test_newer_stored_rows_stay(spark, tmp_path):
+    t = spark.createDataFrame([(1, 5, "new"), (2, 1, "old"), (3, None, "none")], "k int, v int, s string")
+    i = spark.createDataFrame([(1, 4, "late"), (2, 2, "newer"), (3, 1, "some"), (4, 1, "first")], "k int, v int, s string")
+    out = merge.upsert(t, i, "k", order=["v"], keep_newer=True)
+    assert {r["k"]: r["s"] for r in out.collect()} == {1: "new", 2: "newer", 3: "some", 4: "first"}
+    back = merge.upsert(out, t, "k", order=["v"], keep_newer=True)  # any order of delivery ends the same
+    assert {r["k"]: r["s"] for r in back.collect()} == {1: "new", 2: "newer", 3: "some", 4: "first"}
+
+
+def test_old_versions_are_removed(spark, tmp_path):
+    import os
+    p = str(tmp_path / "t")
+    for n in range(5):
+        merge.commit_table(spark, spark.range(n + 1), p)
+    assert merge.current_version(spark, p) == 5 and merge.read_current(spark, p).count() == 5
+    assert len(os.listdir(p + "/data")) == 2

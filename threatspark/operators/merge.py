@@ -6,19 +6,24 @@ the rest (anti join). AQE broadcasts the incoming keys when the batch is small
 and falls back to sort-merge joins when it is not. Only touched rows go
 through the merge expressions; untouched rows are carried over unchanged.
 
-Tables are written as numbered version folders with a pointer file, so a
-reader never sees a half-written table and a write never overwrites the
-folder it reads from (``commit_table`` / ``read_current``).
+Tables are data folders plus numbered commit files that name the folders in
+use (``commit_table`` / ``upsert_bucketed`` / ``read_current``): a reader never
+sees a half-written table, a write never touches the folder it reads from, and
+nothing but the absence of all commits counts as "no table yet".
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import os
+import json
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threatspark.operators.dedup import latest_by_key
 
@@ -32,13 +37,15 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 def upsert(target: DataFrame | None, incoming: DataFrame, key: str | Sequence[str], *,
            order: Sequence[str | Column] | None = None, nulls: str = "overwrite",
            audit: tuple[str, str] | None = None, run_ts: _dt.datetime | Column | None = None,
-           drop_columns: Sequence[str] = ()) -> DataFrame:
+           drop_columns: Sequence[str] = (), keep_newer: bool = False) -> DataFrame:
     """Merge ``incoming`` into ``target`` on ``key``.
 
     nulls="overwrite" (C1): columns present in the incoming schema replace the
     old values, nulls included; columns the incoming schema lacks keep their
     old values. nulls="keep" (C6): a null incoming value keeps the old one.
     ``order``: last-record-wins order for duplicate keys in one batch (N1).
+    ``keep_newer``: the order also holds between batches; a stored row that is
+    greater by ``order`` (column names) than the incoming one stays as it is.
     ``audit`` = (created_col, updated_col) (C2): updated is ``run_ts`` for
     touched keys, created is kept, or ``run_ts`` for new keys.
     ``drop_columns``: legacy columns unset on touched rows (B20); rows the
@@ -93,6 +100,13 @@ def upsert(target: DataFrame | None, incoming: DataFrame, key: str | Sequence[st
             if c not in all_cols:
                 exprs.append(ts.alias(c))
                 all_cols.append(c)
+    if keep_newer:
+        names = list(order)
+        have = [n for n in names if n in t_cols]
+        stored_wins = F.lit(False) if not have else F.coalesce(F.col("__old"), F.lit(False)) & (
+            F.struct(*[F.col(n) for n in have]) > F.struct(*[F.col(NEW + n) for n in have]))
+        j = j.withColumn("__keep", stored_wins)
+        exprs = [e if c not in t_cols else F.when(F.col("__keep"), F.col(c)).otherwise(e).alias(c) for c, e in zip(all_cols, exprs)]
     merged = j.select(*keys, *exprs)
     for c in all_cols:
         if c not in untouched.columns:
@@ -139,81 +153,162 @@ def assert_unique(df: DataFrame, key: str | Sequence[str]) -> None:
         raise ValueError(f"duplicate keys: {[tuple(r) for r in dup]}")
 
 
-# ------------------------------------------------------------ versioned tables
+# ------------------------------------------------------------ tables
+
+BUCKET = "_bucket"
+
+
+@dataclass(frozen=True)
+class Commit:
+    """What a table consists of: ``parts`` maps each bucket ("" if the table
+    has none) to the data folder that holds it."""
+
+    version: int
+    schema: str
+    buckets: int
+    key: list[str]
+    parts: dict[str, str]
+
+
+def _folder(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
-def _pointer(path: str) -> str:
-    return os.path.join(path, "_current")
+
+def _commit_names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _folder(spark, f"{path}/_commits")
+    if not fs.exists(p):
+        return []
+    return sorted(f.getPath().getName() for f in fs.listStatus(p) if f.getPath().getName().endswith(".json"))
+
+
+def _load(spark: SparkSession, path: str, name: str) -> Commit:
+    text = "\n".join(r[0] for r in spark.read.text(f"{path}/_commits/{name}").collect())  # a line per table
+    return Commit(**json.loads(text))
+
+
+def current_commit(spark: SparkSession, path: str) -> Commit | None:
+    """None only where no commit exists; a commit that can't be read raises."""
+    names = _commit_names(spark, path)
+    return _load(spark, path, names[-1]) if names else None
 
 
 def current_version(spark: SparkSession, path: str) -> int | None:
-    try:
-        row = spark.read.text(_pointer(path)).first()
-    except Exception:  # noqa: BLE001 - no pointer yet
-        return None
-    return int(row[0]) if row else None
+    c = current_commit(spark, path)
+    return c and c.version
+
+
+def _write_commit(spark: SparkSession, path: str, c: Commit) -> None:
+    """The commit file appears whole, by a rename; one writer at a time."""
+    final, part = f"{path}/_commits/{c.version:012d}.json", f"{path}/_commits/.{uuid.uuid4().hex}"
+    fs, p = _folder(spark, part)
+    out = fs.create(p, False)
+    out.write(bytearray(json.dumps(c.__dict__).encode()))
+    out.close()
+    fs, to = _folder(spark, final)
+    if fs.exists(to) or not fs.rename(p, to):
+        raise RuntimeError(f"{path}: version {c.version} was committed by another writer")
+    _clean(spark, path)
+
+
+def _clean(spark: SparkSession, path: str) -> None:
+    """Removes what only commits before the last two refer to."""
+    old, keep = _commit_names(spark, path)[:-2], _commit_names(spark, path)[-2:]
+    used = {(b, g) for name in keep for b, g in _load(spark, path, name).parts.items()}
+    for name in old:
+        for b, g in _load(spark, path, name).parts.items():
+            if (b, g) not in used:
+                fs, p = _folder(spark, _part(path, b, g))
+                fs.delete(p, True)
+        fs, p = _folder(spark, f"{path}/_commits/{name}")
+        fs.delete(p, False)
+
+
+def _part(path: str, bucket: str, folder: str) -> str:
+    return f"{path}/data/{folder}" + (f"/{BUCKET}={bucket}" if bucket else "")
+
+
+def _read(spark: SparkSession, path: str, c: Commit, buckets: Sequence[int] | None = None) -> DataFrame | None:
+    schema = T.StructType.fromJson(json.loads(c.schema))
+    folders = [_part(path, b, g) for b, g in c.parts.items() if buckets is None or b == "" or int(b) in buckets]
+    return spark.read.schema(schema).parquet(*folders) if folders else None
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
-    v = current_version(spark, path)
-    return None if v is None else spark.read.parquet(os.path.join(path, f"v{v}"))
+    """The table as last committed; None where there is none. Rows written
+    before a column was added have null in it."""
+    c = current_commit(spark, path)
+    return None if c is None else _read(spark, path, c)
+
+
+read_bucketed = read_current
 
 
 def commit_table(spark: SparkSession, df: DataFrame, path: str) -> int:
-    """C4/C7 style overwrite, done as: write version n+1, then move the
-    pointer. Readers of version n are never disturbed."""
+    """Replace the contents. The new data go to a folder of their own
+    and count once the commit file is there, so readers are never disturbed."""
+    folder = uuid.uuid4().hex
+    df.write.parquet(f"{path}/data/{folder}")
     v = (current_version(spark, path) or 0) + 1
-    df.write.mode("overwrite").parquet(os.path.join(path, f"v{v}"))
-    spark.createDataFrame([(str(v),)], "value string").coalesce(1) \
-        .write.mode("overwrite").text(_pointer(path))
+    _write_commit(spark, path, Commit(v, df.schema.json(), 0, [], {"": folder}))
     return v
 
 
 def upsert_table(spark: SparkSession, path: str, incoming: DataFrame, key, **kw) -> DataFrame:
     """Read the current version, merge, commit a new version; returns it."""
-    cur = read_current(spark, path)
-    merged = upsert(cur, incoming, key, **kw)
+    merged = upsert(read_current(spark, path), incoming, key, **kw)
     commit_table(spark, merged, path)
     return read_current(spark, path)
 
 
-# ------------------------------------------------------------ bucketed tables
-
-BUCKET = "_bucket"
+def buckets_for(rows: int, per_bucket: int = 1_000_000) -> int:
+    """Bucket count for a table expected to reach ``rows``."""
+    return max(4, -(-rows // per_bucket))
 
 
 def with_bucket(df: DataFrame, key: str | Sequence[str], buckets: int) -> DataFrame:
     return df.withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(k) for k in _keys(key)]), F.lit(buckets)).cast("int"))
 
 
-def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
-    """A bucketed table: buckets rewritten after a schema change carry new
-    columns that untouched buckets lack, so footers are merged on read."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
-
-
 def upsert_bucketed(spark: SparkSession, path: str, incoming: DataFrame, key: str | Sequence[str],
-                    buckets: int = 64, **kw) -> int:
-    """Upsert into a table partitioned by a hash bucket of the key, rewriting
-    only the buckets the batch touches. Cost is O(touched buckets), not
-    O(table): the touched bucket ids (at most ``buckets`` small integers, the
-    only thing brought to the driver) prune the target scan to those
-    partition folders; the merged buckets
-    are staged under the table folder (never read and overwritten in one
-    job), then replace exactly those partitions by dynamic partition
-    overwrite. Returns the number of buckets rewritten."""
-    import uuid
-    inc = with_bucket(incoming, key, buckets)
-    ids = [r[0] for r in inc.select(BUCKET).distinct().collect()]  # <= buckets ints
+                    buckets: int | None = None, **kw) -> int:
+    """Upsert into a table split by a hash bucket of the key, rewriting only
+    the buckets that the batch touches: O(touched buckets), not O(table). The
+    touched bucket ids (at most ``buckets`` integers, all that reaches the
+    driver) select the folders to read; each merged bucket is written once, as
+    one file, and the commit points to it. The bucket count is part of the
+    table: None takes the stored one (4 for a new table), another one raises.
+    Returns the number of buckets rewritten."""
+    c = current_commit(spark, path)
+    if c is not None and not c.buckets:
+        raise ValueError(f"{path} has no buckets")
+    if c is not None and (buckets not in (None, c.buckets) or _keys(key) != c.key):
+        raise ValueError(f"{path} has {c.buckets} buckets by {c.key}, not {buckets} by {_keys(key)}")
+    buckets = c.buckets if c is not None else buckets or 4
+    inc = incoming.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cur = read_bucketed(spark, path)
-    except Exception:  # noqa: BLE001 - first write: no table yet
-        cur = None
-    if cur is not None:
-        cur = cur.filter(F.col(BUCKET).isin(ids))  # partition pruning: only touched folders are read
-    merged = upsert(cur, inc, key, **kw)
-    stage = os.path.join(os.path.dirname(path.rstrip("/")), "_staging", uuid.uuid4().hex)
-    merged.write.mode("overwrite").partitionBy(BUCKET).parquet(stage)
-    staged = spark.read.parquet(stage)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(BUCKET).parquet(path)
-    return staged.select(BUCKET).distinct().count()
+        ids = sorted(r[0] for r in with_bucket(inc, key, buckets).select(BUCKET).distinct().collect())
+        if not ids and c is not None:
+            return 0
+        merged = upsert(None if c is None else _read(spark, path, c, ids), inc, key, **kw)
+        old = [] if c is None else T.StructType.fromJson(json.loads(c.schema)).fields
+        known = {f.name for f in merged.schema.fields}
+        schema = T.StructType(merged.schema.fields + [f for f in old if f.name not in known])
+        folder = uuid.uuid4().hex
+        with_bucket(merged, key, buckets).repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/data/{folder}")
+        parts = {} if c is None else dict(c.parts)
+        parts |= {str(b): folder for b in ids}
+        _write_commit(spark, path, Commit(1 if c is None else c.version + 1, schema.json(), buckets, _keys(key), parts))
+        return len(ids)
+    finally:
+        inc.unpersist()
+
+
+def append_rows(df: DataFrame, path: str) -> None:
+    """Adds rows to a plain folder of Parquet files that only ever grows (quarantine)."""
+    df.write.mode("append").parquet(path)
+
+
+def read_appended(spark: SparkSession, path: str) -> DataFrame | None:
+    fs, p = _folder(spark, path)
+    return spark.read.option("mergeSchema", "true").parquet(path) if fs.exists(p) else None

@@ -604,12 +604,42 @@ def stream_upsert_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
     e = read_driver_table(spark, sf, "events").select(
         "user_id", "event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"),
         F.date_format("ts", "yyyyMMdd").alias("day"))
-    e.write.mode("overwrite").partitionBy("day").parquet(base + "/landing")
-    out = stream_layer(spark, base + "/landing", "user_id long, event_id long, event_type string, ts timestamp",
-                       base + "/table", "user_id", base + "/checkpoint", order=["ts", "event_id"],
-                       max_files_per_trigger=8, buckets=16)
-    return out.select("user_id", "event_id", "event_type",
-                      F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+    e.repartition("day").write.mode("overwrite").partitionBy("day").parquet(base + "/landing")
+    out = stream_layer(spark, base + "/landing", EVENT_SCHEMA, base + "/table", "user_id", base + "/checkpoint",
+                       order=["ts", "event_id"], max_files_per_trigger=FILES_PER_TRIGGER, buckets=_user_buckets(e))
+    return _latest_events(out)
+
+
+EVENT_SCHEMA = "user_id long, event_id long, event_type string, ts timestamp"
+FILES_PER_TRIGGER = 16  # landed files that one micro-batch of these queries takes
+
+
+def _user_buckets(events: DataFrame) -> int:
+    from threatspark.operators.merge import buckets_for
+    return buckets_for(events.agg(F.count("*")).first()[0])  # no more users than events
+
+
+def _latest_events(out: DataFrame) -> DataFrame:
+    return out.select("user_id", "event_id", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+
+
+@query("stream_redelivery")
+def stream_redelivery(spark: SparkSession, sf: str) -> DataFrame:
+    """N1, R1, R2 over several deliveries: two thirds of the events arrive
+    first; a second delivery into the same landing folder, drained by a resumed
+    stream, repeats half of all events and brings the rest, so most of its rows
+    are older than what is stored. The newest event of each user stays."""
+    from threatspark.sources.tables import read_driver_table
+    from threatspark.streaming.stream import stream_layer
+    base = _scratch(spark, "redelivery")
+    e = read_driver_table(spark, sf, "events").select(
+        "user_id", "event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    buckets = _user_buckets(e)
+    for n, wave in enumerate((e.filter("event_id % 3 <> 0"), e.filter("event_id % 3 = 0 OR event_id % 2 = 0"))):
+        wave.write.parquet(f"{base}/landing/delivery={n}")
+        out = stream_layer(spark, base + "/landing", EVENT_SCHEMA, base + "/table", "user_id", base + "/checkpoint",
+                           order=["ts", "event_id"], max_files_per_trigger=FILES_PER_TRIGGER, buckets=buckets)
+    return _latest_events(out)
 
 
 @query("nvd_pages_roundtrip")
@@ -660,14 +690,14 @@ def nvd_pages_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("upsert_bucketed_result")
 def upsert_bucketed_result(spark: SparkSession, sf: str) -> DataFrame:
-    """C1 on a hash-bucketed table: the target is written in 16 key buckets,
+    """C1 on a hash-bucketed table: the target is written in key buckets,
     the incoming batch rewrites only the buckets it touches; same answer as
     the in-memory upsert."""
-    from threatspark.operators.merge import read_bucketed, upsert_bucketed
+    from threatspark.operators.merge import buckets_for, read_bucketed, upsert_bucketed
     path = _scratch(spark, "bucketed") + "/orders"
     t = _orders_target(spark, sf).drop("created_at", "updated_at", "VRRScore")
-    upsert_bucketed(spark, path, t, "o_orderkey", buckets=16)
-    upsert_bucketed(spark, path, _orders_incoming(spark, sf), "o_orderkey", buckets=16)
+    upsert_bucketed(spark, path, t, "o_orderkey", buckets=buckets_for(t.count()))
+    upsert_bucketed(spark, path, _orders_incoming(spark, sf), "o_orderkey")
     out = read_bucketed(spark, path)
     return out.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "feed")
 

@@ -625,6 +625,8 @@ SELECT user_id, event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
 WHERE rn = 1"""
 
+ORACLE_SQL["stream_redelivery"] = ORACLE_SQL["stream_upsert_equals_batch"]
+
 ORACLE_SQL["nvd_pages_roundtrip"] = f"""
 SELECT {cve('p_partkey')} AS cve_id,
   CASE WHEN p_partkey % 6 = 0 THEN NULL

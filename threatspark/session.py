@@ -7,7 +7,6 @@ Only when that setting is absent (local tests) do we create one in /tmp.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -76,8 +75,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: this is a local run (tests, bench); never reached on a cluster
-        # that names its shared folder.
+        if not (sc.master or "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="threatspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -85,7 +84,4 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A folder for written intermediate tables, under the shared checkpoint dir."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "tables", name)
+    return f"{ensure_checkpoint_dir(spark)}/tables/{name}"

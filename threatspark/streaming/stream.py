@@ -13,12 +13,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from threatspark.operators.merge import commit_table, read_bucketed, read_current, upsert, upsert_bucketed
+from threatspark.operators.merge import read_current, upsert_bucketed, upsert_table
 
 
 def stream_layer(spark: SparkSession, source_dir: str, schema: str, target: str, key: str | Sequence[str],
                  checkpoint: str, order: Sequence[str | Column] | None = None, fmt: str = "parquet",
-                 max_files_per_trigger: int | None = None, transform=None, timeout_s: int = 600,
+                 max_files_per_trigger: int | None = None, transform=None, timeout_s: int | None = None,
                  buckets: int | None = None,
                  dedupe: tuple[str, str, Sequence[str]] | None = None) -> DataFrame:
     """Drain ``source_dir`` into the table at ``target``; returns the table.
@@ -28,7 +28,11 @@ def stream_layer(spark: SparkSession, source_dir: str, schema: str, target: str,
     micro-batch commits a new full version (atomic for readers).
 
     ``dedupe`` = (event-time column, delay, columns): re-delivered copies are
-    dropped in the stream itself, within the watermark (R2), before the merge."""
+    dropped in the stream itself, within the watermark (R2), before the merge.
+
+    ``order`` (column names) holds over all deliveries: a back-dated row that
+    arrives late never replaces a newer stored one. The stream runs until the
+    backlog is drained; ``timeout_s`` is the caller's own limit, if any."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -41,21 +45,18 @@ def stream_layer(spark: SparkSession, source_dir: str, schema: str, target: str,
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         if buckets:
-            upsert_bucketed(batch.sparkSession, target, batch, key, buckets=buckets, order=order)
+            upsert_bucketed(batch.sparkSession, target, batch, key, buckets=buckets, order=order, keep_newer=bool(order))
             return
-        cur = read_current(batch.sparkSession, target)
-        merged = upsert(cur, batch, key, order=order)
-        commit_table(batch.sparkSession, merged, target)
+        upsert_table(batch.sparkSession, target, batch, key, order=order, keep_newer=bool(order))
 
     q = (stream.writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"stream into {target} did not drain in {timeout_s}s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    if buckets:
-        return read_bucketed(spark, target).drop("_bucket")
     return read_current(spark, target)
