@@ -2,9 +2,10 @@ import datetime as dt
 import gzip
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
-from threatspark.operators.merge import read_current
+from threatspark.operators.merge import read_appended, read_current
 from threatspark.plans import layers
 
 
@@ -42,7 +43,8 @@ def test_run_layers_incremental_and_isolation(spark, tmp_path):
     assert all(r["status"] == "ok" for r in res.values()), res
     assert read_current(spark, root + "/gold/nvd").count() == 2        # duplicate delivery absorbed
     assert read_current(spark, root + "/silver/nvd").filter("cve_id = 'CVE-2'").first()["vuln_status"] == "Analyzed"
-    assert read_current(spark, root + "/quarantine/epss") is None  # bronze quarantined the bad row already
+    bad = read_appended(spark, root + "/quarantine/bronze/epss")  # bronze keeps the row it rejects
+    assert [(r["cve"], r["reason"], r["_epss_raw"]) for r in bad.collect()] == [("CVE-2", "epss_not_a_number", "oops")]
     g = read_current(spark, root + "/gold/cisa").first()
     assert g["gold_created_at"] == dt.datetime(2024, 1, 3) and g["silver_updated_at"] == dt.datetime(2024, 1, 3)
 
@@ -64,5 +66,13 @@ def test_run_layers_incremental_and_isolation(spark, tmp_path):
     q = {(r["source"], r["layer"]): r for r in layers.layer_report(spark, root).collect()}
     assert q[("nvd", "gold")]["rows"] == 3 and q[("nvd", "gold")]["dup_keys"] == 0
     assert q[("exploit", "bronze")]["status"] == "ok"
+    x = read_current(spark, root + "/gold/exploit").first()
+    assert x["codes"] == ["CVE-1"] and x["verified"] is True
+    fact = {r["cve_id"]: r["threats"] for r in layers.build_star(spark, root, check_rules=False).collect()}
+    assert set(fact) == {"CVE-1", "CVE-2", "CVE-3"} and fact["CVE-1"]["ExploitDB_exploit_id"] == "u1"
+    assert fact["CVE-2"]["Metasploit_module_name"] == "a"
+    assert read_current(spark, root + "/star/dim_vrr").count() == 5
+    with pytest.raises(ValueError):                                  # G10: no gold row has some rule fields
+        layers.build_star(spark, root)
     rep = layers.replicate(spark, root, str(tmp_path / "copy"), scope="gold")
     assert {r["table_name"]: r["status"] for r in rep.collect()}["nvd"] == "ok"

@@ -309,6 +309,10 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def read_appended(spark: SparkSession, path: str) -> DataFrame | None:
+def folder_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _folder(spark, path)
-    return spark.read.option("mergeSchema", "true").parquet(path) if fs.exists(p) else None
+    return fs.exists(p)
+
+
+def read_appended(spark: SparkSession, path: str) -> DataFrame | None:
+    return spark.read.option("mergeSchema", "true").parquet(path) if folder_exists(spark, path) else None
