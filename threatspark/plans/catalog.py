@@ -678,8 +678,8 @@ def nvd_pages_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy("page").agg(F.count("*").alias("n"), F.collect_list("item").alias("items"))  # <= 2000 per page
     pages.select("page", F.to_json(F.struct(F.col("n").alias("totalResults"),
                                             F.col("items").alias("vulnerabilities"))).alias("value")) \
-        .write.mode("overwrite").partitionBy("page").text(base + "/pages")
-    good, _ = silver_nvd(bronze_nvd(read_nvd_pages(spark, base + "/pages")))
+        .select("value").write.text(base + "/pages")
+    good, _ = silver_nvd(bronze_nvd(read_nvd_pages(spark, base + "/pages", lines=True)))
     return good.select(
         "cve_id", F.date_format("last_modified", "yyyy-MM-dd HH:mm:ss").alias("last_modified"),
         F.array_join("descriptions", "|").alias("descriptions"),
@@ -747,7 +747,7 @@ def kev_catalog_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     transformed to silver."""
     from threatspark.functions.strings import cve_of
     from threatspark.plans.silver import silver_kev
-    from threatspark.sources.feeds import read_kev
+    from threatspark.sources.feeds import bronze_kev, read_kev
     from threatspark.sources.tables import read_driver_table
     base = _scratch(spark, "kev")
     p = read_driver_table(spark, sf, "part").filter(F.col("p_size") % 7 != 0)
@@ -763,8 +763,8 @@ def kev_catalog_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     docs.select("doc", F.to_json(F.struct(F.lit("2024.12.01").alias("catalogVersion"),
                                           F.lit("2024-12-01T10:00:00.000Z").alias("dateReleased"),
                                           "count", "vulnerabilities")).alias("value")) \
-        .write.mode("overwrite").partitionBy("doc").text(base)
-    good, _ = silver_kev(read_kev(spark, base, since="2021-06-15"))
+        .select("value").write.text(base)
+    good, _ = silver_kev(bronze_kev(read_kev(spark, base, since="2021-06-15", lines=True)))
     return good.select("cve_id", F.date_format("date_added", "yyyy-MM-dd").alias("date_added"),
                        "vendor_project", F.array_join("cwes", "|").alias("cwes"), "title",
                        F.date_format("date_released", "yyyy-MM-dd HH:mm:ss").alias("date_released"))
@@ -794,8 +794,8 @@ def modules_map_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     docs = s.select((k / 50).cast("long").alias("doc"),
                     F.concat(F.lit("exploit/s"), k.cast("string")).alias("fullname"), rec.alias("r")) \
         .groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("fullname", "r"))).alias("m"))  # <= 50
-    docs.select("doc", F.to_json("m").alias("value")).write.mode("overwrite").partitionBy("doc").text(base)
-    good, _ = silver_modules(bronze_modules(read_modules(spark, base, since="1998-01-01 00:00:00 +0000")))
+    docs.select(F.to_json("m").alias("value")).write.text(base)
+    good, _ = silver_modules(bronze_modules(read_modules(spark, base, since="1998-01-01 00:00:00 +0000", lines=True)))
     return good.select("fullname", "name", "mod_time", "rank", F.array_join("references", "|").alias("refs"),
                        F.size("author").alias("n_authors"))
 

@@ -63,6 +63,7 @@ def silver_exploit(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_quarantine(rows, {"missing_key": _missing("id")})
 
 
+# The silver module columns.
 MODULE_SILVER = ["fullname", "title", "name", "rank", "disclosure_date", "mod_time", "type", "author",
                  "description", "references", "platform", "arch", "rport", "autofilter_ports",
                  "autofilter_services", "targets", "path", "is_install_path", "ref_name", "check",

@@ -8,15 +8,14 @@ one task; pass ``partitions`` to spread the exploded rows before heavy work.
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threatspark.functions.strings import NA_WORDS
 from threatspark.operators.incremental import exploit_change_date, since_filter
 
 # ------------------------------------------------------------------ schemas
+# The feeds' published field names.
 
 KEV_ROW = ("cveID:string,vendorProject:string,product:string,vulnerabilityName:string,"
            "dateAdded:string,shortDescription:string,requiredAction:string,dueDate:string,"
@@ -52,10 +51,11 @@ def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
 # ------------------------------------------------------------------ A1 / B2
 
 def read_kev(spark: SparkSession, path: str, since: str | None = None,
-             partitions: int | None = None) -> DataFrame:
+             partitions: int | None = None, lines: bool = False) -> DataFrame:
     """A1: one row per catalogue entry, catalogue fields copied on each; F1
-    incremental filter on dateAdded (text compare, null dropped)."""
-    doc = spark.read.schema(KEV_SCHEMA).option("multiLine", True).json(path)
+    incremental filter on dateAdded (text compare, null dropped). ``lines``:
+    files hold a document per line, instead of one document."""
+    doc = spark.read.schema(KEV_SCHEMA).option("multiLine", not lines).json(path)
     rows = doc.select("catalogVersion", "dateReleased", "count",
                       F.explode("vulnerabilities").alias("v")) \
         .select("v.*", "catalogVersion", "dateReleased", "count")
@@ -69,9 +69,10 @@ def bronze_kev(rows: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ A3 / F5 / B1
 
-def read_nvd_pages(spark: SparkSession, path: str) -> DataFrame:
-    """A3: response pages -> one row per item (column ``cve``, a struct)."""
-    pages = spark.read.schema(NVD_PAGE_SCHEMA).option("multiLine", True).json(path)
+def read_nvd_pages(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """A3: response pages -> one row per item (column ``cve``, a struct).
+    ``lines``: files hold a page per line, instead of one page."""
+    pages = spark.read.schema(NVD_PAGE_SCHEMA).option("multiLine", not lines).json(path)
     return pages.select(F.explode("vulnerabilities").alias("v")).select(F.col("v.cve").alias("cve"))
 
 
@@ -112,10 +113,11 @@ def bronze_exploit(rows: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ A8 / F3 / B5
 
 def read_modules(spark: SparkSession, path: str, since: str | None = None,
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, lines: bool = False) -> DataFrame:
     """The module JSON object used as a map; key -> ``fullname``. F3
-    incremental on mod_time (text compare, strict '>', null kept)."""
-    text = spark.read.text(path, wholetext=True)
+    incremental on mod_time (text compare, strict '>', null kept). ``lines``:
+    files hold an object per line, instead of one object."""
+    text = spark.read.text(path, wholetext=not lines)
     m = text.select(F.from_json("value", MODULE_MAP_SCHEMA).alias("m"))
     rows = m.select(F.explode("m").alias("fullname", "r")).select("fullname", "r.*")
     return _spread(since_filter(rows, "mod_time", since, keep_null=True), partitions)
@@ -130,7 +132,6 @@ def bronze_modules(rows: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ A9
 
 _LOCAL_SCHEME = "^file:/+"
-_FILE_LOOKUP_MAX = 1000  # above this many files the rank comes from a join
 
 
 def read_scanner_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -147,16 +148,8 @@ def read_scanner_csv(spark: SparkSession, path: str) -> DataFrame:
                      for c in cols],
                    F.regexp_replace(F.col("_metadata.file_path"), _LOCAL_SCHEME, "/").alias("_src"),
                    F.monotonically_increasing_id().alias("_mono"))
-    # the file listing is metadata (one name per file), not data
-    files = sorted({re.sub(_LOCAL_SCHEME, "/", f) for f in df.inputFiles()})
     pos = F.col("_mono").bitwiseAND(F.lit((1 << 33) - 1))
-    if len(files) <= 1:
-        return df.withColumn("row_id", F.col("_mono")).drop("_src", "_mono")
-    if len(files) <= _FILE_LOOKUP_MAX:
-        rank = F.array_position(F.array(*[F.lit(f) for f in files]), F.col("_src")) - 1
-    else:
-        ranks = spark.createDataFrame(list(enumerate(files)), "_rank long, _src string")
-        df = df.join(ranks, "_src")
-        rank = F.col("_rank")
-    return df.withColumn("row_id", rank.cast("long") * (1 << 33) + pos) \
+    # one row per file that has rows, numbered in name order
+    ranks = df.select("_src").distinct().withColumn("_rank", F.row_number().over(Window.orderBy("_src")) - 1)
+    return df.join(ranks, "_src", "left").withColumn("row_id", F.col("_rank").cast("long") * (1 << 33) + pos) \
         .select(*[F.col(f"`{c}`") for c in cols], "row_id")

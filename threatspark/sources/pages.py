@@ -21,44 +21,66 @@ APP_LINK_TEXT = "Vulnerable App"
 APP_HREF_WORDS = ["software", "download"]
 OWN_DOMAIN = "exploit-db.com"
 
-_A_TAG = r"<a\s[^>]*>"
-_HREF = r"""href\s*=\s*["']([^"']*)["']"""
+# The character references that occur in attributes and link texts.
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&amp;": "&"}
 
 
 def _nz(c: Column) -> Column:
     return F.when(c != "", c)
 
 
+def unescape(c: Column) -> Column:
+    for name, char in ENTITIES.items():
+        c = F.replace(c, F.lit(name), F.lit(char))
+    return c
+
+
+def _tags(html: Column, name: str) -> Column:
+    """All opening tags of one kind, in any case."""
+    return F.regexp_extract_all(html, F.lit(rf"(?is)(<{name}(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>)"), F.lit(1))
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """An attribute's value: any case, any place, double, single or no quotes; '' if absent."""
+    pattern = rf"(?is)(?<![\w-]){name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+    return unescape(F.concat(*[F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)]))
+
+
+def _has_class(tag: Column, names: list[str]) -> Column:
+    """One of the class names is a whole word of the class attribute."""
+    return F.arrays_overlap(F.split(strip(attribute(tag, "class")), r"\s+"), F.array(*[F.lit(n) for n in names]))
+
+
 def screenshot_url(html: Column) -> Column:
     """First <a> with class screenshot-url: its href."""
-    tag = F.regexp_extract(html, r"(<a\s[^>]*class\s*=\s*[\"'][^\"']*\bscreenshot-url\b[^\"']*[\"'][^>]*>)", 1)
-    return _nz(F.regexp_extract(tag, _HREF, 1))
+    own = F.filter(_tags(html, "a"), lambda t: _has_class(t, ["screenshot-url"]))
+    return _nz(attribute(F.get(own, 0), "href"))
 
 
 def verified(html: Column) -> Column:
     """An <i> icon with class mdi-check or fa-check is present."""
-    classes = "|".join(VERIFIED_CLASSES)
-    return html.rlike(rf"<i\s[^>]*class\s*=\s*[\"'][^\"']*\b({classes})\b")
+    return F.exists(_tags(html, "i"), lambda t: _has_class(t, VERIFIED_CLASSES))
 
 
 def all_hrefs(html: Column) -> Column:
-    return F.regexp_extract_all(html, F.lit(r"<a\s[^>]*" + _HREF), F.lit(1))
+    return F.filter(F.transform(_tags(html, "a"), lambda t: attribute(t, "href")), lambda h: h != "")
 
 
 def application_url(html: Column, own_domain: str = OWN_DOMAIN) -> Column:
-    """Link whose text holds 'Vulnerable App'; else the first href mentioning
-    software or download that is not on the site's own domain."""
-    by_text = _nz(F.regexp_extract(
-        html, r"<a\s[^>]*" + _HREF + r"[^>]*>[^<]*" + APP_LINK_TEXT, 1))
+    """Link whose text holds 'Vulnerable App', inner tags aside; else the first
+    href mentioning software or download that is not on the site's own domain."""
+    anchors = F.regexp_extract_all(html, F.lit(r"(?is)(<a(?=[\s>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?</a\s*>)"), F.lit(1))
+    text = lambda a: unescape(F.regexp_replace(a, r"(?s)<[^>]*>", ""))
+    by_text = _nz(attribute(F.get(F.filter(anchors, lambda a: text(a).contains(APP_LINK_TEXT)), 0), "href"))
     words = "|".join(APP_HREF_WORDS)
     cands = F.filter(all_hrefs(html), lambda h: h.rlike(words) & ~h.contains(own_domain))
     return F.coalesce(by_text, F.get(cands, 0))
 
 
 def keywords(html: Column) -> Column:
-    """Trimmed items of <meta name="keywords" content="...">."""
-    content = F.regexp_extract(
-        html, r"<meta\s[^>]*name\s*=\s*[\"']keywords[\"'][^>]*content\s*=\s*[\"']([^\"']*)[\"']", 1)
+    """Trimmed items of the content of <meta name="keywords">, in either attribute order."""
+    own = F.filter(_tags(html, "meta"), lambda t: F.lower(attribute(t, "name")) == "keywords")
+    content = attribute(F.get(own, 0), "content")
     return F.when(content != "", F.transform(F.split(content, ","), lambda k: strip(k))) \
         .otherwise(F.array().cast("array<string>"))
 
