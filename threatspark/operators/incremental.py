@@ -91,6 +91,20 @@ def slice_bounds(start: Column, end: Column) -> Column:
         F.when(days > MAX_RANGE_DAYS, F.least(lo + step, end)).otherwise(end).alias("hi")))
 
 
+def read_by_slices(df: DataFrame, ts_col: str) -> DataFrame:
+    """A4: the rows as a backfill by slices delivers them, with ``slice_no``;
+    a row on an edge is in both slices. Like rows_per_slice, a row works out
+    its slices from its offset to the start; there is no join."""
+    ts = F.col(ts_col).cast("timestamp")
+    bounds = df.agg(F.min(ts).alias("s"), F.max(ts).alias("e"))
+    b = bounds.select(F.struct("s", F.size(slice_bounds(F.col("s"), F.col("e"))).alias("n")).alias("b")).scalar()
+    step = SLICE_DAYS * 86_400_000_000
+    off = F.unix_micros(ts) - F.unix_micros(b["s"])
+    k = F.when(b["n"] == 1, F.lit(0)).otherwise((off - off % step) / step).cast("int")
+    placed = df.withColumn("_c0", F.when(k < b["n"], k)).withColumn("_c1", F.when((b["n"] > 1) & (off % step == 0) & (k > 0), k - 1))
+    return placed.withColumn("slice_no", F.explode(F.array("_c0", "_c1"))).filter(F.col("slice_no").isNotNull()).drop("_c0", "_c1")
+
+
 def rows_per_slice(df: DataFrame, ts_col: str, start: Column | None = None,
                    end: Column | None = None) -> DataFrame:
     """J12 without a nested-loop join: each row computes the one or two slices

@@ -694,3 +694,97 @@ SELECT cast(o_orderkey AS VARCHAR) AS id, pub AS date_published,
        ELSE array_to_string(cves, '|') || '|OSVDB-' || cast(o_orderkey AS VARCHAR) END AS codes,
   CASE WHEN o_orderkey % 2 = 0 THEN 'Linux|remote' END AS tags
 FROM j WHERE coalesce(upd, pub) > '1996-01-01'"""
+
+
+# ------------------------------------------------------------------ catalog_layers
+
+ORACLE_SQL["fact_from_layers"] = ORACLE_SQL["vrr_score_per_cve"]
+
+_DELIVERIES = """
+WITH d AS (
+  SELECT 1 AS run, p_partkey AS k, p_size * 1 AS price, '2024-01-01' AS seen FROM part WHERE p_partkey % 7 <> 0
+  UNION ALL SELECT 2, p_partkey, p_size * 2, '2024-02-01' FROM part WHERE p_partkey % 3 = 0 OR p_partkey % 7 = 0)
+"""
+
+ORACLE_SQL["custom_source"] = _DELIVERIES + """
+SELECT cast(k AS VARCHAR) AS id, cast(arg_max(price, run) AS DOUBLE) AS price, max(seen) AS seen, 'parts' AS origin,
+  min(seen) AS gold_created_at, max(seen) AS gold_updated_at
+FROM d WHERE k % 11 <> 0 GROUP BY k"""
+
+ORACLE_SQL["layer_status"] = _DELIVERIES + """
+, n AS (SELECT run, count(*) AS landed, count(*) FILTER (k % 11 <> 0) AS good FROM d GROUP BY run)
+SELECT run, 'parts' AS source, layer, 'ok' AS status, CASE layer WHEN 'bronze' THEN landed ELSE good END AS rows
+FROM n, (SELECT unnest(['bronze', 'silver', 'gold']) AS layer)
+UNION ALL SELECT run, 'broken', 'bronze', 'failed', 0 FROM n
+UNION ALL SELECT run, 'broken', unnest(['silver', 'gold']), 'ok', 0 FROM n"""
+
+ORACLE_SQL["quarantine_rows"] = _DELIVERIES + """
+SELECT cast(k AS VARCHAR) AS id, 'price_not_a_number' AS reason, seen, seen AS run FROM d WHERE k % 11 = 0"""
+
+ORACLE_SQL["replicate_tables"] = """
+SELECT cast(p_partkey AS VARCHAR) AS id, cast(CASE WHEN p_partkey % 7 <> 0 THEN p_size ELSE p_size * 2 END AS DOUBLE) AS price FROM part"""
+
+ORACLE_SQL["replace_report"] = """
+SELECT o_orderkey, o_orderstatus, lower(o_orderstatus) AS state FROM orders WHERE o_orderstatus <> 'F'"""
+
+ORACLE_SQL["scanner_csv_roundtrip"] = with_findings("""
+, m AS (SELECT HostFindingsID, row_id, count(*) OVER (PARTITION BY HostFindingsID) AS n_records,
+    row_number() OVER (PARTITION BY HostFindingsID ORDER BY row_id DESC) AS nth, vrr_score, vulnerabilities,
+    ScannerPluginID, ScannerReportedSeverity FROM report)
+SELECT HostFindingsID, CASE WHEN row_id % 9 = 0 THEN 0.0 ELSE vrr_score END AS vrr_score,
+  CASE WHEN row_id % 9 = 0 THEN '' ELSE vulnerabilities END AS vulnerabilities,
+  'Plugin ' || ScannerPluginID || ' row ' || cast(row_id AS VARCHAR) AS VulnerabilityName, ScannerReportedSeverity, n_records
+FROM m WHERE nth = 1""")
+
+ORACLE_SQL["enricher_roundtrip"] = with_feeds(f"""
+, ev AS (SELECT event_id, {cve('event_id % (SELECT max(p_partkey) * 11 // 10 FROM part)')} AS cve_id FROM events)
+SELECT event_id, cve_id, coalesce(vrr_score, 0.0) AS vrr_score, 1::BIGINT AS n_exported FROM ev LEFT JOIN fact USING (cve_id)""")
+
+ORACLE_SQL["report_columns"] = """
+WITH c AS (SELECT unnest(['row_id', 'vrr_score', 'vulnerabilities', 'weaknesses', 'IPAddress', 'VulnerabilityName', 'ScannerReportedSeverity',
+    'HostFindingsID', 'threats', 'ScannerName', 'ScannerPluginID', 'ScannerSeverity', 'Description', 'Status', 'Port', 'Protocol',
+    'PluginOutput', 'PossibleSolutions', 'PossiblePatches']) AS name, generate_subscripts(range(19), 1) - 1 AS position)
+SELECT cast(position AS INTEGER) AS position, name, CASE name WHEN 'PossiblePatches' THEN 0 WHEN 'ScannerSeverity' THEN count(value) ELSE count(*) END AS n_values
+FROM c, events GROUP BY position, name"""
+
+ORACLE_SQL["zero_risk_dropped"] = with_findings("SELECT row_id, vrr_score FROM report WHERE vrr_score > 0")
+
+ORACLE_SQL["exploit_page_metadata"] = """
+SELECT p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN '/shots/' || p_partkey || '.png' END AS screenshot_url,
+  p_partkey % 4 IN (0, 3) AS verified,
+  CASE p_partkey % 5 WHEN 0 THEN 'https://soft.example/get?id=' || p_partkey || '&v=1'
+    WHEN 1 THEN 'https://soft.example/get?id=' || p_partkey || '&v=1&download' END AS application_url,
+  'CVE-2024-' || p_partkey || '|OSVDB-' || p_partkey AS codes, 'Remote|R&D' AS tags
+FROM part"""
+
+ORACLE_SQL["epss_silver"] = """
+SELECT strftime(l_shipdate, '%Y') AS date, count(*) FILTER (l_linenumber NOT IN (5, 7)) AS n_good,
+  cast(sum(CASE WHEN l_linenumber NOT IN (5, 6, 7) THEN l_partkey WHEN l_linenumber = 6 THEN 0 END) AS BIGINT) AS billionths,
+  count(*) FILTER (l_linenumber IN (5, 7)) AS n_bad
+FROM lineitem GROUP BY 1"""
+
+ORACLE_SQL["range_rows"] = """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders
+WHERE cast(o_orderdate AS DATE) BETWEEN DATE '1995-01-01' AND DATE '1995-12-31'"""
+
+ORACLE_SQL["incremental_lookback"] = "SELECT o_orderkey FROM orders WHERE o_orderdate > TIMESTAMP '1996-05-22 00:00:00'"
+
+ORACLE_SQL["nvd_slices_backfill"] = """
+WITH b AS (SELECT min(o_orderdate) AS s, max(o_orderdate) AS e FROM orders),
+w AS (SELECT i AS slice_no, s + to_days(119 * i) AS lo, least(s + to_days(119 * (i + 1)), e) AS hi
+  FROM b, (SELECT unnest(range(0, 1000))::INTEGER AS i) WHERE s + to_days(119 * i) < e),
+r AS (SELECT o_custkey, o_orderkey, slice_no, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC, slice_no DESC) AS n
+  FROM orders JOIN w ON o_orderdate BETWEEN lo AND hi)
+SELECT o_custkey, o_orderkey, slice_no FROM r WHERE n = 1"""
+
+ORACLE_SQL["key_except"] = "SELECT p_partkey AS k FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 49"
+
+ORACLE_SQL["required_keys"] = "SELECT event_id, event_type AS key FROM events WHERE event_id % 3 = 1 AND event_type <> ''"
+
+ORACLE_SQL["risk_membership"] = """
+SELECT upper(event_type[1]) || event_type[2:] AS type, count(*) AS n FROM events WHERE lower(event_type) IN ('view', 'click') GROUP BY 1"""
+
+ORACLE_SQL["sample_ordered"] = "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 5"
+
+ORACLE_SQL["typed_guards"] = """
+SELECT 'CVE-' || p_partkey AS cve_id, CASE WHEN p_partkey % 4 = 3 THEN 'fine' ELSE '' END AS descriptions, 0 AS n_references FROM part"""
