@@ -98,3 +98,15 @@ def test_finding_id_compat(spark):
     df = spark.createDataFrame([(None, "1")], "h string, p string")
     r = df.select(strings.finding_id("h", "p", "nan")).first()[0]
     assert r == hashlib.md5(b"nan-1").hexdigest()
+
+
+def test_large_numbers_and_any_white_space(spark):
+    from threatspark.functions import strings
+    r = spark.range(1).select(
+        strings.cve_of(F.lit(1_000_000)).alias("a"), strings.cve_of(F.lit(7)).alias("b"),
+        casts.tolerant_int(F.lit("\t3000000000\n")).alias("c"),
+        strings.normalize_cves(F.lit("CVE-2020-1,\nCVE-2020-2,\tcve-2020-3")).alias("d"),
+        casts.decimal_or_zero(F.lit("0.000431239")).cast("string").alias("e"),
+        strings.join_text(F.lit("\n a"), F.lit("b\t")).alias("f")).first()
+    assert (r["a"], r["b"], r["c"]) == ("CVE-2024-1000000", "CVE-2024-000007", 3_000_000_000)
+    assert r["d"] == ["CVE-2020-1", "CVE-2020-2", "CVE-2020-3"] and r["e"].startswith("0.000431239") and r["f"] == "a b"

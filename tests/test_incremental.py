@@ -71,3 +71,14 @@ def test_rows_per_slice_explicit_bounds(spark):
     got = [(r["slice_no"], r["lo"], r["hi"], r["n_rows"]) for r in
            inc.rows_per_slice(df, "t", F.lit(start), F.lit(end)).orderBy("slice_no").collect()]
     assert got == _brute(ts, start, end)
+
+
+def test_slices_keep_fractions_of_a_second(spark):
+    import datetime as dt
+    from threatspark.operators.incremental import read_by_slices, rows_per_slice
+    start = dt.datetime(2024, 1, 1, 0, 0, 0, 900_000)
+    edge = start + dt.timedelta(days=119)
+    rows = [start, edge - dt.timedelta(milliseconds=700), edge, edge + dt.timedelta(microseconds=1), start + dt.timedelta(days=238, microseconds=5)]
+    df = spark.createDataFrame([(t,) for t in rows], "ts timestamp")
+    assert [r["n_rows"] for r in rows_per_slice(df, "ts").orderBy("slice_no").collect()] == [3, 2, 1]
+    assert sorted(r["slice_no"] for r in read_by_slices(df, "ts").collect()) == [0, 0, 0, 1, 1, 2]

@@ -27,3 +27,16 @@ def test_enrich_exploits_keeps_rows_without_page(spark):
     out = {x["id"]: x for x in enrich_exploits(index, page_metadata(pages)).collect()}
     assert out["1"]["codes"] == ["CVE-2011-9"]
     assert out["2"]["codes"] == ["CVE-2020-1"] and out["2"]["verified"] is False   # Q25
+
+
+def test_markup_variants(spark):
+    from pyspark.sql import functions as F
+    from threatspark.sources.pages import page_metadata
+    pages = ["<META CONTENT=' CVE-2020-1 , R&amp;D' NAME=Keywords><I CLASS='x mdi-check'></I><a href=/d?a=1&amp;b=2><b>Vulnerable App</b></a>",
+             '<meta name="description" content="CVE-1"><i class="mdi mdi-check-circle"></i><a data-href="/software" href="/ok">x</a>',
+             '<a class="xscreenshot-url" href="/no"></a><a href="/yes.png" class=" screenshot-url "></a>', "", None]
+    df = spark.createDataFrame(list(enumerate(pages)), "id int, html string")
+    r = page_metadata(df, url_col=None).orderBy("id").collect()
+    assert r[0]["codes"] == ["CVE-2020-1"] and r[0]["tags"] == ["R&D"] and r[0]["verified"] and r[0]["application_url"] == "/d?a=1&b=2"
+    assert r[1]["codes"] == [] and not r[1]["verified"] and r[1]["application_url"] is None
+    assert r[2]["screenshot_url"] == "/yes.png" and r[3]["codes"] == [] and r[4]["screenshot_url"] is None

@@ -108,3 +108,15 @@ def test_scanner_csv_row_order_across_files(spark, tmp_path):
     assert df.columns == ["Plugin ID", "Host", "Description", "row_id"]
     one = src.read_scanner_csv(spark, str(d / "c.csv"))
     assert [r["Host"] for r in one.orderBy("row_id").collect()] == [f"h-c.csv-{i}" for i in range(40)]
+
+
+def test_epss_files_named_by_day_are_not_opened(spark, tmp_path):
+    """F4 by file name: old snapshots are pruned before the scan."""
+    import gzip
+    from threatspark.sources.epss import read_epss
+    for day in range(1, 11):
+        with gzip.open(tmp_path / f"epss_scores-2024-01-{day:02d}.csv.gz", "wt") as f:
+            f.write(f"#model_version:v1,score_date:2024-01-{day:02d}T00:00:00+0000\ncve,epss,percentile\nCVE-{day},0.{day},0.5\n")
+    (tmp_path / "epss_scores-2023-12-31.csv.gz").write_bytes(b"not gzip at all")  # would fail if it were opened
+    rows = read_epss(spark, str(tmp_path), since="2024-01-08").collect()
+    assert sorted(r["date"] for r in rows) == ["2024-01-09", "2024-01-10"]

@@ -9,6 +9,7 @@ from threatspark.functions.casts import EPSS_DECIMAL, decimal_or_zero, split_qua
 from threatspark.operators.incremental import snapshot_gate
 
 # Fixed values that must equal the reference's for right results.
+DAY_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 SCORE_DATE_PATTERN = r"score_date:(\d{4}-\d{2}-\d{2})"
 
 
@@ -24,16 +25,18 @@ def read_epss(spark: SparkSession, path: str, since: str | None = None,
     score date (today / ``run_date`` when the file has none); whole files
     dated on or before ``since`` are skipped (F4).
 
-    Metadata: one pass over the '#' lines, reduced to one row per file.
-    Rows: the CSV reader with '#' as comment char. Both are keyed by file
-    name and joined (J11); the metadata side has one row per file."""
-    text = spark.read.text(path).withColumn("_file", F.col("_metadata.file_path"))
-    meta = text.filter(F.col("value").startswith("#")) \
-        .groupBy("_file").agg(F.max(score_date_of(F.col("value"))).alias("score_date"))
-    files = text.select("_file").distinct().join(meta, "_file", "left")
+    Files whose name carries a day on or before ``since`` are not opened at
+    all (snapshots are published under their score date). Metadata: one pass
+    over the text, reduced to one row per file. Rows: the CSV reader with '#'
+    as comment char. Both are keyed by file name and joined (J11); the
+    metadata side has one row per file."""
+    name_day = F.regexp_extract(F.col("_metadata.file_name"), DAY_IN_NAME, 1)
+    open_ = F.lit(True) if since is None else (name_day == "") | (name_day > F.lit(since))
+    text = spark.read.text(path).filter(open_).withColumn("_file", F.col("_metadata.file_path"))
+    files = text.groupBy("_file").agg(F.max(F.when(F.col("value").startswith("#"), score_date_of(F.col("value")))).alias("score_date"))
     files = snapshot_gate(files, since)
     rows = spark.read.option("header", True).option("comment", "#").option("ignoreLeadingWhiteSpace", True) \
-        .schema("cve string, epss string, percentile string").csv(path) \
+        .schema("cve string, epss string, percentile string").csv(path).filter(open_) \
         .withColumn("_file", F.col("_metadata.file_path"))
     today = F.lit(run_date) if run_date else F.date_format(F.current_date(), "yyyy-MM-dd")
     out = rows.join(files, "_file").withColumn("date", F.coalesce("score_date", today))
