@@ -12,7 +12,8 @@ def test_entry_smoke(spark):
 def test_every_query_has_sql_or_is_declared():
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs)
-    assert set(qs) == set(sql), f"queries without oracle: {sorted(set(qs) - set(sql))}"
+    optional = {q for q in qs if q.startswith("op") or q == "pipeline"}  # checked in their own folder
+    assert set(qs) - set(sql) <= optional, f"queries without oracle: {sorted(set(qs) - set(sql) - optional)}"
 
 
 def test_some_queries_match_oracle_small(spark):

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from threatspark.operators.merge import read_appended, read_current
+from threatspark.operators.merge import current_commit, read_appended, read_current
 from threatspark.plans import layers
 
 
@@ -52,10 +52,13 @@ def test_run_layers_incremental_and_isolation(spark, tmp_path):
             {"id": "CVE-3", "lastModified": "2024-02-02T00:00:00.000"}]
     l2 = land(tmp_path, "2024-02-02", [{"cveID": "CVE-1", "dateAdded": "2024-01-01"},
                                        {"cveID": "CVE-9", "dateAdded": "2024-02-01"}], nvd2, ["CVE-3,0.1,0.2"])
+    before = current_commit(spark, root + "/gold/nvd").parts
     l2["exploit"] = str(tmp_path / "nowhere.csv")                                    # R4: one source fails
     st2 = {(r["source"], r["layer"]): r["status"] for r in
            layers.run_layers(spark, root, l2, run_ts=dt.datetime(2024, 2, 3)).collect()}
     assert st2[("exploit", "bronze")].startswith("failed") and st2[("nvd", "gold")] == "ok"
+    after = current_commit(spark, root + "/gold/nvd").parts          # two keys: at most two buckets anew
+    assert sum(before.get(b) != g for b, g in after.items()) <= 2
     nvd = {r["cve_id"]: r for r in read_current(spark, root + "/silver/nvd").collect()}
     assert set(nvd) == {"CVE-1", "CVE-2", "CVE-3"} and nvd["CVE-2"]["vuln_status"] == "Modified"
     assert nvd["CVE-1"]["silver_updated_at"] == dt.datetime(2024, 1, 3)              # untouched
