@@ -16,14 +16,10 @@ ORACLE_SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def deco(fn):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return fn(spark, sf_dir)
-        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
-        QUERIES[name] = run
+        QUERIES[name] = fn
         if sql:
             ORACLE_SQL[name] = sql
-        return run
+        return fn
     return deco
 
 
