@@ -1,6 +1,6 @@
 """Rule registry (U1, U2, D7): threat attributes and score factors.
 
-A rule names its source, field(s) and how to read them; ``compile_*`` turns the
+A rule names its source, field(s) and how to read them; ``threat_value`` and ``score_expr`` turn the
 registry into native Column expressions over a joined frame where each source
 is a struct column named after its alias (null when the CVE has no record in
 that source). No rule ever runs Python per row.
