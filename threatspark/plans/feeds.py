@@ -124,7 +124,7 @@ def feed_exploit(spark: SparkSession, sf_dir: str) -> DataFrame:
     # one exploit per order; its codes are the sorted distinct CVEs of the
     # order's lines (a group bounded by the lines of one order)
     j = o.join(li, "o_orderkey").groupBy("o_orderkey", "o_custkey", "o_orderdate").agg(
-        F.array_sort(F.collect_set(cve_of(F.col("l_partkey")))).alias("codes"))
+        F.array_sort(F.transform(F.collect_set("l_partkey"), cve_of)).alias("codes"))
     pub = F.date_format("o_orderdate", "yyyy-MM-dd")
     ck = F.col("o_custkey")
     return j.select(
@@ -172,12 +172,13 @@ def feed_module_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     Long form keeps a hot supplier from being collected into one array."""
     rows = _module_rows(spark, sf_dir)
     full = F.concat(F.lit("exploit/s"), F.col("l_suppkey").cast("string"))
-    cves = rows.select(full.alias("fullname"), cve_of(F.col("l_partkey")).alias("ref"))
+    # distinct on the numeric keys; text is derived after
+    cves = rows.select("l_suppkey", "l_partkey").distinct().select(full.alias("fullname"), cve_of(F.col("l_partkey")).alias("ref"))
     sup = rows.select("l_suppkey").distinct()
     extra = sup.select(full.alias("fullname"), F.explode(F.array(
         F.concat(F.lit("URL-https://ref.example/s"), F.col("l_suppkey").cast("string")),
         F.lower(cve_of(F.col("l_suppkey"))))).alias("ref"))
-    return cves.unionByName(extra).distinct()
+    return cves.unionByName(extra)
 
 
 def known_span(spark: SparkSession, sf_dir: str) -> F.Column:
