@@ -58,6 +58,18 @@ def test_distances_are_exact(spark, frame):
         assert r["distance"] == brute.edit_distance_inside(w, texts[r["doc_id"]].split())
 
 
+def test_first_words_dropped_at_the_start_of_a_document(spark, frame):
+    rng = random.Random(12)
+    items = [" ".join(rng.choices(VOCABULARY, k=k)) for k in (7, 10, 13, 16) * 25]
+    dropped = [(i, k) for i, x in enumerate(items) for k in (1, 2, 3) if k <= D.EDIT_SHARE * len(x.split())]
+    texts = [" ".join(items[i].split()[k:] + rng.choices(VOCABULARY, k=20 * (i % 2))) for i, k in dropped]
+    got = {(r["doc_id"], r["item_id"]): r for r in D.leaks(frame(texts), benchmark(spark, items)).collect()}
+    missed = [x for at, x in enumerate(dropped) if (at, x[0]) not in got]
+    assert len(missed) <= 0.05 * len(dropped)
+    for (at, item), r in got.items():
+        assert item == dropped[at][0] and r["distance"] == dropped[at][1] and 0 <= r["start_word"] <= 3
+
+
 def test_parts_of_the_benchmark(spark, frame, monkeypatch):
     texts = [f"before {x} after" for x in ITEMS] + ["clean words here"]
     whole = found(frame(texts), benchmark(spark))

@@ -121,8 +121,11 @@ def _build(items: pa.Table, repeats: int) -> _Index:
     return _Index(items.column("item_id").combine_chunks(), np.array(owner, np.int64), size, words, out)
 
 
-def _candidates(index: _Index, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (passage, first word) that some repeat finds."""
+def _candidates(index: _Index, w: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (passage, first word) that some repeat finds; head: the first
+    word of every word's document. A window is in the document of the word
+    that its walk starts from, so a backward one may have to be cut there: the
+    document's passage can be shorter than the item's."""
     found = []
     salt = None
     sides = {}
@@ -150,9 +153,9 @@ def _candidates(index: _Index, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         passage = r.passages[np.repeat(lo, count) + np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)]
         begin = start[own].astype(np.int64)
         if r.backward:
-            begin = len(w) - begin - index.size[passage]
-        inside = (begin >= 0) & (begin < len(w))
-        found.append(passage[inside] * len(w) + begin[inside])
+            last = len(w) - 1 - begin
+            begin = np.maximum(last + 1 - index.size[passage], head[last])
+        found.append(passage * len(w) + begin)
     both = np.unique(np.concatenate(found))
     return both // len(w), both % len(w)
 
@@ -186,9 +189,9 @@ def _matches(index: _Index, data: np.ndarray, offsets: np.ndarray) -> tuple[np.n
     w, doc = _words(data, offsets)
     if not len(w) or not len(index.item):
         return tuple(np.zeros(0, np.int64) for _ in range(5))
-    passage, begin = _candidates(index, w)
-    own = doc[begin]
     ends = np.searchsorted(doc, np.arange(len(offsets)))
+    passage, begin = _candidates(index, w, ends[doc])
+    own = doc[begin]
     distance = _distances(index, w, ends[own], ends[own + 1], passage, begin)
     close = distance <= np.floor(EDIT_SHARE * index.size[passage])
     passage, begin, own, distance = passage[close], begin[close], own[close], distance[close]
