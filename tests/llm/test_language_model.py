@@ -83,6 +83,13 @@ def test_equals_brute_force(frame, order):
         assert sum(rows[i]["score"] for i in out) > sum(rows[i]["base_score"] for i in out)
 
 
+def test_the_query_scores_by_trigrams(frame):
+    # After "a b" comes c, after "x b" comes d: a bigram model can't tell.
+    texts = ["a b c", "x b d"] * 40
+    rows = L.score_held_out(frame([*texts, "a b c", "a b d"])).orderBy("doc_id").collect()
+    assert rows[-2]["score"] > rows[-1]["score"] + 1
+
+
 def test_counts_do_not_depend_on_blocks(frame, monkeypatch):
     texts = corpus()
     whole = {r["doc_id"]: r["score"] for r in L.score_held_out(frame(texts)).collect()}

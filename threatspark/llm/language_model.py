@@ -30,7 +30,7 @@ from threatspark.llm import arrays
 from threatspark.llm import text as T
 from threatspark.llm.shared import new_folder
 
-ORDER = 2
+ORDER = 3
 HELD_OUT = (7, 2)            # modulus and remainder of crc32(doc_id)
 COUNT_TOKENS = 3_000_000     # tokens that a task reduces at once
 SCORE_BYTES = 8 << 20        # text that a task scores at once
@@ -201,8 +201,8 @@ def _merge(folder: str, order: int):
         if kind > 1:
             context, first, rank = np.unique(columns[0], return_index=True, return_inverse=True)
             arrays.save(f"{at}-contexts.npy", context)
-            arrays.save(f"{at}-totals.npy", np.stack(
-                [np.add.reduceat(x.astype(np.int64), first) for x in (counts, counts == 1, counts == 2, counts > 2)], axis=1))
+            totals = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (counts, counts == 1, counts == 2, counts > 2)], axis=1)
+            arrays.save(f"{at}-totals.npy", totals.astype(np.min_scalar_type(int(totals.max()))))
             bits = _rank_bits(len(context))
             arrays.save(f"{at}-keys.npy", rank.astype(np.uint64) << bits | columns[1] >> (_BITS - bits))
         else:
