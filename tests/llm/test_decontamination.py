@@ -70,6 +70,16 @@ def test_first_words_dropped_at_the_start_of_a_document(spark, frame):
         assert item == dropped[at][0] and r["distance"] == dropped[at][1] and 0 <= r["start_word"] <= 3
 
 
+def test_long_items_of_few_words(spark, frame):
+    chinese, mixed = "北京是中华人民共和国的首都和政治中心所在地", "氢原子的光谱线系由Balmer在1885年发现"
+    items = [chinese, mixed + ",", "Supercalifragilistic EXPIALIDOCIOUS", "ภาษาไทยไม่มีช่องว่างระหว่างคำ", "短句子", "two words"]
+    texts = [f"前言。{chinese}。后记", f"a b {mixed} c", "so supercalifragilistic, expialidocious!", "คือ" + items[3] + "ครับ", "短句子", "two words",
+             chinese[:-1], "supercalifragilistic expialidociousness", "xsupercalifragilistic expialidocious", chinese[5:] + chinese[:5], chinese[:9] + " 。" + chinese[9:]]
+    rows = D.leaks(frame(texts), benchmark(spark, items)).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["distance"], r["start_word"]) for r in rows) == [(0, 0, 0, 0), (1, 1, 0, 2), (2, 2, 0, 1), (3, 3, 0, 0)]
+    assert {r["doc_id"] for r in D.without_leaks(frame(texts), benchmark(spark, items)).collect()} == set(range(4, len(texts)))
+
+
 def test_parts_of_the_benchmark(spark, frame, monkeypatch):
     texts = [f"before {x} after" for x in ITEMS] + ["clean words here"]
     whole = found(frame(texts), benchmark(spark))

@@ -10,7 +10,10 @@ candidates. Several independent repeats, half of them walking backwards, reach
 the target recall. Each candidate is then settled by its exact edit distance.
 
 Passages are whole items, or all 16-word stretches (every fourth word) of a
-longer item. The benchmark is handled in parts of bounded size, one pass over
+longer item. Items of fewer than MIN_WORDS words are looked for exactly, as a
+sequence of ASCII words and single other characters: in a script without
+blanks an item is one or two words, inside a longer run of such characters.
+The benchmark is handled in parts of bounded size, one pass over
 the texts for each, so what a task holds does not grow with the benchmark.
 """
 
@@ -29,12 +32,14 @@ from threatspark.llm import text as T
 
 PASSAGE_WORDS = 16
 STRIDE = 4
-MIN_WORDS = 5         # shorter items say too little to be looked for
+MIN_WORDS = 5         # shorter items are looked for without edits,
+MIN_CHARS = 16        # if they have as many letters and digits
 EDIT_SHARE = 0.2      # word edits allowed, as a share of a passage's words
 REPEATS = 8           # in each direction
 STEPS = 14            # steps of a walk that are sampled from
 SAMPLES = 5           # steps sampled by a repeat
 PART_BYTES = 1 << 20  # benchmark text handled in one pass
+ANCHOR = 4            # tokens of a short item that are looked up at once
 _TABLE = 16           # bits of the tables that pre-filter sampled words
 
 
@@ -49,6 +54,17 @@ class _Repeat:
     passages: np.ndarray         # and the passages they belong to
 
 
+@dataclass(frozen=True)
+class _Short:
+    """Items of few words; their tokens are those of _fine()."""
+    item: np.ndarray      # item number
+    words: np.ndarray
+    start: np.ndarray     # first token in ``tokens``
+    size: np.ndarray
+    tokens: np.ndarray
+    anchors: list[tuple[int, np.ndarray, np.ndarray]]  # tokens of an anchor, sorted hashes, places in ``item``
+
+
 @dataclass(frozen=True)
 class _Index:
     items: pa.Array
@@ -56,6 +72,7 @@ class _Index:
     size: np.ndarray      # words by passage
     words: np.ndarray     # hashes, one row per passage, padded with 0
     repeats: list[_Repeat]
+    short: _Short
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,6 +81,59 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return T.Segments(data, lower=True).hashes(start, end), doc
 
 
+def _fine(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the runs of ASCII letters and digits and of all single other
+    characters, their documents, first bytes and lengths in characters."""
+    start, end, _ = T.spans(data, offsets, T.MARKS | (np.arange(256) >= 128))
+    other = np.flatnonzero(data >= 0xC0)
+    stops = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    ends = np.concatenate([end, stops[np.searchsorted(stops, other, "right")]])
+    size = np.concatenate([end - start, np.ones(len(other), np.int64)])
+    start = np.concatenate([start, other])
+    order = np.argsort(start)
+    start, ends, size = start[order], ends[order], size[order]
+    return T.Segments(data, lower=True).hashes(start, ends), np.searchsorted(offsets, start, "right") - 1, start, size
+
+
+def _short_items(data: np.ndarray, offsets: np.ndarray, words: np.ndarray) -> _Short:
+    """The items of few words that are long enough; words: how many each has."""
+    h, doc, _, size = _fine(data, offsets)
+    tokens, chars = np.bincount(doc, minlength=len(words)), np.bincount(doc, weights=size, minlength=len(words))
+    item = np.flatnonzero((words < MIN_WORDS) & (chars >= MIN_CHARS))
+    start, size = (np.cumsum(tokens) - tokens)[item], tokens[item]
+    anchors = []
+    for n in np.unique(np.minimum(size, ANCHOR)).tolist():
+        own = np.flatnonzero(np.minimum(size, ANCHOR) == n)
+        key, at = T.grams(h, doc, n)
+        key = key[np.searchsorted(at, start[own])]
+        order = np.argsort(key, kind="stable")
+        anchors.append((n, key[order], own[order]))
+    return _Short(item, words[item], start, size, h, anchors)
+
+
+def _exact(short: _Short, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of a short item in ``short`` and the byte where a document holds it, for every occurrence."""
+    h, doc, start, _ = _fine(data, offsets)
+    ends = np.searchsorted(doc, np.arange(len(offsets)))
+    items, places = [], []
+    for n, hashes, own in short.anchors:
+        key, at = T.grams(h, doc, n)
+        lo, hi = np.searchsorted(hashes, key, "left"), np.searchsorted(hashes, key, "right")
+        hit = np.flatnonzero(hi > lo)
+        lo, count = lo[hit], (hi - lo)[hit]
+        at = np.repeat(at[hit], count)
+        item = own[np.repeat(lo - np.cumsum(count) + count, count) + np.arange(len(at))]
+        inside = at + short.size[item] <= ends[doc[at] + 1]
+        at, item = at[inside], item[inside]
+        k = 0
+        while len(item) and k < short.size[item].max():
+            last = short.size[item] - 1
+            same = h[at + np.minimum(k, last)] == short.tokens[short.start[item] + np.minimum(k, last)]
+            at, item, k = at[same], item[same], k + 1
+        items.append(item), places.append(start[at])
+    return np.concatenate(items), np.concatenate(places)
+
+
 def _walk(bits: np.ndarray, at: np.ndarray, first: int, last: int) -> np.ndarray:
     """Takes steps ``first`` to ``last`` (bits of each word's hash) from the places ``at``."""
     for j in range(first, last):
@@ -118,7 +188,7 @@ def _build(items: pa.Table, repeats: int) -> _Index:
                 filters.append(table)
             order = np.argsort(key, kind="stable")
             out.append(_Repeat(salt, shift, steps, backward, filters, key[order], own[order]))
-    return _Index(items.column("item_id").combine_chunks(), np.array(owner, np.int64), size, words, out)
+    return _Index(items.column("item_id").combine_chunks(), np.array(owner, np.int64), size, words, out, _short_items(data, offsets, np.diff(ends)))
 
 
 def _candidates(index: _Index, w: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -187,20 +257,25 @@ def _distances(index: _Index, w: np.ndarray, first: np.ndarray, last: np.ndarray
 def _matches(index: _Index, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """Document, item, distance, passage words and first word of the best match of every (document, item)."""
     w, doc = _words(data, offsets)
-    if not len(w) or not len(index.item):
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
     ends = np.searchsorted(doc, np.arange(len(offsets)))
-    passage, begin = _candidates(index, w, ends[doc])
+    found = [tuple(np.zeros(0, np.int64) for _ in range(4))]
+    if len(w) and len(index.item):
+        passage, begin = _candidates(index, w, ends[doc])
+        own = doc[begin]
+        distance = _distances(index, w, ends[own], ends[own + 1], passage, begin)
+        close = distance <= np.floor(EDIT_SHARE * index.size[passage])
+        found.append((begin[close], index.item[passage[close]], distance[close], index.size[passage[close]]))
+    if len(w) and len(index.short.item):
+        short, place = _exact(index.short, data, offsets)
+        begin = np.searchsorted(T.spans(data, offsets, T.MARKS)[0], place, "right") - 1 if len(place) else place
+        found.append((begin, index.short.item[short], np.zeros(len(short), np.int64), index.short.words[short]))
+    begin, item, distance, words = (np.concatenate(x) for x in zip(*found))
     own = doc[begin]
-    distance = _distances(index, w, ends[own], ends[own + 1], passage, begin)
-    close = distance <= np.floor(EDIT_SHARE * index.size[passage])
-    passage, begin, own, distance = passage[close], begin[close], own[close], distance[close]
-    order = np.lexsort((begin, distance, index.item[passage], own))
-    passage, begin, own, distance = (x[order] for x in (passage, begin, own, distance))
-    item = index.item[passage]
+    order = np.lexsort((begin, distance, item, own))
+    begin, item, distance, words, own = (x[order] for x in (begin, item, distance, words, own))
     new = np.ones(len(own), bool)
     new[1:] = (own[1:] != own[:-1]) | (item[1:] != item[:-1])
-    return own[new], item[new], distance[new], index.size[passage][new], (begin - ends[own])[new]
+    return own[new], item[new], distance[new], words[new], (begin - ends[own])[new]
 
 
 def _parts(benchmark: DataFrame, repeats: int) -> Iterator[_Index]:
@@ -217,8 +292,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, repeats: int = REPEATS) -> Data
     the document's first bare word).
 
     ``benchmark``: item_id, text. Words are runs of letters and digits, A-Z
-    lower-cased. Null or empty texts have no words; items of fewer than
-    MIN_WORDS words are not looked for. Rows with equal or null ids each give
+    lower-cased. Null or empty texts have no words. Items of fewer than
+    MIN_WORDS words are found where all of their words stand unchanged
+    (letters other than A-Z also inside a longer run, as scripts without blanks
+    have them); of these, items of fewer than MIN_CHARS letters and digits are
+    not looked for. Rows with equal or null ids each give
     their own matches; repeated items with different ids are all reported.
     """
     kinds = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
