@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatspark.llm import decontamination, language_model, line_dedup, mixing, near_dedup, quality_classifier, quality_rules, substring_dedup, toxicity, url_filter
+from threatspark.llm import decontamination, fingerprints, language_model, lexical_search, line_dedup, mixing, near_dedup, quality_classifier, quality_rules, substring_dedup, token_alignment, toxicity, url_filter
 from threatspark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,53 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word counts and the hash of what repeated 35-word windows leave of every document."""
     kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between a byte-level and a piece tokenizer, over all documents."""
+    aligned = token_alignment.align(table(spark, sf_dir, "documents"))
+    return aligned.withColumn("groups_sha256", token_alignment.digest(F.col("groups"))).drop("groups")
+
+
+@query("op12_lexical_search", rf"""
+WITH k AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+a AS (SELECT count(DISTINCT doc_id) AS docs, count(*) AS terms FROM k),
+m AS (SELECT doc_id, 10 + (90 * count(*) * any_value(docs)) // any_value(terms) AS m FROM k, a GROUP BY doc_id),
+f AS (SELECT doc_id, term, count(*) AS tf FROM k GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, a GROUP BY term),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM i JOIN f USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= {lexical_search.TOP}""")
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best documents of every benchmark item, out of all."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _op13_sql() -> str:
+    """Sets of digests compared as they are; the sketch cell by cell."""
+    keys = lambda text: f"list_distinct(list_transform(regexp_extract_all({text}, '{fingerprints.PATTERN}'), x -> ('0x' || substr(md5(x), 1, 15))::BIGINT))"
+    p, f = fingerprints._PRIMES, fingerprints._FACTORS
+    cell = f"list_filter(KEYS, x -> (x >> (20 * (i // {fingerprints.CELLS}))) % {fingerprints.CELLS} = i % {fingerprints.CELLS})"
+    check = f"list_transform(OWN, x -> ((x % {p[0]}) * {f[0]} + (x >> 31) * {f[1]}) % {p[1]})"
+    xor = lambda x: f"coalesce(list_aggregate({x}, 'bit_xor'), 0)"
+    text = lambda k: ("array_to_string(list_transform(range(" + str(fingerprints.SUB_TABLES * fingerprints.CELLS) + f"), i -> format('{{:x}}:{{:x}}:{{:x}}', len(OWN), {xor('OWN')}, "
+                      + xor(check) + ")), ' ')").replace("OWN", cell).replace("KEYS", k)
+    near = lambda b: f"CASE WHEN len(a) + len({b}) = 0 THEN 1.0::DOUBLE ELSE 2 * len(list_intersect(a, {b}))::DOUBLE / (len(a) + len({b})) END"
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),
+o AS (SELECT *, coalesce(lead(t) OVER (ORDER BY doc_id DESC), first_value(t) OVER (ORDER BY doc_id DESC)) AS u FROM d),
+e AS (SELECT *, substring(t, 1, n - n // 2) || substring(u, 1, n // 2) AS v FROM o),
+k AS (SELECT *, {keys('t')} AS a, {keys('v')} AS b, {keys('u')} AS c FROM e)
+SELECT doc_id, n AS n_chars, sha256(v) AS edited_sha256, {text('a')} AS fingerprint, {text('b')} AS edited_fingerprint,
+  {near('b')} AS near_edited, {near('c')} AS near_next FROM k"""
+
+
+@query("op13_fingerprints", _op13_sql())
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of all documents and of their edited texts, and their likeness."""
+    return fingerprints.compare(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
