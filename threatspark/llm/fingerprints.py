@@ -106,11 +106,14 @@ def _ranges(docs: DataFrame) -> tuple[Column, int]:
     many = min(RANGES, -(-n // RANGE_ROWS))
     if many < 2:
         return F.when(F.col("doc_id").isNull(), -1).otherwise(0), many
-    shares = F.array(*[F.lit(i / many) for i in range(1, many)]) if many <= 64 else F.transform(F.sequence(F.lit(1), F.lit(many - 1)), lambda i: i / F.lit(float(many)))
+    listed = lambda values, end: F.expr("array(" + ",".join(f"{v}{end}" for v in values) + ")")
+    shares = listed([i / many for i in range(1, many)], "D")
     found = docs.agg(F.percentile_approx("doc_id", shares, F.lit(10 * many)).alias("b")).first()["b"] or []
     bounds = sorted(set(found))
+    if not bounds:  # null ids only
+        return F.lit(-1), many
     step = max(1, int(len(bounds) ** 0.5))
-    tops, all_ = F.array(*[F.lit(b).cast("long") for b in bounds[::step]]), F.array(*[F.lit(b).cast("long") for b in bounds])
+    tops, all_ = listed(bounds[::step], "L"), listed(bounds, "L")
     coarse = F.size(F.filter(tops, lambda b: b <= F.col("doc_id")))       # bounds at or below, by steps
     fine = F.size(F.filter(F.slice(all_, (coarse - 1) * step + 1, step), lambda b: b <= F.col("doc_id")))
     return F.when(F.col("doc_id").isNull(), -1).when(coarse == 0, 0).otherwise((coarse - 1) * step + fine), many
