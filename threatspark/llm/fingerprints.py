@@ -7,9 +7,9 @@ check values' XOR. Subtracting two versions' sketches cell by cell cancels
 what they share. A cell left with one digest is pure: the digest is read off
 and taken out of its other cells, which makes more cells pure, until nothing
 is left and the differing digests are known on each side. A sketch too small
-for its difference gets stuck and is tried again with GROWTH times the cells:
-as many sketches of the same size, between which a hash of the digest
-chooses. Only those of them that get stuck grow again, until none does.
+for its difference gets stuck and is tried again with more cells, up to GROWTH
+times as many: several sketches of the same size, between which a hash of the
+digest chooses. Those of them that get stuck grow again, until none does.
 
 DataFrame functions only. Documents are dealt into ranges of ids, so a text
 moves once, to be beside its successor's. A sketch has a fixed size, so it is
@@ -32,8 +32,9 @@ from threatspark.llm.shared import stored
 
 PARAGRAPH = 80
 SUB_TABLES = 3
-CELLS = 8                  # cells of a sub-table of the fingerprint itself
-GROWTH = 4                 # a stuck sketch is tried again as so many
+CELLS = 4                  # cells of a sub-table
+GROWTH = 16                # a stuck sketch is tried again as so many at most, ...
+LOAD = 4                   # with so many digests of both sides in each
 TRIES = 4                  # sizes tried in one job
 RANGE_ROWS = 500           # documents of a range of ids, ...
 RANGES = 10_000            # unless that makes more ranges than this
@@ -190,17 +191,21 @@ def peel(cells: Column, level: int = 0) -> Column:
 def _tried(pairs: DataFrame, level: int) -> DataFrame:
     """Adds ``left`` and ``right``, null where the sketches of this level's size get stuck."""
     done = peel(subtract(sketch(F.col("a"), level), sketch(F.col("b"), level)), level)
-    out = pairs.select("pair", "a", "b", done.alias("done"))
-    clear = F.forall("done.cells", lambda c: (c["n"] == 0) & (c["k"] == 0) & (c["c"] == 0))
-    return out.select("pair", "a", "b", clear.alias("clear"), "done.left", "done.right").select(
+    cell = "struct<at:int,n:bigint,k:bigint,c:bigint>"
+    none = F.lit(None).cast(f"struct<cells:array<{cell}>,left:bigint,right:bigint,goes_on:boolean>")
+    out = pairs.select("pair", "a", "b", F.when(F.size("a") + F.size("b") > 0, done).otherwise(none).alias("done"))
+    clear = F.coalesce(F.forall("done.cells", lambda c: (c["n"] == 0) & (c["k"] == 0) & (c["c"] == 0)), F.lit(True))
+    of = lambda side: F.coalesce(F.col(f"done.{side}"), F.lit(0)).alias(side)
+    return out.select("pair", "a", "b", clear.alias("clear"), of("left"), of("right")).select(
         "pair", *[F.when(~F.col("clear"), F.col(x)).alias(x) for x in ("a", "b")], *[F.when(F.col("clear"), F.col(x)).alias(x) for x in ("left", "right")])
 
 
 def _split(tried: DataFrame, level: int) -> DataFrame:
-    """Stuck rows become GROWTH rows, each with the digests that a hash sends there."""
-    part = lambda keys, g: F.filter(keys, lambda k: F.pmod(F.xxhash64(k, F.lit(-level)), F.lit(GROWTH)) == g)
-    stuck = F.filter(F.array(*[F.struct(part(F.col("a"), g).alias("a"), part(F.col("b"), g).alias("b")) for g in range(GROWTH)]),
-                     lambda x: F.size(x["a"]) + F.size(x["b"]) > 0)
+    """Stuck rows become several, each with the digests that a hash sends there."""
+    many = F.least(F.lit(GROWTH), F.greatest(F.lit(2), F.ceil((F.size("a") + F.size("b")) / LOAD))).cast("int")
+    part = lambda keys, n, g: F.filter(keys, lambda k: F.pmod(F.xxhash64(k, F.lit(-level)), n) == g)
+    parts = _with(many, lambda n: F.transform(F.sequence(F.lit(0), n - 1), lambda g: F.struct(part(F.col("a"), n, g).alias("a"), part(F.col("b"), n, g).alias("b"))))
+    stuck = F.filter(parts, lambda x: F.size(x["a"]) + F.size(x["b"]) > 0)
     none = F.lit(None).cast("array<struct<a:array<bigint>,b:array<bigint>>>")
     out = tried.select("pair", "left", "right", F.explode_outer(F.when(F.col("left").isNull(), stuck).otherwise(none)).alias("x"))
     return out.select("pair", "left", "right", "x.a", "x.b")
