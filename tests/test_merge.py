@@ -166,10 +166,69 @@ def test_newer_stored_rows_stay(spark, tmp_path):
     assert {r["k"]: r["s"] for r in back.collect()} == {1: "new", 2: "newer", 3: "some", 4: "first"}
 
 
-def test_old_versions_are_removed(spark, tmp_path):
+def test_superseded_versions_stay_readable_until_vacuum(spark, tmp_path):
     import os
     p = str(tmp_path / "t")
-    for n in range(5):
+    merge.commit_table(spark, spark.range(1), p)
+    early = merge.read_current(spark, p)
+    for n in range(1, 5):
         merge.commit_table(spark, spark.range(n + 1), p)
+    assert early.count() == 1 and merge.vacuum(spark, p) == 0          # a reader of an old version may still be at work
     assert merge.current_version(spark, p) == 5 and merge.read_current(spark, p).count() == 5
-    assert len(os.listdir(p + "/data")) == 2
+    assert merge.vacuum(spark, p, older_than_s=0) == 4 and len(os.listdir(p + "/data")) == 1
+    assert merge.read_current(spark, p).count() == 5 and merge.vacuum(spark, p, older_than_s=0) == 0
+
+
+def test_addresses_follow_linear_hashing():
+    for base in (1, 3, 4):
+        for new in range(base, 40):
+            level, split = merge.grown(base, new)
+            assert (base << level) + split == new and 0 <= split < base << level
+
+            def bucket(h, n):
+                level, split = merge.grown(base, n)
+                low = h % (base << level)
+                return h % (base << (level + 1)) if low < split else low
+
+            for old in range(base, new + 1):
+                moved = {bucket(h, old) for h in range(5000) if bucket(h, old) != bucket(h, new)}
+                assert moved == merge.split_buckets(base, old, new), (base, old, new)
+
+
+def test_buckets_stay_bounded_while_a_table_grows(spark, tmp_path):
+    p = str(tmp_path / "bt")
+    want = {}
+    for i, (lo, hi) in enumerate([(0, 10), (5, 1010), (0, 20), (900, 1300)]):
+        before = merge.current_commit(spark, p)
+        merge.upsert_bucketed(spark, p, spark.range(lo, hi).selectExpr("id k", f"'v{i}' s"), "k", per_bucket=50)
+        want |= {k: f"v{i}" for k in range(lo, hi)}
+        c = merge.current_commit(spark, p)
+        t = merge.read_current(spark, p)
+        assert {r["k"]: r["s"] for r in t.collect()} == want and sum(c.rows.values()) == len(want)
+        assert c.buckets >= len(want) / 50 and max(c.rows.values()) <= 4 * 50   # hashing spreads: well below the 1,000 of four fixed buckets
+        placed = merge.with_bucket(t.select("k", F.input_file_name().alias("f")), "k", c.base, c.level, c.split)
+        assert placed.filter(~F.col("f").contains(F.concat(F.lit("_bucket="), F.col("_bucket").cast("string"), F.lit("/")))).count() == 0
+    assert before.buckets == 21 and c.buckets == 29                             # 20 rows more split no bucket
+    small = merge.upsert_bucketed(spark, p, spark.range(1).selectExpr("id k", "'w' s"), "k", per_bucket=50)
+    assert small == 1                                                           # and one key rewrites one bucket
+    with pytest.raises(ValueError):
+        merge.upsert_bucketed(spark, p, spark.range(1).selectExpr("id k", "'w' s"), "k", buckets=29)
+
+
+def test_changed_keys_between_versions(spark, tmp_path, monkeypatch):
+    p = str(tmp_path / "bt")
+    load = lambda ks: merge.upsert_bucketed(spark, p, spark.createDataFrame([(k, "x") for k in ks], "k int, s string"), "k")
+    keys = lambda since: sorted(r["k"] for r in merge.changed_keys(spark, p, since).collect())
+    assert merge.changed_keys(spark, p, 0) is None
+    for ks in ([1, 2, 3], [3, 4], [1]):
+        load(ks)
+    assert keys(0) == [1, 2, 3, 4] and keys(1) == [1, 3, 4] and keys(2) == [1] and keys(3) == []
+    assert merge.changed_keys(spark, p, 9) is None                              # not this table's version
+    monkeypatch.setattr(merge, "KEEP_CHANGES", 2)
+    load([7])
+    assert keys(2) == [1, 7] and merge.changed_keys(spark, p, 1) is None        # too far behind: everything
+    merge.vacuum(spark, p, older_than_s=0)
+    assert keys(2) == [1, 7]
+    whole = str(tmp_path / "whole")
+    merge.commit_table(spark, spark.range(3), whole)
+    assert merge.changed_keys(spark, whole, 0) is None

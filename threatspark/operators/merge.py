@@ -10,15 +10,23 @@ Tables are data folders plus numbered commit files that name the folders in
 use (``commit_table`` / ``upsert_bucketed`` / ``read_current``): a reader never
 sees a half-written table, a write never touches the folder it reads from, and
 nothing but the absence of all commits counts as "no table yet".
+
+A bucketed table grows by linear hashing: the commit holds a level and a split
+pointer, and a load that takes the table over ``per_bucket`` rows a bucket
+splits the next buckets in turn, by one more bit of the key's hash. Only those
+and the buckets with incoming keys are rewritten. Each commit also names the
+keys it changed, so that a later layer can ask for what has changed since the
+version it last saw (``changed_keys``).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import json
+import time
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -156,18 +164,30 @@ def assert_unique(df: DataFrame, key: str | Sequence[str]) -> None:
 # ------------------------------------------------------------ tables
 
 BUCKET = "_bucket"
+PER_BUCKET = 1_000_000      # rows of a bucket on average, at most
+KEEP_CHANGES = 100          # commits whose changed keys are kept; a reader behind them takes the whole table
+RETENTION_S = 86_400        # seconds that a superseded version stays readable
 
 
 @dataclass(frozen=True)
 class Commit:
     """What a table consists of: ``parts`` maps each bucket ("" if the table
-    has none) to the data folder that holds it."""
+    has none) to the data folder that holds it, ``rows`` to its row count.
+    ``base`` buckets have been doubled ``level`` times, and the first
+    ``split`` of them once more. ``changes``: by version, the folder with the
+    keys that it changed. ``seen``: what the writer had read to make it."""
 
     version: int
     schema: str
     buckets: int
     key: list[str]
     parts: dict[str, str]
+    base: int = 0
+    level: int = 0
+    split: int = 0
+    rows: dict[str, int] = field(default_factory=dict)
+    changes: dict[str, str] = field(default_factory=dict)
+    seen: dict[str, str] = field(default_factory=dict)
 
 
 def _folder(spark: SparkSession, path: str):
@@ -208,20 +228,29 @@ def _write_commit(spark: SparkSession, path: str, c: Commit) -> None:
     fs, to = _folder(spark, final)
     if fs.exists(to) or not fs.rename(p, to):
         raise RuntimeError(f"{path}: version {c.version} was committed by another writer")
-    _clean(spark, path)
 
 
-def _clean(spark: SparkSession, path: str) -> None:
-    """Removes what only commits before the last two refer to."""
-    old, keep = _commit_names(spark, path)[:-2], _commit_names(spark, path)[-2:]
-    used = {(b, g) for name in keep for b, g in _load(spark, path, name).parts.items()}
+def vacuum(spark: SparkSession, path: str, older_than_s: float = RETENTION_S) -> int:
+    """Removes versions that were superseded over ``older_than_s`` seconds ago,
+    with the folders that only they refer to; returns how many. A reader has
+    so long to finish with a version. Called by its own, not by a write."""
+    names = _commit_names(spark, path)
+    fs, p = _folder(spark, f"{path}/_commits")
+    if len(names) < 2:
+        return 0
+    written = {f.getPath().getName(): f.getModificationTime() / 1000 for f in fs.listStatus(p)}
+    old = [n for n, after in zip(names, names[1:]) if time.time() - written[after] >= older_than_s]
+    keep = [_load(spark, path, n) for n in names if n not in old]
+    used = {x for c in keep for x in c.parts.items()}
+    used_changes = {x for c in keep for x in c.changes.values()}
     for name in old:
-        for b, g in _load(spark, path, name).parts.items():
-            if (b, g) not in used:
-                fs, p = _folder(spark, _part(path, b, g))
-                fs.delete(p, True)
-        fs, p = _folder(spark, f"{path}/_commits/{name}")
-        fs.delete(p, False)
+        c = _load(spark, path, name)
+        gone = [_part(path, b, g) for b, g in c.parts.items() if (b, g) not in used]
+        gone += [f"{path}/changes/{x}" for x in c.changes.values() if x not in used_changes]
+        for folder in gone + [f"{path}/_commits/{name}"]:
+            fs, p = _folder(spark, folder)
+            fs.delete(p, True)
+    return len(old)
 
 
 def _part(path: str, bucket: str, folder: str) -> str:
@@ -261,49 +290,134 @@ def upsert_table(spark: SparkSession, path: str, incoming: DataFrame, key, **kw)
     return read_current(spark, path)
 
 
-def buckets_for(rows: int, per_bucket: int = 1_000_000) -> int:
+def buckets_for(rows: int, per_bucket: int = PER_BUCKET) -> int:
     """Bucket count for a table expected to reach ``rows``."""
     return max(4, -(-rows // per_bucket))
 
 
-def with_bucket(df: DataFrame, key: str | Sequence[str], buckets: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(k) for k in _keys(key)]), F.lit(buckets)).cast("int"))
+def grown(base: int, buckets: int) -> tuple[int, int]:
+    """(level, split) of a table of ``base`` buckets that has grown to ``buckets``."""
+    level = 0
+    while base << (level + 1) <= buckets:
+        level += 1
+    return level, buckets - (base << level)
+
+
+def with_bucket(df: DataFrame, key: str | Sequence[str], base: int, level: int = 0, split: int = 0) -> DataFrame:
+    """Adds the bucket: the hash modulo the buckets of the level, or of the
+    next one for buckets before the split pointer."""
+    h = F.xxhash64(*[F.col(k) for k in _keys(key)])
+    low = F.pmod(h, F.lit(base << level))
+    return df.withColumn(BUCKET, F.when(low < split, F.pmod(h, F.lit(base << (level + 1)))).otherwise(low).cast("int"))
+
+
+def split_buckets(base: int, old: int, new: int) -> set[int]:
+    """The buckets that lose rows when a table grows from ``old`` to ``new`` buckets."""
+    out = set()
+    for b in range(old, new):
+        level, _ = grown(base, b)
+        source = b - (base << level)
+        out.add(source if source < old else next(x for x in _ancestors(base, source) if x < old))
+    return out
+
+
+def _ancestors(base: int, bucket: int):
+    while bucket >= base:
+        level, _ = grown(base, bucket)
+        bucket -= base << level
+        yield bucket
 
 
 def upsert_bucketed(spark: SparkSession, path: str, incoming: DataFrame, key: str | Sequence[str],
-                    buckets: int | None = None, **kw) -> int:
+                    buckets: int | None = None, per_bucket: int = PER_BUCKET, seen: dict[str, str] | None = None, **kw) -> int:
     """Upsert into a table split by a hash bucket of the key, rewriting only
     the buckets that the batch touches: O(touched buckets), not O(table). The
-    touched bucket ids (at most ``buckets`` integers, all that reaches the
-    driver) select the folders to read; each merged bucket is written once, as
-    one file, and the commit points to it. The bucket count is part of the
-    table: None takes the stored one (4 for a new table), another one raises.
-    Returns the number of buckets rewritten."""
+    touched buckets' row counts (an integer each, all that reaches the driver)
+    select the folders to read; each merged bucket is written once, as one
+    file, and the commit points to it.
+
+    ``buckets`` is the count that a new table starts with (4 if None); another
+    one than the table started with raises. While rows stored and incoming
+    exceed ``per_bucket`` a bucket, further buckets are split off, so that a
+    bucket's size is bounded however the table grows. ``seen``: notes of the
+    writer, kept in the commit. Returns the number of buckets rewritten."""
     c = current_commit(spark, path)
     if c is not None and not c.buckets:
         raise ValueError(f"{path} has no buckets")
-    if c is not None and (buckets not in (None, c.buckets) or _keys(key) != c.key):
-        raise ValueError(f"{path} has {c.buckets} buckets by {c.key}, not {buckets} by {_keys(key)}")
-    buckets = c.buckets if c is not None else buckets or 4
+    base = (c.base or c.buckets) if c is not None else buckets or 4
+    if c is not None and (buckets not in (None, base) or _keys(key) != c.key):
+        raise ValueError(f"{path} started with {base} buckets by {c.key}, not {buckets} by {_keys(key)}")
+    have = c.buckets if c is not None else base
     inc = incoming.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        ids = sorted(r[0] for r in with_bucket(inc, key, buckets).select(BUCKET).distinct().collect())
-        if not ids and c is not None:
+        counts = {r[0]: r[1] for r in with_bucket(inc, key, base, *grown(base, have)).groupBy(BUCKET).count().collect()}
+        if not counts and c is not None:
             return 0
-        merged = upsert(None if c is None else _read(spark, path, c, ids), inc, key, **kw)
+        rows = sum(counts.values()) + (sum(c.rows.values()) if c is not None else 0)
+        want = max(have, -(-rows // per_bucket))
+        level, split = grown(base, want)
+        old_ids = sorted(set(counts) | split_buckets(base, have, want))
+        target = None if c is None else _read(spark, path, c, old_ids)
+        if target is None and c is not None:  # none of these buckets has rows yet
+            target = spark.createDataFrame([], T.StructType.fromJson(json.loads(c.schema)))
+        merged = upsert(target, inc, key, **kw)
         old = [] if c is None else T.StructType.fromJson(json.loads(c.schema)).fields
         known = {f.name for f in merged.schema.fields}
         schema = T.StructType(merged.schema.fields + [f for f in old if f.name not in known])
-        folder = uuid.uuid4().hex
-        with_bucket(merged, key, buckets).repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/data/{folder}")
-        parts = {} if c is None else dict(c.parts)
-        parts |= {str(b): folder for b in ids}
-        _write_commit(spark, path, Commit(1 if c is None else c.version + 1, schema.json(), buckets, _keys(key), parts))
-        return len(ids)
+        folder, version = uuid.uuid4().hex, 1 if c is None else c.version + 1
+        placed = with_bucket(merged, key, base, level, split)
+        placed.repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/data/{folder}")
+        written = _bucket_rows(spark, f"{path}/data/{folder}")
+        inc.select(*_keys(key)).distinct().write.parquet(f"{path}/changes/{folder}")
+        gone = {str(b) for b in old_ids}
+        parts = {} if c is None else {b: g for b, g in c.parts.items() if b not in gone}
+        sizes = {} if c is None else {b: n for b, n in c.rows.items() if b not in gone}
+        changes = {} if c is None else dict(c.changes)
+        changes[str(version)] = folder
+        _write_commit(spark, path, Commit(
+            version, schema.json(), want, _keys(key), parts | {b: folder for b in written}, base, level, split, sizes | written,
+            dict(list(changes.items())[-KEEP_CHANGES:]), ({} if c is None else c.seen) | (seen or {})))
+        return len(written)
     finally:
         inc.unpersist()
 
 
+def replace_bucketed(spark: SparkSession, df: DataFrame, path: str, key: str | Sequence[str], rows: int | None = None,
+                     per_bucket: int = PER_BUCKET, seen: dict[str, str] | None = None) -> int:
+    """C4 for a bucketed table: new contents, in buckets for ``rows`` rows
+    (counted if None). Its readers' changed keys start anew. Returns the version."""
+    base = buckets_for(df.count() if rows is None else rows, per_bucket)
+    folder, version = uuid.uuid4().hex, (current_version(spark, path) or 0) + 1
+    with_bucket(df, key, base).repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/data/{folder}")
+    written = _bucket_rows(spark, f"{path}/data/{folder}")
+    _write_commit(spark, path, Commit(version, df.schema.json(), base, _keys(key), {b: folder for b in written}, base, 0, 0, written, {}, seen or {}))
+    return version
+
+
+def _bucket_rows(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Rows of each bucket folder, from the files' footers."""
+    fs, p = _folder(spark, folder)
+    if not any(f.getPath().getName().startswith(f"{BUCKET}=") for f in fs.listStatus(p)):
+        return {}  # no rows
+    counts = spark.read.parquet(folder).groupBy(BUCKET).count().collect()  # a row per bucket written
+    return {str(r[0]): r[1] for r in counts}
+
+
+def changed_keys(spark: SparkSession, path: str, since: int) -> DataFrame | None:
+    """The keys that commits after version ``since`` changed, each once; None
+    where that is no longer known (older than the kept changes, or a commit
+    that replaced the contents), so that all rows count as changed."""
+    c = current_commit(spark, path)
+    if c is None:
+        return None
+    wanted = [str(v) for v in range(since + 1, c.version + 1)]
+    if since > c.version or any(v not in c.changes for v in wanted):
+        return None
+    if not wanted:
+        return _read(spark, path, c).select(*c.key).limit(0)
+    return spark.read.parquet(*[f"{path}/changes/{c.changes[v]}" for v in wanted]).distinct()
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     """Adds rows to a plain folder of Parquet files that only ever grows (quarantine)."""
     df.write.mode("append").parquet(path)

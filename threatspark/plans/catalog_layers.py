@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from threatspark.functions.strings import cve_of, lowercase_in
 from threatspark.operators import incremental as inc
 from threatspark.operators import quality
-from threatspark.operators.merge import commit_table, read_appended, read_current
+from threatspark.operators.merge import commit_table, read_appended, read_current, read_bucketed, upsert_bucketed
+from threatspark.plans import catalog, feeds, findings, layers
 from threatspark.plans import fact as fact_mod
-from threatspark.plans import feeds, findings, layers
 from threatspark.plans.catalog import _scratch, query
 from threatspark.plans.silver import silver_epss, silver_nvd
 from threatspark.sources import feeds as src
@@ -141,6 +141,60 @@ def custom_source(spark: SparkSession, sf: str) -> DataFrame:
     return g.select("id", "price", "seen", "origin", day("gold_created_at"), day("gold_updated_at"))
 
 
+@query("gold_any_run_ts")
+def gold_any_run_ts(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold after three deliveries, the second stamped like the
+    first and the third earlier than both: gold follows silver's commits."""
+    base = _scratch(spark, "stamps")
+    p = read_driver_table(spark, sf, "part")
+    k, sources = F.col("p_partkey"), {"parts": _part_source()}
+    for n, (held, ts) in enumerate([(k % 7 != 0, SECOND), ((k % 3 == 0) | (k % 7 == 0), SECOND), (k % 5 == 0, FIRST)], 1):
+        rows = p.filter(held).select(k.cast("string").alias("id"), F.col("p_name").alias("name"), (F.col("p_size") * n).cast("string").alias("price"),
+                                     F.lit(f"2024-0{n}-01").alias("seen"))
+        rows.write.parquet(f"{base}/land{n}")
+        layers.run_layers(spark, base + "/lake", {"parts": f"{base}/land{n}"}, run_ts=ts, registry=sources)
+    return read_current(spark, base + "/lake/gold/parts").select("id", "price", "seen")
+
+
+@query("growing_table")
+def growing_table(spark: SparkSession, sf: str) -> DataFrame:
+    """C1 by linear hashing: a table that starts with the orders of few
+    customers, then gets all orders at once, then the upsert's batch, at 5,000
+    rows a bucket; with the columns of upsert_bucketed_result."""
+    path = _scratch(spark, "growing") + "/orders"
+    t = catalog._orders_target(spark, sf).drop("created_at", "updated_at", "VRRScore")
+    upsert_bucketed(spark, path, t.filter("o_custkey < 10"), "o_orderkey", per_bucket=5000)
+    for rows in (t, catalog._orders_incoming(spark, sf)):
+        upsert_bucketed(spark, path, rows, "o_orderkey", per_bucket=5000)
+    return read_bucketed(spark, path).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "feed")
+
+
+@query("fact_incremental")
+def fact_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact refreshed after each of three deliveries to
+    gold. At first every other CVE is missing, and exploits, modules, EPSS and
+    KEV rows are wrong: exploits are dated in the future and modules too, so
+    they win everywhere; the later deliveries put them right, so their CVEs
+    fall back to the right winners, and bring the missing CVEs."""
+    root = _scratch(spark, "refresh") + "/lake"
+    right = {"nvd": feeds.feed_nvd(spark, sf), "cisa": feeds.feed_kev(spark, sf), "epss": feeds.feed_epss(spark, sf), "exploit": feeds.feed_exploit(spark, sf)}
+    refs = feeds.feed_module_refs(spark, sf).withColumn("slice", F.pmod(F.xxhash64("ref"), F.lit(64)))
+    held = refs.groupBy("fullname", "slice").agg(F.collect_set("ref").alias("references"))  # a 64th of a module's CVEs in a row
+    body = feeds.feed_modules(spark, sf)
+    right["metasploit"] = (body.drop("references").join(held, "fullname").withColumn("fullname", F.concat_ws("#", "fullname", "slice")).drop("slice"))
+    half = lambda n: F.pmod(F.xxhash64(layers._STAR[n][1]), F.lit(2)) == 0
+    wrong = {"cisa": right["cisa"].withColumn("known_ransomware_campaign_use", F.lit("Known")), "epss": right["epss"].withColumn("epss", F.lit(0.99).cast(right["epss"].schema["epss"].dataType)),
+             "exploit": right["exploit"].withColumn("date_published", F.lit("2999-01-01")).withColumn("codes", F.transform("codes", F.reverse)),
+             "metasploit": right["metasploit"].withColumn("mod_time", F.lit("2999-01-01 00:00:00 +0000"))}
+    deliveries = [{"nvd": right["nvd"].filter(half("nvd")), **wrong}, {n: df.filter(half(n)) for n, df in right.items() if n != "nvd"},
+                  {n: df.filter(~half(n)) for n, df in right.items()}]
+    for n, tables in enumerate(deliveries):
+        for name, rows in tables.items():
+            upsert_bucketed(spark, f"{root}/gold/{name}", rows.filter(F.col(layers._STAR[name][1]).isNotNull()), layers._STAR[name][1])
+        layers.refresh_star(spark, root, RUN)
+    return read_current(spark, root + "/star/fct_final").select("cve_id", "vrr_score")
+
+
 @query("layer_status")
 def layer_status(spark: SparkSession, sf: str) -> DataFrame:
     """The status rows of both runs; one source fails at every bronze load, the other goes on."""

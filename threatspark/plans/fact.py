@@ -12,6 +12,7 @@ which all share the ``cve_id`` hash partitioning of the NVD side.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,6 @@ from pyspark.sql import types as T
 
 from threatspark.functions.strings import decimal_text
 from threatspark.functions.casts import tolerant_int
-from threatspark.operators.dedup import latest_by_key
 from threatspark.plans import feeds
 from threatspark.plans.rules import (COLLECTIONS, SourceShape, score_addend, score_expr,
                                      score_rules, threat_rules, threat_value)
@@ -29,25 +29,38 @@ DEFAULT_RUN_TS = _dt.datetime(2024, 6, 1, 0, 0, 0)
 
 # ---------------------------------------------------------------- lookups
 
-def exploit_lookup(exploits: DataFrame) -> DataFrame:
+def exploit_lookup(exploits: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """One exploit per code, the newest (date_published, id) winning.
-    ``explode`` skips null or empty code lists (Q6)."""
-    cols = [c for c in exploits.columns if c != "codes"]
-    x = exploits.select(F.explode("codes").alias("code"), *cols) \
-        .withColumn("_idn", tolerant_int(F.col("id")))
-    return latest_by_key(x, ["code"], ["date_published", "_idn", "id"]).drop("_idn")
+    ``explode`` skips null or empty code lists (Q6). ``only``: the codes to
+    look up (cve_id); all if None. The winner is found by its order and id
+    alone (a key of ``exploits``); the other columns join one row per code."""
+    x = exploits.select(F.explode("codes").alias("code"), "date_published", "id")
+    if only is not None:
+        x = x.join(only.select(F.col("cve_id").alias("code")), "code", "left_semi")
+    best = _newest(x, "code", "date_published", tolerant_int(F.col("id")), "id")
+    return best.join(exploits.drop("codes"), "id", "left").select("code", *[c for c in exploits.columns if c != "codes"])
 
 
-def module_lookup(modules: DataFrame, refs: DataFrame | None = None) -> DataFrame:
+def module_lookup(modules: DataFrame, refs: DataFrame | None = None, only: DataFrame | None = None) -> DataFrame:
     """One module per CVE reference (case-sensitive 'CVE-' prefix, Q21),
     the newest (mod_time, fullname) winning. ``refs`` is the long form
-    (fullname, ref); without it the ``references`` array is exploded."""
-    if refs is None:
-        refs = modules.select("fullname", F.explode("references").alias("ref"))
+    (fullname, ref); without it the ``references`` array is exploded. ``only``:
+    the CVEs to look up. As in J3, the body joins the winners alone."""
     body = modules.drop("references") if "references" in modules.columns else modules
+    if refs is None:
+        refs = modules.select("fullname", "mod_time", F.explode("references").alias("ref"))
     cve_refs = refs.filter(F.col("ref").startswith("CVE-"))
-    x = cve_refs.join(body, "fullname")
-    return latest_by_key(x, ["ref"], ["mod_time", "fullname"])
+    if only is not None:
+        cve_refs = cve_refs.join(only.select(F.col("cve_id").alias("ref")), "ref", "left_semi")
+    if "mod_time" not in cve_refs.columns:
+        cve_refs = cve_refs.select("fullname", "ref").join(body.select("fullname", "mod_time"), "fullname")
+    best = _newest(cve_refs, "ref", "mod_time", F.lit(0), "fullname")
+    return best.join(body, "fullname").select("ref", *body.columns)
+
+
+def _newest(rows: DataFrame, by: str, newest: str, number: Column, name: str) -> DataFrame:
+    """(by, name): per ``by`` the name that is greatest by (newest, number, name), nulls lowest."""
+    return rows.groupBy(by).agg(F.max(F.struct(F.col(newest).alias("a"), number.alias("b"), F.col(name).alias("c"))).alias("w")).select(by, F.col("w.c").alias(name))
 
 
 # ---------------------------------------------------------------- fact (C11)
@@ -85,6 +98,11 @@ def joined_sources(nvd: DataFrame, kev: DataFrame, epss: DataFrame,
     return j, shape
 
 
+def rules_text() -> str:
+    """The registered rules, to tell whether a fact was built by other ones."""
+    return hashlib.md5(repr([threat_rules(), score_rules()]).encode()).hexdigest()
+
+
 def threats_expr(shape: SourceShape) -> Column:
     """One struct field per threat rule, falsy values as null."""
     return F.struct(*[threat_value(r, shape).alias(r.key) for r in threat_rules()])

@@ -711,6 +711,16 @@ SELECT cast(k AS VARCHAR) AS id, cast(arg_max(price, run) AS DOUBLE) AS price, m
   min(seen) AS gold_created_at, max(seen) AS gold_updated_at
 FROM d WHERE k % 11 <> 0 GROUP BY k"""
 
+ORACLE_SQL["gold_any_run_ts"] = """
+WITH d AS (
+  SELECT 1 AS run, p_partkey AS k, p_size * 1 AS price FROM part WHERE p_partkey % 7 <> 0
+  UNION ALL SELECT 2, p_partkey, p_size * 2 FROM part WHERE p_partkey % 3 = 0 OR p_partkey % 7 = 0
+  UNION ALL SELECT 3, p_partkey, p_size * 3 FROM part WHERE p_partkey % 5 = 0)
+SELECT cast(k AS VARCHAR) AS id, cast(arg_max(price, run) AS DOUBLE) AS price, '2024-0' || max(run) || '-01' AS seen FROM d GROUP BY k"""
+
+ORACLE_SQL["growing_table"] = ORACLE_SQL["upsert_bucketed_result"]
+ORACLE_SQL["fact_incremental"] = ORACLE_SQL["vrr_score_per_cve"]
+
 ORACLE_SQL["layer_status"] = _DELIVERIES + """
 , n AS (SELECT run, count(*) AS landed, count(*) FILTER (k % 11 <> 0) AS good FROM d GROUP BY run)
 SELECT run, 'parts' AS source, layer, 'ok' AS status, CASE layer WHEN 'bronze' THEN landed ELSE good END AS rows

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from threatspark.operators.merge import read_current, upsert_bucketed, upsert_table
+from threatspark.operators.merge import read_current, upsert_bucketed, upsert_table, vacuum
 
 
 def stream_layer(spark: SparkSession, source_dir: str, schema: str, target: str, key: str | Sequence[str],
@@ -59,4 +59,5 @@ def stream_layer(spark: SparkSession, source_dir: str, schema: str, target: str,
         raise TimeoutError(f"stream into {target} did not drain in {timeout_s}s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    vacuum(spark, target)
     return read_current(spark, target)
