@@ -195,12 +195,12 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _op13_sql() -> str:
     """Sets of digests compared as they are; the sketch cell by cell."""
-    keys = lambda text: f"list_distinct(list_transform(regexp_extract_all({text}, '{fingerprints.PATTERN}'), x -> ('0x' || substr(md5(x), 1, 15))::BIGINT))"
+    keys = lambda text: f"list_distinct(list_transform(regexp_extract_all({text}, '{fingerprints.PATTERN}'), lambda x: ('0x' || substr(md5(x), 1, 15))::BIGINT))"
     p, f = fingerprints._PRIMES, fingerprints._FACTORS
-    cell = f"list_filter(KEYS, x -> (x >> (20 * (i // {fingerprints.CELLS}))) % {fingerprints.CELLS} = i % {fingerprints.CELLS})"
-    check = f"list_transform(OWN, x -> ((x % {p[0]}) * {f[0]} + (x >> 31) * {f[1]}) % {p[1]})"
+    cell = f"list_filter(KEYS, lambda x: (x >> (20 * (i // {fingerprints.CELLS}))) % {fingerprints.CELLS} = i % {fingerprints.CELLS})"
+    check = f"list_transform(OWN, lambda x: ((x % {p[0]}) * {f[0]} + (x >> 31) * {f[1]}) % {p[1]})"
     xor = lambda x: f"coalesce(list_aggregate({x}, 'bit_xor'), 0)"
-    text = lambda k: ("array_to_string(list_transform(range(" + str(fingerprints.SUB_TABLES * fingerprints.CELLS) + f"), i -> format('{{:x}}:{{:x}}:{{:x}}', len(OWN), {xor('OWN')}, "
+    text = lambda k: ("array_to_string(list_transform(range(" + str(fingerprints.SUB_TABLES * fingerprints.CELLS) + f"), lambda i: format('{{:x}}:{{:x}}:{{:x}}', len(OWN), {xor('OWN')}, "
                       + xor(check) + ")), ' ')").replace("OWN", cell).replace("KEYS", k)
     near = lambda b: f"CASE WHEN len(a) + len({b}) = 0 THEN 1.0::DOUBLE ELSE 2 * len(list_intersect(a, {b}))::DOUBLE / (len(a) + len({b})) END"
     return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),
