@@ -3,8 +3,8 @@
 Tasks write them, workers map them into memory: only the pages that a lookup
 touches are read, and the system may drop them again, so an array may be
 larger than a worker's memory. Where the shared folder isn't mounted (a path
-with a scheme other than file:), an array is read whole through pyarrow.fs
-and dropped when the next one is needed.
+with a scheme other than file:), an array is read whole through pyarrow.fs,
+and a task keeps those it used last, up to HELD_BYTES.
 """
 
 from __future__ import annotations
@@ -12,10 +12,23 @@ from __future__ import annotations
 import io
 import os
 import uuid
-from functools import lru_cache
+from collections import OrderedDict
 
 import numpy as np
 
+HELD_BYTES = 256 << 20   # of arrays that a task has fetched
+HELD_MAPS = 1024         # of arrays that it has mapped
+
+
+class _Held(OrderedDict):
+    """The arrays used last. Travels empty with the functions that use it."""
+
+    def __reduce__(self):
+        return _Held, ()
+
+
+_held, _maps = _Held(), _Held()
+
 
 def _local(path: str) -> str | None:
     if path.startswith("file:"):
@@ -45,8 +58,7 @@ def save(path: str, array: np.ndarray) -> None:
     os.replace(part, at)
 
 
-@lru_cache(maxsize=4)
-def _fetched(path: str) -> np.ndarray:
+def _fetch(path: str) -> np.ndarray:
     from pyarrow import fs
     store, at = fs.FileSystem.from_uri(path)
     with store.open_input_stream(at) as f:
@@ -54,8 +66,15 @@ def _fetched(path: str) -> np.ndarray:
 
 
 def load(path: str) -> np.ndarray:
+    """Maps or fetches an array; raises FileNotFoundError where there is none."""
     at = _local(path)
-    return _fetched(path) if at is None else np.load(at, mmap_mode="r")
+    held = _held if at is None else _maps
+    if path not in held:
+        held[path] = _fetch(path) if at is None else np.load(at, mmap_mode="r")
+        while len(held) > 1 and (sum(x.nbytes for x in held.values()) > HELD_BYTES if at is None else len(held) > HELD_MAPS):
+            held.popitem(last=False)
+    held.move_to_end(path)
+    return held[path]
 
 
 def find(keys: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -1,16 +1,23 @@
 """Operator 3: interpolated modified Kneser-Ney n-gram scores.
 
-Counting: every task reduces its documents' n-grams to sorted, distinct 64-bit
-keys and sends one compressed block per shard, so a frequent n-gram travels
-once per task. A shard's blocks are merged in one task; the order's counts are
-written to the shared folder as sorted arrays. Scoring: workers map these
-files into memory and look a batch's distinct keys up by binary search; no
-token is shuffled and no worker holds the model.
-
-An n-gram is known by the 64-bit hash of its context and 40 bits of its
-word's, and sharded by context, so that a context's totals are local to a
-shard. Orders below the highest count distinct words to the left
-(continuations), so they are sent with 40 bits of the word before.
+Counting: every task reduces its documents' n-grams of the highest order to
+distinct ones and sends one compressed block per shard, with a dictionary of
+the block's words; only these and the plain word counts leave the texts. A
+shard's blocks are merged in one task, which writes the order's sorted arrays
+and sends on what the next lower order counts: an n-gram without its first
+word occurs after as many words as it has distinct n-grams here. Each order so
+derives from the one above it, down to single words. A shard holds whole
+contexts (the words before the last one), so that a context's totals are
+local; it is the context's hash that chooses it, so a frequent word's longer
+contexts are spread, and what is sent on for it is summed beforehand. The
+number of shards follows the bytes of text.
+
+Scoring: workers map the arrays into memory and look a batch's distinct keys
+up by binary search; no token is shuffled and no worker holds the model. An
+n-gram is known by the 64-bit hash of its context and 40 bits of its word's.
+
+Null and empty texts are one end token. Null and repeated ids keep their rows;
+other columns are not read. Long texts are counted and scored whole.
 """
 
 from __future__ import annotations
@@ -18,7 +25,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +39,11 @@ from threatspark.llm.shared import new_folder
 ORDER = 3
 HELD_OUT = (7, 2)            # modulus and remainder of crc32(doc_id)
 COUNT_TOKENS = 3_000_000     # tokens that a task reduces at once
+MERGE_ROWS = 4_000_000       # rows of blocks that a shard adds up at once
+SHARD_BYTES = 16 << 20       # text for which there is a shard
+LONG = 64                    # n-grams from which on a context's totals are stored, not added up when asked for
 SCORE_BYTES = 8 << 20        # text that a task scores at once
 
-_BITS = np.uint64(40)
 _LOW = np.uint64((1 << 40) - 1)
 _BEGIN = np.uint64(0xB0B0B0B0B0B0B0B1)
 _END = np.uint64(0xE0E0E0E0E0E0E0E1)
@@ -75,152 +83,210 @@ def _tokens(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarr
     return seq, where, np.repeat(np.arange(docs), words + 1)
 
 
-def _context(seq: np.ndarray, where: np.ndarray, k: int) -> np.ndarray:
-    """Hash of the k - 1 tokens before each token."""
-    out = np.zeros(len(where), np.uint64)
-    for j in range(k - 1, 0, -1):
-        out = T.mix(out + seq[where - j])
+def _context(tokens: list[np.ndarray]) -> np.ndarray:
+    """Hash of the tokens before each token, the nearest first."""
+    out = np.zeros(len(tokens[0]), np.uint64)
+    for t in tokens:
+        out = T.mix(out + t)
     return out
 
 
+def _before(seq: np.ndarray, where: np.ndarray, k: int) -> list[np.ndarray]:
+    return [seq[where - j] for j in range(1, k)]
+
+
 def _short(tokens: np.ndarray) -> np.ndarray:
     return T.mix(tokens) & _LOW
 
 
-def _columns(seq: np.ndarray, where: np.ndarray, kind: int, order: int) -> list[np.ndarray]:
-    """What is counted of each token: 64-bit hash first, then 40-bit ones."""
-    out = [_context(seq, where, kind), _short(seq[where])] if kind > 1 else [seq[where]]
-    return out + [_short(seq[where - kind])] if _RAW < kind < order else out
-
-
-def _distinct(columns: list[np.ndarray], counts: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows in order, and how often each occurs (or the sum of its counts)."""
-    keys, back = np.unique(columns[0], return_inverse=True)
-    levels = []
-    for c in columns[1:]:
-        levels.append(keys)
-        if len(keys) < 1 << 24:
-            keys, back = np.unique(back.astype(np.uint64) << _BITS | c, return_inverse=True)
-        else:
-            order = np.lexsort((c, back))
-            a, b = back[order], c[order]
-            new = np.ones(len(a), bool)
-            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            keys, rank = np.stack([a[new].astype(np.uint64), b[new]]), np.cumsum(new) - 1
-            back = np.empty(len(a), np.int64)
-            back[order] = rank
-    n = keys.shape[-1]
-    total = np.bincount(back, minlength=n) if counts is None else np.rint(np.bincount(back, weights=counts, minlength=n)).astype(np.int64)
-    out = []
-    for upper in reversed(levels):
-        at, low = (keys >> _BITS, keys & _LOW) if keys.ndim == 1 else keys
-        out.append(low)
-        keys = upper[..., at.astype(np.int64)]
-    return [keys, *reversed(out)], total
-
-
-def _planes(column: np.ndarray, width: int) -> bytes:
+@dataclass
+class _Grams:
+    """Rows of tokens (the word, then the tokens before it, nearest first) as
+    places in a sorted dictionary, and their counts."""
+    words: np.ndarray
+    places: list[np.ndarray]
+    counts: np.ndarray
+
+    def tokens(self, column: int) -> np.ndarray:
+        return self.words[self.places[column]]
+
+    def shards(self, bits: int) -> np.ndarray:
+        """By context, or by the word where there is none."""
+        if not bits:
+            return np.zeros(len(self.counts), np.int64)
+        h = _context([self.tokens(i) for i in range(1, len(self.places))]) if len(self.places) > 1 else self.tokens(0)
+        return (h >> np.uint64(64 - bits)).astype(np.int64)
+
+    def rows(self, which) -> _Grams:
+        return _Grams(self.words, [p[which] for p in self.places], self.counts[which])
+
+
+def _grams(columns: list[np.ndarray]) -> _Grams:
+    words, places = np.unique(np.concatenate(columns), return_inverse=True)
+    return _distinct(_Grams(words, np.split(places, len(columns)), np.ones(len(columns[0]), np.int64)))
+
+
+def _distinct(g: _Grams) -> _Grams:
+    """Each row once, in order, with the sum of its counts."""
+    if not len(g.counts):
+        return g
+    bits = max(len(g.words) - 1, 1).bit_length()
+    if bits * len(g.places) <= 64:
+        key = np.zeros(len(g.counts), np.uint64)
+        for p in g.places:
+            key = key << np.uint64(bits) | p.astype(np.uint64)
+        order = np.argsort(key)
+        key = key[order]
+        new = np.append(True, key[1:] != key[:-1])
+    else:
+        order = np.lexsort(g.places[::-1])
+        new = np.zeros(len(order), bool)
+        new[0] = True
+        for p in g.places:
+            new[1:] |= p[order[1:]] != p[order[:-1]]
+    first = np.flatnonzero(new)
+    return _Grams(g.words, [p[order[first]] for p in g.places], np.add.reduceat(g.counts[order], first))
+
+
+def _added(parts: list[_Grams]) -> _Grams:
+    words = np.unique(np.concatenate([g.words for g in parts]))
+    at = [np.searchsorted(words, g.words) for g in parts]
+    return _distinct(_Grams(words, [np.concatenate([a[g.places[i]] for a, g in zip(at, parts)]) for i in range(len(parts[0].places))],
+                            np.concatenate([g.counts for g in parts])))
+
+
+def _lower(g: _Grams) -> _Grams:
+    """The n-grams without their first token, counted by how many there are."""
+    return _distinct(_Grams(g.words, g.places[:-1], np.ones(len(g.counts), np.int64)))
+
+
+def _planes(column: np.ndarray) -> bytes:
     """Bytes of equal weight side by side, so that the empty high ones vanish."""
-    return column.view(np.uint8).reshape(len(column), column.itemsize)[:, :width].T.tobytes()
-
-
-def _pack(columns: list[np.ndarray], counts: np.ndarray | None) -> bytes:
-    """The first column as distinct values' differences and how often each
-    follows itself, the others in five bytes, the counts in four."""
-    keys, size = np.unique(columns[0], return_counts=True)
-    parts = [np.array([len(keys)], "<u8").tobytes(), _planes(np.diff(keys, prepend=np.uint64(0)), 8), _planes(size.astype("<u4"), 4)]
-    parts += [_planes(c, 5) for c in columns[1:]]
-    parts += [] if counts is None else [_planes(counts.astype("<u4"), 4)]
+    return column.view(np.uint8).reshape(len(column), column.itemsize).T.tobytes()
+
+
+def _pack(g: _Grams) -> bytes:
+    """The words in use, the most frequent first so that places are small; then places and counts."""
+    places = np.concatenate(g.places)
+    used, back, n = np.unique(places, return_inverse=True, return_counts=True)
+    order = np.argsort(-n, kind="stable")
+    rank = np.empty(len(used), np.uint32)
+    rank[order] = np.arange(len(used))
+    parts = [np.array([len(g.places), len(g.counts), len(used)], "<u8").tobytes(), _planes(g.words[used[order]].astype("<u8"))]
+    parts += [_planes(p) for p in np.split(rank[back].astype("<u4"), len(g.places))] + [_planes(g.counts.astype("<u8"))]
     return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
 
-def _unpack(blob: bytes, n: int, width: int, counted: bool) -> list[np.ndarray]:
+def _unpack(blob: bytes) -> _Grams:
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
-    at = 8
+    columns, n, words = raw[:24].view("<u8").tolist()
+    at = 24
 
-    def take(rows: int, stored: int, kind: str) -> np.ndarray:
+    def take(rows: int, kind: str) -> np.ndarray:
         nonlocal at
-        out = np.zeros((rows, np.dtype(kind).itemsize), np.uint8)
-        out[:, :stored] = raw[at:at + rows * stored].reshape(stored, rows).T
-        at += rows * stored
-        return out.view(kind).ravel()
+        size = np.dtype(kind).itemsize
+        out = np.ascontiguousarray(raw[at:at + rows * size].reshape(size, rows).T).view(kind).ravel()
+        at += rows * size
+        return out
 
-    distinct = int(raw[:8].view("<u8")[0])
-    keys = np.cumsum(take(distinct, 8, "<u8"), dtype=np.uint64)
-    out = [np.repeat(keys, take(distinct, 4, "<u4"))] + [take(n, 5, "<u8") for _ in range(width - 1)]
-    return out + [take(n, 4, "<u4")] if counted else out
+    listed = take(words, "<u8")
+    order = np.argsort(listed)
+    place = np.empty(words, np.int64)
+    place[order] = np.arange(words)
+    return _Grams(listed[order], [place[take(n, "<u4")] for _ in range(columns)], take(n, "<u8").astype(np.int64))
 
 
-def _width(kind: int, order: int) -> int:
-    return 1 + (kind > 1) + (_RAW < kind < order)
+_STATS = ["n", "total", "n1", "n2", "n3", "n4", "more"]
+_SENT = "kind int, shard int, block binary, " + ", ".join(f"{x} long" for x in _STATS)
+_DONE = -1                   # kinds from here down are statistics of the kind -1 - kind
 
 
-def _blocks(order: int, shard_bits: int):
-    kinds = [_RAW, *range(1, order + 1)]
+def _sent(kind: int, g: _Grams, bits: int) -> list[tuple]:
+    """A block for each shard."""
+    shard = g.shards(bits)
+    order = np.argsort(shard, kind="stable")
+    edge = np.searchsorted(shard[order], np.arange((1 << bits) + 1))
+    return [(kind, s, _pack(g.rows(order[edge[s]:edge[s + 1]])), *[0] * len(_STATS)) for s in np.flatnonzero(np.diff(edge)).tolist()]
 
-    def flush(held: dict) -> Iterator[pa.RecordBatch]:
-        for kind, parts in held.items():
-            columns, counts = _distinct([np.concatenate(c) for c in zip(*parts)])
-            shard = (columns[0] >> np.uint64(64 - shard_bits)).astype(np.int64) if shard_bits else np.zeros(len(counts), np.int64)
-            at = np.searchsorted(shard, np.arange((1 << shard_bits) + 1))
-            rows = [(s, b - a, _pack([c[a:b] for c in columns], counts[a:b] if kind in (_RAW, order) else None))
-                    for s, (a, b) in enumerate(zip(at[:-1], at[1:])) if b > a]
-            s, n, blob = zip(*rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([kind] * len(s), pa.int32()), pa.array(s, pa.int32()), pa.array(n, pa.int64()), pa.array(blob, pa.binary())],
-                ["kind", "shard", "n", "block"])
 
+def _table(rows: list[tuple]) -> pa.Table:
+    kinds = [pa.int32(), pa.int32(), pa.binary(), *[pa.int64()] * len(_STATS)]
+    columns = zip(*rows) if rows else [[]] * len(kinds)
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], ["kind", "shard", "block", *_STATS])
+
+
+def _blocks(order: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = {k: [] for k in kinds}, 0
+        held, n = [], 0
+
+        def flush():
+            columns = [np.concatenate(c) for c in zip(*held)]
+            rows = _sent(_RAW, _grams(columns[:1]), bits) + _sent(order, _grams(columns), bits)
+            return _table(rows).combine_chunks().to_batches()
+
         for batch in batches:
             for _, _, data, offsets in T.pieces(batch.column("text")):
                 seq, where, _ = _tokens(data, offsets, order)
-                for k in kinds:
-                    held[k].append(_columns(seq, where, k, order))
+                held.append([seq[where], *_before(seq, where, order)])
                 n += len(where)
                 if n >= COUNT_TOKENS:
-                    yield from flush(held)
-                    held, n = {k: [] for k in kinds}, 0
+                    yield from flush()
+                    held, n = [], 0
         if n:
-            yield from flush(held)
+            yield from flush()
 
     return run
 
 
-def _merge(folder: str, order: int):
-    """One shard of one order: sums the blocks, writes the arrays, returns statistics."""
+def _merge(folder: str, order: int, level: int, bits: int):
+    """One shard of one order (and of the plain counts, at the highest): adds
+    its blocks up, writes the arrays, sends the next order's rows. What isn't
+    of this level passes."""
     def run(key, rows):
         kind, shard = (x.as_py() for x in key)
-        counted, width = kind in (_RAW, order), _width(kind, order)
-        blocks = [_unpack(b.as_py(), n.as_py(), width, counted) for n, b in zip(rows.column("n"), rows.column("block"))]
-        columns = [np.concatenate(c) for c in zip(*blocks)]
-        columns, counts = _distinct(columns[:width], columns[width] if counted else None)
-        if not counted:  # a row per left neighbour: count them
-            columns, counts = _distinct(columns[:-1])
-        at = f"{folder}/{kind}-{shard}"
-        if kind > 1:
-            context, first, rank = np.unique(columns[0], return_index=True, return_inverse=True)
-            arrays.save(f"{at}-contexts.npy", context)
-            totals = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (counts, counts == 1, counts == 2, counts > 2)], axis=1)
-            arrays.save(f"{at}-totals.npy", totals.astype(np.min_scalar_type(int(totals.max()))))
-            bits = _rank_bits(len(context))
-            arrays.save(f"{at}-keys.npy", rank.astype(np.uint64) << bits | columns[1] >> (_BITS - bits))
-        else:
-            arrays.save(f"{at}-keys.npy", columns[0])
-        arrays.save(f"{at}-counts.npy", counts.astype(np.min_scalar_type(int(counts.max()))))
-        have = [int((counts == c).sum()) for c in (1, 2, 3, 4)]
-        values = [kind, len(counts), int(counts.sum()), *have, int((counts > 2).sum())]
-        return pa.table({n: pa.array([v], pa.int64()) for n, v in zip(_STATS, values)})
+        if kind != level and not (kind == _RAW and level == order):
+            return rows
+        parts, n = [], 0
+        for blob in rows.column("block"):
+            parts.append(_unpack(blob.as_py()))
+            n += len(parts[-1].counts)
+            if n >= MERGE_ROWS and len(parts) > 1:
+                parts = [_added(parts)]
+                n = len(parts[0].counts) // 2  # it shrinks no more if most of it is distinct
+        g = _added(parts)
+        _write(f"{folder}/{kind}-{shard}", g)
+        have = [int((g.counts == c).sum()) for c in (1, 2, 3, 4)]
+        stats = [(_DONE - kind, shard, None, len(g.counts), int(g.counts.sum()), *have, int((g.counts > 2).sum()))]
+        return _table(stats + (_sent(level - 1, _lower(g), bits) if kind == level and level > 1 else []))
 
     return run
 
 
-def _rank_bits(contexts: int) -> np.uint64:
-    """Bits of the word's hash that fit beside a context's place in its shard."""
-    return np.uint64(min(40, 64 - max(contexts - 1, 1).bit_length()))
-
-
-_STATS = ["kind", "n", "total", "n1", "n2", "n3", "n4", "more"]
+def _write(at: str, g: _Grams) -> None:
+    """Sorted arrays of one shard: words and counts; of longer n-grams their
+    contexts, where each one's words start, and the totals of long ones."""
+    counts = g.counts
+    if len(g.places) == 1:
+        arrays.save(f"{at}-keys.npy", g.tokens(0))
+    else:
+        context, word = _context([g.tokens(i) for i in range(1, len(g.places))]), _short(g.tokens(0))
+        order = np.lexsort((word, context))
+        context, word, counts = context[order], word[order], counts[order]
+        first = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
+        start = np.append(first, len(context))
+        long = np.flatnonzero(np.diff(start) > LONG)
+        arrays.save(f"{at}-contexts.npy", context[first])
+        arrays.save(f"{at}-start.npy", start.astype(np.min_scalar_type(len(context))))
+        arrays.save(f"{at}-low.npy", word.astype(np.uint32))
+        arrays.save(f"{at}-high.npy", (word >> np.uint64(32)).astype(np.uint8))
+        arrays.save(f"{at}-long.npy", long)
+        arrays.save(f"{at}-totals.npy", np.stack([np.add.reduceat(x, first)[long] for x in _kinds_of(counts)], axis=1))
+    arrays.save(f"{at}-counts.npy", counts.astype(np.min_scalar_type(int(counts.max()))))
+
+
+def _kinds_of(counts: np.ndarray) -> list[np.ndarray]:
+    counts = counts.astype(np.int64)
+    return [counts, *[x.astype(np.int64) for x in (counts == 1, counts == 2, counts > 2)]]
 
 
 def _discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -233,23 +299,24 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]
 
 
 def train(docs: DataFrame, order: int = ORDER) -> LanguageModel:
-    """Counts the texts of ``docs`` (null: empty, which is one end token). The
-    number of shards follows the session's shuffle partitions. An empty table
-    gives a model that knows nothing."""
+    """Counts the texts of ``docs`` (null: empty, which is one end token), with
+    a shard for every SHARD_BYTES of them. An empty table gives a model that
+    knows nothing."""
     spark = docs.sparkSession
-    shard_bits = max(0, math.ceil(math.log2(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max(0, math.ceil(math.log2(max(1, size / SHARD_BYTES))))
     folder = new_folder(spark, "ngrams")
-    stats = (docs.select("text").mapInArrow(_blocks(order, shard_bits), "kind int, shard int, n long, block binary")
-             .groupBy("kind", "shard").applyInArrow(_merge(folder, order), ", ".join(f"{x} long" for x in _STATS)))
-    by_kind = {r["kind"]: r for r in stats.groupBy("kind").agg(*[F.sum(x).alias(x) for x in _STATS[1:]]).collect()}  # a row per order
+    rows = docs.select("text").mapInArrow(_blocks(order, bits), _SENT)
+    for level in range(order, 0, -1):
+        rows = rows.groupBy("kind", "shard").applyInArrow(_merge(folder, order, level, bits), _SENT)
+    by_kind = {_DONE - r["kind"]: r for r in rows.groupBy("kind").agg(*[F.sum(x).alias(x) for x in _STATS]).collect()}  # a row per order
     raw, one = by_kind.get(_RAW), by_kind.get(1)
     discounts = tuple(_discounts(*(by_kind[k][x] for x in ("n1", "n2", "n3", "n4"))) if k in by_kind else (0.5, 0.5, 0.5)
                       for k in range(1, order + 1))
-    return LanguageModel(folder, order, shard_bits, raw["total"] if raw else 0, raw["n"] if raw else 0, discounts,
+    return LanguageModel(folder, order, bits, raw["total"] if raw else 0, raw["n"] if raw else 0, discounts,
                          tuple(one[x] for x in ("total", "n1", "n2", "more")) if one else (0, 0, 0, 0))
 
 
-@lru_cache(maxsize=2048)
 def _array(path: str) -> np.ndarray | None:
     try:
         return arrays.load(path)
@@ -262,7 +329,7 @@ def _by_shard(model: LanguageModel, kind: int, keys: np.ndarray) -> Iterator[tup
     shard = (keys >> np.uint64(64 - model.shard_bits)).astype(np.int64) if model.shard_bits else np.zeros(len(keys), np.int64)
     shards, first = np.unique(shard, return_index=True)
     for s, a, b in zip(shards.tolist(), first, [*first[1:], len(keys)]):
-        if _array(f"{model.folder}/{kind}-{s}-keys.npy") is not None:
+        if _array(f"{model.folder}/{kind}-{s}-counts.npy") is not None:
             yield slice(a, b), f"{model.folder}/{kind}-{s}"
 
 
@@ -280,19 +347,47 @@ def _ngrams(model: LanguageModel, kind: int, context: np.ndarray, word: np.ndarr
     count, totals = np.zeros(len(word), np.int64), np.zeros((len(word), 4), np.int64)
     for own, path in _by_shard(model, kind, context):
         distinct, back = np.unique(context[own], return_inverse=True)
-        held = _array(f"{path}-contexts.npy")
-        rank, there = arrays.find(held, distinct)
-        there, rank = there[back], rank[back]
-        bits = _rank_bits(len(held))
-        keys = rank[there].astype(np.uint64) << bits | word[own][there] >> (_BITS - bits)
-        at, hit = arrays.find(_array(f"{path}-keys.npy"), keys)
-        found = np.zeros(len(keys), np.int64)
-        found[hit] = _array(f"{path}-counts.npy")[at[hit]]
-        count[own][there] = found
-        totals[own][there] = _array(f"{path}-totals.npy")[rank[there]]
+        start, low, high, counts = (_array(f"{path}-{n}.npy") for n in ("start", "low", "high", "counts"))
+        rank, there = arrays.find(_array(f"{path}-contexts.npy"), distinct)
+        rank = rank[there]
+        first, last = start[rank].astype(np.int64), start[rank + 1].astype(np.int64)
+        sums = np.zeros((len(distinct), 4), np.int64)
+        sums[there] = _totals(path, rank, first, last, counts)
+        totals[own] = sums[back]
+        place = np.cumsum(there) - 1
+        asked = np.flatnonzero(there[back])
+        at, end = first[place[back[asked]]], last[place[back[asked]]]
+        wanted, stop = word[own][asked], end.copy()
+        while (open_ := at < end).any():  # binary search for all of them at once
+            mid = (at + end) // 2
+            k = np.flatnonzero(open_)
+            less = (high[mid[k]].astype(np.uint64) << np.uint64(32) | low[mid[k]]) < wanted[k]
+            at[k[less]] = mid[k[less]] + 1
+            end[k[~less]] = mid[k[~less]]
+        hit = np.flatnonzero(at < stop)
+        hit = hit[(high[at[hit]].astype(np.uint64) << np.uint64(32) | low[at[hit]]) == wanted[hit]]
+        found = np.zeros(len(back), np.int64)
+        found[asked[hit]] = counts[at[hit]]
+        count[own] = found
     return count, totals
 
 
+def _totals(path: str, rank: np.ndarray, first: np.ndarray, last: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sum and numbers of ones, twos and more of some contexts: added up, or stored for long ones."""
+    out = np.zeros((len(rank), 4), np.int64)
+    n = last - first
+    short = np.flatnonzero(n <= LONG)
+    if len(short):
+        n, edge = n[short], np.cumsum(n[short]) - n[short]
+        own = counts[np.repeat(first[short] - edge, n) + np.arange(n.sum())]
+        for i, x in enumerate(_kinds_of(own)):
+            out[short, i] = np.add.reduceat(x, edge)
+    long = np.flatnonzero(last - first > LONG)
+    if len(long):
+        out[long] = _array(f"{path}-totals.npy")[np.searchsorted(_array(f"{path}-long.npy"), rank[long])]
+    return out
+
+
 def _score(model: LanguageModel, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     docs = len(offsets) - 1
     seq, where, doc = _tokens(data, offsets, model.order)
@@ -313,7 +408,7 @@ def _score(model: LanguageModel, data: np.ndarray, offsets: np.ndarray) -> list[
     p = p[back]
     for k in range(2, model.order + 1):
         d = model.discounts[k - 1]
-        context, short = _context(seq, where, k), _short(seq[where])
+        context, short = _context(_before(seq, where, k)), _short(seq[where])
         pairs, to = np.unique(T.mix(context) ^ short, return_inverse=True)
         first = np.empty(len(pairs), np.int64)
         first[to] = np.arange(len(to))

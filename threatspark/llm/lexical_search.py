@@ -116,12 +116,9 @@ class Index:
     items: DataFrame            # item number and item_id
     small: bool                 # few enough rows to broadcast
 
-    def load(self, weights: bool) -> dict[int, _Block]:
-        out = {}
-        for k in self.blocks:
-            at = f"{self.folder}/{k}"
-            out[k] = _Block(*[arrays.load(f"{at}-{n}.npy") for n in _ARRAYS], arrays.load(f"{at}-weights.npy") if weights else None)
-        return out
+    def load(self, weights: bool) -> dict[int, list[np.ndarray]]:
+        names = [*_ARRAYS, *(["weights"] if weights else [])]
+        return {k: [arrays.load(f"{self.folder}/{k}-{n}.npy") for n in names] for k in self.blocks}
 
 
 def build(items: DataFrame, block_rows: int = BLOCK_ROWS, broadcast_rows: int = BROADCAST_ROWS) -> list[Index]:
@@ -147,10 +144,10 @@ def build(items: DataFrame, block_rows: int = BLOCK_ROWS, broadcast_rows: int =
 def _source(spark, index: Index, weights: bool) -> Any:
     """How tasks get the blocks: broadcast if they are few and small, else mapped from the folder."""
     if index.small:
-        shared = spark.sparkContext.broadcast(index.load(weights))
-        return lambda: shared.value
+        shared = spark.sparkContext.broadcast({k: [np.asarray(x) for x in b] for k, b in index.load(weights).items()})  # plain arrays
+        return lambda: {k: _Block(*b) for k, b in shared.value.items()}
     folder, blocks = index.folder, index.blocks
-    return lambda: Index(folder, blocks, None, False).load(weights)
+    return lambda: {k: _Block(*b) for k, b in Index(folder, blocks, None, False).load(weights).items()}
 
 
 # ------------------------------------------------------------ counts
@@ -203,7 +200,7 @@ def _weigh(docs: DataFrame, index: Index) -> tuple[int, int]:
                     .groupBy("block", "term").agg(F.sum("n").alias("n")), "search-counts")
     totals = dict(counts.filter(F.col("block") == _TOTALS).select("term", "n").collect())  # two numbers
     n_docs, n_terms = totals.get(0, 0), totals.get(1, 0)
-    sizes = {k: len(b.h1) for k, b in index.load(False).items()}
+    sizes = {k: len(b[0]) for k, b in index.load(False).items()}
     done = (counts.filter(F.col("block") >= 0).groupBy("block").applyInArrow(_write_weights(folder, n_docs, sizes), "block long").collect())
     for k in set(sizes) - {r["block"] for r in done}:  # no document has any of its terms
         arrays.save(f"{folder}/{k}-weights.npy", np.zeros(sizes[k], np.int64))

@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -142,7 +141,6 @@ def _write_prefixes(folder: str):
     return run
 
 
-@lru_cache(maxsize=2048)
 def _array(path: str) -> np.ndarray | None:
     try:
         return arrays.load(path)
