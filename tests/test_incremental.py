@@ -82,3 +82,25 @@ def test_slices_keep_fractions_of_a_second(spark):
     df = spark.createDataFrame([(t,) for t in rows], "ts timestamp")
     assert [r["n_rows"] for r in rows_per_slice(df, "ts").orderBy("slice_no").collect()] == [3, 2, 1]
     assert sorted(r["slice_no"] for r in read_by_slices(df, "ts").collect()) == [0, 0, 0, 1, 1, 2]
+
+
+def test_join_with_any_intervals(spark):
+    import random
+
+    from threatspark.operators.incremental import join_intervals
+    random.seed(3)
+    t0 = dt.datetime(1969, 12, 31, 23, 59, 50)  # on both sides of zero
+    at = lambda s: t0 + dt.timedelta(microseconds=s)
+    points = [(i, at(random.choice([0, 5, 10, 11, 10_000_000, random.randint(0, 20_000_000), random.randint(0, 10**15)]))) for i in range(300)] + [(900, None)]
+    spans = [(0, 0), (5, 10), (10, 9), (0, 20_000_000), (0, 10**15), (9_999_999, 10_000_000)]
+    spans += [(a, a + random.choice([0, 1, 3, 4, 15, 16, 10**6, 10**9, 10**14])) for a in (random.randint(0, 20_000_000) for _ in range(60))]
+    intervals = [(i, at(a), at(b)) for i, (a, b) in enumerate(spans)] + [(800, None, at(5)), (801, at(5), None)]
+    p = spark.createDataFrame(points, "i int, t timestamp")
+    v = spark.createDataFrame(intervals, "j int, lo timestamp, hi timestamp")
+    out = join_intervals(p, "t", v, "lo", "hi")
+    want = sorted((i, j) for i, t in points for j, a, b in intervals if None not in (t, a, b) and a <= t <= b)
+    assert sorted((r["i"], r["j"]) for r in out.collect()) == want and len(want) > 1000
+    assert out.columns == ["i", "t", "j", "lo", "hi"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert join_intervals(p, "t", v.limit(0), "lo", "hi").count() == 0 and join_intervals(p.limit(0), "t", v, "lo", "hi").count() == 0

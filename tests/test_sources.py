@@ -118,5 +118,16 @@ def test_epss_files_named_by_day_are_not_opened(spark, tmp_path):
         with gzip.open(tmp_path / f"epss_scores-2024-01-{day:02d}.csv.gz", "wt") as f:
             f.write(f"#model_version:v1,score_date:2024-01-{day:02d}T00:00:00+0000\ncve,epss,percentile\nCVE-{day},0.{day},0.5\n")
     (tmp_path / "epss_scores-2023-12-31.csv.gz").write_bytes(b"not gzip at all")  # would fail if it were opened
-    rows = read_epss(spark, str(tmp_path), since="2024-01-08").collect()
+    rows = read_epss(spark, str(tmp_path), since="2024-01-08", trust_names=True).collect()
     assert sorted(r["date"] for r in rows) == ["2024-01-09", "2024-01-10"]
+
+
+def test_epss_metadata_decides_and_rows_without_a_cve_are_rejected_later(spark, tmp_path):
+    import gzip
+    from threatspark.sources.epss import bronze_epss, read_epss
+    with gzip.open(tmp_path / "epss_scores-2024-01-01.csv.gz", "wt") as f:  # corrected later under its old name
+        f.write("#model_version:v1,score_date:2024-02-01T00:00:00+0000\ncve,epss,percentile\nCVE-1,0.1,0.5\n,0.2,0.5\n")
+    raw = read_epss(spark, str(tmp_path), since="2024-01-08")
+    assert {r["date"] for r in raw.collect()} == {"2024-02-01"}
+    good, bad = bronze_epss(raw)
+    assert [r["cve"] for r in good.collect()] == ["CVE-1"] and [(r["cve"], r["reason"]) for r in bad.collect()] == [(None, "missing_cve")]

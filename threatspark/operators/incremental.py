@@ -105,6 +105,31 @@ def read_by_slices(df: DataFrame, ts_col: str) -> DataFrame:
     return placed.withColumn("slice_no", F.explode(F.array("_c0", "_c1"))).filter(F.col("slice_no").isNotNull()).drop("_c0", "_c1")
 
 
+def join_intervals(points: DataFrame, ts: str, intervals: DataFrame, lo: str, hi: str) -> DataFrame:
+    """J12 for any intervals: the pairs of a point and an interval [lo, hi]
+    (closed) that holds it, as an equi-join. An interval is cut into bins of
+    the least power of four (in microseconds) above its length, so it meets
+    two bins at most, long ones coarser bins than short ones. A point asks one
+    bin of each width that some interval has (33 widths at most reach the
+    driver); the exact test follows. Rows with a null or reversed interval or
+    a null time join nothing; a pair comes once. Columns of both sides must
+    have different names."""
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    length = micros(hi) - micros(lo)
+    even = F.length(F.bin(length)) + F.length(F.bin(length)) % 2      # 4 ** (even / 2) > length
+    shifted = lambda x, by: F.call_function("shiftright", x, by)
+    held = intervals.filter(length >= 0).withColumn("_level", even.cast("int"))
+    first, last = shifted(micros(lo), F.col("_level")), shifted(micros(hi), F.col("_level"))
+    cut = held.withColumn("_bin", F.explode(F.when(first == last, F.array(first)).otherwise(F.array(first, last))))
+    levels = sorted(r[0] for r in held.select("_level").distinct().collect())
+    asked = F.array(*[F.struct(F.lit(n).alias("l"), shifted(micros(ts), F.lit(n)).alias("b")) for n in levels]) if levels else \
+        F.array().cast("array<struct<l:int,b:bigint>>")
+    probe = points.filter(F.col(ts).isNotNull()).withColumn("_asked", F.explode(asked)).withColumns({"_l": F.col("_asked.l"), "_b": F.col("_asked.b")}).drop("_asked")
+    on = (F.col("_l") == F.col("_level")) & (F.col("_b") == F.col("_bin"))
+    within = (micros(ts) >= micros(lo)) & (micros(ts) <= micros(hi))
+    return probe.join(cut, on & within).drop("_l", "_b", "_level", "_bin")
+
+
 def rows_per_slice(df: DataFrame, ts_col: str, start: Column | None = None,
                    end: Column | None = None) -> DataFrame:
     """J12 without a nested-loop join: each row computes the one or two slices

@@ -175,7 +175,8 @@ class Commit:
     has none) to the data folder that holds it, ``rows`` to its row count.
     ``base`` buckets have been doubled ``level`` times, and the first
     ``split`` of them once more. ``changes``: by version, the folder with the
-    keys that it changed. ``seen``: what the writer had read to make it."""
+    keys that it changed. ``seen``: what the writer had read to make it;
+    ``incoming``: the rows that the load brought."""
 
     version: int
     schema: str
@@ -188,6 +189,7 @@ class Commit:
     rows: dict[str, int] = field(default_factory=dict)
     changes: dict[str, str] = field(default_factory=dict)
     seen: dict[str, str] = field(default_factory=dict)
+    incoming: int = 0
 
 
 def _folder(spark: SparkSession, path: str):
@@ -376,7 +378,7 @@ def upsert_bucketed(spark: SparkSession, path: str, incoming: DataFrame, key: st
         changes[str(version)] = folder
         _write_commit(spark, path, Commit(
             version, schema.json(), want, _keys(key), parts | {b: folder for b in written}, base, level, split, sizes | written,
-            dict(list(changes.items())[-KEEP_CHANGES:]), ({} if c is None else c.seen) | (seen or {})))
+            dict(list(changes.items())[-KEEP_CHANGES:]), ({} if c is None else c.seen) | (seen or {}), sum(counts.values())))
         return len(written)
     finally:
         inc.unpersist()

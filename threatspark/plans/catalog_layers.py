@@ -156,6 +156,18 @@ def gold_any_run_ts(spark: SparkSession, sf: str) -> DataFrame:
     return read_current(spark, base + "/lake/gold/parts").select("id", "price", "seen")
 
 
+@query("rows_per_interval")
+def rows_per_interval(spark: SparkSession, sf: str) -> DataFrame:
+    """J12 with overlapping intervals of unlike length: line items shipped
+    while a part is on offer, from a day to over five years long."""
+    days = F.when(F.col("p_partkey") % 50 == 0, F.col("p_size") * 40).otherwise(F.col("p_size")).cast("int")
+    start = F.date_add(F.lit("1992-01-01").cast("date"), (F.col("p_partkey") * 7 % 2400).cast("int"))
+    offers = read_driver_table(spark, sf, "part").select("p_partkey", start.alias("start"), F.date_add(start, days).alias("stop"))
+    items = read_driver_table(spark, sf, "lineitem").select("l_shipdate", "l_quantity")
+    pairs = inc.join_intervals(items, "l_shipdate", offers, "start", "stop")
+    return pairs.groupBy("p_partkey").agg(F.count("*").alias("n_rows"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
+
+
 @query("growing_table")
 def growing_table(spark: SparkSession, sf: str) -> DataFrame:
     """C1 by linear hashing: a table that starts with the orders of few

@@ -20,7 +20,7 @@ from threatspark.sources.tables import read_driver_table
 BASE_TS = "2024-01-01 00:00:00"
 FEED_DECIMAL = "decimal(7,5)"  # the synthetic probabilities have five decimals by definition
 
-_PLANS: dict[tuple, DataFrame] = {}
+_PLANS: dict[tuple, tuple[SparkSession, DataFrame]] = {}  # the session too, so that its id is no other one's
 
 
 def memo_plan(fn):
@@ -31,11 +31,9 @@ def memo_plan(fn):
         from threatspark.plans.rules import score_rules, threat_rules
         rules = tuple(map(repr, (*threat_rules(), *score_rules())))  # a new rule means a new plan
         key = (id(spark), fn.__name__, sf_dir, args, rules)
-        df = _PLANS.get(key)
-        if df is None:
-            df = fn(spark, sf_dir, *args)
-            _PLANS[key] = df
-        return df
+        if key not in _PLANS:
+            _PLANS[key] = spark, fn(spark, sf_dir, *args)
+        return _PLANS[key][1]
     wrapper.__name__ = fn.__name__
     wrapper.__doc__ = fn.__doc__
     return wrapper

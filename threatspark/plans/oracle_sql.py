@@ -718,6 +718,12 @@ WITH d AS (
   UNION ALL SELECT 3, p_partkey, p_size * 3 FROM part WHERE p_partkey % 5 = 0)
 SELECT cast(k AS VARCHAR) AS id, cast(arg_max(price, run) AS DOUBLE) AS price, '2024-0' || max(run) || '-01' AS seen FROM d GROUP BY k"""
 
+ORACLE_SQL["rows_per_interval"] = """
+WITH o AS (SELECT p_partkey, DATE '1992-01-01' + CAST(p_partkey * 7 % 2400 AS INT) AS start,
+    CAST(CASE WHEN p_partkey % 50 = 0 THEN p_size * 40 ELSE p_size END AS INT) AS days FROM part)
+SELECT p_partkey, count(*) AS n_rows, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
+FROM o JOIN lineitem ON CAST(l_shipdate AS DATE) BETWEEN start AND start + days GROUP BY p_partkey"""
+
 ORACLE_SQL["growing_table"] = ORACLE_SQL["upsert_bucketed_result"]
 ORACLE_SQL["fact_incremental"] = ORACLE_SQL["vrr_score_per_cve"]
 

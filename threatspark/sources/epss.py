@@ -20,18 +20,20 @@ def score_date_of(line: Column) -> Column:
 
 
 def read_epss(spark: SparkSession, path: str, since: str | None = None,
-              run_date: str | None = None) -> DataFrame:
+              run_date: str | None = None, trust_names: bool = False) -> DataFrame:
     """Rows of every snapshot file under ``path``, stamped with the file's
     score date (today / ``run_date`` when the file has none); whole files
     dated on or before ``since`` are skipped (F4).
 
-    Files whose name carries a day on or before ``since`` are not opened at
-    all (snapshots are published under their score date). Metadata: one pass
+    The metadata line alone decides. With ``trust_names``, for folders whose
+    files are known to be named by their score date, files whose name carries
+    a day on or before ``since`` are not opened at all. Metadata: one pass
     over the text, reduced to one row per file. Rows: the CSV reader with '#'
-    as comment char. Both are keyed by file name and joined (J11); the
+    as comment char, header lines dropped; rows without a CVE stay, for the
+    bronze step to reject. Both are keyed by file name and joined (J11); the
     metadata side has one row per file."""
     name_day = F.regexp_extract(F.col("_metadata.file_name"), DAY_IN_NAME, 1)
-    open_ = F.lit(True) if since is None else (name_day == "") | (name_day > F.lit(since))
+    open_ = F.lit(True) if since is None or not trust_names else (name_day == "") | (name_day > F.lit(since))
     text = spark.read.text(path).filter(open_).withColumn("_file", F.col("_metadata.file_path"))
     files = text.groupBy("_file").agg(F.max(F.when(F.col("value").startswith("#"), score_date_of(F.col("value")))).alias("score_date"))
     files = snapshot_gate(files, since)
@@ -40,7 +42,7 @@ def read_epss(spark: SparkSession, path: str, since: str | None = None,
         .withColumn("_file", F.col("_metadata.file_path"))
     today = F.lit(run_date) if run_date else F.date_format(F.current_date(), "yyyy-MM-dd")
     out = rows.join(files, "_file").withColumn("date", F.coalesce("score_date", today))
-    return out.drop("_file", "score_date").filter(F.col("cve").isNotNull() & (F.col("cve") != "cve"))
+    return out.drop("_file", "score_date").filter(F.col("cve").isNull() | (F.col("cve") != "cve"))
 
 
 def bronze_epss(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
