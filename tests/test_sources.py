@@ -1,3 +1,4 @@
+import pytest
 import gzip
 import json
 
@@ -131,3 +132,34 @@ def test_epss_metadata_decides_and_rows_without_a_cve_are_rejected_later(spark,
     assert {r["date"] for r in raw.collect()} == {"2024-02-01"}
     good, bad = bronze_epss(raw)
     assert [r["cve"] for r in good.collect()] == ["CVE-1"] and [(r["cve"], r["reason"]) for r in bad.collect()] == [(None, "missing_cve")]
+
+
+@pytest.mark.parametrize("size", [7, 40, 333, 5000])
+def test_multi_line_csv_in_byte_ranges(spark, tmp_path, size):
+    """Any range size gives the rows and ids of the reader that takes whole files."""
+    import csv
+    import random
+    random.seed(size)
+    for name, end in (("b.csv", "\n"), ("a.csv", "\r\n")):
+        with open(tmp_path / name, "w", newline="") as f:
+            w = csv.writer(f, lineterminator=end, quoting=csv.QUOTE_MINIMAL)
+            w.writerow(["Plugin ID", "Host, name", "Notes"])
+            for i in range(60):
+                note = "".join(random.choice(["a", "b,", "\n", "\n\n", '"', '""', "ü", " ", "NA"]) for _ in range(random.randint(0, 12)))
+                w.writerow([i, f"h{i}" if i % 7 else "", random.choice([note, "N/A", "", "plain"])])
+                if i % 9 == 0:
+                    f.write(end)  # a blank line between records
+    conf = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "1"}
+    whole = src.read_scanner_csv(spark, str(tmp_path))
+    want = sorted(map(tuple, whole.collect()), key=lambda r: r[-1])
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        split = src.read_scanner_csv(spark, str(tmp_path), range_bytes=1)
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 1
+        assert split.columns == whole.columns and sorted(map(tuple, split.collect()), key=lambda r: r[-1]) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(want) == 120 and any("\n" in (r[2] or "") for r in want)

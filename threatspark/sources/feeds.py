@@ -134,22 +134,61 @@ def bronze_modules(rows: DataFrame) -> DataFrame:
 _LOCAL_SCHEME = "^file:/+"
 
 
-def read_scanner_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_scanner_csv(spark: SparkSession, path: str, range_bytes: int = 128 << 20) -> DataFrame:
     """Scanner export with quoted multi-line cells; NA words read as
     null (Q14). A stable ``row_id`` follows input order, file by file in name
-    order: a multi-line CSV file is never split, so all its rows are read in
-    order by one task, and the id is (file rank << 33) + the row's index in
-    its partition. A file scan without a shuffle gives the same ids on
-    recomputation."""
-    df = spark.read.option("header", True).option("multiLine", True).option("quote", '"') \
-        .option("escape", '"').option("inferSchema", False).csv(path)
+    order: (file rank << 33) + the row's index in its file. Where a file is
+    larger than ``range_bytes`` the files are read in byte ranges
+    (``scanner_csv_ranges``), else a task reads a whole file: a multi-line CSV
+    file is never split, so its rows' index is that in the partition. Either
+    way gives the same rows and ids, at every recomputation."""
+    reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("inferSchema", False)
+    df = reader.csv(path)
+    longest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]  # file sizes only, no contents
+    if (longest or 0) > range_bytes:
+        rows = scanner_csv_ranges(spark, path, df.columns)
+    else:
+        rows = df.select("*", F.col("_metadata.file_path").alias("_src"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"))
     cols = df.columns
-    df = df.select(*[F.when(F.col(f"`{c}`").isin(NA_WORDS), F.lit(None)).otherwise(F.col(f"`{c}`")).alias(c)
-                     for c in cols],
-                   F.regexp_replace(F.col("_metadata.file_path"), _LOCAL_SCHEME, "/").alias("_src"),
-                   F.monotonically_increasing_id().alias("_mono"))
-    pos = F.col("_mono").bitwiseAND(F.lit((1 << 33) - 1))
+    rows = rows.select(*[F.when(F.col(f"`{c}`").isin(NA_WORDS), F.lit(None)).otherwise(F.col(f"`{c}`")).alias(c) for c in cols],
+                       F.regexp_replace("_src", _LOCAL_SCHEME, "/").alias("_src"), "_pos")
     # one row per file that has rows, numbered in name order
-    ranks = df.select("_src").distinct().withColumn("_rank", F.row_number().over(Window.orderBy("_src")) - 1)
-    return df.join(ranks, "_src", "left").withColumn("row_id", F.col("_rank").cast("long") * (1 << 33) + pos) \
+    ranks = rows.select("_src").distinct().withColumn("_rank", F.row_number().over(Window.orderBy("_src")) - 1)
+    return rows.join(ranks, "_src", "left").withColumn("row_id", F.col("_rank").cast("long") * (1 << 33) + F.col("_pos")) \
         .select(*[F.col(f"`{c}`") for c in cols], "row_id")
+
+
+def scanner_csv_ranges(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """The records of quoted CSV files, read in byte ranges by many tasks:
+    ``columns``, the file (``_src``) and the record's index in it (``_pos``).
+
+    Whether a line starts a record depends on how many quotes stand before it
+    in the file, odd or even. Each range works that out from its own start,
+    counts its record starts for either case, and a running sum over the
+    ranges (a row each) tells which case holds and how many records came
+    before. The lines of a record then meet by its number, those that lie in
+    other ranges too. Quotes count everywhere, so a cell that isn't quoted may
+    hold none; line breaks inside cells stay as they are."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        "value", F.col("_metadata.file_path").alias("_src"), F.col("_metadata.file_block_start").alias("_from"), F.monotonically_increasing_id().alias("_at"))
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    lines = lines.withColumn("_odd", quotes % 2 == 1).withColumn("_blank", F.col("value").isin("", "\r"))
+    own = Window.partitionBy("_src", "_from").orderBy("_at")
+    odd_before = F.coalesce(F.sum(F.col("_odd").cast("long")).over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2 == 1
+    lines = lines.withColumn("_odd_before", odd_before)
+    ranges = lines.groupBy("_src", "_from").agg(
+        F.count_if("_odd").alias("odd"), F.count_if(~F.col("_odd_before") & ~F.col("_blank")).alias("if_even"),
+        F.count_if(F.col("_odd_before") & ~F.col("_blank")).alias("if_odd"))
+    earlier = Window.partitionBy("_src").orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("_open", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2 == 1)
+    ranges = ranges.withColumn("n", F.when(F.col("_open"), F.col("if_odd")).otherwise(F.col("if_even")))
+    ranges = ranges.select("_src", "_from", "_open", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
+    placed = lines.join(ranges, ["_src", "_from"]).withColumn("_inside", F.col("_odd_before") != F.col("_open"))
+    placed = placed.filter(F.col("_inside") | ~F.col("_blank"))  # blank lines between records
+    number = F.col("_before") + F.sum((~F.col("_inside")).cast("long")).over(own.rowsBetween(Window.unboundedPreceding, 0)) - 1
+    records = placed.withColumn("_record", number).groupBy("_src", "_record").agg(
+        F.array_sort(F.collect_list(F.struct("_from", "_at", "value"))).alias("l"))  # the lines of one record
+    text = F.regexp_replace(F.array_join(F.transform("l", lambda x: x["value"]), "\n"), "\r$", "")
+    cells = F.from_csv(text, ", ".join(f"c{i} STRING" for i in range(len(columns))), {"quote": '"', "escape": '"', "multiLine": "true"})
+    out = records.filter("_record > 0").select(cells.alias("c"), "_src", (F.col("_record") - 1).alias("_pos"))
+    return out.select(*[F.col(f"c.c{i}").alias(c) for i, c in enumerate(columns)], "_src", "_pos")
