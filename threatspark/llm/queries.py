@@ -155,13 +155,34 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op2_near_dedup")
+@query("op2_near_dedup", r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN [array_to_string(w[i:i + 2], ' ') for i in range(1, len(w) - 1)]
+  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+m AS (SELECT a, min(b) AS low FROM r GROUP BY a)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(low, w.doc_id)) AS component_id,
+  least(w.doc_id, coalesce(low, w.doc_id)) = w.doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.a = w.doc_id""")
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: three-word shingles, similarity 0.85 or more."""
     return near_dedup.near_groups(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
-@query("op8_substring_dedup")
+@query("op8_substring_dedup", r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS g FROM w, unnest(range(1, len(w) - 33)) AS u(i)),
+r AS (SELECT doc_id, i FROM g WHERE g IN (SELECT g FROM g GROUP BY g HAVING count(*) > 1)),
+c AS (SELECT DISTINCT doc_id, i + j AS i FROM r, unnest(range(0, 35)) AS v(j)),
+x AS (SELECT doc_id, i, w[i] AS word FROM w, unnest(range(1, len(w) + 1)) AS u(i)),
+k AS (SELECT x.doc_id, count(*) AS n_words, count(c.i) AS n_removed, string_agg(word, ' ' ORDER BY x.i) FILTER (c.i IS NULL) AS kept
+  FROM x LEFT JOIN c ON c.doc_id = x.doc_id AND c.i = x.i GROUP BY x.doc_id)
+SELECT w.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)""")
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word counts and the hash of what repeated 35-word windows leave of every document."""
     kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
