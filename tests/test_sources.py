@@ -163,3 +163,32 @@ def test_multi_line_csv_in_byte_ranges(spark, tmp_path, size):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert len(want) == 120 and any("\n" in (r[2] or "") for r in want)
+
+
+@pytest.mark.parametrize("size, indent", [(9, None), (64, 2), (700, None)])
+def test_module_map_in_byte_ranges(spark, tmp_path, size, indent):
+    """Any range size gives the modules of the reader that takes a whole object: braces
+    and quotes in strings, escapes, nested objects, keys in any script."""
+    import random
+    random.seed(size)
+    odd = ['a}b', '{"', '\\', '\\"}', "}}{{", 'ü"東', "plain", "\n\t", ""]
+    for f in range(2):
+        modules = {f"exploit/{f}/{random.choice(odd)}{i}": {
+            "name": random.choice(odd) + random.choice(odd), "rank": i, "mod_time": None if i % 5 == 0 else f"2024-01-{i % 28 + 1:02d} 00:00:00 +0000",
+            "description": "".join(random.choice(odd) for _ in range(random.randint(0, 8))), "notes": {"x": {"y": [random.choice(odd), {}]}},
+            "references": [f"CVE-{i}", random.choice(odd)]} for i in range(40)}
+        (tmp_path / f"m{f}.json").write_text(json.dumps(modules, indent=indent, ensure_ascii=f == 0))
+    (tmp_path / "m3.json").write_text("{}\n")
+    conf = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "1"}
+    rows = lambda df: sorted((tuple(map(str, r)) for r in df.collect()))
+    want = rows(src.read_modules(spark, str(tmp_path)))
+    since = rows(src.read_modules(spark, str(tmp_path), since="2024-01-10 00:00:00 +0000"))
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert rows(src.read_modules(spark, str(tmp_path), ranges=True)) == want and len(want) == 80
+        assert rows(src.read_modules(spark, str(tmp_path), since="2024-01-10 00:00:00 +0000", ranges=True)) == since
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -776,6 +776,17 @@ def modules_map_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     record, 50 suppliers per file) written from supplier and lineitem, read
     with the map reader, filtered on mod_time (text, strict, null kept) and
     transformed to silver (aliases dropped, list defaults)."""
+    return _modules_roundtrip(spark, sf, lines=True)
+
+
+@query("modules_map_in_ranges")
+def modules_map_in_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """A8 in byte ranges: as modules_map_roundtrip, a row per module from the
+    start, however the documents lie in files and ranges."""
+    return _modules_roundtrip(spark, sf, ranges=True)
+
+
+def _modules_roundtrip(spark: SparkSession, sf: str, **how) -> DataFrame:
     from threatspark.functions.strings import cve_of
     from threatspark.plans.silver import silver_modules
     from threatspark.sources.feeds import bronze_modules, read_modules
@@ -795,7 +806,7 @@ def modules_map_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
                     F.concat(F.lit("exploit/s"), k.cast("string")).alias("fullname"), rec.alias("r")) \
         .groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("fullname", "r"))).alias("m"))  # <= 50
     docs.select(F.to_json("m").alias("value")).write.text(base)
-    good, _ = silver_modules(bronze_modules(read_modules(spark, base, since="1998-01-01 00:00:00 +0000", lines=True)))
+    good, _ = silver_modules(bronze_modules(read_modules(spark, base, since="1998-01-01 00:00:00 +0000", **how)))
     return good.select("fullname", "name", "mod_time", "rank", F.array_join("references", "|").alias("refs"),
                        F.size("author").alias("n_authors"))
 

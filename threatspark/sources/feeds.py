@@ -1,9 +1,11 @@
 """Readers for the landed vulnerability feeds (A1, A3, A5, A8, A9) and the
 bronze projections (B1, B2, B4, B5).
 
-Every reader takes an explicit schema: feed files are never inferred. Files
-holding one big JSON document (the KEV catalogue, the module map) parse in
-one task; pass ``partitions`` to spread the exploded rows before heavy work.
+Every reader takes an explicit schema: feed files are never inferred. A file
+holding one big JSON document (the KEV catalogue, the module map) parses in
+one task, the module map with ``ranges`` in byte ranges by many
+(``json_members``); pass ``partitions`` to spread the exploded rows before
+heavy work.
 """
 
 from __future__ import annotations
@@ -48,6 +50,49 @@ def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
     return df.repartition(partitions) if partitions else df
 
 
+# ------------------------------------------------------------------ one big document
+
+def json_members(spark: SparkSession, path: str) -> DataFrame:
+    """The objects one level below the root of each JSON file, read in byte
+    ranges: file (``_src``), number in the file (``_member``, from 0) and
+    ``text``, with all that stands between the last member and this one
+    before it; what follows the last member is a member, too.
+
+    The file is cut at closing braces. Whether one closes an object depends on
+    the quotes before it, and which object on the braces before it. Each range
+    works both out from its own start, for a start inside and outside a
+    string; running sums over the ranges (a row each) give every range its
+    true state. A member's cuts then meet by its number, so no row holds more
+    than one member, wherever ranges begin."""
+    cut = spark.read.option("lineSep", "}").text(path).select(
+        "value", F.col("_metadata.file_path").alias("_src"), F.col("_metadata.file_block_start").alias("_from"), F.monotonically_increasing_id().alias("_at"))
+    plain = F.regexp_replace("value", r"(?s)\\.", "")  # without escaped characters
+    count = lambda text, c: F.length(text) - F.length(F.replace(text, F.lit(c), F.lit("")))
+    opened = lambda text: count(F.regexp_replace(text, '"[^"]*("|$)', ""), "{")  # noqa: E731  outside strings
+    cut = cut.withColumn("_odd", count(plain, '"') % 2 == 1).withColumn("_open0", opened(plain)).withColumn("_open1", opened(F.concat(F.lit('"'), plain)))
+    own = Window.partitionBy("_src", "_from").orderBy("_at")
+    so_far = own.rowsBetween(Window.unboundedPreceding, 0)
+    cut = cut.withColumn("_odd_after", F.sum(F.col("_odd").cast("long")).over(so_far) % 2 == 1).withColumn("_odd_before", F.col("_odd_after") != F.col("_odd"))
+
+    def change(inside):
+        """How a cut changes the depth, if its range starts inside a string or not."""
+        return F.when(F.col("_odd_before") != inside, F.col("_open1")).otherwise(F.col("_open0")) - F.when(F.col("_odd_after") != inside, 0).otherwise(1)
+
+    ranges = cut.groupBy("_src", "_from").agg(F.count_if("_odd").alias("odd"), F.sum(change(F.lit(False))).alias("d0"), F.sum(change(F.lit(True))).alias("d1"))
+    earlier = Window.partitionBy("_src").orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
+    ranges = ranges.withColumn("_inside", before("odd") % 2 == 1).withColumn("d", F.when(F.col("_inside"), F.col("d1")).otherwise(F.col("d0")))
+    ranges = ranges.select("_src", "_from", "_inside", before("d").alias("_depth"))
+    cut = cut.join(ranges, ["_src", "_from"])
+    depth = F.col("_depth") + F.sum(change(F.col("_inside"))).over(so_far)
+    cut = cut.withColumn("_ends", (depth == 1) & (F.col("_odd_after") == F.col("_inside"))).select("_src", "_from", "_at", "value", "_ends")
+    ends = cut.groupBy("_src", "_from").agg(F.count_if("_ends").alias("n")).select("_src", "_from", before("n").alias("_first"))
+    member = F.col("_first") + F.coalesce(F.sum(F.col("_ends").cast("long")).over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    members = cut.join(ends, ["_src", "_from"]).withColumn("_member", member).groupBy("_src", "_member").agg(
+        F.array_sort(F.collect_list(F.struct("_from", "_at", "value"))).alias("l"))  # the cuts of one member
+    return members.select("_src", "_member", F.concat(F.array_join(F.transform("l", lambda x: x["value"]), "}"), F.lit("}")).alias("text"))
+
+
 # ------------------------------------------------------------------ A1 / B2
 
 def read_kev(spark: SparkSession, path: str, since: str | None = None,
@@ -113,10 +158,16 @@ def bronze_exploit(rows: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ A8 / F3 / B5
 
 def read_modules(spark: SparkSession, path: str, since: str | None = None,
-                 partitions: int | None = None, lines: bool = False) -> DataFrame:
+                 partitions: int | None = None, lines: bool = False, ranges: bool = False) -> DataFrame:
     """The module JSON object used as a map; key -> ``fullname``. F3
     incremental on mod_time (text compare, strict '>', null kept). ``lines``:
-    files hold an object per line, instead of one object."""
+    files hold an object per line, instead of one object; ``ranges``: files of
+    such objects are read in byte ranges, a row per module from the start."""
+    if ranges:
+        one = F.concat(F.lit("{"), F.regexp_replace("text", r"^[\s,{}]*", ""), F.lit("}"))
+        m = json_members(spark, path).select(F.from_json(one, MODULE_MAP_SCHEMA).alias("m"))
+        rows = m.select(F.explode("m").alias("fullname", "r")).select("fullname", "r.*")
+        return _spread(since_filter(rows, "mod_time", since, keep_null=True), partitions)
     text = spark.read.text(path, wholetext=not lines)
     m = text.select(F.from_json("value", MODULE_MAP_SCHEMA).alias("m"))
     rows = m.select(F.explode("m").alias("fullname", "r")).select("fullname", "r.*")
