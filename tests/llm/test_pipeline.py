@@ -77,7 +77,7 @@ def test_queries_run_on_the_small_tables(spark, name):
     if name in ORACLE_SQL:
         import duckdb
         con = duckdb.connect()
-        for t in ("documents", "pages"):
+        for t in ("documents", "pages", "benchmark"):
             con.execute(f"create view {t} as select * from read_parquet('{SMALL}/{t}.parquet')")
         relation = con.sql(ORACLE_SQL[name])
         at = [relation.columns.index(c) for c in out.columns]
