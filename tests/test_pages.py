@@ -1,3 +1,7 @@
+import random
+import re
+from html.parser import HTMLParser
+
 from threatspark.sources.pages import enrich_exploits, page_metadata
 
 
@@ -40,3 +44,75 @@ def test_markup_variants(spark):
     assert r[0]["codes"] == ["CVE-2020-1"] and r[0]["tags"] == ["R&D"] and r[0]["verified"] and r[0]["application_url"] == "/d?a=1&b=2"
     assert r[1]["codes"] == [] and not r[1]["verified"] and r[1]["application_url"] is None
     assert r[2]["screenshot_url"] == "/yes.png" and r[3]["codes"] == [] and r[4]["screenshot_url"] is None
+
+
+class Reader(HTMLParser):
+    """The same facts by Python's own HTML parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.hrefs, self.links, self.icons, self.shots, self.kw, self.inside = [], [], [], [], None, False
+
+    def handle_starttag(self, tag, attrs):
+        got = {k: v or "" for k, v in attrs}  # the last of equal names
+        classes = got.get("class", "").split()
+        if tag == "a":
+            self.links.append([got.get("href", ""), ""])
+            self.inside = True
+            self.shots += [got.get("href", "")] if "screenshot-url" in classes else []
+        if tag == "i":
+            self.icons.append(bool({"mdi-check", "fa-check"} & set(classes)))
+        if tag == "meta" and got.get("name", "").lower() == "keywords" and self.kw is None:
+            self.kw = got.get("content", "")
+
+    handle_startendtag = handle_starttag
+
+    def handle_endtag(self, tag):
+        self.inside = self.inside and tag != "a"
+
+    def handle_data(self, data):
+        if self.inside and not self.cdata_elem:  # what scripts and styles hold is no text of a link
+            self.links[-1][1] += data
+
+
+def by_parser(html):
+    r = Reader()
+    r.feed(html)
+    r.close()
+    hrefs = [h for h, _ in r.links if h]
+    app = next((h for h, t in r.links if "Vulnerable App" in t), "") or next(
+        (h for h in hrefs if ("software" in h or "download" in h) and "exploit-db.com" not in h), None)
+    kw = [k.strip() for k in (r.kw or "").split(",")]
+    codes = [k.upper() for k in kw if re.match(r"(?i)CVE-\d{4}-\d+|OSVDB-\d+", k)]
+    tags = [k for k in kw if k and len(k) < 50 and not re.match(r"(?i)CVE-\d{4}-\d+|OSVDB-\d+", k)]
+    return (r.shots or [""])[0] or None, any(r.icons), app, codes, tags, hrefs
+
+
+PARTS = ['<a href="/d{}">', "<a class='x screenshot-url' href='/s{}.png'>", "<A HREF=/software/{} title=don't>", '<a title="1 > 0, <b>" href="/t{}">',
+         '<a href="/one{}" href="/two{}">', "</a>", "</A >", "<i class=mdi-check>", '<i title="class=fa-check">', "<I Class = 'a fa-check'/>",
+         '<img alt="<a class=screenshot-url href=/img{}>">', "<!-- <a class='screenshot-url' href='/c{}'><i class=mdi-check> -->", "<!-- a > b -- c -->",
+         '<script>var s = "<a href=/download/{}>Vulnerable App</a><!-- ";</script>', "<STYLE>a > b { content: '<i class=fa-check>' }</style>",
+         "Vulnerable App", "Vulnerable <b>App</b>", "Vulnerable<!-- x --> App", " 1 < 2 & 3 ", "<!DOCTYPE html>", "<?php echo 1 ?>", "<br/>",
+         '<meta content="CVE-2020-{}, a&amp;b, &#79;SVDB-7, &#38;lt;, x&#x20AC;" name=Keywords>', "<meta name=description content='CVE-1-1'>",
+         '<a data-href="/software" href="/ok{}?a=1&amp;b=2&#x26;c">', '<a\nhref\n=\n"/lines{}"\n>', "<a>", "text {} ", "&lt;a href=/no&gt;"]
+
+
+def test_equal_to_an_html_parser(spark):
+    from pyspark.sql import functions as F
+    from threatspark.sources.pages import all_hrefs
+    rng = random.Random(7)
+    pages = ["".join(p.replace("{}", str(i)) for p in rng.choices(PARTS, k=rng.randint(0, 14))) for i in range(800)]
+    df = spark.createDataFrame(list(enumerate(pages)), "id int, html string")
+    got = page_metadata(df.withColumn("hrefs", all_hrefs(F.col("html"))), url_col=None).orderBy("id").collect()
+    for html, r in zip(pages, got):
+        assert (r["screenshot_url"], r["verified"], r["application_url"], r["codes"], r["tags"], r["hrefs"]) == by_parser(html), html
+
+
+def test_long_and_open_markup(spark):
+    n = 300_000
+    pages = ["<a title='" + "x >" * n + "' href=/long>Vulnerable App</a>", "<!--" + "<a href=/no>" * n, "<script>" + "<i class=mdi-check>" * n,
+             "<a " + "b=c " * n + "href=/many>Vulnerable App", "<" * n, "\u0000\u0001<a href='/\u0002nul'>Vulnerable App\u0003</a>"]
+    df = spark.createDataFrame(list(enumerate(pages)), "id int, html string")
+    got = page_metadata(df, url_col=None).orderBy("id").collect()
+    assert [r["application_url"] for r in got] == ["/long", None, None, "/many", None, "/�nul"]
+    assert not any(r["verified"] for r in got)

@@ -19,7 +19,7 @@ from threatspark.plans.catalog import _scratch, query
 from threatspark.plans.silver import silver_epss, silver_nvd
 from threatspark.sources import feeds as src
 from threatspark.sources.epss import bronze_epss
-from threatspark.sources.pages import page_metadata
+from threatspark.sources.pages import all_hrefs, page_metadata
 from threatspark.sources.tables import read_driver_table
 
 RUN = _dt.datetime(2024, 6, 1)
@@ -332,6 +332,24 @@ def exploit_page_metadata(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("id", "screenshot_url", "verified", "application_url", F.array_join("codes", "|").alias("codes"), F.array_join("tags", "|").alias("tags"))
 
 
+@query("page_markup")
+def page_markup(spark: SparkSession, sf: str) -> DataFrame:
+    """All pages, each with what only looks like markup put before it:
+    tags in a comment, a script, a style and an attribute's value, a sign that
+    ends no tag, a text cut by a comment, references that yield references."""
+    k = F.col("page_id")
+    t = k.cast("string")
+    looks = F.lit('<!-- <a class="screenshot-url" href="/commented"><i class="mdi-check"></i> --><script>var i = "<i class=fa-check></i>";</script>'
+                  '<style>a > b { content: "<a href=/download/style>" }</style><img alt="<a class=screenshot-url href=/download/alt>">')
+    shot = F.when(k % 2 == 0, F.concat(F.lit('<a title="1 > 0" class="screenshot-url" href="/shots/'), t, F.lit('.png"></a>'))).otherwise(F.lit(""))
+    app = F.when(k % 3 == 0, F.concat(F.lit("<a href='/app/"), t, F.lit("?q=&#38;lt;&#x41;'>Vulnerable<!-- </a> --> App</a>"))).when(
+        k % 3 == 1, F.concat(F.lit("<a href=/x href=/software/"), t, F.lit(">s</a>"))).otherwise(F.lit(""))
+    icon = F.when(k % 5 == 0, F.lit("<i title='</i>' class=fa-check>")).otherwise(F.lit(""))
+    page = read_driver_table(spark, sf, "pages").select("page_id", F.concat(looks, shot, app, icon, F.coalesce("html", F.lit(""))).alias("html"))
+    m = page_metadata(page.withColumn("n_links", F.size(all_hrefs(F.col("html")))), url_col=None)
+    return m.select("page_id", "n_links", "screenshot_url", "verified", "application_url")
+
+
 # ------------------------------------------------------------------ small row operators
 
 @query("epss_silver")

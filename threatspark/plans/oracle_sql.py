@@ -774,6 +774,23 @@ SELECT p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN '/shots/' || p_partkey
   'CVE-2024-' || p_partkey || '|OSVDB-' || p_partkey AS codes, 'Remote|R&D' AS tags
 FROM part"""
 
+ORACLE_SQL["page_markup"] = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h,
+    regexp_extract_all(coalesce(html, ''), '<a\s[^>]*href\s*=\s*["'']([^"'']+)["'']', 1) AS hrefs FROM pages)
+SELECT page_id,
+  cast(len(hrefs) + (page_id % 2 = 0)::INTEGER + (page_id % 3 < 2)::INTEGER AS INTEGER) AS n_links,
+  CASE WHEN page_id % 2 = 0 THEN '/shots/' || page_id || '.png'
+       ELSE nullif(regexp_extract(regexp_extract(h, '(<a\s[^>]*class\s*=\s*["''][^"'']*\bscreenshot-url\b[^"'']*["''][^>]*>)', 1),
+                                  'href\s*=\s*["'']([^"'']*)["'']', 1), '') END AS screenshot_url,
+  page_id % 5 = 0 OR regexp_matches(h, '<i\s[^>]*class\s*=\s*["''][^"'']*\b(mdi-check|fa-check)\b') AS verified,
+  CASE WHEN page_id % 3 = 0 THEN '/app/' || page_id || '?q=&lt;A'
+       ELSE coalesce(nullif(regexp_extract(h, '<a\s[^>]*href\s*=\s*["'']([^"'']*)["''][^>]*>[^<]*Vulnerable App', 1), ''),
+                     CASE WHEN page_id % 3 = 1 THEN '/software/' || page_id END,
+                     list_filter(hrefs, lambda x: regexp_matches(x, 'software|download') AND NOT contains(x, 'exploit-db.com'))[1])
+  END AS application_url
+FROM p"""
+
 ORACLE_SQL["epss_silver"] = """
 SELECT strftime(l_shipdate, '%Y') AS date, count(*) FILTER (l_linenumber NOT IN (5, 7)) AS n_good,
   cast(sum(CASE WHEN l_linenumber NOT IN (5, 6, 7) THEN l_partkey WHEN l_linenumber = 6 THEN 0 END) AS BIGINT) AS billionths,

@@ -1,9 +1,12 @@
 """Exploit page HTML -> metadata columns, joined to the index.
 
-Runs as native regular-expression columns over a table of landed pages (no
-per-row Python, no HTML parser): anchors, icons and the keywords meta tag are
-located by patterns, then split / filtered / transformed with higher-order
-functions.
+Native columns over a table of landed pages, no per-row Python. One regular
+expression whose alternatives are the kinds of token (comment, declaration,
+script or style with its content, tag) goes through a page once, so what looks
+like a tag inside a comment, a script or an attribute's value is none. The
+tokens are then split, filtered and transformed with higher-order functions.
+All repetitions are possessive or of one character class: Java runs those in a
+loop, so very long tags and comments don't exhaust its stack.
 """
 
 from __future__ import annotations
@@ -21,29 +24,66 @@ APP_LINK_TEXT = "Vulnerable App"
 APP_HREF_WORDS = ["software", "download"]
 OWN_DOMAIN = "exploit-db.com"
 
-# The character references that occur in attributes and link texts.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&amp;": "&"}
+# The named character references that occur in attributes and link texts.
+ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "amp": "&"}
+
+# Elements whose content is text up to their end tag.
+RAW_TEXT = ["script", "style", "textarea", "title"]
+
+# Marks that stand in no page, as they are replaced first: before a token, after it; before a link, after its href, at its end.
+_OPEN, _SHUT, _LINK, _HREF, _END = "\u0001", "\u0000", "\u0002", "\u0003", "\u0004"
+
+# The inside of a tag: quotes count only after an equals sign.
+_INSIDE = r"""(?:[^=>]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)*+"""
+_TOKEN = (rf"(?is)(<({'|'.join(RAW_TEXT)})(?=[\s/>]){_INSIDE}>).*?(?:(?=</\2[\s/>])|\z)"
+          rf"|(</?[a-z]{_INSIDE}>)|<!--.*?(?:-->|\z)|<[!?/][^>]*+>")
+_ATTRIBUTE = r"""([^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+)"""
 
 
 def _nz(c: Column) -> Column:
     return F.when(c != "", c)
 
 
+def _reference(piece: Column) -> Column:
+    """A piece that begins with a character reference, with the character in its place."""
+    name = F.regexp_extract(piece, r"^&(#[0-9]+|#[xX][0-9a-fA-F]+|[a-z]+);", 1)
+    number = F.when(F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(F.substr(name, F.lit(2))).try_cast("bigint")
+    valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    char = F.when(name.startswith("#"), F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))).otherwise(
+        F.try_element_at(F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair]), name))
+    return F.coalesce(F.concat(char, F.substr(piece, F.length(name) + 3)), piece)
+
+
 def unescape(c: Column) -> Column:
-    for name, char in ENTITIES.items():
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return c
+    """Character references, each read once: numbers, and the names of ENTITIES."""
+    return F.when(c.contains("&"), F.array_join(F.transform(F.split(c, "(?=&)"), _reference), "")).otherwise(c)
+
+
+def tokens(html: Column) -> Column:
+    """The page's tags in order, each as (text, tag): the text before it and
+    the tag itself. Comments, declarations and what scripts, styles, titles and
+    text areas hold are left out; an open comment or script reaches to the end."""
+    clean = F.translate(html, _OPEN + _SHUT + _LINK + _HREF + _END, "�" * 5)
+    marked = F.concat(F.regexp_replace(clean, _TOKEN, f"{_OPEN}$1$3{_SHUT}"), F.lit(_OPEN))
+    return F.transform(F.split(marked, _SHUT), lambda p: F.struct(
+        F.substring_index(p, _OPEN, 1).alias("text"), F.substring_index(p, _OPEN, -1).alias("tag")))
 
 
-def _tags(html: Column, name: str) -> Column:
+def _is(tag: Column, name: str) -> Column:
+    return tag.rlike(rf"(?i)^<{name}[\s/>]")
+
+
+def _tags(parsed: Column, name: str) -> Column:
     """All opening tags of one kind, in any case."""
-    return F.regexp_extract_all(html, F.lit(rf"(?is)(<{name}(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>)"), F.lit(1))
+    return F.transform(F.filter(parsed, lambda t: _is(t["tag"], name)), lambda t: t["tag"])
 
 
 def attribute(tag: Column, name: str) -> Column:
-    """An attribute's value: any case, any place, double, single or no quotes; '' if absent."""
-    pattern = rf"(?is)(?<![\w-]){name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-    return unescape(F.concat(*[F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)]))
+    """An attribute's value: any case, any place, double, single or no quotes; the last one where it is repeated; '' if absent."""
+    own = F.filter(F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(1)), lambda a: a.rlike(rf"(?i)^{name}(?:\s*=|$)"))
+    last = F.coalesce(F.try_element_at(own, F.lit(-1)), F.lit(""))
+    pattern = r"(?s)^[^\s=]+\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|(.*))$"
+    return unescape(F.concat(*[F.regexp_extract(last, pattern, g) for g in (1, 2, 3)]))
 
 
 def _has_class(tag: Column, names: list[str]) -> Column:
@@ -51,35 +91,49 @@ def _has_class(tag: Column, names: list[str]) -> Column:
     return F.arrays_overlap(F.split(strip(attribute(tag, "class")), r"\s+"), F.array(*[F.lit(n) for n in names]))
 
 
-def screenshot_url(html: Column) -> Column:
+def screenshot_url(parsed: Column) -> Column:
     """First <a> with class screenshot-url: its href."""
-    own = F.filter(_tags(html, "a"), lambda t: _has_class(t, ["screenshot-url"]))
+    own = F.filter(_tags(parsed, "a"), lambda t: _has_class(t, ["screenshot-url"]))
     return _nz(attribute(F.get(own, 0), "href"))
 
 
-def verified(html: Column) -> Column:
+def verified(parsed: Column) -> Column:
     """An <i> icon with class mdi-check or fa-check is present."""
-    return F.exists(_tags(html, "i"), lambda t: _has_class(t, VERIFIED_CLASSES))
+    return F.exists(_tags(parsed, "i"), lambda t: _has_class(t, VERIFIED_CLASSES))
+
+
+def hrefs(parsed: Column) -> Column:
+    return F.filter(F.transform(_tags(parsed, "a"), lambda t: attribute(t, "href")), lambda h: h != "")
 
 
 def all_hrefs(html: Column) -> Column:
-    return F.filter(F.transform(_tags(html, "a"), lambda t: attribute(t, "href")), lambda h: h != "")
+    """The href of every link of a page that has one."""
+    return hrefs(tokens(html))
+
+
+def links(parsed: Column) -> Column:
+    """Every link as (href, text), inner tags aside; one ends at its end tag, the next link or the page's end."""
+    run = F.array_join(F.transform(parsed, lambda t: F.concat(
+        t["text"], F.when(_is(t["tag"], "a"), F.concat(F.lit(_LINK), attribute(t["tag"], "href"), F.lit(_HREF)))
+        .when(t["tag"].rlike(r"(?i)^</a[\s/>]"), F.lit(_END)).otherwise(F.lit("")))), "")
+    own = F.split(run, _LINK)
+    body = lambda x: F.substring_index(F.substring_index(x, _HREF, -1), _END, 1)
+    return F.transform(F.slice(own, F.lit(2), F.size(own)), lambda x: F.struct(
+        F.substring_index(x, _HREF, 1).alias("href"), unescape(body(x)).alias("text")))
 
 
-def application_url(html: Column, own_domain: str = OWN_DOMAIN) -> Column:
+def application_url(parsed: Column, own_domain: str = OWN_DOMAIN) -> Column:
     """Link whose text holds 'Vulnerable App', inner tags aside; else the first
     href mentioning software or download that is not on the site's own domain."""
-    anchors = F.regexp_extract_all(html, F.lit(r"(?is)(<a(?=[\s>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?</a\s*>)"), F.lit(1))
-    text = lambda a: unescape(F.regexp_replace(a, r"(?s)<[^>]*>", ""))
-    by_text = _nz(attribute(F.get(F.filter(anchors, lambda a: text(a).contains(APP_LINK_TEXT)), 0), "href"))
+    by_text = _nz(F.get(F.filter(links(parsed), lambda a: a["text"].contains(APP_LINK_TEXT)), 0)["href"])
     words = "|".join(APP_HREF_WORDS)
-    cands = F.filter(all_hrefs(html), lambda h: h.rlike(words) & ~h.contains(own_domain))
+    cands = F.filter(hrefs(parsed), lambda h: h.rlike(words) & ~h.contains(own_domain))
     return F.coalesce(by_text, F.get(cands, 0))
 
 
-def keywords(html: Column) -> Column:
-    """Trimmed items of the content of <meta name="keywords">, in either attribute order."""
-    own = F.filter(_tags(html, "meta"), lambda t: F.lower(attribute(t, "name")) == "keywords")
+def keywords(parsed: Column) -> Column:
+    """Trimmed items of the content of the first <meta name="keywords">, in either attribute order."""
+    own = F.filter(_tags(parsed, "meta"), lambda t: F.lower(attribute(t, "name")) == "keywords")
     content = attribute(F.get(own, 0), "content")
     return F.when(content != "", F.transform(F.split(content, ","), lambda k: strip(k))) \
         .otherwise(F.array().cast("array<string>"))
@@ -97,16 +151,15 @@ def codes_and_tags(kw: Column) -> tuple[Column, Column]:
 def page_metadata(pages: DataFrame, html_col: str = "html", url_col: str | None = "url",
                   own_domain: str = OWN_DOMAIN) -> DataFrame:
     """screenshot_url, verified, source_url, application_url, codes, tags."""
-    html = F.col(html_col)
-    kw = keywords(html)
-    codes, tags = codes_and_tags(kw)
+    parsed = F.col("__tokens")
+    codes, tags = codes_and_tags(keywords(parsed))
     extra = [F.col(url_col).alias("source_url")] if url_col else []
-    return pages.select(
+    return pages.withColumn("__tokens", tokens(F.col(html_col))).select(
         *[c for c in pages.columns if c != html_col],
-        screenshot_url(html).alias("screenshot_url"),
-        verified(html).alias("verified"),
+        screenshot_url(parsed).alias("screenshot_url"),
+        verified(parsed).alias("verified"),
         *extra,
-        application_url(html, own_domain).alias("application_url"),
+        application_url(parsed, own_domain).alias("application_url"),
         codes.alias("codes"), tags.alias("tags"))
 
 
