@@ -207,6 +207,16 @@ def fact_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return read_current(spark, root + "/star/fct_final").select("cve_id", "vrr_score")
 
 
+@query("fact_colocated")
+def fact_colocated(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact's inputs stored bucketed by CVE, then joined without a shuffle."""
+    from threatspark.plans import colocated
+    folder = colocated.store_colocated(
+        spark, feeds.feed_nvd(spark, sf), feeds.feed_kev(spark, sf), feeds.feed_epss(spark, sf), feeds.feed_exploit(spark, sf),
+        feeds.feed_modules(spark, sf), feeds.feed_module_refs(spark, sf), _scratch(spark, "colocated"))
+    return colocated.fact_colocated(spark, folder).select("cve_id", "vrr_score")
+
+
 @query("layer_status")
 def layer_status(spark: SparkSession, sf: str) -> DataFrame:
     """The status rows of both runs; one source fails at every bronze load, the other goes on."""

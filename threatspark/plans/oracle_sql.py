@@ -726,6 +726,7 @@ FROM o JOIN lineitem ON CAST(l_shipdate AS DATE) BETWEEN start AND start + days
 
 ORACLE_SQL["modules_map_in_ranges"] = ORACLE_SQL["modules_map_roundtrip"]
 ORACLE_SQL["growing_table"] = ORACLE_SQL["upsert_bucketed_result"]
+ORACLE_SQL["fact_colocated"] = ORACLE_SQL["vrr_score_per_cve"]
 ORACLE_SQL["fact_incremental"] = ORACLE_SQL["vrr_score_per_cve"]
 
 ORACLE_SQL["layer_status"] = _DELIVERIES + """
