@@ -79,3 +79,17 @@ def test_run_layers_incremental_and_isolation(spark, tmp_path):
         layers.build_star(spark, root)
     rep = layers.replicate(spark, root, str(tmp_path / "copy"), scope="gold")
     assert {r["table_name"]: r["status"] for r in rep.collect()}["nvd"] == "ok"
+
+
+def test_report_reads_the_committed_fact(spark, tmp_path):
+    from threatspark.operators.merge import replace_bucketed
+    root = str(tmp_path / "lake")
+    (tmp_path / "r.csv").write_text("Plugin ID,CVE,Host,Name\n1,\"CVE-2,CVE-7\",h,n\n2,,h,n\n3,CVE-404,h,n\n")
+    with pytest.raises(ValueError, match="build_star"):
+        layers.process_scanner_csv(spark, str(tmp_path / "r.csv"), None, root)
+    fact = spark.range(50).selectExpr("concat('CVE-', id) cve_id", "cast(id as double) vrr_score", "named_struct('CISA_product', concat('p', id)) threats")
+    replace_bucketed(spark, fact, root + "/star/fct_final", "cve_id")
+    got = layers.process_scanner_csv(spark, str(tmp_path / "r.csv"), None, root)
+    want = layers.process_scanner_csv(spark, str(tmp_path / "r.csv"), fact, str(tmp_path / "other"))
+    rows = lambda df: sorted(map(repr, df.drop("last_updated").collect()))
+    assert rows(got) == rows(want) and sorted(r["vrr_score"] for r in got.collect()) == [0.0, 0.0, 7.0]

@@ -232,3 +232,41 @@ def test_changed_keys_between_versions(spark, tmp_path, monkeypatch):
     whole = str(tmp_path / "whole")
     merge.commit_table(spark, spark.range(3), whole)
     assert merge.changed_keys(spark, whole, 0) is None
+
+
+def scanned(df):
+    """Rows that the scans of a plan gave out, after files, row groups and pages were skipped."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_a_few_keys_read_a_few_pages(spark, tmp_path):
+    path, n = str(tmp_path / "t"), 400_000
+    rows = spark.range(0, 2 * n, 2).selectExpr("lpad(id, 9, '0') k", "id v", "repeat(md5(cast(id as string)), 2) wide")
+    merge.replace_bucketed(spark, rows, path, "k", rows=n, per_bucket=100_000)
+    keys = lambda *k: spark.createDataFrame([(x,) for x in k], "k string")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = merge.rows_of(spark, path, keys("000000004", "000000004", None, "000700000", "000700001"))
+        assert sorted(r["v"] for r in got.collect()) == [4, 700000]
+        assert len(got.inputFiles()) <= 3 and 2 <= scanned(got) <= 60_000  # pages of the two keys
+        none = merge.rows_of(spark, path, keys("000300001"))  # within every range, but in no Bloom filter
+        assert none.count() == 0 and scanned(none) == 0
+        many = merge.rows_of(spark, path, keys(*[f"{x:09d}" for x in range(0, 3000)]))
+        assert many.count() == 1500
+        hundreds = merge.rows_of(spark, path, keys(*[f"{x:09d}" for x in range(0, 900)]))  # a condition of many parts
+        assert hundreds.count() == 450 and scanned(hundreds) < n
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert merge.rows_of(spark, str(tmp_path / "nothing"), keys("1")) is None
+    assert merge.rows_of(spark, path, keys()).count() == 0 and merge.rows_of(spark, path, keys(None)).columns == ["k", "v", "wide"]
+
+
+def test_lookup_follows_a_growing_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for a, b in ((0, 10), (5, 3000), (2500, 9000)):
+        merge.upsert_bucketed(spark, path, spark.range(a, b).selectExpr("id k", f"{b} v"), "k", per_bucket=500)
+    got = merge.rows_of(spark, path, spark.createDataFrame([("7",), ("2999",), ("8999",), ("9001",)], "x string"))
+    assert sorted((r["k"], r["v"]) for r in got.collect()) == [(7, 3000), (2999, 9000), (8999, 9000)]

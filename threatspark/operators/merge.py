@@ -17,6 +17,9 @@ splits the next buckets in turn, by one more bit of the key's hash. Only those
 and the buckets with incoming keys are rewritten. Each commit also names the
 keys it changed, so that a later layer can ask for what has changed since the
 version it last saw (``changed_keys``).
+
+Bucket files are sorted by the key, in narrow row groups with Bloom filters of
+it, so that a few keys are read from a few pages of a few files (``rows_of``).
 """
 
 from __future__ import annotations
@@ -167,6 +170,9 @@ BUCKET = "_bucket"
 PER_BUCKET = 1_000_000      # rows of a bucket on average, at most
 KEEP_CHANGES = 100          # commits whose changed keys are kept; a reader behind them takes the whole table
 RETENTION_S = 86_400        # seconds that a superseded version stays readable
+GROUP_BYTES = 16 << 20      # of a row group in a bucket file
+LOOKUP_KEYS = 1_000         # keys that are looked up by filters on the files; more by a join
+_PUSHED = 10                # values of an IN that Spark's Parquet filters take one by one
 
 
 @dataclass(frozen=True)
@@ -292,6 +298,44 @@ def upsert_table(spark: SparkSession, path: str, incoming: DataFrame, key, **kw)
     return read_current(spark, path)
 
 
+def _write_buckets(placed: DataFrame, key: Sequence[str], folder: str) -> None:
+    """One file a bucket, sorted by the key, with Bloom filters of its columns."""
+    writer = placed.repartition(BUCKET).sortWithinPartitions(BUCKET, *key).write.partitionBy(BUCKET)
+    writer = writer.option("parquet.block.size", GROUP_BYTES).option("parquet.bloom.filter.adaptive.enabled", "true")
+    for k in key:
+        if isinstance(placed.schema[k].dataType, (T.StringType, T.IntegerType, T.LongType)):  # Bloom filters know no other types of ours
+            writer = writer.option(f"parquet.bloom.filter.enabled#{k}", "true")
+    writer.parquet(folder)
+
+
+def rows_of(spark: SparkSession, path: str, keys: DataFrame, most: int = LOOKUP_KEYS) -> DataFrame | None:
+    """The rows of a bucketed table with one key column whose key is in
+    ``keys`` (its first column; nulls and repeats don't matter). Up to ``most``
+    keys (so many reach the driver) select the buckets to open and are pushed
+    to their files as equalities, which sorted pages and Bloom filters answer
+    without reading the rest; more keys take part in a semi join, after which
+    the planner has both sides' sizes. None where there is no table."""
+    c = current_commit(spark, path)
+    if c is None:
+        return None
+    if not c.buckets or len(c.key) != 1:
+        raise ValueError(f"{path} has no buckets by one column")
+    key = c.key[0]
+    kind = T.StructType.fromJson(json.loads(c.schema))[key].dataType
+    wanted = keys.select(F.col(keys.columns[0]).cast(kind).alias(key)).filter(F.col(key).isNotNull()).distinct()
+    few = with_bucket(wanted.limit(most + 1), key, c.base, c.level, c.split).collect()
+    if len(few) > most:
+        return _read(spark, path, c).join(wanted, key, "left_semi")
+    rows = _read(spark, path, c, {r[BUCKET] for r in few}) if few else None
+    if rows is None:
+        return _read(spark, path, c).filter("false") if c.parts else spark.createDataFrame([], T.StructType.fromJson(json.loads(c.schema)))
+    values = sorted(r[key] for r in few)
+    tests = [F.col(key).isin(values[i:i + _PUSHED]) for i in range(0, len(values), _PUSHED)]
+    while len(tests) > 1:  # in pairs, so that the condition isn't deep
+        tests = [a | b for a, b in zip(tests[::2], tests[1::2])] + tests[len(tests) // 2 * 2:]
+    return rows.filter(tests[0])
+
+
 def buckets_for(rows: int, per_bucket: int = PER_BUCKET) -> int:
     """Bucket count for a table expected to reach ``rows``."""
     return max(4, -(-rows // per_bucket))
@@ -368,7 +412,7 @@ def upsert_bucketed(spark: SparkSession, path: str, incoming: DataFrame, key: st
         schema = T.StructType(merged.schema.fields + [f for f in old if f.name not in known])
         folder, version = uuid.uuid4().hex, 1 if c is None else c.version + 1
         placed = with_bucket(merged, key, base, level, split)
-        placed.repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/data/{folder}")
+        _write_buckets(placed, _keys(key), f"{path}/data/{folder}")
         written = _bucket_rows(spark, f"{path}/data/{folder}")
         inc.select(*_keys(key)).distinct().write.parquet(f"{path}/changes/{folder}")
         gone = {str(b) for b in old_ids}
@@ -390,7 +434,7 @@ def replace_bucketed(spark: SparkSession, df: DataFrame, path: str, key: str | S
     (counted if None). Its readers' changed keys start anew. Returns the version."""
     base = buckets_for(df.count() if rows is None else rows, per_bucket)
     folder, version = uuid.uuid4().hex, (current_version(spark, path) or 0) + 1
-    with_bucket(df, key, base).repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/data/{folder}")
+    _write_buckets(with_bucket(df, key, base), _keys(key), f"{path}/data/{folder}")
     written = _bucket_rows(spark, f"{path}/data/{folder}")
     _write_commit(spark, path, Commit(version, df.schema.json(), base, _keys(key), {b: folder for b in written}, base, 0, 0, written, {}, seen or {}))
     return version

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from threatspark.functions.strings import cve_of, lowercase_in
 from threatspark.operators import incremental as inc
 from threatspark.operators import quality
-from threatspark.operators.merge import commit_table, read_appended, read_current, read_bucketed, upsert_bucketed
+from threatspark.operators.merge import commit_table, read_appended, read_current, read_bucketed, replace_bucketed, rows_of, upsert_bucketed
 from threatspark.plans import catalog, feeds, findings, layers
 from threatspark.plans import fact as fact_mod
 from threatspark.plans.catalog import _scratch, query
@@ -207,6 +207,19 @@ def fact_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return read_current(spark, root + "/star/fct_final").select("cve_id", "vrr_score")
 
 
+@query("fact_rows_by_key")
+def fact_rows_by_key(spark: SparkSession, sf: str) -> DataFrame:
+    """J5 by skipping: rows of the stored fact for a few CVEs (buckets, sorted
+    pages, Bloom filters) and for many (a join), with nulls, repeats and unknown CVEs among them."""
+    path = _scratch(spark, "fact-by-key")
+    replace_bucketed(spark, fact_mod.fact_from_feeds(spark, sf), path, "cve_id", per_bucket=2_000)
+    n = read_driver_table(spark, sf, "nation")
+    few = n.select(F.explode(F.array(cve_of(F.col("n_nationkey") * 40), cve_of(F.col("n_regionkey") * 40), F.lit(None).cast("string"))).alias("k"))
+    many = read_driver_table(spark, sf, "lineitem").select(cve_of(F.col("l_partkey") * 2).alias("k"))
+    return rows_of(spark, path, few).select("cve_id", "vrr_score", F.lit("few").alias("asked")).unionByName(
+        rows_of(spark, path, many).select("cve_id", "vrr_score", F.lit("many").alias("asked")))
+
+
 @query("fact_colocated")
 def fact_colocated(spark: SparkSession, sf: str) -> DataFrame:
     """The fact's inputs stored bucketed by CVE, then joined without a shuffle."""

@@ -726,6 +726,10 @@ FROM o JOIN lineitem ON CAST(l_shipdate AS DATE) BETWEEN start AND start + days
 
 ORACLE_SQL["modules_map_in_ranges"] = ORACLE_SQL["modules_map_roundtrip"]
 ORACLE_SQL["growing_table"] = ORACLE_SQL["upsert_bucketed_result"]
+ORACLE_SQL["fact_rows_by_key"] = with_feeds("""
+SELECT cve_id, vrr_score, 'few' AS asked FROM fact
+WHERE cve_id IN (SELECT printf('CVE-2024-%06d', cast(n_nationkey * 40 AS BIGINT)) FROM nation UNION SELECT printf('CVE-2024-%06d', cast(n_regionkey * 40 AS BIGINT)) FROM nation)
+UNION ALL SELECT cve_id, vrr_score, 'many' FROM fact WHERE cve_id IN (SELECT printf('CVE-2024-%06d', cast(l_partkey * 2 AS BIGINT)) FROM lineitem)""")
 ORACLE_SQL["fact_colocated"] = ORACLE_SQL["vrr_score_per_cve"]
 ORACLE_SQL["fact_incremental"] = ORACLE_SQL["vrr_score_per_cve"]
 
