@@ -192,3 +192,37 @@ def test_module_map_in_byte_ranges(spark, tmp_path, size, indent):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("size, indent", [(9, None), (90, 2), (900, None)])
+def test_kev_catalogue_in_byte_ranges(spark, tmp_path, size, indent):
+    """Any range size gives the entries of the reader that takes a whole document, with
+    the catalogue's fields before or after them and other objects and arrays around."""
+    import random
+    random.seed(size)
+    odd = ['a}b', '{"', '\\', '\\"}', "}}{{", '],"vulnerabilities": [', 'ü"東', "plain", "\n\t", "", '"count": 7,']
+    for f in range(4):
+        entries = [{"cveID": f"CVE-{f}-{i}", "vendorProject": random.choice(odd) + random.choice(odd), "dateAdded": None if i % 5 == 0 else f"2024-01-{i % 28 + 1:02d}",
+                    "notes": "".join(random.choice(odd) for _ in range(random.randint(0, 8))), "cwes": [f"CWE-{i}"] if i % 3 else [],
+                    "extra": {"deep": [{"x": random.choice(odd)}]}} for i in range([0, 1, 30, 30][f])]
+        fields = {"catalogVersion": f"v{f}", "dateReleased": "2024" + random.choice(odd), "count": len(entries)}
+        around = {"meta": {"tags": ["a", {"b": 1}]}, "others": [{"cveID": "no"}, {"cveID": "never"}]}
+        doc = [fields | {"vulnerabilities": entries}, {"vulnerabilities": entries} | fields, around | fields | {"vulnerabilities": entries},
+               {"count": len(entries), "vulnerabilities": entries} | around | {"catalogVersion": "late"}][f]
+        (tmp_path / f"k{f}.json").write_text(json.dumps(doc, indent=indent, ensure_ascii=f % 2 == 0))
+    (tmp_path / "k9.json").write_text("{}\n")
+    conf = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "1"}
+    rows = lambda df: sorted((tuple(map(str, r)) for r in df.collect()))
+    want = rows(src.read_kev(spark, str(tmp_path)))
+    since = rows(src.read_kev(spark, str(tmp_path), since="2024-01-10"))
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = src.read_kev(spark, str(tmp_path), ranges=True)
+        assert got.dtypes == src.read_kev(spark, str(tmp_path)).dtypes
+        assert rows(got) == want and len(want) == 61
+        assert rows(src.read_kev(spark, str(tmp_path), since="2024-01-10", ranges=True)) == since
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -745,6 +745,17 @@ def kev_catalog_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     catalogue fields on top) written from part, read back with the KEV
     reader, filtered since 2022-06-01 (strict, null dates dropped) and
     transformed to silver."""
+    return _kev_roundtrip(spark, sf, lines=True)
+
+
+@query("kev_catalog_in_ranges")
+def kev_catalog_in_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """A1 in byte ranges: as kev_catalog_roundtrip with a file per document, a
+    row per entry from the start, wherever ranges begin."""
+    return _kev_roundtrip(spark, sf, ranges=True)
+
+
+def _kev_roundtrip(spark: SparkSession, sf: str, **how) -> DataFrame:
     from threatspark.functions.strings import cve_of
     from threatspark.plans.silver import silver_kev
     from threatspark.sources.feeds import bronze_kev, read_kev
@@ -763,8 +774,8 @@ def kev_catalog_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     docs.select("doc", F.to_json(F.struct(F.lit("2024.12.01").alias("catalogVersion"),
                                           F.lit("2024-12-01T10:00:00.000Z").alias("dateReleased"),
                                           "count", "vulnerabilities")).alias("value")) \
-        .select("value").write.text(base)
-    good, _ = silver_kev(bronze_kev(read_kev(spark, base, since="2021-06-15", lines=True)))
+        .write.partitionBy("doc").text(base)
+    good, _ = silver_kev(bronze_kev(read_kev(spark, base, since="2021-06-15", **how)))
     return good.select("cve_id", F.date_format("date_added", "yyyy-MM-dd").alias("date_added"),
                        "vendor_project", F.array_join("cwes", "|").alias("cwes"), "title",
                        F.date_format("date_released", "yyyy-MM-dd HH:mm:ss").alias("date_released"))

@@ -724,6 +724,7 @@ WITH o AS (SELECT p_partkey, DATE '1992-01-01' + CAST(p_partkey * 7 % 2400 AS IN
 SELECT p_partkey, count(*) AS n_rows, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
 FROM o JOIN lineitem ON CAST(l_shipdate AS DATE) BETWEEN start AND start + days GROUP BY p_partkey"""
 
+ORACLE_SQL["kev_catalog_in_ranges"] = ORACLE_SQL["kev_catalog_roundtrip"]
 ORACLE_SQL["modules_map_in_ranges"] = ORACLE_SQL["modules_map_roundtrip"]
 ORACLE_SQL["growing_table"] = ORACLE_SQL["upsert_bucketed_result"]
 ORACLE_SQL["fact_rows_by_key"] = with_feeds("""

@@ -3,9 +3,8 @@ bronze projections (B1, B2, B4, B5).
 
 Every reader takes an explicit schema: feed files are never inferred. A file
 holding one big JSON document (the KEV catalogue, the module map) parses in
-one task, the module map with ``ranges`` in byte ranges by many
-(``json_members``); pass ``partitions`` to spread the exploded rows before
-heavy work.
+one task, or with ``ranges`` in byte ranges by many (``json_members``); pass
+``partitions`` to spread the exploded rows before heavy work.
 """
 
 from __future__ import annotations
@@ -22,7 +21,8 @@ from threatspark.operators.incremental import exploit_change_date, since_filter
 KEV_ROW = ("cveID:string,vendorProject:string,product:string,vulnerabilityName:string,"
            "dateAdded:string,shortDescription:string,requiredAction:string,dueDate:string,"
            "knownRansomwareCampaignUse:string,notes:string,cwes:array<string>")
-KEV_SCHEMA = f"catalogVersion string, dateReleased string, count int, vulnerabilities array<struct<{KEV_ROW}>>"
+KEV_FIELDS = "catalogVersion string, dateReleased string, count int"
+KEV_SCHEMA = f"{KEV_FIELDS}, vulnerabilities array<struct<{KEV_ROW}>>"
 
 METRIC = ("array<struct<source:string,type:string,cvssData:struct<version:string,vectorString:string,"
           "baseScore:double,baseSeverity:string>>>")
@@ -93,13 +93,43 @@ def json_members(spark: SparkSession, path: str) -> DataFrame:
     return members.select("_src", "_member", F.concat(F.array_join(F.transform("l", lambda x: x["value"]), "}"), F.lit("}")).alias("text"))
 
 
+# What stands before a member's own object: no brace outside a string.
+_LEAD = r'(?s)^((?:[^"{]++|"(?:[^"\\]++|\\.)*+")*+)'
+_VALUE = r'"{}"\s*:\s*("(?:[^"\\]++|\\.)*+"|[^,\s\]}}]++)'
+
+
+def json_elements(spark: SparkSession, path: str, array: str, element: str, fields: str) -> DataFrame:
+    """The objects of one array at the root of each JSON file, read in byte
+    ranges (``json_members``): ``v`` (by the schema ``element``) and the root's
+    plain ``fields`` (a schema), wherever they stand. The other objects of the
+    root are passed over. What a file's members share is worked out from the
+    few that have more than a comma before them, one row per file."""
+    m = json_members(spark, path).withColumn("text", F.when(F.col("_member") == 0, F.regexp_replace("text", r"^\s*\{", "")).otherwise(F.col("text")))
+    m = m.withColumn("_lead", F.regexp_extract("text", _LEAD, 1))
+    lead, no = F.col("_lead"), F.col("_member")
+    names = [f.strip().split(" ")[0] for f in fields.split(",")]
+    raw = {n: F.max(F.nullif(F.regexp_extract(lead, f"(?s){_VALUE.format(n)}", 1), F.lit(""))) for n in names}
+    head = m.filter(~lead.rlike(r"^[\s,]*$")).groupBy("_src").agg(
+        F.min(F.when(lead.rlike(rf'"{array}"\s*:\s*\[\s*$'), no)).alias("_start"),
+        F.collect_list(F.when(lead.rlike(r"^\s*\]"), no)).alias("_ends"),  # an entry for each array of the root
+        F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(f'"{n}":'), c) for n, c in raw.items()]), F.lit("}")).alias("_fields"))
+    end = F.array_min(F.filter("_ends", lambda x: x > F.col("_start")))
+    head = head.select("_src", "_start", end.alias("_end"), F.from_json("_fields", fields).alias("_root"))
+    own = m.join(head, "_src").filter((no >= F.col("_start")) & (F.col("_end").isNull() | (no < F.col("_end"))))
+    return own.select(F.from_json(F.substr("text", F.length(lead) + 1), element).alias("v"), *[F.col(f"_root.{n}").alias(n) for n in names])
+
+
 # ------------------------------------------------------------------ A1 / B2
 
 def read_kev(spark: SparkSession, path: str, since: str | None = None,
-             partitions: int | None = None, lines: bool = False) -> DataFrame:
+             partitions: int | None = None, lines: bool = False, ranges: bool = False) -> DataFrame:
     """A1: one row per catalogue entry, catalogue fields copied on each; F1
     incremental filter on dateAdded (text compare, null dropped). ``lines``:
-    files hold a document per line, instead of one document."""
+    files hold a document per line, instead of one document; ``ranges``: files
+    of one document are read in byte ranges, a row per entry from the start."""
+    if ranges:
+        doc = json_elements(spark, path, "vulnerabilities", f"struct<{KEV_ROW}>", KEV_FIELDS)
+        return _spread(since_filter(doc.select("v.*", "catalogVersion", "dateReleased", "count"), "dateAdded", since, keep_null=False), partitions)
     doc = spark.read.schema(KEV_SCHEMA).option("multiLine", not lines).json(path)
     rows = doc.select("catalogVersion", "dateReleased", "count",
                       F.explode("vulnerabilities").alias("v")) \
