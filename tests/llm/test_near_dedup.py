@@ -61,6 +61,25 @@ def test_null_and_repeated_ids_and_empty(frame):
     assert N.near_groups(again).count() == 3
 
 
+def test_repeated_ids_tie_no_texts(frame):
+    word = lambda x, n=30: " ".join(f"{x}{i}" for i in range(n))
+    near = lambda x: word(x, 29) + " other"
+    texts = [word("a"), near("a"), word("b"), word("c"), near("c"), word("d"), near("d"), word("e"), word("e"), None]
+    ids = [0, 7, 7, 7, 9, 7, 3, 7, 7, 7]
+    rows = {(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in N.near_groups(frame(texts, ids=ids)).collect()}
+    n = 26
+    assert rows == {(0, n, 0, True), (7, n, 0, False), (7, n, 7, True), (9, n, 7, False), (7, n, 3, False), (3, n, 3, True), (7, 0, 7, True)}
+    kept = sorted((r["doc_id"], r["text"] or "") for r in N.without_copies(frame(texts, ids=ids)).collect())
+    assert kept == sorted([(0, texts[0]), (7, texts[2]), (7, texts[3]), (3, texts[6]), (7, texts[7]), (7, texts[8]), (7, "")])
+
+
+def test_one_id_for_all(frame):
+    texts = family_texts(5)
+    got = N.near_groups(frame(texts, ids=[4] * len(texts))).collect()
+    assert len(got) == len(texts) and all(r["component_id"] == 4 and r["kept"] for r in got)
+    assert N.without_copies(frame(texts, ids=[-4 if i % 2 else 4 for i in range(len(texts))])).filter("doc_id = -4").count() == len(texts) // 2
+
+
 def test_components_of_paths_stars_and_cycles(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
     rows = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long"), "test").collect()}

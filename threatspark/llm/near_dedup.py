@@ -201,31 +201,31 @@ def _relabelled(nodes: DataFrame, labels: DataFrame, column: str) -> DataFrame:
     return nodes.join(own, column, "left").withColumn(column, F.coalesce("__to", column)).drop("__to")
 
 
-def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``.
-
-    Words: runs of bytes other than blank and 0x09-0x0D, A-Z lower-cased. A
-    document's set: its distinct ``words``-word shingles; a shorter text is
-    one shingle; a text without words, or null, is empty and linked with
-    nothing. Two documents are linked if 100 * common >= percent * union.
-    component_id: the smallest doc_id reachable; kept: doc_id = component_id.
-
-    doc_id is meant to be unique. Rows that repeat one take part with their own
-    texts and, as their ids are equal, in one component if both are the
-    smallest of their text's copies. A row without a doc_id is linked with
-    nothing: component_id null, kept. Only doc_id and text are read.
-    """
+def _nodes(classes: DataFrame) -> DataFrame:
+    """Adds each class's node: its least doc_id. Where classes share one, as
+    different texts repeat an id, all but the first get a (negative) hash."""
+    first = classes.groupBy("d").agg(F.min(F.struct("n", "f1", "f2")).alias("__first"), F.count("*").alias("__c")).filter("__c > 1").drop("__c")
+    shared = stored(first, "near-shared")
+    if shared.isEmpty():
+        return classes.withColumn("node", F.col("d"))
+    other = F.xxhash64("d", "n", "f1", "f2").bitwiseOR(F.lit(-(1 << 63)))
+    node = F.when(F.col("__first").isNull() | (F.col("__first") == F.struct("n", "f1", "f2")), F.col("d")).otherwise(other)
+    return stored(classes.join(shared, "d", "left").withColumn("node", node).drop("__first"), "near-nodes")
+
+
+def _groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """d, row (its text's hash), n and component of every row of ``docs``."""
     d = docs.select(F.col("doc_id").cast("long").alias("d"), F.xxhash64("text").alias("row"), "text")
     chunks = chunks_for(percent)
     profiles = stored(_profiles(d, words, chunks), "near-profiles")
-    classes = stored(profiles.filter("n > 0 AND d IS NOT NULL").groupBy("n", "f1", "f2")
-                     .agg(F.min(F.struct("d", "row", "sig")).alias("m"))
-                     .select("n", "f1", "f2", F.col("m.d").alias("node"), F.col("m.row").alias("row"), F.col("m.sig").alias("sig")), "near-classes")
+    classes = _nodes(stored(profiles.filter("n > 0 AND d IS NOT NULL").groupBy("n", "f1", "f2")
+                            .agg(F.min(F.struct("d", "row", "sig")).alias("m"))
+                            .select("n", "f1", "f2", "m.d", "m.row", "m.sig"), "near-classes"))
     keys = classes.select("node", "sig").mapInArrow(_keys(chunks), "key long, node long")
     hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("__top")).filter("hub < __top").select("key", "hub")
     members = stored(keys.join(hubs, "key"), "near-members")
-    wanted = members.select("node").distinct().join(classes.select("node", "row"), "node")
-    texts = d.select(F.col("d").alias("node"), "row", "text").join(wanted.hint("merge"), ["node", "row"]).select("node", "text")
+    wanted = members.select("node").distinct().join(classes.select("node", "d", "row"), "node")
+    texts = d.join(wanted.hint("merge"), ["d", "row"]).select("node", "text")
     sets = stored(texts.mapInArrow(_set_table(words), "node long, shingles binary"), "near-sets")
     sizes = classes.select("node", "n")
     first = components(_first_links(members, sizes, sets, percent), "near-first")
@@ -235,15 +235,40 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     across = (late.join(c.select(F.col("node").alias("u"), F.col("comp").alias("cu")), "u")
               .join(c.select(F.col("node").alias("v"), F.col("comp").alias("cv")), "v").select(F.col("cu").alias("u"), F.col("cv").alias("v")))
     final = stored(_relabelled(comp, components(across, "near-last"), "comp"), "near-final")
-    named = classes.select("n", "f1", "f2", "node").join(final, "node", "left").select("n", "f1", "f2", F.coalesce("comp", "node").alias("component_id"))
-    out = profiles.select("d", "n", "f1", "f2").join(named, ["n", "f1", "f2"], "left")
-    component = F.when(F.col("d").isNotNull(), F.when(F.col("n") == 0, F.col("d")).otherwise(F.col("component_id")))
+    named = classes.select("n", "f1", "f2", "d", "node").join(final, "node", "left").withColumn("component", F.coalesce("comp", "node"))
+    # a component's label is its least node: the least doc_id, or a hash below all of them, for which it is looked up
+    hashed = named.filter("component < 0")
+    if not hashed.isEmpty():
+        least = hashed.groupBy("component").agg(F.min("d").alias("__least"))
+        named = named.join(least, "component", "left").withColumn("component", F.coalesce("__least", "component"))
+    out = profiles.select("d", "row", "n", "f1", "f2").join(named.select("n", "f1", "f2", "component"), ["n", "f1", "f2"], "left")
+    component = F.when(F.col("d").isNotNull(), F.when(F.col("n") == 0, F.col("d")).otherwise(F.col("component")))
+    return out.select("d", "row", "n", component.alias("component"), F.coalesce(F.col("d") == component, F.lit(True)).alias("kept"))
+
+
+def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs``.
+
+    Words: runs of bytes other than blank and 0x09-0x0D, A-Z lower-cased. A
+    document's set: its distinct ``words``-word shingles; a shorter text is
+    one shingle; a text without words, or null, is empty and linked with
+    nothing. Two documents are linked if 100 * common >= percent * union.
+    component_id: the smallest doc_id reachable; kept: doc_id = component_id.
+
+    doc_id holds whole numbers and is meant to be unique. Rows that repeat one
+    take part with their own texts: an id doesn't tie different texts together,
+    and each row gets its own text's component. A row without a doc_id is
+    linked with nothing: component_id null, kept. Only doc_id and text are read.
+    """
     kind = docs.schema["doc_id"].dataType
-    return out.select(F.col("d").cast(kind).alias("doc_id"), F.col("n").alias("n_shingles"), component.cast(kind).alias("component_id"),
-                      F.coalesce(F.col("d") == component, F.lit(True)).alias("kept"))
+    return _groups(docs, words, percent).select(F.col("d").cast(kind).alias("doc_id"), F.col("n").alias("n_shingles"),
+                                                F.col("component").cast(kind).alias("component_id"), "kept")
 
 
 def without_copies(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` without the rows that near_groups() doesn't keep; columns as they were."""
-    gone = near_groups(docs, words, percent).filter("NOT kept").select(F.col("doc_id").alias("__near_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["__near_gone"], "left_anti")
+    """``docs`` without the rows that near_groups() doesn't keep; columns as
+    they were. A row goes by its doc_id and text, so that of rows with one id
+    only copies go. Of a group all rows with its smallest id stay, as do rows
+    without an id, a text or words."""
+    gone = _groups(docs, words, percent).filter("NOT kept").select(F.col("d").alias("__gone_id"), F.col("row").alias("__gone_text"))
+    return docs.join(gone, (docs["doc_id"].cast("long") == gone["__gone_id"]) & (F.xxhash64(docs["text"]) == gone["__gone_text"]), "left_anti")
