@@ -93,3 +93,12 @@ def test_report_reads_the_committed_fact(spark, tmp_path):
     want = layers.process_scanner_csv(spark, str(tmp_path / "r.csv"), fact, str(tmp_path / "other"))
     rows = lambda df: sorted(map(repr, df.drop("last_updated").collect()))
     assert rows(got) == rows(want) and sorted(r["vrr_score"] for r in got.collect()) == [0.0, 0.0, 7.0]
+
+
+def test_export_keeps_the_order_over_files(spark, tmp_path):
+    report = spark.range(5000).selectExpr("(id * 7919) % 5000 row_id", "concat('h', id) HostFindingsID").repartition(7)
+    layers.export_report(report, str(tmp_path))
+    for kind, number in (("csv", lambda line: int(line.split(",")[0])), ("json", lambda line: json.loads(line)["row_id"])):
+        files = sorted(f for f in (tmp_path / kind).iterdir() if f.name.startswith("part-"))
+        lines = [line for f in files for line in f.read_text().splitlines()[kind == "csv":]]
+        assert [number(line) for line in lines] == list(range(5000))
