@@ -82,3 +82,20 @@ def test_queries_run_on_the_small_tables(spark, name):
         relation = con.sql(ORACLE_SQL[name])
         at = [relation.columns.index(c) for c in out.columns]
         assert sorted(str(tuple(r)) for r in rows) == sorted(str(tuple(r[i] for i in at)) for r in relation.fetchall())
+
+
+def test_stages_take_repeated_and_null_ids_and_a_long_text(spark, tmp_path):
+    """No stage loses or doubles such rows, as none is toxic, a copy under another id or a leak."""
+    random.seed(5)
+    text = lambda n: " ".join(random.choices([f"w{i}" for i in range(3000)], k=n))
+    same, anonymous = text(40), text(40)
+    texts = [same, same, text(50), anonymous, anonymous, None, "", text(150_000), "東京" * 30]
+    docs = documents(texts)
+    docs["doc_id"] = [1, 1, 1, None, None, 2, 3, 4, 5]
+    docs["source"][2] = None
+    write(tmp_path, docs, {"doc_id": [1, 2, None], "quality": [1, None, 0], "toxic": [0, 0, None]}, {"item_id": [1, None], "text": [text(20), None]})
+    d = P.table(spark, str(tmp_path), "documents")
+    key = lambda r: (str(r["doc_id"]), str(r["text"]))
+    for name, stage in P.STAGES:
+        got = stage(spark, d, str(tmp_path)).select("doc_id", "text").collect()
+        assert sorted(map(key, got)) == sorted((str(i), str(t)) for i, t in zip(docs["doc_id"], texts)), name
