@@ -6,11 +6,15 @@ script or style with its content, tag) goes through a page once, so what looks
 like a tag inside a comment, a script or an attribute's value is none. The
 tokens are then split, filtered and transformed with higher-order functions.
 All repetitions are possessive or of one character class: Java runs those in a
-loop, so very long tags and comments don't exhaust its stack.
+loop, so very long tags and comments don't exhaust its stack. What an
+expression uses more than once is bound (``_let``): Spark works a repeated
+expression inside a lambda out at each place, and such places multiply.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,23 +44,35 @@ _TOKEN = (rf"(?is)(<({'|'.join(RAW_TEXT)})(?=[\s/>]){_INSIDE}>).*?(?:(?=</\2[\s/
 _ATTRIBUTE = r"""([^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+)"""
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _nz(c: Column) -> Column:
-    return F.when(c != "", c)
+    return _let(c, lambda v: F.when(v != "", v))
+
+
+def _numbered(name: Column) -> Column:
+    """The character of a reference by number ('#65', '#x41')."""
+    number = F.when(F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(F.substr(name, F.lit(2))).try_cast("bigint")
+    valid = lambda n: n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+    return _let(number, lambda n: F.when(valid(n), F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")))
 
 
 def _reference(piece: Column) -> Column:
     """A piece that begins with a character reference, with the character in its place."""
-    name = F.regexp_extract(piece, r"^&(#[0-9]+|#[xX][0-9a-fA-F]+|[a-z]+);", 1)
-    number = F.when(F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(F.substr(name, F.lit(2))).try_cast("bigint")
-    valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-    char = F.when(name.startswith("#"), F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))).otherwise(
-        F.try_element_at(F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair]), name))
-    return F.coalesce(F.concat(char, F.substr(piece, F.length(name) + 3)), piece)
+    named = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+
+    def put(name: Column) -> Column:
+        char = F.when(name.startswith("#"), _numbered(name)).otherwise(F.try_element_at(named, name))
+        return F.coalesce(F.concat(char, F.substr(piece, F.length(name) + 3)), piece)
+    return _let(F.regexp_extract(piece, r"^&(#[0-9]+|#[xX][0-9a-fA-F]+|[a-z]+);", 1), put)
 
 
 def unescape(c: Column) -> Column:
     """Character references, each read once: numbers, and the names of ENTITIES."""
-    return F.when(c.contains("&"), F.array_join(F.transform(F.split(c, "(?=&)"), _reference), "")).otherwise(c)
+    return _let(c, lambda t: F.when(t.contains("&"), F.array_join(F.transform(F.split(t, "(?=&)"), _reference), "")).otherwise(t))
 
 
 def tokens(html: Column) -> Column:
@@ -83,7 +99,7 @@ def attribute(tag: Column, name: str) -> Column:
     own = F.filter(F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(1)), lambda a: a.rlike(rf"(?i)^{name}(?:\s*=|$)"))
     last = F.coalesce(F.try_element_at(own, F.lit(-1)), F.lit(""))
     pattern = r"(?s)^[^\s=]+\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|(.*))$"
-    return unescape(F.concat(*[F.regexp_extract(last, pattern, g) for g in (1, 2, 3)]))
+    return unescape(_let(last, lambda a: F.concat(*[F.regexp_extract(a, pattern, g) for g in (1, 2, 3)])))
 
 
 def _has_class(tag: Column, names: list[str]) -> Column:
@@ -118,7 +134,7 @@ def links(parsed: Column) -> Column:
         .when(t["tag"].rlike(r"(?i)^</a[\s/>]"), F.lit(_END)).otherwise(F.lit("")))), "")
     own = F.split(run, _LINK)
     body = lambda x: F.substring_index(F.substring_index(x, _HREF, -1), _END, 1)
-    return F.transform(F.slice(own, F.lit(2), F.size(own)), lambda x: F.struct(
+    return F.transform(_let(own, lambda o: F.slice(o, F.lit(2), F.size(o))), lambda x: F.struct(
         F.substring_index(x, _HREF, 1).alias("href"), unescape(body(x)).alias("text")))
 
 
@@ -134,9 +150,8 @@ def application_url(parsed: Column, own_domain: str = OWN_DOMAIN) -> Column:
 def keywords(parsed: Column) -> Column:
     """Trimmed items of the content of the first <meta name="keywords">, in either attribute order."""
     own = F.filter(_tags(parsed, "meta"), lambda t: F.lower(attribute(t, "name")) == "keywords")
-    content = attribute(F.get(own, 0), "content")
-    return F.when(content != "", F.transform(F.split(content, ","), lambda k: strip(k))) \
-        .otherwise(F.array().cast("array<string>"))
+    return _let(attribute(F.get(own, 0), "content"), lambda content: F.when(
+        content != "", F.transform(F.split(content, ","), lambda k: strip(k))).otherwise(F.array().cast("array<string>")))
 
 
 def codes_and_tags(kw: Column) -> tuple[Column, Column]:
@@ -152,9 +167,9 @@ def page_metadata(pages: DataFrame, html_col: str = "html", url_col: str | None
                   own_domain: str = OWN_DOMAIN) -> DataFrame:
     """screenshot_url, verified, source_url, application_url, codes, tags."""
     parsed = F.col("__tokens")
-    codes, tags = codes_and_tags(keywords(parsed))
+    codes, tags = codes_and_tags(F.col("__keywords"))
     extra = [F.col(url_col).alias("source_url")] if url_col else []
-    return pages.withColumn("__tokens", tokens(F.col(html_col))).select(
+    return pages.withColumn("__tokens", tokens(F.col(html_col))).withColumn("__keywords", keywords(parsed)).select(
         *[c for c in pages.columns if c != html_col],
         screenshot_url(parsed).alias("screenshot_url"),
         verified(parsed).alias("verified"),
