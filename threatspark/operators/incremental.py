@@ -130,6 +130,16 @@ def join_intervals(points: DataFrame, ts: str, intervals: DataFrame, lo: str, hi
     return probe.join(cut, on & within).drop("_l", "_b", "_level", "_bin")
 
 
+def day_or_within(ts) -> Column:
+    """A time that meets the same intervals between whole days (midnights) as
+    ``ts``: midnight itself, or noon for any other time of that day. Points
+    are added up by it before ``join_intervals``, which then pairs two points
+    a day at most, however many rows there are."""
+    t = _c(ts).cast("timestamp")
+    day = F.date_trunc("day", t)
+    return F.when(t == day, day).otherwise(day + F.make_dt_interval(hours=F.lit(12)))
+
+
 def rows_per_slice(df: DataFrame, ts_col: str, start: Column | None = None,
                    end: Column | None = None) -> DataFrame:
     """J12 without a nested-loop join: each row computes the one or two slices
