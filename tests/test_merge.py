@@ -270,3 +270,17 @@ def test_lookup_follows_a_growing_table(spark, tmp_path):
         merge.upsert_bucketed(spark, path, spark.range(a, b).selectExpr("id k", f"{b} v"), "k", per_bucket=500)
     got = merge.rows_of(spark, path, spark.createDataFrame([("7",), ("2999",), ("8999",), ("9001",)], "x string"))
     assert sorted((r["k"], r["v"]) for r in got.collect()) == [(7, 3000), (2999, 9000), (8999, 9000)]
+
+
+def test_replace_works_its_rows_out_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def counted(_):
+        seen.add(1)
+        return True
+
+    rows = spark.range(300).withColumnRenamed("id", "k").filter(counted("k"))
+    merge.replace_bucketed(spark, rows, str(tmp_path), "k", per_bucket=50)
+    assert seen.value == 300 and merge.current_commit(spark, str(tmp_path)).buckets == 6
+    assert merge.read_bucketed(spark, str(tmp_path)).count() == 300 and not rows.storageLevel.useMemory
