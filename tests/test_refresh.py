@@ -121,3 +121,29 @@ def test_gold_follows_commits_not_times(spark, tmp_path):
     assert layers.run_layers(spark, root, {}, layer="gold", registry=sources).first()["rows"] == 0
     spec.gold_manual["origin"] = "y"                                       # another constant: all rows anew
     assert layers.run_layers(spark, root, {}, layer="gold", registry=sources).first()["rows"] == 2 and gold() == {"a": (2, "y"), "b": (3, "y")}
+
+
+def test_the_query_works_each_feed_out_once(spark, monkeypatch):
+    from threatspark.plans import catalog_layers, feeds
+    worked = spark.sparkContext.accumulator(0)
+    delivered = []
+
+    @F.udf("boolean")
+    def counted(_):
+        worked.add(1)
+        return True
+
+    rows = {"feed_nvd": ["concat('CVE-', id) cve_id"], "feed_kev": ["concat('CVE-', id) cve_id", "'Unknown' known_ransomware_campaign_use"],
+            "feed_epss": ["concat('CVE-', id) cve", "cast(0.5 as decimal(7,5)) epss"],
+            "feed_exploit": ["cast(id as string) id", "'2024-01-01' date_published", "array(concat('CVE-', id)) codes"],
+            "feed_modules": ["concat('m', id) fullname", "'2024-01-01' mod_time"], "feed_module_refs": ["concat('m', id) fullname", "concat('CVE-', id) ref"]}
+    for name, columns in rows.items():
+        df = spark.range(20).selectExpr(*columns)
+        df = df.filter(counted(df.columns[-1])) if name != "feed_module_refs" else df
+        monkeypatch.setattr(feeds, name, lambda s, sf, df=df: df)
+    monkeypatch.setattr(catalog_layers, "upsert_bucketed", lambda s, path, df, key: delivered.append(df.count()))
+    monkeypatch.setattr(layers, "refresh_star", lambda *args: None)
+    monkeypatch.setattr(catalog_layers, "read_current", lambda *args: spark.createDataFrame([], "cve_id string, vrr_score double"))
+    catalog_layers.fact_incremental(spark, "unused")
+    # nvd in halves; the others wrong, then in halves
+    assert sum(delivered) == 20 + 4 * 40 and worked.value == 5 * 20
