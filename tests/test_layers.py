@@ -1,6 +1,7 @@
 import datetime as dt
 import gzip
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,3 +103,17 @@ def test_export_keeps_the_order_over_files(spark, tmp_path):
         files = sorted(f for f in (tmp_path / kind).iterdir() if f.name.startswith("part-"))
         lines = [line for f in files for line in f.read_text().splitlines()[kind == "csv":]]
         assert [number(line) for line in lines] == list(range(5000))
+
+
+@pytest.mark.parametrize("kind", ["scanner", "simple"])
+def test_a_report_is_stored_compressed(spark, tmp_path, kind):
+    text = "the same long text " * 50
+    (tmp_path / "r.csv").write_text("Plugin ID,CVE,Host,Name,Description\n" + "".join(f"{i},CVE-{i % 9},h,n,{text}\n" for i in range(1000)))
+    fact = spark.range(5).selectExpr("concat('CVE-', id) cve_id", "cast(id as double) vrr_score", "named_struct('CISA_product', concat('p', id)) threats")
+    if kind == "scanner":
+        got = layers.process_scanner_csv(spark, str(tmp_path / "r.csv"), fact, str(tmp_path / "lake"))
+    else:
+        got = layers.enrich_csv(spark, str(tmp_path / "r.csv"), fact, str(tmp_path / "table"), str(tmp_path / "out"))
+    files = [f.removeprefix("file://").removeprefix("file:") for f in got.inputFiles()]
+    assert files and sum(os.path.getsize(f) for f in files) < 200_000 < 1000 * len(text)
+    assert got.count() == 1000 and got.filter("vrr_score > 0").count() == sum(0 < i % 9 < 5 for i in range(1000))
