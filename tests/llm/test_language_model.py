@@ -3,10 +3,12 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from tests.llm import brute
 from threatspark.llm import language_model as L
+from threatspark.llm import text as T
 
 
 class Plain:
@@ -121,3 +123,26 @@ def test_empty_training_null_and_repeated_ids(frame):
     nothing = L.score(docs, L.train(docs.limit(0))).collect()
     assert all(r["score"] == 0 and r["base_score"] == 0 and r["train_tokens"] == 0 for r in nothing)
     assert L.score_held_out(docs.limit(0)).count() == 0
+
+
+def test_blocks_are_small_and_come_back_whole():
+    """Disk: a block's words go as steps between sorted hashes, its rows by the first word of the context."""
+    rng = np.random.default_rng(4)
+    drawn = T.mix(np.minimum(rng.zipf(1.2, 60_000), 1 << 40).astype(np.uint64))
+    for columns in (3, 2, 1):
+        g = L._grams([drawn[i:len(drawn) - 2 + i] for i in range(columns)])
+        block = L._pack(g)
+        back = L._unpack(block)
+        rows = lambda x: sorted(zip(*[x.tokens(i).tolist() for i in range(columns)], x.counts.tolist()))
+        assert rows(back) == rows(g)
+        assert columns < 3 or len(block) < 4.3 * len(g.counts)
+
+
+def test_counts_beyond_a_byte_and_contexts_beyond_a_step(frame):
+    """Counts of MANY and more are kept besides the bytes; starts are distances within a step."""
+    texts = [" ".join(["the cat sat"] * 400 + [f"v{i} w{i} the" for i in range(300)]), "the cat sat v7 w7 the end", "cat the v299 w299"]
+    rows = {r["doc_id"]: r for r in L.score_held_out(frame(texts, ids=[3, 4, 5])).collect()}
+    tokens = {i: t.split() + ["</s>"] for i, t in zip([3, 4, 5], texts)}
+    model = Plain([t for i, t in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2], 3)
+    for i, t in tokens.items():
+        assert abs(rows[i]["score"] - model.score(t)) < 1e-6
