@@ -63,3 +63,19 @@ def test_empty_sides(spark, tmp_path):
     assert folder.endswith("buckets-1") and fact_colocated(spark, folder).count() == 500
     folder = store_colocated(spark, none(nvd), kev, epss, exploits, modules, None, str(tmp_path / "d"))
     assert fact_colocated(spark, folder).count() == 0
+
+
+def test_tasks_of_the_exploit_lookup_follow_the_lines(spark, tmp_path, monkeypatch):
+    """What a task sorts doesn't grow with the table: lines are dealt out to more tasks."""
+    from threatspark.plans import feeds
+    monkeypatch.setattr(feeds, "ROWS_PER_TASK", 100)
+    monkeypatch.setattr(feeds, "_PLANS", {})
+    spark.range(300).selectExpr("id o_orderkey", "id o_custkey", "if(id % 9 = 0, '5-LOW', '1-URGENT') o_orderpriority",
+                                "timestamp_ntz'2024-01-01' o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(1200).selectExpr("id % 300 l_orderkey", "id % 40 l_partkey").write.parquet(f"{tmp_path}/lineitem.parquet")
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        exploits = feeds.feed_exploit(spark, str(tmp_path))
+        assert exploits.rdd.getNumPartitions() == feeds.line_tasks(spark, str(tmp_path)) == 12
+        few, many = fact_mod.exploit_lookup(exploits), fact_mod.exploit_lookup(exploits, tasks=12)
+        assert many.rdd.getNumPartitions() == 12
+        assert sorted(map(tuple, few.collect()), key=str) == sorted(map(tuple, many.collect()), key=str) and many.count() == 40

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from threatspark.plans import fact as fact_mod
 
-ROWS_PER_BUCKET = 1_000_000
+ROWS_PER_BUCKET = 100_000  # CVEs whose rows of all five tables one task sorts for the join
 
 # The five inputs and their key columns, as build_fact takes them.
 SIDES = {"nvd": "cve_id", "cisa": "cve_id", "epss": "cve", "exploits_by_code": "code", "modules_by_ref": "ref"}
@@ -32,14 +32,15 @@ def _name(root: str, side: str) -> str:
 
 
 def store_colocated(spark: SparkSession, nvd: DataFrame, cisa: DataFrame, epss: DataFrame, exploits: DataFrame,
-                    modules: DataFrame, refs: DataFrame | None, root: str, buckets: int | None = None) -> str:
+                    modules: DataFrame, refs: DataFrame | None, root: str, buckets: int | None = None,
+                    tasks: int | None = None) -> str:
     """Writes the five tables below ``root`` and returns their folder.
-    ``buckets``: one per million CVEs of ``nvd`` if None. Rows without a CVE
-    are left out, as no CVE joins them."""
+    ``buckets``: one per ROWS_PER_BUCKET CVEs of ``nvd`` if None. Rows without
+    a CVE are left out, as no CVE joins them. ``tasks``: as exploit_lookup takes them."""
     if buckets is None:
         buckets = max(1, -(-nvd.count() // ROWS_PER_BUCKET))
     folder = f"{root.rstrip('/')}/buckets-{buckets}"
-    sides = zip(SIDES.items(), (nvd, cisa, epss, fact_mod.exploit_lookup(exploits), fact_mod.module_lookup(modules, refs)))
+    sides = zip(SIDES.items(), (nvd, cisa, epss, fact_mod.exploit_lookup(exploits, tasks=tasks), fact_mod.module_lookup(modules, refs)))
     for (side, key), df in sides:
         # dealt out as the buckets are, so that one task writes one file of one bucket
         (df.filter(F.length(key) > 0).repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
