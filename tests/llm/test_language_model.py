@@ -1,4 +1,5 @@
 import math
+import pathlib
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -146,3 +147,15 @@ def test_counts_beyond_a_byte_and_contexts_beyond_a_step(frame):
     model = Plain([t for i, t in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2], 3)
     for i, t in tokens.items():
         assert abs(rows[i]["score"] - model.score(t)) < 1e-6
+
+
+def test_the_arrays_are_small_and_nothing_shuffled_is_kept(frame, spark):
+    """Disk: an n-gram is its words' places in its shard's dictionary, and an order's shuffle goes with its count."""
+    rng = random.Random(6)
+    texts = [" ".join(f"w{min(int(rng.paretovariate(0.7)), 2000)}" for _ in range(10_000)) for _ in range(8)]
+    before = spark.conf.get(L._CLEANUP, None)
+    model = L.train(frame(texts), 3)
+    assert spark.conf.get(L._CLEANUP, None) == before
+    grams = len({(*t[i:i + 3],) for t in (x.split() for x in texts) for i in range(len(t) - 2)})
+    size = sum(p.stat().st_size for p in pathlib.Path(model.folder.removeprefix("file:")).glob("3-*"))
+    assert grams > 15_000 and size < 9 * grams
