@@ -159,3 +159,46 @@ def test_the_arrays_are_small_and_nothing_shuffled_is_kept(frame, spark):
     grams = len({(*t[i:i + 3],) for t in (x.split() for x in texts) for i in range(len(t) - 2)})
     size = sum(p.stat().st_size for p in pathlib.Path(model.folder.removeprefix("file:")).glob("3-*"))
     assert grams > 15_000 and size < 9 * grams
+
+
+def test_a_lookup_opens_one_file_and_takes_no_step_too_many(frame, monkeypatch):
+    """Time: a shard's arrays of an order are one file, however many shards
+    there are; words of one follower are read once, others in as many steps as halve them."""
+    monkeypatch.setattr(L, "SHARD_BYTES", 2000)
+    rng = random.Random(9)
+    texts = [" ".join(f"w{min(int(rng.paretovariate(0.7)), 500)}" for _ in range(3000)) for _ in range(4)]
+    docs = frame(texts, ids=[3, 4, 5, 6])
+    model = L.train(docs, 3)
+    files = [p.name for p in pathlib.Path(model.folder.removeprefix("file:")).glob("*.npy")]
+    assert model.shard_bits >= 4 and 0 < len(files) <= 4 << model.shard_bits
+    plain = Plain([t.split() + ["</s>"] for t in texts], 3)
+    for r, t in zip(sorted(L.score(docs, model).collect(), key=lambda r: r["doc_id"]), texts):
+        assert abs(r["score"] - plain.score(t.split() + ["</s>"])) < 1e-6
+
+    read = []
+    places = L._places
+    monkeypatch.setattr(L, "_places", lambda have, name, which: read.append(len(which)) or places(have, name, which))
+    draw = np.random.default_rng(3)
+    n = np.concatenate([np.zeros(50, np.int64), np.ones(5000, np.int64), draw.integers(2, 400, 200)])
+    last = np.cumsum(n)
+    held = np.concatenate([np.sort(draw.choice(1 << 20, k, replace=False)) for k in n])
+    for size in (1 << 20, 1 << 25):
+        have = L._split_places("words", held, size)
+        wanted = np.where(draw.random(len(n)) < 0.6, held[np.minimum(last - n // 2 - 1, len(held) - 1)], draw.integers(-1, 1 << 20, len(n))).astype(np.int32)
+        read.clear()
+        at, hit = L._search(have, "words", last - n, last, wanted)
+        there = [w in held[b - k:b] for w, k, b in zip(wanted, n, last)]
+        assert hit.tolist() == there and any(there) and not all(there) and (held[at[hit]] == wanted[hit]).all()
+        assert sum(read) == len(n) + sum(math.ceil(math.log2(k)) for k in n if k > 1)
+
+
+def test_rows_are_sorted_the_same_in_one_number_or_in_columns():
+    draw = np.random.default_rng(8)
+    for size, most in ((50, 1), (50, 300), (1 << 22, 1), (1 << 21, 9)):  # the last two don't fit into 64 bits
+        columns = [draw.integers(0, min(size, 12), 4000) + (size - 12 if size > 50 else 0) for _ in range(3)]
+        counts = draw.integers(1, most + 1, 4000)
+        rows, n, new = L._sorted(columns, counts, size)
+        assert sorted(zip(*columns, counts)) == sorted(zip(*rows, n)) and [*zip(*rows)] == sorted(zip(*columns))
+        assert new.tolist() == [i == 0 or rows[0][i] != rows[0][i - 1] or rows[1][i] != rows[1][i - 1] or rows[2][i] != rows[2][i - 1] for i in range(len(n))]
+    words, at = L._numbered(np.array([7, 3, 7, 1 << 63, 0], np.uint64))
+    assert words.tolist() == [0, 3, 7, 1 << 63] and at.tolist() == [2, 1, 2, 3, 0]

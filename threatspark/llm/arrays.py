@@ -10,6 +10,8 @@ and a task keeps those it used last, up to HELD_BYTES.
 from __future__ import annotations
 
 import io
+import json
+import math
 import os
 import uuid
 from collections import OrderedDict
@@ -18,6 +20,7 @@ import numpy as np
 
 HELD_BYTES = 256 << 20   # of arrays that a task has fetched
 HELD_MAPS = 1024         # of arrays that it has mapped
+_ALIGNED = 64            # bytes at whose multiples an array starts in a file of several
 
 
 class _Held(OrderedDict):
@@ -70,13 +73,38 @@ def load(path: str) -> np.ndarray:
     at = _local(path)
     held = _held if at is None else _maps
     if path not in held:
-        held[path] = _fetch(path) if at is None else np.load(at, mmap_mode="r")
+        held[path] = _fetch(path) if at is None else np.asarray(np.load(at, mmap_mode="r"))  # a plain view is quicker to index
         while len(held) > 1 and (sum(x.nbytes for x in held.values()) > HELD_BYTES if at is None else len(held) > HELD_MAPS):
             held.popitem(last=False)
     held.move_to_end(path)
     return held[path]
 
 
+def save_all(path: str, named: dict[str, np.ndarray]) -> None:
+    """Several arrays in one file, which is mapped or fetched as one."""
+    where, at = [], 0
+    for name, x in named.items():
+        where.append((name, x.dtype.str, x.shape, at))
+        at += -(-x.nbytes // _ALIGNED) * _ALIGNED
+    head = json.dumps(where).encode()
+    first = -(-(8 + len(head)) // _ALIGNED) * _ALIGNED
+    out = np.zeros(first + at, np.uint8)
+    out[:8] = np.array([len(head)], "<u8").view(np.uint8)
+    out[8:8 + len(head)] = np.frombuffer(head, np.uint8)
+    for (_, _, _, start), x in zip(where, named.values()):
+        out[first + start:first + start + x.nbytes] = np.ascontiguousarray(x).reshape(-1).view(np.uint8)
+    save(path, out)
+
+
+def load_all(path: str) -> dict[str, np.ndarray]:
+    """What save_all wrote, by name, as views of the file; raises like load."""
+    raw = load(path)
+    size = int(raw[:8].view("<u8")[0])
+    first = -(-(8 + size) // _ALIGNED) * _ALIGNED
+    return {name: raw[first + at:first + at + math.prod(shape) * np.dtype(kind).itemsize].view(kind).reshape(shape)
+            for name, kind, shape, at in json.loads(raw[8:8 + size].tobytes())}
+
+
 def find(keys: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where sorted ``q`` stands in sorted ``keys``, and whether it is there."""
     if not len(keys):
