@@ -66,3 +66,17 @@ def test_arrays_held_are_bounded_and_stay_behind(tmp_path, monkeypatch):
     assert len(arrays._maps) == 2 and not cloudpickle.loads(cloudpickle.dumps(arrays._maps))
     with pytest.raises(FileNotFoundError):
         arrays.load(f"{tmp_path}/none.npy")
+
+
+def test_arrays_of_one_file_come_back_as_they_were(tmp_path, monkeypatch):
+    import numpy as np
+    named = {"a": np.arange(5, dtype=np.uint16), "none": np.zeros(0, np.int64), "two": np.arange(6, dtype=np.int64).reshape(2, 3), "odd": np.arange(7, dtype=np.uint8)}
+    monkeypatch.setattr(arrays, "HELD_SETS", 2)
+    for i in range(4):
+        arrays.save_all(f"{tmp_path}/{i}.npy", named | {"i": np.array([i])})
+        back = arrays.load_all(f"{tmp_path}/{i}.npy")
+        assert back.pop("i").tolist() == [i] and [*back] == [*named]
+        assert all(x.dtype == named[n].dtype and x.shape == named[n].shape and (x == named[n]).all() and x.ctypes.data % x.itemsize == 0 for n, x in back.items())
+    assert len(arrays._sets) == 2 and not cloudpickle.loads(cloudpickle.dumps(arrays._sets))
+    with pytest.raises(FileNotFoundError):
+        arrays.load_all(f"{tmp_path}/none.npy")

@@ -12,7 +12,9 @@ from __future__ import annotations
 import io
 import json
 import math
+import mmap
 import os
+import sys
 import uuid
 from collections import OrderedDict
 
@@ -20,6 +22,9 @@ import numpy as np
 
 HELD_BYTES = 256 << 20   # of arrays that a task has fetched
 HELD_MAPS = 1024         # of arrays that it has mapped
+#: From Python 3.13 on a mapped file need not stay open, so that only the maps of a process are limited (65,530).
+_UNTRACKED = {"trackfd": False} if sys.version_info >= (3, 13) else {}
+HELD_SETS = 8192 if _UNTRACKED else 512  # of files of several arrays that it has mapped
 _ALIGNED = 64            # bytes at whose multiples an array starts in a file of several
 
 
@@ -30,7 +35,7 @@ class _Held(OrderedDict):
         return _Held, ()
 
 
-_held, _maps = _Held(), _Held()
+_held, _maps, _sets = _Held(), _Held(), _Held()
 
 
 def _local(path: str) -> str | None:
@@ -96,15 +101,29 @@ def save_all(path: str, named: dict[str, np.ndarray]) -> None:
     save(path, out)
 
 
-def load_all(path: str) -> dict[str, np.ndarray]:
-    """What save_all wrote, by name, as views of the file; raises like load."""
-    raw = load(path)
+def _named(raw: np.ndarray) -> dict[str, np.ndarray]:
     size = int(raw[:8].view("<u8")[0])
     first = -(-(8 + size) // _ALIGNED) * _ALIGNED
     return {name: raw[first + at:first + at + math.prod(shape) * np.dtype(kind).itemsize].view(kind).reshape(shape)
             for name, kind, shape, at in json.loads(raw[8:8 + size].tobytes())}
 
 
+def load_all(path: str) -> dict[str, np.ndarray]:
+    """What save_all wrote, by name, as views of the file; raises like load."""
+    at = _local(path)
+    if at is None:
+        return _named(load(path))
+    if path not in _sets:
+        with open(at, "rb") as f:
+            file = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, **_UNTRACKED)
+        raw = np.frombuffer(file, np.uint8)
+        _sets[path] = _named(raw[10 + int(raw[8:10].view("<u2")[0]):])  # after numpy's own head
+        while len(_sets) > HELD_SETS:
+            _sets.popitem(last=False)
+    _sets.move_to_end(path)
+    return _sets[path]
+
+
 def find(keys: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where sorted ``q`` stands in sorted ``keys``, and whether it is there."""
     if not len(keys):
